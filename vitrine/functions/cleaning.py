@@ -51,12 +51,19 @@ for _ in range(2):
 _STRIP = rf"(?s)<!(?=--).*?(?:-->|\z)|<\?.*?(?:\?>|\z)|{_TAG}"
 
 
-def _if_contains(needle: str, change: Step) -> Step:
-    return lambda c: F.when(c.contains(needle), change(c)).otherwise(c)
+def _if_contains(needles: Sequence[str], *patterns: tuple[str, str]) -> Step:
+    """Apply the replacements in order, to texts that hold one of the needles."""
 
+    def step(col: Column) -> Column:
+        present = col.contains(needles[0])
+        for needle in needles[1:]:
+            present = present | col.contains(needle)
+        changed = col
+        for pattern, by in patterns:
+            changed = F.regexp_replace(changed, pattern, by)
+        return F.when(present, changed).otherwise(col)
 
-def _replace(pattern: str, by: str) -> Step:
-    return lambda c: F.regexp_replace(c, pattern, by)
+    return step
 
 
 def _common_entities(col: Column) -> Column:
@@ -80,31 +87,19 @@ def html_steps(mode: str = "code") -> list[Step]:
     ``mode='code'`` is what the exports use: script bodies stay as text and line ends become spaces.
     ``mode='intent'`` drops script bodies, ends paragraphs with a newline and makes no-break spaces plain.
     """
+    brackets = _if_contains(["{{", "["], (r"(?s)\{\{.*?\}\}", " "), (r"(?s)\[.*?\]", " "))
     if mode == "code":
-        return [
-            _decode,
-            _if_contains("<", _replace(_STYLE, " ")),
-            _if_contains("<", _replace(_BLOCK_TAG, " ")),
-            _if_contains("<", _replace(_STRIP, "")),
-            _if_contains("{{", _replace(r"(?s)\{\{.*?\}\}", " ")),
-            _if_contains("[", _replace(r"(?s)\[.*?\]", " ")),
-            _tidy,
-            lambda c: trim_text(collapse_ascii(c)),
-        ]
-    return [
-        _decode,
-        _if_contains("<", _replace(_STYLE, " ")),
-        _if_contains("<", _replace(_SCRIPT, " ")),
-        _if_contains("<", _replace(_PARAGRAPH_END, "\n")),
-        _if_contains("<", _replace(_BLOCK_TAG, " ")),
-        _if_contains("<", _replace(_STRIP, "")),
-        _if_contains("{{", _replace(r"(?s)\{\{.*?\}\}", " ")),
-        _if_contains("[", _replace(r"(?s)\[.*?\]", " ")),
-        _tidy,
-        _replace(r"[\h\x0B\f\r]+", " "),
-        _replace(r" ?\n ?", "\n"),
-        trim_text,
-    ]
+        tags = _if_contains(["<"], (_STYLE, " "), (_BLOCK_TAG, " "), (_STRIP, ""))
+        return [_decode, tags, brackets, lambda c: trim_text(collapse_ascii(_tidy(c)))]
+    tags = _if_contains(
+        ["<"], (_STYLE, " "), (_SCRIPT, " "), (_PARAGRAPH_END, "\n"), (_BLOCK_TAG, " "), (_STRIP, "")
+    )
+
+    def lines(col: Column) -> Column:
+        blanks = F.regexp_replace(_tidy(col), r"[\h\x0B\f\r]+", " ")
+        return trim_text(F.regexp_replace(blanks, r" ?\n ?", "\n"))
+
+    return [_decode, tags, brackets, lines]
 
 
 def prune_step(rule: Column) -> Step:

@@ -6,11 +6,12 @@ their text to Python; ``decode_rare`` sees texts with an uncommon entity, ``prun
 
 from __future__ import annotations
 
-import functools
 import re
+import sys
 from html.entities import html5
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -66,7 +67,6 @@ _TOKEN = re.compile(
 _TYPE = re.compile(r"\bdata-content-type\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-@functools.lru_cache(maxsize=1024)
 def _dropper(rule: str):
     """Test of an element type under a rule ``strategy|comma separated types``."""
     strategy, _, listed = rule.partition("|")
@@ -82,9 +82,9 @@ def _dropper(rule: str):
     return None
 
 
-def prune_markup(value: str, rule: str) -> str:
+def prune_markup(value: str, rule: str, drops=None) -> str:
     """Leave out every element whose type the rule drops, with all it holds."""
-    drops = _dropper(rule)
+    drops = drops or _dropper(rule)
     if drops is None or MARKER not in value:
         return value
     kept: list[str] = []
@@ -139,15 +139,22 @@ def prune_markup(value: str, rule: str) -> str:
     return "".join(kept)
 
 
-def _prune_or_keep(value, rule):
+def _prune_or_keep(value, rule, droppers):
     if value is None:
         return None
     try:
-        return prune_markup(value, rule)
+        if rule not in droppers:
+            droppers[rule] = _dropper(rule)
+        return prune_markup(value, rule, droppers[rule])
     except Exception:  # a step that fails on a row passes its input on
         return value
 
 
 @F.pandas_udf(StringType())
 def prune(texts: pd.Series, rules: pd.Series) -> pd.Series:
-    return pd.Series([_prune_or_keep(t, r) for t, r in zip(texts, rules)], dtype=object)
+    droppers: dict = {}
+    return pd.Series([_prune_or_keep(t, r, droppers) for t, r in zip(texts, rules)], dtype=object)
+
+
+# The two functions travel whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

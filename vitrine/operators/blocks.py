@@ -12,6 +12,7 @@ from vitrine.constants import (
     CLOSING_POS,
     COMPACT,
     EMBEDDING_CAP,
+    FORMATS,
     HEADING_POS,
     JSONL,
     PAGES_ORD,
@@ -32,7 +33,7 @@ from vitrine.operators.entities import (
     product_rows,
 )
 from vitrine.operators.stores import sibling_stores, store_context, store_summary, with_country
-from vitrine.schemas import BLOCK, RECORD
+from vitrine.schemas import RECORD
 from vitrine.sources.catalog import Catalog
 
 
@@ -58,7 +59,7 @@ def _framed(entities: DataFrame, listing: DataFrame, section: int, heading: Colu
     The stores come from the narrow listing, so this branch reads no text.
     """
     marks = ["store_code", "formats", *(c for c in listing.columns if c == "products_under_optional")]
-    some = listing.select(*marks).distinct().withColumn("format", F.explode("formats"))
+    some = listing.select(*marks).distinct().withColumn("format", F.explode("formats")).where(F.col("format") != JSONL)
     top = _blocks(some, section, F.lit(HEADING_POS), F.lit(0), heading_items, heading)
     end = _blocks(some, section, F.lit(CLOSING_POS), F.lit(0), F.lit(1), F.lit("\n"))
     return entities.unionByName(top).unionByName(end)
@@ -69,7 +70,67 @@ def _formatted_stores(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
     return store_context(catalog).withColumn("format", F.explode(offered))
 
 
-# text blocks from rows
+# one block per row: text, or one JSON line in the record format
+
+
+def _record(kind: str, **columns: Column) -> list[Column]:
+    """The superset record as columns; fields a kind does not have are NULL."""
+    fields = []
+    for part in RECORD.split(", "):
+        name, type_name = part.split()
+        value = F.lit(kind) if name == "entity_type" else columns.get(name, F.lit(None))
+        fields.append(value.cast(type_name).alias(name))
+    return fields
+
+
+def _product_record() -> list[Column]:
+    name, short, body = trim_text(text(F.col("name"))), F.col("short"), F.col("body")
+    return _record(
+        "product", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
+        sku=text(F.col("sku")), name=name, url=F.col("url"), price=F.coalesce("price", F.lit(0.0)),
+        currency=F.col("currency"), short_description=short, description=body,
+        embedding_text=embedding_text(name, short, body, limit=EMBEDDING_CAP),
+    )
+
+
+def _category_record() -> list[Column]:
+    name, body = trim_text(F.col("name")), F.col("body")
+    return _record(
+        "category", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
+        name=name, url=F.col("url"), description=body, embedding_text=embedding_text(name, body, limit=EMBEDDING_CAP),
+    )
+
+
+def _page_record() -> list[Column]:
+    title, body = trim_text(F.col("title")), F.col("body")
+    return _record(
+        "cms_page", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
+        title=title, identifier=text(F.col("identifier")), url=F.col("url"), content=body,
+        embedding_text=embedding_text(title, body, limit=EMBEDDING_CAP),
+    )
+
+
+def _store_record() -> list[Column]:
+    name = text(F.col("store_name"))
+    return _record(
+        "store", entity_id=F.col("store_id"), store_code=F.col("store_code"), store_name=name, url=F.col("plain_url"),
+        currency=F.col("currency"), locale=F.col("locale"), embedding_text=trim_text(F.concat_ws(" ", name, F.col("plain_url"))),
+    )
+
+
+def json_line(record: Sequence[Column]) -> Column:
+    """One JSON object; NULL fields are left out, invalid UTF-8 becomes U+FFFD."""
+    return F.make_valid_utf8(F.to_json(F.struct(*record), {"ignoreNullFields": "true"}))
+
+
+def _either(record: list[Column], content: Column) -> Column:
+    in_records = F.col("format") == JSONL
+    return F.when(in_records, F.concat(json_line(record), F.lit("\n"))).otherwise(content)
+
+
+def _items(with_body: int, without: int) -> Column:
+    """Chunks that a block stands for."""
+    return F.when(F.col("format") == JSONL, 1).when(F.col("body") != "", with_body).otherwise(without)
 
 
 def product_blocks(rows: DataFrame) -> DataFrame:
@@ -83,7 +144,7 @@ def product_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Description: ", body),
         F.lit("\n"),
     )
-    return _blocks(rows, PRODUCTS_ORD, F.lit(0), F.col("entity_id"), F.lit(1), content)
+    return _blocks(rows, PRODUCTS_ORD, F.lit(0), F.col("entity_id"), F.lit(1), _either(_product_record(), content))
 
 
 def category_blocks(rows: DataFrame) -> DataFrame:
@@ -96,8 +157,8 @@ def category_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Description: ", body),
         F.lit("\n"),
     )
-    items = F.when(body != "", 6).otherwise(5)
-    return _blocks(rows, CATEGORIES_ORD, F.col("position"), F.col("entity_id"), items, content)
+    content = _either(_category_record(), content)
+    return _blocks(rows, CATEGORIES_ORD, F.col("position"), F.col("entity_id"), _items(6, 5), content)
 
 
 def page_blocks(rows: DataFrame) -> DataFrame:
@@ -108,14 +169,14 @@ def page_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Content: ", body),
         F.lit("\n"),
     )
-    items = F.when(body != "", 4).otherwise(3)
-    return _blocks(rows, PAGES_ORD, F.col("position"), F.col("entity_id"), items, content)
+    content = _either(_page_record(), content)
+    return _blocks(rows, PAGES_ORD, F.col("position"), F.col("entity_id"), _items(4, 3), content)
 
 
-# sections of a text document
+# sections of a document
 
 
-def store_header(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS) -> DataFrame:
+def store_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     stores = store_summary(with_country(catalog, _formatted_stores(catalog, formats)))
     both = ("website_name", " - ", "store_name")
     title = [F.lit(p) if p == " - " else text(F.col(p)) for p in both]
@@ -126,11 +187,12 @@ def store_header(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS) -> Dat
         _line("> Currency: ", F.col("currency")), F.lit("\n"),
         _line("> ", F.col("summary")), F.lit("\n"),
     )
-    return _blocks(stores, STORE_ORD, F.lit(0), F.lit(0), F.lit(5), content)
+    items = F.when(F.col("format") == JSONL, 1).otherwise(5)
+    return _blocks(stores, STORE_ORD, F.lit(0), F.lit(0), items, _either(_store_record(), content))
 
 
-def sibling_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS) -> DataFrame:
-    offered = F.array_intersect("formats", F.array(*map(F.lit, formats)))
+def sibling_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
+    offered = F.array_intersect("formats", F.array(*[F.lit(f) for f in formats if f != JSONL]))
     pairs = sibling_stores(catalog).withColumn("formats", offered)
     each = pairs.withColumn("format", F.explode("formats"))
     content = _line("- [", F.col("website_name"), " - ", F.col("sibling_name"), "](", F.col("sibling_url"), ")")
@@ -139,12 +201,12 @@ def sibling_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS) ->
     return _framed(entries, pairs, SIBLINGS_ORD, heading, F.lit(1))
 
 
-def category_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
+def category_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     entries = category_blocks(category_rows(catalog, formats, cleaner))
     return _framed(entries, category_listing(catalog, formats), CATEGORIES_ORD, F.lit("## Categories\n\n"), F.lit(1))
 
 
-def page_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
+def page_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     entries = page_blocks(page_rows(catalog, formats, cleaner))
     return _framed(entries, page_listing(catalog, formats), PAGES_ORD, F.lit("## Pages\n\n"), F.lit(1))
 
@@ -156,87 +218,26 @@ def product_heading(optional: Column) -> tuple[Column, Column]:
     return heading, F.when(under, 2).otherwise(1)
 
 
-def product_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
+def product_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     entries = product_blocks(product_rows(catalog, formats, cleaner))
     heading = product_heading(F.col("products_under_optional"))
     return _framed(entries, product_listing(catalog, formats), PRODUCTS_ORD, *heading)
 
 
-# records
-
-
-def _records(rows: DataFrame, kind: str, **columns: Column) -> DataFrame:
-    """The superset record; fields a kind does not have stay NULL."""
-    fields = []
-    for part in RECORD.split(", "):
-        name, type_name = part.split()
-        value = F.lit(kind) if name == "entity_type" else columns.get(name, F.lit(None))
-        fields.append(value.cast(type_name).alias(name))
-    order = F.col("position") if "position" in rows.columns else F.lit(0)
-    return rows.select(*fields, order.cast("long").alias("position"))
-
-
-def product_record_rows(rows: DataFrame) -> DataFrame:
-    name, short, body = trim_text(text(F.col("name"))), F.col("short"), F.col("body")
-    return _records(
-        rows, "product", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
-        sku=text(F.col("sku")), name=name, url=F.col("url"), price=F.coalesce("price", F.lit(0.0)),
-        currency=F.col("currency"), short_description=short, description=body,
-        embedding_text=embedding_text(name, short, body, limit=EMBEDDING_CAP),
-    )
-
-
-def category_record_rows(rows: DataFrame) -> DataFrame:
-    name = trim_text(F.col("name"))
-    return _records(
-        rows, "category", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
-        name=name, url=F.col("url"), description=F.col("body"),
-        embedding_text=embedding_text(name, F.col("body"), limit=EMBEDDING_CAP),
-    )
-
-
-def page_record_rows(rows: DataFrame) -> DataFrame:
-    title = trim_text(F.col("title"))
-    return _records(
-        rows, "cms_page", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
-        title=title, identifier=text(F.col("identifier")), url=F.col("url"), content=F.col("body"),
-        embedding_text=embedding_text(title, F.col("body"), limit=EMBEDDING_CAP),
-    )
+# records as columns
 
 
 def store_records(catalog: Catalog) -> DataFrame:
-    rows = _formatted_stores(catalog, (JSONL,))
-    return _records(
-        rows, "store", entity_id=F.col("store_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
-        url=F.col("plain_url"), currency=F.col("currency"), locale=F.col("locale"),
-        embedding_text=trim_text(F.concat_ws(" ", text(F.col("store_name")), F.col("plain_url"))),
-    )
+    return _formatted_stores(catalog, (JSONL,)).select(*_store_record())
 
 
 def product_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return product_record_rows(product_rows(catalog, (JSONL,), cleaner))
+    return product_rows(catalog, (JSONL,), cleaner).select(*_product_record())
 
 
 def category_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return category_record_rows(category_rows(catalog, (JSONL,), cleaner))
+    return category_rows(catalog, (JSONL,), cleaner).select(*_category_record())
 
 
 def page_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return page_record_rows(page_rows(catalog, (JSONL,), cleaner))
-
-
-def jsonl_line(records: DataFrame) -> Column:
-    """One JSON object per record; NULL fields are left out, invalid UTF-8 becomes U+FFFD."""
-    strings = {f.name for f in records.schema if f.dataType.simpleString() == "string"}
-    fields = [
-        (F.make_valid_utf8(F.col(c)) if c in strings else F.col(c)).alias(c)
-        for c in records.columns if c != "position"
-    ]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
-
-
-def record_blocks(records: DataFrame, section: int) -> DataFrame:
-    rows = records.withColumn("format", F.lit(JSONL))
-    return _blocks(rows, section, F.col("position"), F.col("entity_id"), F.lit(1),
-                   F.concat(jsonl_line(records), F.lit("\n"))).select(*BLOCK)
-
+    return page_rows(catalog, (JSONL,), cleaner).select(*_page_record())

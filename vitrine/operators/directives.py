@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,23 @@ from vitrine.spark_tools import MAX_BROADCAST_ROWS, bounded
 DIRECTIVE = r"(?s)\{\{.*?\}\}"
 
 
+@dataclass(frozen=True)
+class DirectiveValues:
+    """Values (store_id, token, value), and the same per store where the table was checked to be small."""
+
+    values: DataFrame
+    per_store: DataFrame | None
+
+    @classmethod
+    def of(cls, values: DataFrame) -> "DirectiveValues":
+        if values.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+            return cls(values, None)
+        per_store = _distinct_values(values).groupBy(F.col("store_id").alias("_of")).agg(
+            F.collect_list(F.struct("token", "value")).alias("_values")
+        )
+        return cls(values, bounded(per_store))
+
+
 def _distinct_values(values: DataFrame) -> DataFrame:
     return values.groupBy("store_id", "token").agg(F.max("value").alias("value"))
 
@@ -33,15 +51,6 @@ def _values_by_row(df: DataFrame, columns: Sequence[str], values: DataFrame, key
     return df.join(found, same, "left").drop("_key", "_of")
 
 
-def _values_by_store(df: DataFrame, values: DataFrame, store: str) -> DataFrame:
-    """Values of the row's store, from a table checked to be small."""
-    per_store = bounded(
-        _distinct_values(values).groupBy(F.col("store_id").alias("_of"))
-        .agg(F.collect_list(F.struct("token", "value")).alias("_values"))
-    )
-    return df.join(per_store, df[store] == per_store["_of"], "left").drop("_of")
-
-
 def _woven(column: str) -> Column:
     """The text split at its directives, with values between; a value is never searched again."""
 
@@ -56,16 +65,16 @@ def _woven(column: str) -> Column:
 
 
 def substitute_directives(
-    df: DataFrame, columns: Sequence[str], values: DataFrame, key: str = "entity_id", store: str = "store_id"
+    df: DataFrame, columns: Sequence[str], values: DirectiveValues, key: str = "entity_id", store: str = "store_id"
 ) -> DataFrame:
-    """``df`` with each directive in ``columns`` replaced by its value in ``values`` (store_id, token, value).
+    """``df`` with each directive in ``columns`` replaced by its value.
 
     A token without a value stays (the HTML stage drops it later), and so do all tokens of a row whose
     ``store`` is NULL. A small value table joins once per store; a larger one is looked up per token.
     (``key``, ``store``) names a row of ``df``.
     """
-    if values.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        joined = _values_by_store(df, values, store)
+    if values.per_store is not None:
+        joined = df.join(values.per_store, df[store] == values.per_store["_of"], "left").drop("_of")
     else:
-        joined = _values_by_row(df, columns, values, key, store)
+        joined = _values_by_row(df, columns, values.values, key, store)
     return joined.withColumns({c: _woven(c) for c in columns}).drop("_values")

@@ -19,12 +19,13 @@ from vitrine.constants import (
     PAGE_CAP,
     PRODUCT_CAP,
     PRODUCT_SHORT_CAP,
+    TEXT_FORMATS,
     VERBOSITY,
 )
 from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.text import is_blank, text, trim_text, truncate_words
 from vitrine.functions.urls import absolute_url
-from vitrine.operators.directives import substitute_directives
+from vitrine.operators.directives import DirectiveValues, substitute_directives
 from vitrine.operators.lookups import (
     breadcrumbs,
     canonical_paths,
@@ -35,6 +36,7 @@ from vitrine.operators.lookups import (
 )
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
+from vitrine.spark_tools import staged
 
 STORE_COLUMNS = ("store_id", "store_code", "store_name", "formats", "rule", "resolve_directives")
 
@@ -54,22 +56,34 @@ def _listing_stores(catalog: Catalog, include: str, formats: Sequence[str]) -> D
     )
 
 
+def listed_products(catalog: Catalog) -> DataFrame:
+    """(store, product) rows that may be emitted, before limit and price, for every format.
+
+    Narrow, and read by several branches (ranks, headings, rows of each format), so it is written once.
+    """
+    if "listed_products" not in catalog.cache:
+        stores = _listing_stores(catalog, "include_products", FORMATS).select(
+            *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
+            "product_limit", "exclude_out_of_stock",
+        )
+        listed = (
+            catalog.product_stores.join(stores, "store_id")
+            .join(catalog.scan_products("price"), "entity_id")
+            .join(canonical_paths(catalog, "product").drop("entity_type"), ["store_id", "entity_id"])
+        )
+        stocked = with_stock(catalog, listed).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
+        url = absolute_url(F.col("link_url"), F.col("request_path"))
+        rows = stocked.withColumn("url", url).drop("request_path", "link_url", "website_id", "exclude_out_of_stock")
+        catalog.cache["listed_products"] = staged(rows, "listed-products")
+    return catalog.cache["listed_products"]
+
+
 def product_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
-    """(store, product) rows that get emitted, without any text: filters, URL, stock, limit, price."""
-    stores = _listing_stores(catalog, "include_products", formats).select(
-        *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
-        "product_limit", "exclude_out_of_stock",
-    )
-    listed = (
-        catalog.product_stores.join(stores, "store_id")
-        .join(catalog.scan_products("price"), "entity_id")
-        .join(canonical_paths(catalog, "product").drop("entity_type"), ["store_id", "entity_id"])
-    )
-    stocked = with_stock(catalog, listed).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
-    priced = with_price(catalog, first_per_store(stocked, F.col("product_limit")))
-    return priced.withColumn("url", absolute_url(F.col("link_url"), F.col("request_path"))).drop(
-        "request_path", "link_url", "website_id", "customer_group_id", "product_limit", "exclude_out_of_stock"
-    )
+    """(store, product) rows that get emitted, without any text: limited per store and priced."""
+    wanted = F.array_intersect("formats", F.array(*map(F.lit, formats)))
+    listed = listed_products(catalog).withColumn("formats", wanted).where(F.size("formats") > 0)
+    priced = with_price(catalog, first_per_store(listed, F.col("product_limit")))
+    return priced.drop("customer_group_id", "product_limit")
 
 
 def category_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
@@ -124,31 +138,32 @@ def spread_clean(
     listing: DataFrame,
     primary: str,
     fallback: str,
-    caps: dict[str, int],
     formats: Sequence[str] = FORMATS,
-    both_in_records: bool = False,
+    caps: dict[str, int] | None = None,
+    short_cap: int | None = None,
+    fallback_in: Sequence[str] = TEXT_FORMATS,
+    both_in: Sequence[str] = (),
     cleaner: Cleaner | None = None,
 ) -> DataFrame:
-    """Rows per (format, store, entity) with ``body`` (and ``short`` where ``both_in_records``).
+    """Rows per (format, store, entity) with ``body`` and ``short``.
 
-    In text formats ``body`` is ``primary``, or ``fallback`` where that is blank. In records it is
-    ``primary`` alone; with ``both_in_records`` it is ``fallback``, and ``short`` holds ``primary``.
+    ``body`` is the cleaned ``primary``; in formats of ``fallback_in`` it is ``fallback`` where the primary
+    is blank. In formats of ``both_in``, ``body`` is ``fallback`` and ``short`` the primary.
+    ``entities`` may be a stream; everything aggregated here is on the listing side.
     """
     cleaner = cleaner or Cleaner()
-    with_records = JSONL in formats
+    both = [f for f in formats if f in both_in]
     per_entity = listing.groupBy("entity_id").agg(
         F.collect_list(F.struct(*[c for c in listing.columns if c != "entity_id"])).alias("_stores")
     )
-    keep_both = both_in_records and with_records
     rows = entities.join(per_entity, "entity_id").withColumns({
         "_use_fallback": is_blank(F.col(primary)),
         "_primary": text(F.col(primary)),
-        "_fallback": text(F.col(fallback)) if keep_both
-        else F.when(is_blank(F.col(primary)), text(F.col(fallback))),
+        "_fallback": text(F.col(fallback)) if both else F.when(is_blank(F.col(primary)), text(F.col(fallback))),
     }).drop(primary, fallback)
     columns = ["_primary", "_fallback"]
 
-    directives = catalog.directives
+    directives = directive_values(catalog)
     has_directive = F.lit(False)
     if directives is not None:
         rows = rows.withColumn(
@@ -166,16 +181,17 @@ def spread_clean(
         F.flatten(F.transform("_stores", lambda s: s["formats"])), F.array(*map(F.lit, formats))
     )
     rows = rows.withColumn("format", F.explode(offered))
-    in_records = F.col("format") == JSONL
-    shown = F.when(F.col("_use_fallback"), F.col("_fallback")).otherwise(F.col("_primary"))
-    record_body = F.col("_fallback") if keep_both else F.col("_primary")
+    with_both = F.col("format").isin(*both) if both else F.lit(False)
+    falls_back = F.col("format").isin(*fallback_in) & F.col("_use_fallback") if fallback_in else F.lit(False)
     rows = rows.withColumns({
-        "body": F.when(in_records, record_body).otherwise(shown),
-        "short": F.when(in_records & F.lit(keep_both), F.col("_primary")),
+        "body": F.when(with_both | falls_back, F.col("_fallback")).otherwise(F.col("_primary")),
+        "short": F.when(with_both, F.col("_primary")),
     }).drop(*columns)
     rows = cleaner.per_format(rows, ["body", "short"], F.col("_variant.rule"), _by_format(VERBOSITY))
-    rows = rows.withColumn("body", truncate_words(F.col("body"), _by_format(caps)))
-    rows = rows.withColumn("short", truncate_words(F.col("short"), PRODUCT_SHORT_CAP))
+    if caps:
+        rows = rows.withColumn("body", truncate_words(F.col("body"), _by_format(caps)))
+    if short_cap:
+        rows = rows.withColumn("short", truncate_words(F.col("short"), short_cap))
 
     here = F.filter(
         "_stores",
@@ -185,11 +201,19 @@ def spread_clean(
     return rows.select(*own, F.inline(here)).drop("formats", "rule", "resolve_directives")
 
 
+def directive_values(catalog: Catalog) -> DirectiveValues | None:
+    if catalog.directives is None:
+        return None
+    if "directives" not in catalog.cache:
+        catalog.cache["directives"] = DirectiveValues.of(catalog.directives)
+    return catalog.cache["directives"]
+
+
 def product_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     entities = catalog.scan_products("sku", "name", "short_description", "description")
     return spread_clean(
-        catalog, entities, product_listing(catalog, formats), "short_description", "description",
-        PRODUCT_CAP, formats, both_in_records=True, cleaner=cleaner,
+        catalog, entities, product_listing(catalog, formats), "short_description", "description", formats,
+        PRODUCT_CAP, PRODUCT_SHORT_CAP, both_in=(JSONL,), cleaner=cleaner,
     )
 
 
@@ -207,7 +231,7 @@ def category_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: C
         })
     return spread_clean(
         catalog, entities, category_listing(catalog, formats), "description", "meta_description",
-        CATEGORY_CAP, formats, cleaner=cleaner,
+        formats, CATEGORY_CAP, cleaner=cleaner,
     ).drop("short")
 
 
@@ -217,5 +241,5 @@ def page_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Clean
     ).withColumnRenamed("page_id", "entity_id")
     return spread_clean(
         catalog, entities, page_listing(catalog, formats), "content", "meta_description",
-        PAGE_CAP, formats, cleaner=cleaner,
+        formats, PAGE_CAP, cleaner=cleaner,
     ).drop("short")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from vitrine.constants import DEFAULT_SETTINGS
 from vitrine.functions.urls import url_path
 from vitrine.sources.catalog import Catalog
-from vitrine.spark_tools import local_rows
+from vitrine.schemas import TABLES
+from vitrine.spark_tools import local_rows, staged
 
 AS_OF = dt.datetime(1998, 6, 1)
 
@@ -85,38 +86,86 @@ def _language(website) -> F.Column:
     return lang
 
 
-def load(spark: SparkSession, sf_dir: str) -> Catalog:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    part = table("part")
-    stores = _stores(table("nation"), table("region"))
-    languages = stores.select("store_id", _language(F.col("website_id")).alias("lang"))
-    items = _items(part, table("documents"))
-    product_stores = items.select("entity_id", "lang").join(languages, "lang").select("entity_id", "store_id")
-    ids = _category_ids(part)
-    categories = _categories(part, ids)
-    web = table("pages").withColumn("lang", F.regexp_extract("html", '<html lang="([a-z-]*)"', 1))
-    page_stores = _page_stores(web, languages)
-    rewrites = _rewrites(stores, items, product_stores, categories, web, page_stores)
-    return Catalog(
-        stores=stores,
-        settings=local_rows(spark, SETTINGS, path=pa.string(), scope=pa.string(), scope_id=pa.int64(), value=pa.string()),
-        products=items.drop("p_size", "lang"),
-        product_stores=product_stores,
-        categories=categories.drop("p_type", "p_brand"),
-        category_products=_category_products(part, ids),
-        pages=_pages(web),
-        page_stores=page_stores,
-        rewrites=rewrites,
-        stock=_stock(table("lineitem"), table("supplier"), table("nation")),
-        prices=_prices(table("lineitem"), part),
-        countries=local_rows(spark, COUNTRIES, code=pa.string(), name=pa.string()),
-        directives=_directives(stores),
-        run_log=_run_log(table("events"), table("customer"), stores),
-        requests=_requests(rewrites, web, languages),
-        as_of=AS_OF,
-    )
+class DerivedCatalog(Catalog):
+    """Tables are built when first used. Narrow ones that take a join or an aggregate to derive are
+    written to the shared folder then, as several jobs read each of them; texts stay lazy."""
+
+    WRITTEN = ("categories", "category_products", "product_stores", "page_stores", "rewrites", "stock", "prices", "run_log")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._tables = spark, sf_dir, {}
+        self.as_of, self.cache = AS_OF, {}
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
+    def _raw(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+
+    def _web(self) -> DataFrame:
+        return self._raw("pages").withColumn("lang", F.regexp_extract("html", '<html lang="([a-z-]*)"', 1))
+
+    def _languages(self) -> DataFrame:
+        return self.stores.select("store_id", _language(F.col("website_id")).alias("lang"))
+
+    def _items(self) -> DataFrame:
+        return _items(self._raw("part"), self._raw("documents"))
+
+    def _build(self, name: str) -> DataFrame:
+        part, spark = self._raw("part"), self._spark
+        match name:
+            case "stores":
+                return _stores(self._raw("nation"), self._raw("region"))
+            case "settings":
+                return local_rows(spark, SETTINGS, path=pa.string(), scope=pa.string(), scope_id=pa.int64(), value=pa.string())
+            case "countries":
+                return local_rows(spark, COUNTRIES, code=pa.string(), name=pa.string())
+            case "products":
+                return self._items().drop("p_size", "lang")
+            case "product_stores":
+                return self._items().select("entity_id", "lang").join(self._languages(), "lang").select("entity_id", "store_id")
+            case "categories":
+                return _categories(_category_ids(part)).drop("p_type", "p_brand")
+            case "category_products":
+                return _category_products(part, _category_ids(part))
+            case "pages":
+                return _pages(self._raw("pages"))
+            case "page_stores":
+                return _page_stores(self._web(), self._languages())
+            case "rewrites":
+                shelves = _categories(_category_ids(part))
+                return _rewrites(self.stores, self._items(), self.product_stores, shelves, self._web(), self.page_stores)
+            case "stock":
+                return _stock(self._raw("lineitem"), self._raw("supplier"), self._raw("nation"))
+            case "prices":
+                return _prices(self._raw("lineitem"), part)
+            case "directives":
+                return _directives(self.stores)
+            case "run_log":
+                return _run_log(self._raw("events"), self._raw("customer"), self.stores)
+            case "requests":
+                return _requests(self.rewrites, self._web(), self._languages())
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            df = self._build(name)
+            self._tables[name] = staged(df, name) if name in self.WRITTEN else df
+        return self._tables[name]
+
+
+for _name in TABLES:
+    setattr(DerivedCatalog, _name, property(lambda self, name=_name: self.table(name)))
+
+_loaded: dict[tuple[str, str], DerivedCatalog] = {}
+
+
+def load(spark: SparkSession, sf_dir: str) -> DerivedCatalog:
+    """The catalog of one session and data folder; its written tables are shared by later calls."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        _loaded[key] = DerivedCatalog(spark, sf_dir)
+    return _loaded[key]
 
 
 def _stores(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -180,7 +229,7 @@ def _root(kind) -> F.Column:
     return F.when(kind.isin("PROMO", "STANDARD"), "3").otherwise("2")
 
 
-def _categories(part: DataFrame, ids: DataFrame) -> DataFrame:
+def _categories(ids: DataFrame) -> DataFrame:
     kind, brand = F.col("p_type"), F.col("p_brand")
     top = F.concat(F.lit("1/"), _root(kind), F.lit("/"), F.col("type_id").cast("string"))
     types = ids.groupBy("p_type", "type_id", "type_n").agg(F.count("*").alias("_")).select(
