@@ -83,7 +83,7 @@ def _record(kind: str, **columns: Column) -> list[Column]:
     return fields
 
 
-def _product_record() -> list[Column]:
+def product_record() -> list[Column]:
     name, short, body = trim_text(text(F.col("name"))), F.col("short"), F.col("body")
     return _record(
         "product", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
@@ -93,7 +93,7 @@ def _product_record() -> list[Column]:
     )
 
 
-def _category_record() -> list[Column]:
+def category_record() -> list[Column]:
     name, body = trim_text(F.col("name")), F.col("body")
     return _record(
         "category", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
@@ -101,7 +101,7 @@ def _category_record() -> list[Column]:
     )
 
 
-def _page_record() -> list[Column]:
+def page_record() -> list[Column]:
     title, body = trim_text(F.col("title")), F.col("body")
     return _record(
         "cms_page", entity_id=F.col("entity_id"), store_code=F.col("store_code"), store_name=text(F.col("store_name")),
@@ -110,7 +110,7 @@ def _page_record() -> list[Column]:
     )
 
 
-def _store_record() -> list[Column]:
+def store_record() -> list[Column]:
     name = text(F.col("store_name"))
     return _record(
         "store", entity_id=F.col("store_id"), store_code=F.col("store_code"), store_name=name, url=F.col("plain_url"),
@@ -144,7 +144,7 @@ def product_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Description: ", body),
         F.lit("\n"),
     )
-    return _blocks(rows, PRODUCTS_ORD, F.lit(0), F.col("entity_id"), F.lit(1), _either(_product_record(), content))
+    return _blocks(rows, PRODUCTS_ORD, F.lit(0), F.col("entity_id"), F.lit(1), _either(product_record(), content))
 
 
 def category_blocks(rows: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def category_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Description: ", body),
         F.lit("\n"),
     )
-    content = _either(_category_record(), content)
+    content = _either(category_record(), content)
     return _blocks(rows, CATEGORIES_ORD, F.col("position"), F.col("entity_id"), _items(6, 5), content)
 
 
@@ -169,7 +169,7 @@ def page_blocks(rows: DataFrame) -> DataFrame:
         _line_if(body != "", "Content: ", body),
         F.lit("\n"),
     )
-    content = _either(_page_record(), content)
+    content = _either(page_record(), content)
     return _blocks(rows, PAGES_ORD, F.col("position"), F.col("entity_id"), _items(4, 3), content)
 
 
@@ -188,7 +188,7 @@ def store_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: C
         _line("> ", F.col("summary")), F.lit("\n"),
     )
     items = F.when(F.col("format") == JSONL, 1).otherwise(5)
-    return _blocks(stores, STORE_ORD, F.lit(0), F.lit(0), items, _either(_store_record(), content))
+    return _blocks(stores, STORE_ORD, F.lit(0), F.lit(0), items, _either(store_record(), content))
 
 
 def sibling_section(catalog: Catalog, formats: Sequence[str] = TEXT_FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
@@ -228,16 +228,16 @@ def product_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner:
 
 
 def store_records(catalog: Catalog) -> DataFrame:
-    return _formatted_stores(catalog, (JSONL,)).select(*_store_record())
+    return _formatted_stores(catalog, (JSONL,)).select(*store_record())
 
 
 def product_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return product_rows(catalog, (JSONL,), cleaner).select(*_product_record())
+    return product_rows(catalog, (JSONL,), cleaner).select(*product_record())
 
 
 def category_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return category_rows(catalog, (JSONL,), cleaner).select(*_category_record())
+    return category_rows(catalog, (JSONL,), cleaner).select(*category_record())
 
 
 def page_records(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame:
-    return page_rows(catalog, (JSONL,), cleaner).select(*_page_record())
+    return page_rows(catalog, (JSONL,), cleaner).select(*page_record())

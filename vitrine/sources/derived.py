@@ -76,8 +76,6 @@ SETTINGS = [(path, "default", 0, value) for path, value in DEFAULT_SETTINGS.item
 MARKED_SOURCES = ("src3", "src7", "src11")
 DIRECTIVE_SOURCES = ("src5", "src15")
 
-_key = F.col("p_partkey")
-
 
 def _language(website) -> F.Column:
     lang = F.lit(None).cast("string")
@@ -199,9 +197,9 @@ def _items(part: DataFrame, documents: DataFrame) -> DataFrame:
         F.lit("<p>"), F.col("p_name"), F.lit(" &middot; "), F.col("p_brand"), F.lit("&trade;, size "),
         size.cast("string"), F.lit("</p>"),
     )
-    return part.join(documents, _key == documents["doc_id"], "full").select(
-        F.coalesce(_key, F.col("doc_id")).alias("entity_id"),
-        F.concat_ws("-", "p_brand", _key.cast("string")).alias("sku"),
+    return part.join(documents, part["p_partkey"] == documents["doc_id"], "full").select(
+        F.coalesce("p_partkey", "doc_id").alias("entity_id"),
+        F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string")).alias("sku"),
         F.col("p_name").alias("name"),
         F.col("p_retailprice").alias("price"),
         F.when(size > 25, short).when(size <= 5, "0").alias("short_description"),
@@ -331,7 +329,7 @@ def _prices(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.max("l_discount").alias("discount"), F.min("l_shipdate").alias("special_from"), F.max("l_shipdate").alias("special_to")
     )
     price = F.col("p_retailprice")
-    return sales.join(part.select("p_partkey", "p_retailprice"), sales["l_partkey"] == _key).select(
+    return sales.join(part.select("p_partkey", "p_retailprice"), sales["l_partkey"] == part["p_partkey"]).select(
         F.col("l_partkey").alias("product_id"), "group_id",
         (F.floor(price * (1 - F.col("discount")) * 100) / 100).alias("group_price"),
         (price * 0.9).alias("special_price"), "special_from", "special_to",
