@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from vitrine.constants import COMPACT, FORMATS, JSONL, TEXT_FORMATS
+from vitrine.constants import COMPACT, JSONL, TEXT_FORMATS
 from vitrine.functions import text as tx
 from vitrine.functions import urls, values
 from vitrine.functions.cleaning import Cleaner, clean_text, prune_step
@@ -46,10 +46,18 @@ def _text_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of the text documents, rendered once per catalog as several queries read them."""
     catalog = derived.load(spark, sf)
     if "text_blocks" not in catalog.cache:
-        catalog.cache["text_blocks"] = staged(Sections().blocks(catalog, TEXT_FORMATS), "text-blocks")
+        blocks_made = document.measured(Sections().blocks(catalog, TEXT_FORMATS))
+        catalog.cache["text_blocks"] = staged(blocks_made, "text-blocks")
     return catalog.cache["text_blocks"]
 
 
+def _record_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    catalog = derived.load(spark, sf)
+    if "record_blocks" not in catalog.cache:
+        catalog.cache["record_blocks"] = staged(Sections().blocks(catalog, (JSONL,)), "record-blocks")
+    return catalog.cache["record_blocks"]
+
+
 def _compact_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return _text_blocks(spark, sf).where(F.col("format") == COMPACT)
 
@@ -169,8 +177,7 @@ def _status_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines to lint: produced records per store, event properties per type, documents per language."""
-    catalog = derived.load(spark, sf)
-    made = Sections().blocks(catalog, (JSONL,)).select("store_code", F.rtrim("text", F.lit("\n")).alias("line"))
+    made = _record_blocks(spark, sf).select("store_code", F.rtrim("text", F.lit("\n")).alias("line"))
     props = _raw(spark, sf, "events").select(F.col("event_type").alias("store_code"), F.col("props").alias("line"))
     prose = _raw(spark, sf, "documents").select(F.col("lang").alias("store_code"), F.explode(F.split("text", "\n")).alias("line"))
     return made.unionByName(props).unionByName(prose)
@@ -217,7 +224,7 @@ def _written_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def _written_records(spark: SparkSession, sf: str) -> DataFrame:
     out = staging_path(spark, "written")
-    document.write_documents(Sections().blocks(derived.load(spark, sf), (JSONL,)), out)
+    document.write_documents(_record_blocks(spark, sf), out)
     lines = outputs.read_jsonl(spark, out).withColumn("entity_type", F.get_json_object("line", "$.entity_type"))
     return lines.groupBy("store_code", "entity_type").agg(
         F.count("*").alias("records"), F.sum(F.get_json_object("line", "$.entity_id").cast("long")).alias("id_sum")
@@ -255,7 +262,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_section": on_catalog(lambda c: blocks.category_section(c, TEXT_FORMATS)),
         "page_section": on_catalog(lambda c: blocks.page_section(c, TEXT_FORMATS)),
         "product_section": on_catalog(lambda c: blocks.product_section(c, TEXT_FORMATS)),
-        "document_blocks": _text_blocks,
+        "document_blocks": lambda spark, sf: _text_blocks(spark, sf).drop("text_bytes"),
         "written_documents": _written_documents,
         "written_records": _written_records,
         "document_sizes": lambda spark, sf: document.document_sizes(_text_blocks(spark, sf)),

@@ -23,6 +23,7 @@ from vitrine.constants import (
     VERBOSITY,
 )
 from vitrine.functions.cleaning import Cleaner
+from vitrine.functions.markup import MARKER
 from vitrine.functions.text import is_blank, text, trim_text, truncate_words
 from vitrine.functions.urls import absolute_url
 from vitrine.operators.directives import DirectiveValues, substitute_directives
@@ -122,12 +123,16 @@ def page_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFram
     ).drop("request_path", "link_url", "plain_url", "excluded_pages", "identifier")
 
 
-def _variants(has_directive: Column) -> Column:
-    """Which cleaned version a listed store uses: one per rule, or its own where directives get resolved."""
+def _variants(marked: Column, has_directive: Column) -> Column:
+    """Which cleaned version a listed store uses.
+
+    A text without marked elements reads the same under every rule, and one without directives the same
+    in every store; so most texts have one version, and it is cleaned once.
+    """
 
     def of(store: Column) -> Column:
         own = F.when(has_directive & store["resolve_directives"], store["store_id"])
-        return F.struct(store["rule"].alias("rule"), own.alias("store_id"))
+        return F.struct(F.when(marked, store["rule"]).alias("rule"), own.alias("store_id"))
 
     return of
 
@@ -164,18 +169,20 @@ def spread_clean(
     columns = ["_primary", "_fallback"]
 
     directives = directive_values(catalog)
-    has_directive = F.lit(False)
-    if directives is not None:
-        rows = rows.withColumn(
-            "_has", F.col("_primary").contains("{{") | F.coalesce(F.col("_fallback").contains("{{"), F.lit(False))
-        )
-        has_directive = F.col("_has")
-    variant_of = _variants(has_directive)
+
+    def either_contains(needle: str) -> Column:
+        return F.col("_primary").contains(needle) | F.coalesce(F.col("_fallback").contains(needle), F.lit(False))
+
+    rows = rows.withColumns({
+        "_marked": either_contains(MARKER), "_has": either_contains("{{") & F.lit(directives is not None)
+    })
+    variant_of = _variants(F.col("_marked"), F.col("_has"))
     rows = rows.withColumn("_variant", F.explode(F.array_distinct(F.transform("_stores", variant_of))))
     if directives is not None:
         rows = rows.withColumn("_store", F.col("_variant.store_id"))
         rows = substitute_directives(rows, columns, directives, store="_store")
-    rows = cleaner.shared(rows, columns, F.col("_variant.rule"))
+    rule = F.coalesce("_variant.rule", F.lit("preserve|"))
+    rows = cleaner.shared(rows, columns, rule)
 
     offered = F.array_intersect(
         F.flatten(F.transform("_stores", lambda s: s["formats"])), F.array(*map(F.lit, formats))
@@ -187,7 +194,7 @@ def spread_clean(
         "body": F.when(with_both | falls_back, F.col("_fallback")).otherwise(F.col("_primary")),
         "short": F.when(with_both, F.col("_primary")),
     }).drop(*columns)
-    rows = cleaner.per_format(rows, ["body", "short"], F.col("_variant.rule"), _by_format(VERBOSITY))
+    rows = cleaner.per_format(rows, ["body", "short"], rule, _by_format(VERBOSITY))
     if caps:
         rows = rows.withColumn("body", truncate_words(F.col("body"), _by_format(caps)))
     if short_cap:

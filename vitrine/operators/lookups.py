@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import trim_text
 from vitrine.functions.urls import absolute_url
-from vitrine.sources.catalog import Catalog
 from vitrine.operators.stores import store_context
-from vitrine.spark_tools import bounded
+from vitrine.sources.catalog import Catalog
 
-# Rows ranked together: entity ids of one store that share this many consecutive values.
-RANK_SPAN = 65_536
+# Rows ranked together: ids of one store that agree above this many low bits.
+RANK_BITS = 16
 
 
 def canonical_paths(catalog: Catalog, entity_type: str | None = None) -> DataFrame:
@@ -96,12 +95,12 @@ def first_per_store(listing: DataFrame, limit: Column) -> DataFrame:
     """The first ``limit`` rows of each store by ``entity_id``; a limit of 0 keeps all.
 
     A plain ``row_number`` per store would sort a whole store in one task. Here ids are cut into spans
-    of ``RANK_SPAN`` (at most that many rows each, as an entity is listed once per store); row counts
+    of ``2 ** RANK_BITS`` (at most that many rows each, as an entity is listed once per store); row counts
     per span give the rank at which a span starts, spans past the limit drop out, and rows are ranked
     inside their span only.
     """
     spanned = listing.withColumns({
-        "_span": F.floor(F.col("entity_id") / F.lit(RANK_SPAN)), "_limit": limit.cast("long")
+        "_span": F.shiftright("entity_id", RANK_BITS), "_limit": limit.cast("long")
     })
     before = F.coalesce(
         F.sum("_rows").over(W.partitionBy("store_id").orderBy("_span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)

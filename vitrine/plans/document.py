@@ -10,10 +10,16 @@ from vitrine.constants import CLOSING_POS, HEADING_POS
 ORDER = ("store_code", "section_ord", "position", "entity_id")
 
 
+def measured(blocks: DataFrame) -> DataFrame:
+    """Adds ``text_bytes``, so that sizes of written blocks are read without their text."""
+    return blocks.withColumn("text_bytes", F.octet_length("text"))
+
+
 def document_sizes(blocks: DataFrame) -> DataFrame:
     """Bytes and items of each document."""
-    return blocks.where(F.col("text") != "").groupBy("store_code", "format").agg(
-        F.sum(F.octet_length("text")).alias("byte_size"), F.sum("items").alias("item_count")
+    sized = blocks if "text_bytes" in blocks.columns else measured(blocks)
+    return sized.where(F.col("text_bytes") > 0).groupBy("store_code", "format").agg(
+        F.sum("text_bytes").alias("byte_size"), F.sum("items").alias("item_count")
     )
 
 
@@ -32,7 +38,8 @@ def write_documents(blocks: DataFrame, path: str, partitions: int | None = None)
 
     The blocks are range-partitioned on the full document order, so a very large store spreads over
     many tasks. Write one format per call: the partition column must not be a literal, or the writer
-    sorts again and loses the order inside a store.
+    sorts again and loses the order inside a store. Range partitioning samples its input first, so pass
+    blocks that were staged, not ones still to be rendered.
     """
     keys = [F.col(c) for c in ORDER]
     ranged = blocks.repartitionByRange(partitions, *keys) if partitions else blocks.repartitionByRange(*keys)
