@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,9 +64,10 @@ class Sections:
 
         return Sections([*self.sections, Section(name, order, tuple(formats), build)])
 
-    def blocks(self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
-        """All blocks of the given formats. A section that cannot be built is logged and left out."""
-        union = None
+    def parts(
+        self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
+    ) -> Iterator[tuple[str, DataFrame]]:
+        """(name, blocks) of each section in order. A section that cannot be built is logged and left out."""
         for section in self.sections:
             wanted = tuple(f for f in formats if f in section.formats)
             if not wanted:
@@ -75,5 +77,8 @@ class Sections:
             except Exception as error:
                 log.warning("section %s skipped: %s", section.name, error)
                 continue
-            union = part if union is None else union.unionByName(part)
-        return union
+            yield section.name, part
+
+    def blocks(self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
+        """All blocks of the given formats."""
+        return functools.reduce(DataFrame.unionByName, (part for _, part in self.parts(catalog, formats, cleaner)))
