@@ -32,8 +32,8 @@ from vitrine.operators.lookups import (
     canonical_paths,
     category_counts,
     first_per_store,
-    with_price,
-    with_stock,
+    pick_stock_and_price,
+    product_facts,
 )
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
@@ -58,7 +58,7 @@ def _listing_stores(catalog: Catalog, include: str, formats: Sequence[str]) -> D
 
 
 def listed_products(catalog: Catalog) -> DataFrame:
-    """(store, product) rows that may be emitted, before limit and price, for every format.
+    """(store, product) rows that may be emitted, with final price, before the limit and for every format.
 
     Narrow, and read by several branches (ranks, headings, rows of each format), so it is written once.
     """
@@ -67,24 +67,23 @@ def listed_products(catalog: Catalog) -> DataFrame:
             *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
             "product_limit", "exclude_out_of_stock",
         )
-        listed = (
-            catalog.product_stores.join(stores, "store_id")
-            .join(catalog.scan_products("price"), "entity_id")
-            .join(canonical_paths(catalog, "product").drop("entity_type"), ["store_id", "entity_id"])
+        sold = catalog.product_stores.join(stores, "store_id").join(product_facts(catalog), "entity_id")
+        stocked = pick_stock_and_price(catalog, sold).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
+        rows = stocked.drop("website_id", "customer_group_id", "exclude_out_of_stock").join(
+            canonical_paths(catalog, "product"), ["store_id", "entity_id"]
         )
-        stocked = with_stock(catalog, listed).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
         url = absolute_url(F.col("link_url"), F.col("request_path"))
-        rows = stocked.withColumn("url", url).drop("request_path", "link_url", "website_id", "exclude_out_of_stock")
-        catalog.cache["listed_products"] = staged(rows, "listed-products")
+        catalog.cache["listed_products"] = staged(
+            rows.withColumn("url", url).drop("request_path", "link_url"), "listed-products"
+        )
     return catalog.cache["listed_products"]
 
 
 def product_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
-    """(store, product) rows that get emitted, without any text: limited per store and priced."""
+    """(store, product) rows that get emitted, without any text: the first ones of each store up to its limit."""
     wanted = F.array_intersect("formats", F.array(*map(F.lit, formats)))
     listed = listed_products(catalog).withColumn("formats", wanted).where(F.size("formats") > 0)
-    priced = with_price(catalog, first_per_store(listed, F.col("product_limit")))
-    return priced.drop("customer_group_id", "product_limit")
+    return first_per_store(listed, F.col("product_limit")).drop("product_limit")
 
 
 def category_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
@@ -94,7 +93,7 @@ def category_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> Data
     named = catalog.scan_categories("name").where(trim_text(text(F.col("name"))) != "")
     return (
         named.select("entity_id", "root").join(stores, "root")
-        .join(canonical_paths(catalog, "category").drop("entity_type"), ["store_id", "entity_id"])
+        .join(canonical_paths(catalog, "category"), ["store_id", "entity_id"])
         .withColumn("url", absolute_url(F.col("link_url"), F.col("request_path")))
         .drop("request_path", "link_url", "root")
     )
@@ -115,7 +114,7 @@ def page_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFram
         .withColumnRenamed("page_id", "entity_id")
     )
     rewritten = shown.join(
-        canonical_paths(catalog, "cms-page").drop("entity_type"), ["store_id", "entity_id"], "left"
+        canonical_paths(catalog, "cms-page"), ["store_id", "entity_id"], "left"
     )
     plain = F.concat("plain_url", F.lit("/"), text(F.col("identifier")))
     return rewritten.withColumn(

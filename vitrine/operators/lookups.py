@@ -20,12 +20,11 @@ def canonical_paths(catalog: Catalog, entity_type: str | None = None) -> DataFra
 
     ``min_by`` combines before the shuffle, so an entity with very many rewrites stays one row per task.
     """
-    rewrites = catalog.scan_rewrites()
+    rewrites, keys = catalog.scan_rewrites(), ["store_id", "entity_type", "entity_id"]
     if entity_type is not None:
-        rewrites = rewrites.where(F.col("entity_type") == entity_type)
-    return rewrites.groupBy("store_id", "entity_type", "entity_id").agg(
-        F.min_by("request_path", "url_rewrite_id").alias("request_path")
-    )
+        # Grouped by the later join's keys alone, so that join needs no further shuffle.
+        rewrites, keys = rewrites.where(F.col("entity_type") == entity_type), ["store_id", "entity_id"]
+    return rewrites.groupBy(*keys).agg(F.min_by("request_path", "url_rewrite_id").alias("request_path"))
 
 
 def canonical_urls(catalog: Catalog) -> DataFrame:
@@ -67,6 +66,33 @@ def with_price(catalog: Catalog, listing: DataFrame) -> DataFrame:
     )
 
 
+def product_facts(catalog: Catalog) -> DataFrame:
+    """Shown products with their base price, and stock and price rows as short arrays (one entry per website
+    or customer group). A listing picks its own from them after a single join on the product, where joins on
+    (product, website) and (product, group) would shuffle it twice more."""
+    stock = catalog.scan_stock().groupBy(F.col("product_id").alias("entity_id")).agg(
+        F.collect_list(F.struct("website_id", "stock_status")).alias("_stock")
+    )
+    facts = catalog.scan_products("price").join(stock, "entity_id", "left")
+    if catalog.prices is None:
+        return facts.withColumn("_prices", F.lit(None))
+    tariffs = catalog.prices.groupBy(F.col("product_id").alias("entity_id")).agg(
+        F.collect_list(F.struct("group_id", "group_price", "special_price", "special_from", "special_to")).alias("_prices")
+    )
+    return facts.join(tariffs, "entity_id", "left")
+
+
+def pick_stock_and_price(catalog: Catalog, listing: DataFrame) -> DataFrame:
+    """Replaces the arrays of ``product_facts`` by ``in_stock`` and the final ``price`` of the listing's store."""
+    shelf = F.try_element_at(F.filter("_stock", lambda s: s["website_id"] == F.col("website_id")), F.lit(1))
+    picked = listing.withColumn("in_stock", F.coalesce(shelf["stock_status"] == 1, F.lit(True)))
+    if catalog.prices is not None:
+        own = F.try_element_at(F.filter("_prices", lambda p: p["group_id"] == F.col("customer_group_id")), F.lit(1))
+        parts = [F.col(f"_own.{c}") for c in ("group_price", "special_price", "special_from", "special_to")]
+        picked = picked.withColumn("_own", own).withColumn("price", final_price(F.col("price"), *parts, catalog.as_of))
+    return picked.drop("_stock", "_prices", "_own")
+
+
 def category_counts(catalog: Catalog) -> DataFrame:
     """Distinct products assigned to each category."""
     return catalog.category_products.groupBy("category_id").agg(F.count_distinct("product_id").alias("product_count"))

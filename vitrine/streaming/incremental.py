@@ -15,7 +15,6 @@ from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.text import trim_text
 from vitrine.operators.blocks import category_record, json_line, page_record, product_record
 from vitrine.operators.entities import category_listing, listed_products, page_listing, spread_clean
-from vitrine.operators.lookups import with_price
 from vitrine.sources.catalog import Catalog
 
 KINDS = ("product", "category", "page")
@@ -26,10 +25,10 @@ def stream_records(catalog: Catalog, kind: str, entities: DataFrame, cleaner: Cl
     settings = {"formats": (JSONL,), "cleaner": cleaner}
     if kind == "product":
         shown = entities.where((F.col("status") == STATUS_ENABLED) & F.col("visibility").isin(*VISIBLE))
-        listing = with_price(catalog, listed_products(catalog).where(F.array_contains("formats", JSONL)))
+        listing = listed_products(catalog).where(F.array_contains("formats", JSONL))
         rows = spread_clean(
             catalog, shown.select("entity_id", "sku", "name", "short_description", "description"),
-            listing.drop("customer_group_id", "product_limit"), "short_description", "description",
+            listing.drop("product_limit"), "short_description", "description",
             caps=PRODUCT_CAP, short_cap=PRODUCT_SHORT_CAP, both_in=(JSONL,), **settings,
         )
         record = product_record()
