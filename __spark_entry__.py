@@ -17,7 +17,7 @@ from vitrine.operators.directives import substitute_directives
 from vitrine.plans import document, report
 from vitrine.plans.sections import Sections
 from vitrine.sources import derived, outputs
-from vitrine.spark_tools import staged, staging_path
+from vitrine.spark_tools import staging_path
 from vitrine.streaming.incremental import stream_records, write_stream
 
 SF = "/root/testdata/sf0.001"
@@ -46,15 +46,14 @@ def _text_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of the text documents, rendered once per catalog as several queries read them."""
     catalog = derived.load(spark, sf)
     if "text_blocks" not in catalog.cache:
-        blocks_made = document.measured(Sections().blocks(catalog, TEXT_FORMATS))
-        catalog.cache["text_blocks"] = staged(blocks_made, "text-blocks")
+        catalog.cache["text_blocks"] = Sections().staged_blocks(catalog, TEXT_FORMATS)
     return catalog.cache["text_blocks"]
 
 
 def _record_blocks(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
     if "record_blocks" not in catalog.cache:
-        catalog.cache["record_blocks"] = staged(Sections().blocks(catalog, (JSONL,)), "record-blocks")
+        catalog.cache["record_blocks"] = Sections().staged_blocks(catalog, (JSONL,))
     return catalog.cache["record_blocks"]
 
 

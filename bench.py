@@ -13,7 +13,6 @@ from vitrine.constants import COMPACT, FORMATS, JSONL, TEXT_FORMATS
 from vitrine.functions.cleaning import clean_text
 from vitrine.operators import blocks, entities, lookups, mirror
 from vitrine.plans import report
-from vitrine.plans.document import measured
 from vitrine.plans.export import run_export
 from vitrine.plans.sections import Sections
 from vitrine.sources import derived
@@ -82,7 +81,7 @@ def main() -> None:
     timed("category_section", lambda: blocks.category_section(shared, TEXT_FORMATS))
     timed("canonical_urls", lambda: lookups.canonical_urls(shared))
     timed("top_products", lambda: entities.product_listing(shared))
-    timed("all_blocks", lambda: measured(Sections().blocks(shared, FORMATS)))
+    timed("all_blocks", lambda: Sections().staged_blocks(shared, FORMATS))
     timed("mirror_render", lambda: mirror.mirror_render(shared))
     raw = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     timed("clean_pages", lambda: clean_text(raw.select("page_id", F.col("html").alias("text")), "text"))

@@ -5,13 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.shop import small_shop
-from vitrine.constants import COMPACT, FULL
+from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators import blocks, entities, lookups, mirror, stores
 from vitrine.operators import directives as directive_ops
 from vitrine.operators.directives import DirectiveValues, substitute_directives
 from vitrine.plans.document import document_sizes, section_counts, small_documents
 from vitrine.plans.sections import Sections
-from vitrine.spark_tools import bounded, staged
+from vitrine.spark_tools import bounded
 
 
 def rows(df, *columns):
@@ -21,7 +21,7 @@ def rows(df, *columns):
 @pytest.fixture(scope="module")
 def made(shop):
     """Blocks of every format, written once."""
-    return staged(Sections().blocks(shop), "test-blocks")
+    return Sections().staged_blocks(shop)
 
 
 @pytest.fixture(scope="module")

@@ -6,11 +6,12 @@ from tests.shop import small_shop
 from tests.test_catalog import COMPACT_DOCUMENT
 from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators.blocks import store_section
-from vitrine.plans.document import ORDER, write_documents
+from vitrine.plans.document import ORDER, small_documents, write_documents
 from vitrine.plans.export import published, run_export, run_history
 from vitrine.plans.report import contract_check, lint_jsonl, lint_markdown, lint_report, run_totals
 from vitrine.plans.sections import Sections
 from vitrine.sources.outputs import read_jsonl, read_lines, read_status
+from vitrine.sources.catalog import Catalog
 from vitrine.streaming.incremental import stream_records, write_stream
 
 
@@ -109,3 +110,16 @@ def test_stream_of_pages_and_categories(spark, shop, tmp_path):
         table.write.parquet(source)
         write_stream(stream_records(shop, kind, spark.readStream.schema(table.schema).parquet(source)), out, state).awaitTermination()
         assert spark.read.text(out).count() == expected
+
+
+def test_catalog_from_files_without_optional_tables(spark, shop, tmp_path):
+    for name, df in shop.tables().items():
+        if name not in ("prices", "countries", "directives", "requests", "run_log"):
+            df.write.parquet(str(tmp_path / name))
+    catalog = Catalog.from_parquet(spark, str(tmp_path))
+    assert catalog.prices is None and catalog.scan_stores("de").count() == 1
+    sections = Sections([s for s in Sections().sections if s.name in ("store", "products")])
+    text = {r["store_code"]: r["document"] for r in small_documents(sections.blocks(catalog, (COMPACT,))).collect()}["default"]
+    assert "> Country: US\n" in text
+    assert "Price: 10.00 USD" in text and "Price: 20.50 USD" in text
+    assert "Description: See and end\n" in text

@@ -105,7 +105,7 @@ def page_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFram
         *STORE_COLUMNS, "link_url", "plain_url", "excluded_pages",
         F.explode(F.array("store_id", F.lit(0).cast("long"))).alias("link_store"),
     )
-    links = catalog.page_stores.withColumnRenamed("store_id", "link_store").distinct()
+    links = catalog.page_stores.withColumnRenamed("store_id", "link_store")
     pages = catalog.scan_pages("identifier")
     shown = (
         links.join(stores, "link_store").drop("link_store").join(pages, "page_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +130,15 @@ def store_context(catalog: Catalog) -> DataFrame:
     return catalog.cache["context"]
 
 
+def restricted(catalog: Catalog, code: str) -> Catalog:
+    """The same catalog with one store to produce for; the others stay as siblings."""
+    context = store_context(catalog)
+    mine = F.when(F.col("store_code") == code, F.col("formats")).otherwise(F.array().cast("array<string>"))
+    other = copy.copy(catalog)
+    other.cache = {"context": bounded(context.withColumn("formats", mine))}
+    return other
+
+
 def eligibility_plan(catalog: Catalog, formats=FORMATS, code: str | None = None) -> DataFrame:
     """What to do per store and format: generate, or delete what an earlier run left; nothing when switched off."""
     stores = store_context(catalog).where("globally_enabled")

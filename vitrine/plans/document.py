@@ -10,14 +10,10 @@ from vitrine.constants import CLOSING_POS, HEADING_POS
 ORDER = ("store_code", "section_ord", "position", "entity_id")
 
 
-def measured(blocks: DataFrame) -> DataFrame:
-    """Adds ``text_bytes``, so that sizes of written blocks are read without their text."""
-    return blocks.withColumn("text_bytes", F.octet_length("text"))
-
-
 def document_sizes(blocks: DataFrame) -> DataFrame:
-    """Bytes and items of each document."""
-    sized = blocks if "text_bytes" in blocks.columns else measured(blocks)
+    """Bytes and items of each document; of staged blocks the text is not read for it."""
+    size = F.col("text_bytes") if "text_bytes" in blocks.columns else F.octet_length("text")
+    sized = blocks.select("store_code", "format", "items", size.alias("text_bytes"))
     return sized.where(F.col("text_bytes") > 0).groupBy("store_code", "format").agg(
         F.sum("text_bytes").alias("byte_size"), F.sum("items").alias("item_count")
     )

@@ -22,8 +22,9 @@ from vitrine.constants import (
 from vitrine.functions.cleaning import Cleaner
 from vitrine.operators import blocks as b
 from vitrine.operators.stores import store_context
-from vitrine.schemas import BLOCK
+from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
+from vitrine.spark_tools import staging_path
 
 log = logging.getLogger(__name__)
 
@@ -82,3 +83,22 @@ class Sections:
     def blocks(self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
         """All blocks of the given formats."""
         return functools.reduce(DataFrame.unionByName, (part for _, part in self.parts(catalog, formats, cleaner)))
+
+    def staged_blocks(
+        self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
+    ) -> DataFrame:
+        """All blocks with their sizes, each section written by a job of its own and read back.
+
+        A section that fails commits nothing, is logged, and the others go on without it. Separate jobs
+        also keep each plan small, where one union of all sections is planned again after every stage.
+        """
+        spark = catalog.spark
+        folder = staging_path(spark, "blocks")
+        written = []
+        for name, part in self.parts(catalog, formats, cleaner):
+            try:
+                part.withColumn("text_bytes", F.octet_length("text")).write.parquet(f"{folder}/{name}")
+                written.append(f"{folder}/{name}")
+            except Exception as error:
+                log.warning("section %s failed: %s", name, error)
+        return spark.read.schema(STAGED_BLOCK).parquet(*written) if written else spark.createDataFrame([], STAGED_BLOCK)

@@ -39,3 +39,8 @@ RECORD_TYPES = ("store", "category", "product", "cms_page")
 
 # One piece of a document. Rows sort by (section_ord, position, entity_id); items counts its chunks.
 BLOCK = ("format", "store_code", "section_ord", "position", "entity_id", "items", "text")
+# The same as written by ``Sections.staged_blocks``, with the size of the text.
+STAGED_BLOCK = (
+    "format string, store_code string, section_ord int, position long, entity_id long, items int, text string, "
+    "text_bytes int"
+)

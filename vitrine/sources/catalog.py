@@ -49,7 +49,6 @@ class Catalog:
             reader = spark.read.schema(ddl)
             try:
                 tables[name] = reader.parquet(f"{path.rstrip('/')}/{name}")
-                tables[name].schema
             except AnalysisException:
                 if name not in OPTIONAL_TABLES:
                     raise
