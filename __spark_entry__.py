@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -246,12 +248,20 @@ def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select(F.from_json("value", RECORD).alias("r")).select(*[f"r.{c}" for c in PRODUCT_FIELDS])
 
 
+def _dealt(part: str) -> dict:
+    """Queries or SQL of the training-data operators, where that subpackage is there."""
+    if importlib.util.find_spec("vitrine.llm") is None:
+        return {}
+    module = importlib.import_module("vitrine.llm.queries" if part == "QUERIES" else "vitrine.llm.oracles")
+    return dict(getattr(module, part))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each runs over the whole tables under ``sf_dir``."""
     def on_catalog(fn):
         return lambda spark, sf: fn(derived.load(spark, sf))
 
-    return {
+    return _dealt("QUERIES") | {
         "product_records": on_catalog(lambda c: blocks.product_records(c).select(*PRODUCT_FIELDS)),
         "category_records": on_catalog(lambda c: blocks.category_records(c).select(*CATEGORY_FIELDS)),
         "page_records": on_catalog(lambda c: blocks.page_records(c).select(*PAGE_FIELDS)),
@@ -306,4 +316,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    return oracles.statements() | _dealt("ORACLES")
