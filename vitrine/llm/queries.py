@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, licenses, quality
+from vitrine.llm import chats, decontaminate, licenses, mixing, quality, secrets, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,10 +16,27 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    return chats.format_chats(table(spark, sf, "conversations"))
+
+
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.secrets_report(secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))).drop("text")
+
+
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents").select("doc_id", "source", "text")).drop("source")
 
 
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf, "pages").select("page_id", "url"))
+
+
+def op8_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    mix = mixing.mix(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontaminate.scan_benchmark(docs, table(spark, sf, "benchmark"))
@@ -31,6 +48,10 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_chat_format": op3_chat_format,
+    "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
+    "op7_url_filter": op7_url_filter,
+    "op8_mix_sources": op8_mix_sources,
     "op10_decontaminate": op10_decontaminate,
 }
