@@ -89,12 +89,10 @@ def _random_part(body: Column) -> Column:
 
 
 def _entropy(text: Column, base: Column) -> Column:
-    allowed = [lambda s, p=p: s["body"].rlike(p) for p in ALLOW]
-
     def suspicious(s):
         out = F.lit(True)
-        for rule in allowed:
-            out = out & ~rule(s)
+        for pattern in ALLOW:
+            out = out & ~s["body"].rlike(pattern)
         return out
 
     rated = F.transform(F.filter(_located(text, CANDIDATE, 3), suspicious), lambda s: F.struct(s["start"].alias("start"), _random_part(s["body"]).alias("part")))
@@ -154,5 +152,9 @@ def mask_secrets(docs: DataFrame, text: str = "text", mask: str = "<SECRET>") ->
 def secrets_report(found: DataFrame) -> DataFrame:
     """Counts, digest of the pattern spans, and all spans, from `find_secrets`."""
     base = F.filter("secret_spans", lambda s: s["kind"] < 3)
-    counts = {f"n_{k}": F.size(F.filter("secret_spans", lambda s, i=i: s["kind"] == i)).cast("long") for i, k in enumerate(KINDS[:3])}
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = {f"n_{name}": count(kind) for kind, name in enumerate(KINDS[:3])}
     return found.withColumns(counts | {"base_sha256": F.sha2(spans_text(base), 256), "spans": spans_text(F.col("secret_spans"))}).drop("secret_spans")
