@@ -58,4 +58,28 @@ SELECT *, NOT base_failed AND n_words - n_boilerplate >= {quality.MIN_WORDS}
           AND n_words - n_boilerplate >= n_words * {quality.MIN_LEFT_SHARE} kept FROM f
 """
 
-ORACLES = {"op5_quality_rules": OP5, "op10_decontaminate": OP10}
+OP9 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () r, doc_id, regexp_extract_all({folded("coalesce(text, '')")}, {SPACED}) ws FROM documents),
+g AS (SELECT DISTINCT r, array_to_string(ws[i:i+n-1], ' ') g
+      FROM (SELECT r, ws, least(len(ws), 3) n, unnest(range(1, len(ws) - least(len(ws), 3) + 2)) i FROM d WHERE len(ws) > 0)),
+s AS (SELECT r, count(*) n FROM g GROUP BY r),
+l AS (SELECT p.a, p.b FROM (SELECT x.r a, y.r b, count(*) c FROM g x JOIN g y ON x.g = y.g AND x.r <> y.r GROUP BY ALL) p
+      JOIN s t ON t.r = p.a JOIN s u ON u.r = p.b WHERE 100 * c >= 90 * (t.n + u.n - c)),
+reach(r, o) AS (SELECT r, r FROM d UNION SELECT reach.r, l.b FROM reach JOIN l ON reach.o = l.a)
+SELECT d.doc_id, any_value(coalesce(s.n, 0)) n_shingles, min(e.doc_id) component_id
+FROM d LEFT JOIN s USING (r) JOIN reach USING (r) JOIN d e ON e.r = reach.o GROUP BY d.r, d.doc_id
+"""
+
+OP3 = """
+WITH c AS (SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) ts
+           FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL) GROUP BY 1),
+k AS (SELECT conv_id, list_transform(ts, lambda t: {'role': t.role, 'text': t.text}) ks, ts FROM c),
+h AS (SELECT ks, min(conv_id) conv_id, count(*) n_copies FROM k GROUP BY ks),
+p AS (SELECT DISTINCT ks[1:n] ks FROM (SELECT ks, unnest(range(1, len(ks))) n FROM k))
+SELECT conv_id, CAST(len(ks) AS BIGINT) n_turns, n_copies,
+       array_to_string(list_transform(ks, lambda t: '<|' || coalesce(t.role, 'user') || '|>' || chr(10) || coalesce(t.text, '') || chr(10)
+                                                     || '<|end|>' || chr(10)), '') rendered
+FROM h ANTI JOIN p USING (ks)
+"""
+
+ORACLES = {"op3_chat_format": OP3, "op5_quality_rules": OP5, "op9_jaccard_join": OP9, "op10_decontaminate": OP10}

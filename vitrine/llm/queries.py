@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import chats, decontaminate, licenses, mixing, quality, secrets, urls
+from vitrine.llm import chats, decontaminate, licenses, mixing, near_dups, quality, secret_scan, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,7 +21,7 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return secrets.secrets_report(secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))).drop("text")
+    return secret_scan.secrets_report(secret_scan.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))).drop("text")
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf, "documents"), n=3, p=90, q=100)
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontaminate.scan_benchmark(docs, table(spark, sf, "benchmark"))
@@ -53,5 +57,6 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op8_mix_sources": op8_mix_sources,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
