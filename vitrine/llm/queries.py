@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import chats, decontaminate, licenses, mixing, near_dups, quality, secret_scan, urls
+from vitrine.llm import chats, decontaminate, licenses, mixing, near_dups, quality, secret_scan, substrings, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents").select("doc_id", "source", "text")).drop("source")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages").select("page_id", "url"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_mix_sources": op8_mix_sources,
     "op9_jaccard_join": op9_jaccard_join,
