@@ -143,7 +143,11 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
 
 def mixed_blocks(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: one row per copy of a document or of its first words, with the columns of ``docs``, ``taken`` words,
-    ``shard``, and the random ``place`` by which rows of a shard are ordered."""
+    ``shard``, and the random ``place`` by which rows of a shard are ordered.
+
+    Columns of ``docs`` with these names are replaced; the cut words are joined by single spaces.
+    """
+    docs = docs.drop("taken", "shard", "place")
     held = [f"_c{i}" for i in range(len(docs.columns))]
     names = dict(zip(docs.columns, held))
     drawn = mix(docs.toDF(*held), names[text], names[options.pop("source", "source")], keep_text=True, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import chats, decontaminate, licenses, mixing, near_dups, quality, secret_scan, substrings, urls
+from vitrine.llm import chats, decontaminate, languages, licenses, mixing, near_dups, quality, secret_scan, substrings, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    model = languages.train(docs.where(languages.fold(F.col("doc_id")) != 2))
+    found = languages.identify(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(languages.fold(F.col("doc_id")) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("lang_spans").cast("long").alias("n_spans"))
+
+
 def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chats.format_chats(table(spark, sf, "conversations"))
 
@@ -56,6 +64,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_language_id": op2_language_id,
     "op3_chat_format": op3_chat_format,
     "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
