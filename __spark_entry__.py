@@ -249,11 +249,14 @@ def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dealt(part: str) -> dict:
-    """Queries or SQL of the training-data operators, where that subpackage is there."""
-    if importlib.util.find_spec("vitrine.llm") is None:
-        return {}
-    module = importlib.import_module("vitrine.llm.queries" if part == "QUERIES" else "vitrine.llm.oracles")
-    return dict(getattr(module, part))
+    """Queries or SQL of the training-data operators and their pipeline, where these are there."""
+    found = {}
+    if importlib.util.find_spec("vitrine.llm") is not None:
+        found |= getattr(importlib.import_module(f"vitrine.llm.{part}"), part.upper())
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        pipeline = importlib.import_module("corpus_pipeline")
+        found |= {"pipeline": pipeline.run} if part == "queries" else {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
+    return found
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -261,7 +264,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_catalog(fn):
         return lambda spark, sf: fn(derived.load(spark, sf))
 
-    return _dealt("QUERIES") | {
+    return _dealt("queries") | {
         "product_records": on_catalog(lambda c: blocks.product_records(c).select(*PRODUCT_FIELDS)),
         "category_records": on_catalog(lambda c: blocks.category_records(c).select(*CATEGORY_FIELDS)),
         "page_records": on_catalog(lambda c: blocks.page_records(c).select(*PAGE_FIELDS)),
@@ -316,4 +319,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements() | _dealt("ORACLES")
+    return oracles.statements() | _dealt("oracles")
