@@ -116,7 +116,6 @@ class Words:
         found = [self._piece(texts.data, a, b, bounds, kind, table) for a, b in self._pieces(texts.data, bounds, kind)]
         self.starts, self.ends, self.hash = (np.concatenate(x) for x in zip(*found))
         self.first = np.searchsorted(self.starts, bounds)
-        self.first[-1] = len(self.starts)
         self.counts = np.diff(self.first)
         self.rows = np.repeat(np.arange(hi - lo), self.counts)
 
@@ -130,8 +129,9 @@ class Words:
         while True:
             b = min(a + BLOCK_BYTES, end)
             while b < end and kind[data[b - 1]]:
-                rest = np.flatnonzero(~kind[data[b : b + 4096]])
-                b = b + int(rest[0]) + 1 if len(rest) else min(b + 4096, end)
+                ahead = data[b : min(b + 4096, end)]
+                rest = np.flatnonzero(~kind[ahead])
+                b += int(rest[0]) + 1 if len(rest) else len(ahead)
             yield a, b
             if b >= end:
                 return
