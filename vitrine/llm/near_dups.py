@@ -244,14 +244,14 @@ def _classes(sets: DataFrame, docs: DataFrame, n: int, p: int, q: int, text: str
     classes = classes.join(found.withColumnRenamed("node", "_key"), "_key", "left").withColumn("comp", F.coalesce("comp", "_key"))
     classes = staged(classes, "near-classes")
     ids = staged(classes.groupBy("comp").agg(F.min("least").alias("component_id")), "near-ids")
-    return staged(classes.join(ids, "comp").select("_key", "component_id"), "near-class-ids")
+    return staged(classes.join(ids, "comp").select("_key", "comp", "component_id"), "near-class-ids")
 
 
 def _with_components(sets: DataFrame, docs: DataFrame, n: int, p: int, q: int, text: str) -> DataFrame:
     narrow = sets.select("_doc", "n_shingles", "_key")
     some = narrow.where(F.col("n_shingles") > 0).join(_classes(sets, docs, n, p, q, text), "_key")
-    none = narrow.where(F.col("n_shingles") == 0).withColumn("component_id", F.col("_doc"))
-    return some.select("_doc", "n_shingles", "component_id", "_key").unionByName(none)
+    none = narrow.where(F.col("n_shingles") == 0).withColumns({"component_id": F.col("_doc"), "comp": F.lit(None).cast("binary")})
+    return some.unionByName(none)
 
 
 def keep_one_each(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,8 +262,8 @@ def keep_one_each(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100, doc_id
     marked = _with_components(_sets(rows, n, p, q, id_col, body), rows, n, p, q, body)
     chosen = marked.where((F.col("n_shingles") > 0) & F.col("_doc").eqNullSafe(F.col("component_id")))
     # Of one component's rows with the smallest id, possibly several and of different sets, one set is chosen.
-    chosen = chosen.groupBy("component_id").agg(F.min("_key").alias("_key"))
-    chosen = staged(chosen.select(F.col("component_id").alias("_doc"), "_key"), "near-chosen")
+    chosen = chosen.groupBy("comp").agg(F.min("_key").alias("_key"), F.min("_doc").alias("_doc"))
+    chosen = staged(chosen.select("_doc", "_key"), "near-chosen")
 
     def make(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
         found = list(shingle_sets(texts, lo, hi, n))

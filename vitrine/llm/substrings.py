@@ -153,7 +153,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = THRESHOLD)
 
     widen = widen.select("key", "at", F.col("near").alias("low"), F.col("far").alias("high"), F.col("copies").alias("times"), F.col("open").alias("asked"))
     widen = staged(widen, "sub-widen")
-    last = around.select("key", "at", "near", "far", "body").join(widen, ["key", "at"])
+    # A position of a text read in pieces may stand for two ranges of starts.
+    inside = (F.col("low") >= F.col("near")) & (F.col("high") <= F.col("far"))
+    last = around.select("key", "at", "near", "far", "body").join(widen, ["key", "at"]).where(inside)
     single = last.mapInArrow(_singles(length), "key binary, at int, near short, copies long, open boolean, whole binary")
     single = staged(single, "sub-single")
     twice = staged(single.groupBy("whole").agg(F.sum("copies").alias("n")).where("n > 1").select("whole"), "sub-twice")
