@@ -20,7 +20,7 @@ from vitrine.plans import document, report
 from vitrine.plans.sections import Sections
 from vitrine.sources import derived, outputs
 from vitrine.spark_tools import staging_path
-from vitrine.streaming.incremental import stream_records, write_stream
+from vitrine.streaming.incremental import current_records, stream_records, write_stream
 
 SF = "/root/testdata/sf0.001"
 PRODUCT_FIELDS = (
@@ -75,13 +75,16 @@ def _top_products(spark: SparkSession, sf: str) -> DataFrame:
 def _group_prices(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
     pairs = catalog.prices.select(F.col("product_id").alias("entity_id"), F.col("group_id").alias("customer_group_id"))
-    return lookups.with_price(catalog, pairs.join(catalog.products.select("entity_id", "price"), "entity_id"))
+    shelf = lookups.product_shelf(catalog, catalog.products.select("entity_id", "price"))
+    priced = lookups.apply_tariff(catalog, lookups.pick_tariff(catalog, pairs.join(shelf, "entity_id")))
+    return priced.drop("_stock")
 
 
 def _stock(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
     listed = catalog.product_stores.join(catalog.stores.select("store_id", "website_id"), "store_id")
-    return lookups.with_stock(catalog, listed).select("store_id", "entity_id", "in_stock")
+    shelf = lookups.product_shelf(catalog, catalog.product_stores.select("entity_id").distinct())
+    return lookups.pick_stock(listed.join(shelf, "entity_id")).select("store_id", "entity_id", "in_stock")
 
 
 def _clean_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +144,7 @@ def _prune(spark: SparkSession, sf: str) -> DataFrame:
 
 def _directives(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
-    texts = catalog.products.where(F.col("description").contains("{{")).select("entity_id", "description")
+    texts = catalog.products.select("entity_id", "description")
     rows = texts.join(catalog.product_stores, "entity_id")
     return substitute_directives(rows, ["description"], entities.directive_values(catalog))
 
@@ -196,7 +199,7 @@ def _lint_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lint_report(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
-    records = blocks.store_section(catalog, (JSONL,)).select("store_code", F.col("text").alias("line"))
+    records = _record_blocks(spark, sf).select("store_code", F.rtrim("text", F.lit("\n")).alias("line"))
     active = catalog.scan_stores().where("is_active")
     markdown = report.lint_markdown(outputs.block_lines(_compact_blocks(spark, sf)))
     return report.lint_report(active, markdown, report.lint_jsonl(records))
@@ -244,8 +247,7 @@ def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
     write_stream(stream_records(catalog, "product", source), out, staging_path(spark, "stream-state")).awaitTermination()
     from vitrine.schemas import RECORD
 
-    lines = spark.read.schema("value string, store_code string").text(out)
-    return lines.select(F.from_json("value", RECORD).alias("r")).select(*[f"r.{c}" for c in PRODUCT_FIELDS])
+    return current_records(spark, out).select(F.from_json("value", RECORD).alias("r")).select(*[f"r.{c}" for c in PRODUCT_FIELDS])
 
 
 def _dealt(part: str) -> dict:

@@ -576,7 +576,7 @@ def statements() -> dict[str, str]:
         ),
         "substitute_directives": """
             SELECT entity_id, store_id, replace(description, '{{store url="' || store.lang || '"}}', '<a href="/">' || store_name || ' home</a>') AS description
-            FROM item JOIN item_store USING (entity_id) JOIN store USING (store_id) WHERE contains(description, '{{')""",
+            FROM item JOIN item_store USING (entity_id) JOIN store USING (store_id)""",
         "route_class": r"""
             SELECT path, CASE WHEN regexp_matches(path, '(^|/)llms(-full)?\.(txt|jsonl)/*$') THEN 'document'
                               WHEN regexp_matches(path, '\.md/*$') THEN 'mirror' END AS route

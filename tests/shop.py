@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -105,3 +106,11 @@ def small_shop(spark, overrides=(), **tables) -> Catalog:
     rows["settings"] = settings + OVERRIDES + list(overrides)
     frames = {name: local_frame(spark, rows[name], ddl) for name, ddl in TABLES.items()}
     return Catalog(**frames, as_of=AS_OF)
+
+
+def small_documents(blocks):
+    """Whole documents as single strings."""
+    joined = F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("section_ord", "position", "entity_id", "text"))), lambda s: s["text"]
+    ), "")
+    return blocks.groupBy("store_code", "format").agg(joined.alias("document"))

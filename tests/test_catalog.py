@@ -1,17 +1,16 @@
+import dataclasses
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.shop import small_shop
+from tests.shop import small_documents, small_shop
 from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators import blocks, entities, lookups, mirror, stores
-from vitrine.operators import directives as directive_ops
-from vitrine.operators.directives import DirectiveValues, substitute_directives
-from vitrine.plans.document import document_sizes, section_counts, small_documents
+from vitrine.operators.directives import substitute_directives, values_per_store
+from vitrine.plans.document import document_sizes, section_counts
 from vitrine.plans.sections import Sections
-from vitrine.spark_tools import bounded
 
 
 def rows(df, *columns):
@@ -198,7 +197,7 @@ def test_one_url_per_entity(shop):
 
 def test_final_price(shop):
     base = shop.products.select("entity_id", "price").withColumn("customer_group_id", F.lit(0).cast("long"))
-    prices = dict(rows(lookups.with_price(shop, base), "entity_id", "price"))
+    prices = dict(rows(lookups.apply_tariff(shop, lookups.pick_tariff(shop, lookups.product_shelf(shop, base))), "entity_id", "price"))
     assert prices[10] == 9.0  # the special price is over
     assert prices[11] == 15.25  # open-ended special price, no group price
     assert prices[15] == 5.0
@@ -233,25 +232,28 @@ def test_ranks_match_a_plain_sort(spark, monkeypatch, limits):
     assert kept == sorted(expected)
 
 
-@pytest.mark.parametrize("rows_allowed", [10_000, 1])
-def test_directives(spark, monkeypatch, rows_allowed):
-    monkeypatch.setattr(directive_ops, "MAX_BROADCAST_ROWS", rows_allowed)
+def test_directives(spark):
     texts = [
         (1, 1, "a {{x}} b {{y}} c {{x}}", "{{x}}"), (1, 2, "a {{x}}", "plain"), (2, None, "{{x}}", "{{y}}"), (3, 1, "none", None),
     ]
-    values = [(1, "{{x}}", "{{y}}!"), (1, "{{y}}", "Y"), (2, "{{x}}", "2")]
+    values = [(1, "{{x}}", "{{y}}!"), (1, "{{x}}", "{{a}}"), (1, "{{y}}", "Y"), (2, "{{x}}", "2")]
     df = spark.createDataFrame(texts, "entity_id long, store_id long, a string, b string")
-    table = DirectiveValues.of(spark.createDataFrame(values, "store_id long, token string, value string"))
-    assert (table.per_store is None) == (rows_allowed == 1)
+    table = values_per_store(spark.createDataFrame(values, "store_id long, token string, value string"))
     done = substitute_directives(df, ["a", "b"], table).collect()
     assert {(r[0], r[1], r[2], r[3]) for r in map(lambda r: (r["entity_id"], r["store_id"], r["a"], r["b"]), done)} == {
         (1, 1, "a {{y}}! b Y c {{y}}!", "{{y}}!"), (1, 2, "a 2", "plain"), (2, None, "{{x}}", "{{y}}"), (3, 1, "none", None)}
 
 
-def test_bounded_leaves_large_tables_alone(spark):
-    assert bounded(spark.range(10), 10).count() == 10
-    large = spark.range(11)
-    assert bounded(large, 10) is large
+def test_markup_that_a_directive_brings_is_pruned(spark, shop):
+    value = '<div data-content-type="products">CAROUSEL</div> KEEP'
+    shop = dataclasses.replace(
+        shop, cache={}, products=shop.products.withColumn("description", F.lit("See {{block}}")).withColumn("short_description", F.lit("")),
+        directives=spark.createDataFrame([(1, "{{block}}", value)], "store_id long, token string, value string"),
+        settings=shop.settings.where("path not like 'sanitizer/%'").union(spark.createDataFrame(
+            [("sanitizer/resolve_directives", "default", 0, "1"), ("sanitizer/page_builder_strategy", "default", 0, "exclude")], shop.settings.schema)),
+    )
+    bodies = {r["body"] for r in entities.product_rows(shop, (COMPACT,)).where("store_id = 1").collect()}
+    assert bodies == {"See KEEP"}
 
 
 def test_registered_and_failing_sections(shop):
@@ -265,7 +267,10 @@ def test_registered_and_failing_sections(shop):
 
     few = Sections([s for s in Sections().sections if s.name in ("store", "siblings")])
     sections = few.register_section("news", 15, (COMPACT,), news).register_section("broken", 16, (COMPACT,), broken)
-    found = {r["store_code"]: r["document"] for r in small_documents(sections.blocks(shop, (COMPACT,))).collect()}
+    rendered, failures = sections.isolated_blocks(shop, (COMPACT,))
+    assert {(f.store_code, f.format) for f in failures} == {("de", COMPACT), ("default", COMPACT)} | {
+        (f.store_code, f.format) for f in failures} and all("section broken" in f.error_message for f in failures)
+    found = {r["store_code"]: r["document"] for r in small_documents(rendered).collect()}
     assert "> Fine shoes\n\n## News\n## Other Available Stores" in found["default"]
     assert "off" not in found
 

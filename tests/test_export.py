@@ -1,18 +1,20 @@
+import dataclasses
 import json
 
 from pyspark.sql import functions as F
 
-from tests.shop import small_shop
+from tests.shop import small_documents, small_shop
 from tests.test_catalog import COMPACT_DOCUMENT
 from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators.blocks import store_section
-from vitrine.plans.document import ORDER, small_documents, write_documents
-from vitrine.plans.export import published, run_export, run_history
+from vitrine.plans.document import ORDER, write_documents
+from vitrine.plans.export import manifest, published, retire, run_export, run_history
 from vitrine.plans.report import contract_check, lint_jsonl, lint_markdown, lint_report, run_totals
 from vitrine.plans.sections import Sections
 from vitrine.sources.outputs import read_jsonl, read_lines, read_status
 from vitrine.sources.catalog import Catalog
-from vitrine.streaming.incremental import stream_records, write_stream
+from vitrine.spark_tools import shared_dir, subfolders
+from vitrine.streaming.incremental import current_records, stream_records, write_stream
 
 
 def document(folder, fmt, store):
@@ -40,8 +42,9 @@ def test_files_hold_the_documents(spark, shop, tmp_path):
     assert {r["rule"]: r["records"] for r in contract_check(records).collect()} == {"valid": records.count()}
     done = {r["store_code"]: r for r in lint_report(shop.scan_stores().where("is_active"), lint, lint_jsonl(records)).collect()}
     assert done["default"]["has_text"] and done["default"]["has_records"] and not done["default"]["failed"]
-    totals = {r["format"]: r for r in run_totals(spark.createDataFrame(list(report.values()), "store_code string, format string, "
-        "file_name string, outcome string, byte_size long, item_count long, error_message string")).collect()}
+    joined = "".join(open(p.removeprefix("file:"), encoding="utf8").read() for p in report["default", COMPACT]["parts"])
+    assert joined == COMPACT_DOCUMENT and report["off", COMPACT]["parts"] is None
+    totals = {r["format"]: r for r in run_totals(manifest(spark, str(tmp_path), 1)).collect()}
     assert (totals[JSONL]["generated"], totals[JSONL]["skipped"], totals[JSONL]["has_failures"]) == (3, 1, False)
     assert totals[JSONL]["total_items"] == records.count()
 
@@ -61,15 +64,43 @@ def test_order_survives_many_parts(spark, tmp_path):
     assert len(list((tmp_path / "out" / "store_code=big").glob("part-*"))) > 1
 
 
-def test_a_failing_section_is_left_out(spark, shop, tmp_path):
+def test_a_failing_section_fails_its_documents(spark, shop, tmp_path):
     def broken(catalog, formats, cleaner):
         rows = store_section(catalog, formats)
-        return rows.withColumn("text", F.raise_error(F.lit("broken at run time")).cast("string"))
+        text = F.when((F.col("store_code") == "de") & (F.length("text") > 0), F.raise_error(F.lit("broken at run time"))).otherwise(F.lit("ok\n"))
+        return rows.withColumn("text", text.cast("string"))
 
+    run_export(shop, str(tmp_path), run_id=1)
     sections = Sections().register_section("broken", 12, (COMPACT,), broken)
-    report = run_export(shop, str(tmp_path), formats=(COMPACT,), sections=sections, run_id=1).collect()
-    assert {r["outcome"] for r in report} == {"generated", "skipped"}
-    assert document(tmp_path / "documents" / "run=1", COMPACT, "default") == COMPACT_DOCUMENT
+    report = {(r["store_code"], r["format"]): r for r in run_export(shop, str(tmp_path), sections=sections, run_id=2).collect()}
+    assert report["de", COMPACT]["outcome"] == "failed" and report["de", COMPACT]["error_message"].startswith("section broken: ")
+    assert report["de", JSONL]["outcome"] == "generated" and report["default", COMPACT]["outcome"] == "generated"
+    assert not document(tmp_path / "documents" / "run=2", COMPACT, "de")
+    current = {(r["store_code"], r["format"]): r["run_id"] for r in published(spark, str(tmp_path)).collect()}
+    assert current["de", COMPACT] == 1 and current["default", COMPACT] == 2
+    retire(spark, str(tmp_path))
+    assert document(tmp_path / "documents" / "run=1", COMPACT, "de") and not document(tmp_path / "documents" / "run=1", COMPACT, "default")
+
+
+def test_a_price_of_any_size_loses_no_section(spark, shop, tmp_path):
+    dear = dataclasses.replace(shop, products=shop.products.withColumn("price", F.lit(1e16)), cache={})
+    report = {(r["store_code"], r["format"]): r for r in run_export(dear, str(tmp_path), formats=(COMPACT,), run_id=1).collect()}
+    assert report["default", COMPACT]["outcome"] == "generated"
+    assert "### " in document(tmp_path / "documents" / "run=1", COMPACT, "default").partition("## Products")[2]
+
+
+def test_runs_see_new_rows_and_leave_nothing_staged(spark, shop, tmp_path):
+    shop.products.where("entity_id <= 10").write.parquet(str(tmp_path / "products"))
+    source = spark.read.schema(shop.products.schema).parquet(str(tmp_path / "products"))
+    growing = dataclasses.replace(shop, products=source, cache={})
+    staged_before = set(subfolders(spark, shared_dir(spark)))
+    first = {r["store_code"]: r["item_count"] for r in run_export(growing, str(tmp_path / "out"), formats=(JSONL,), run_id=1).collect()}
+    shop.products.where("entity_id > 10").write.mode("append").parquet(str(tmp_path / "products"))
+    source = spark.read.schema(shop.products.schema).parquet(str(tmp_path / "products"))
+    growing.products = source
+    second = {r["store_code"]: r["item_count"] for r in run_export(growing, str(tmp_path / "out"), formats=(JSONL,), run_id=2).collect()}
+    assert second["default"] > first["default"]
+    assert set(subfolders(spark, shared_dir(spark))) == staged_before
 
 
 def test_published_follows_skips_and_failures(spark, shop, tmp_path):
@@ -94,8 +125,7 @@ def test_stream_takes_only_new_files(spark, shop, tmp_path):
     stream = lambda: stream_records(shop, "product", spark.readStream.schema(shop.products.schema).parquet(source))
 
     def ids():
-        lines = spark.read.schema("value string, store_code string").text(out)
-        return sorted((r["store_code"], json.loads(r["value"])["entity_id"]) for r in lines.collect())
+        return sorted((r["store_code"], json.loads(r["value"])["entity_id"]) for r in current_records(spark, out).collect())
 
     write_stream(stream(), out, state).awaitTermination()
     assert ids() == [("de", 10), ("default", 10), ("default", 11)]
@@ -104,12 +134,24 @@ def test_stream_takes_only_new_files(spark, shop, tmp_path):
     assert ids() == [("de", 10), ("default", 10), ("default", 11), ("default", 14), ("default", 16)]
 
 
+def test_stream_takes_new_and_changed_products(spark, shop, tmp_path):
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    empty = dataclasses.replace(shop, products=shop.products.where("false"), cache={})
+    stream = lambda: stream_records(empty, "product", spark.readStream.schema(shop.products.schema).parquet(source))
+    shop.products.where("entity_id = 10").write.parquet(source)
+    write_stream(stream(), out, state).awaitTermination()
+    shop.products.where("entity_id = 10").withColumns({"name": F.lit("Renamed"), "price": F.lit(3.0)}).write.mode("append").parquet(source)
+    write_stream(stream(), out, state).awaitTermination()
+    found = {r["store_code"]: json.loads(r["value"]) for r in current_records(spark, out).collect()}
+    assert {s: (r["name"], r["price"]) for s, r in found.items()} == {"de": ("Renamed", 3.0), "default": ("Renamed", 3.0)}
+
+
 def test_stream_of_pages_and_categories(spark, shop, tmp_path):
     for kind, table, expected in (("page", shop.pages, 4), ("category", shop.categories, 4)):
         source, out, state = (str(tmp_path / kind / d) for d in ("in", "out", "state"))
         table.write.parquet(source)
         write_stream(stream_records(shop, kind, spark.readStream.schema(table.schema).parquet(source)), out, state).awaitTermination()
-        assert spark.read.text(out).count() == expected
+        assert current_records(spark, out).count() == expected
 
 
 def test_catalog_from_files_without_optional_tables(spark, shop, tmp_path):

@@ -1,5 +1,6 @@
 """Every registered query against its reference SQL, over the smallest test tables."""
 
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -11,6 +12,8 @@ import __spark_entry__ as driver
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
+# The training-data queries have their own tests, some of them without SQL.
+QUERIES = {name: fn for name, fn in driver.queries().items() if not re.match(r"op\d+_|pipeline$", name)}
 SQL = driver.oracle_sql()
 
 
@@ -27,12 +30,12 @@ def _plain(value):
 
 
 def test_every_query_has_reference_sql():
-    assert set(driver.queries()) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    df = driver.queries()[name](spark, str(DATA))
+    df = QUERIES[name](spark, str(DATA))
     columns = sorted(df.columns)
     found = duck.execute(SQL[name])
     order = [d[0] for d in found.description]

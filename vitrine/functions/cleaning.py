@@ -10,9 +10,11 @@ per output format (see ``shared_stages`` / ``format_stages``).
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,31 +26,45 @@ log = logging.getLogger(__name__)
 
 Step = Callable[[Column], Column]
 
-# fixed values: named entities replaced natively; every other one goes to the Arrow step
-COMMON_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©",
-    "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&amp;": "&",  # last: what it spells must not be decoded again
-}
-_RARE_ENTITY = (
-    "&(?!(?:" + "|".join(e[1:-1] for e in COMMON_ENTITIES) + ");)"
-    "(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
-)
-
 # fixed values: tags that read as a space
 _BLOCK_TAG = (
     r"(?i)</?(?:p|div|span|br|li|ul|ol|h[1-6]|blockquote|section|article|header|footer|tr|td|th)[^>]*>"
 )
+# fixed values: elements dropped with their bodies, and the ends of paragraphs
 _STYLE = r"(?is)<style[^>]*>.*?</style>"
 _SCRIPT = r"(?is)<script[^>]*>.*?</script>"
 _PARAGRAPH_END = r"(?i)</(?:p|div|li|h[1-6]|blockquote|section|article|tr)\s*>|<br\s*/?>"
 
-# A tag is '<' and no space, up to '>' outside quotes; tags may nest; the end of text closes all.
+# A tag is '<' and no space, up to '>' outside quotes; the end of text closes all.
 _INSIDE = r"""[^<>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|<(?=[ \t\n\x0B\f\r])"""
-_TAG = rf"<(?![ \t\n\x0B\f\r])(?:{_INSIDE})*+(?:>|\z)"
-for _ in range(2):
-    _TAG = rf"<(?![ \t\n\x0B\f\r])(?:{_INSIDE}|{_TAG})*+(?:>|\z)"
-_STRIP = rf"(?s)<!(?=--).*?(?:-->|\z)|<\?.*?(?:\?>|\z)|{_TAG}"
+_STRIP = rf"(?s)<!(?=--).*?(?:-->|\z)|<\?.*?(?:\?>|\z)|<(?![ \t\n\x0B\f\r])(?:{_INSIDE})*+(?:>|\z)"
+# A '<' inside a tag, or what may be one: such texts are read token by token, to any depth.
+_NESTED = r"<(?![ \t\n\x0B\f\r])[^<>]*+<(?![ \t\n\x0B\f\r])"
+_MARKS = r"""(?s)<!-->|<!--|-->|<\?|\?>|<[ \t\n\x0B\f\r]|[<>"']|[^<>"'?-]+|."""
+
+
+def _strip_nested(col: Column) -> Column:
+    """What lies outside tags, comments and processing instructions; tags may nest."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit("").alias("until"), F.array().cast("array<string>").alias("out"))
+
+    def read(acc: Column, t: Column) -> Column:
+        depth, quote, until = acc["depth"], acc["quote"], acc["until"]
+        plain, top = (until == "") & (quote == ""), depth == 0
+        opens, closes = t.isin("<", "<!--", "<?"), t.isin(">", "-->", "?>")
+        whole = plain & top & t.isin("<!--", "<?")
+        deeper = F.when(plain & opens & ~whole, depth + 1).when(plain & closes & ~top, depth - 1).otherwise(depth)
+        quoted = F.when((until != "") | top, "").when(quote != "", F.when(t == quote, "").otherwise(quote)).when(t.isin('"', "'"), t).otherwise("")
+        ends = F.when(until != "", F.when(t == until, "").otherwise(until)).when(whole, F.when(t == "<?", "?>").otherwise("-->")).otherwise("")
+        shown = plain & top & ~opens & (t != "<!-->")
+        return F.struct(deeper.alias("depth"), quoted.alias("quote"), ends.alias("until"),
+                        F.when(shown, F.array_append(acc["out"], t)).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(F.regexp_extract_all(col, F.lit(_MARKS), F.lit(0)), start, read, lambda acc: F.array_join(acc["out"], ""))
+
+
+def _strip_tags(col: Column) -> Column:
+    plain = F.when(col.contains("<"), F.regexp_replace(col, _STRIP, "")).otherwise(col)
+    return F.when(col.contains("<") & col.rlike(_NESTED), _strip_nested(col)).otherwise(plain)
 
 
 def _if_contains(needles: Sequence[str], *patterns: tuple[str, str]) -> Step:
@@ -66,17 +82,37 @@ def _if_contains(needles: Sequence[str], *patterns: tuple[str, str]) -> Step:
     return step
 
 
-def _common_entities(col: Column) -> Column:
-    for entity, char in COMMON_ENTITIES.items():
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+# The names of the HTML standard, as Python's library has them.
+_ENTITY = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+# One string, so that a plan holds one constant and not thousands.
+_NAMED = json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
+
+
+def _allowed_point(code: Column) -> Column:
+    """Code points that a numeric entity may stand for."""
+    low = (code >= 0x20) | code.isin(0x09, 0x0A, 0x0C)
+    high = (code >= 0xA0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF) & ~code.between(0xFDD0, 0xFDEF)
+    return F.when(code < 0x7F, low).otherwise(high & (code.bitwiseAND(0xFFFE) != 0xFFFE))
+
+
+def _entity(token: Column) -> Column:
+    """What an entity stands for, else itself."""
+    hexadecimal = F.regexp_extract(token, "^&#[xX]0*([0-9A-Fa-f]{1,8});$", 1)
+    decimal = F.regexp_extract(token, "^&#0*([0-9]{1,8});$", 1)
+    code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("long")
+    char = F.when(_allowed_point(code), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), token)
+    return F.coalesce(F.when(token.startswith("&#"), char).otherwise(named), token)
 
 
 def _decode(col: Column) -> Column:
-    rare = markup.decode_rare(F.when(col.contains("&") & col.rlike(_RARE_ENTITY), col))
-    return F.coalesce(rare, F.when(col.contains("&"), _common_entities(col)).otherwise(col))
+    """One pass over entities that end in ';'; what a replacement spells is not decoded again."""
+    gaps, found = F.split(col, _ENTITY, -1), F.transform(F.regexp_extract_all(col, F.lit(_ENTITY), F.lit(0)), _entity)
+    woven = F.array_join(F.zip_with(gaps, found, lambda gap, char: F.concat(gap, F.coalesce(char, F.lit("")))), "")
+    return F.when(col.contains("&") & col.rlike(_ENTITY), woven).otherwise(col)
 
 
+# fixed values: leftovers of the page editor
 def _tidy(col: Column) -> Column:
     return F.replace(F.replace(col, F.lit("#html-body"), F.lit("")), F.lit("&nbsp;"), F.lit(" "))
 
@@ -89,17 +125,17 @@ def html_steps(mode: str = "code") -> list[Step]:
     """
     brackets = _if_contains(["{{", "["], (r"(?s)\{\{.*?\}\}", " "), (r"(?s)\[.*?\]", " "))
     if mode == "code":
-        tags = _if_contains(["<"], (_STYLE, " "), (_BLOCK_TAG, " "), (_STRIP, ""))
-        return [_decode, tags, brackets, lambda c: trim_text(collapse_ascii(_tidy(c)))]
+        tags = _if_contains(["<"], (_STYLE, " "), (_BLOCK_TAG, " "))
+        return [_decode, tags, _strip_tags, brackets, lambda c: trim_text(collapse_ascii(_tidy(c)))]
     tags = _if_contains(
-        ["<"], (_STYLE, " "), (_SCRIPT, " "), (_PARAGRAPH_END, "\n"), (_BLOCK_TAG, " "), (_STRIP, "")
+        ["<"], (_STYLE, " "), (_SCRIPT, " "), (_PARAGRAPH_END, "\n"), (_BLOCK_TAG, " ")
     )
 
     def lines(col: Column) -> Column:
         blanks = F.regexp_replace(_tidy(col), r"[\h\x0B\f\r]+", " ")
         return trim_text(F.regexp_replace(blanks, r" ?\n ?", "\n"))
 
-    return [_decode, tags, brackets, lines]
+    return [_decode, tags, _strip_tags, brackets, lines]
 
 
 def prune_step(rule: Column) -> Step:

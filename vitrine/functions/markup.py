@@ -1,14 +1,12 @@
-"""The two text steps that built-in expressions cannot state, as Arrow-batched Pandas UDFs.
+"""The one text step that built-in expressions cannot state, as an Arrow-batched Pandas UDF.
 
-Callers mask the input to NULL where a row does not need the step, so only the rows that do ship
-their text to Python; ``decode_rare`` sees texts with an uncommon entity, ``prune`` marked-up texts.
+Callers mask the input to NULL where a row does not need it, so only marked-up texts travel to Python.
 """
 
 from __future__ import annotations
 
 import re
 import sys
-from html.entities import html5
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -17,42 +15,9 @@ from pyspark.sql.types import StringType
 
 from vitrine.constants import DEFAULT_ALLOWED, DEFAULT_EXCLUDED
 
-ENTITY = re.compile(r"&(?:#([0-9]+)|#[xX]([0-9A-Fa-f]+)|([A-Za-z][A-Za-z0-9]*));")
 MARKER = "data-content-type="
 
 
-def _allowed_in_html5(code: int) -> bool:
-    if code < 0x7F:
-        return code >= 0x20 or code in (0x09, 0x0A, 0x0C)
-    return (
-        0xA0 <= code <= 0x10FFFF
-        and not 0xD800 <= code <= 0xDFFF
-        and not 0xFDD0 <= code <= 0xFDEF
-        and code & 0xFFFE != 0xFFFE
-    )
-
-
-def _decode_one(match: re.Match) -> str:
-    decimal, hexadecimal, name = match.groups()
-    if name:
-        return html5.get(name + ";", match.group())
-    digits, base = (decimal, 10) if decimal else (hexadecimal, 16)
-    if len(digits.lstrip("0")) > 8:
-        return match.group()
-    code = int(digits, base)
-    return chr(code) if _allowed_in_html5(code) else match.group()
-
-
-def decode_entities(value: str) -> str:
-    """One pass over entities that end in ';'; what a replacement spells is not decoded again."""
-    return ENTITY.sub(_decode_one, value)
-
-
-@F.pandas_udf(StringType())
-def decode_rare(texts: pd.Series) -> pd.Series:
-    return texts.map(decode_entities, na_action="ignore")
-
-
 # fixed values: HTML elements without content, and those an equal sibling closes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SELF_CLOSING_SIBLINGS = frozenset("p li dt dd option tr td th".split())
@@ -156,5 +121,5 @@ def prune(texts: pd.Series, rules: pd.Series) -> pd.Series:
     return pd.Series([_prune_or_keep(t, r, droppers) for t, r in zip(texts, rules)], dtype=object)
 
 
-# The two functions travel whole, so executors need no copy of this package.
+# The function travels whole, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

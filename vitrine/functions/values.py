@@ -14,8 +14,10 @@ def flag(col: Column) -> Column:
 
 
 def leading_int(col: Column) -> Column:
-    """The integer a string starts with, else 0."""
-    return F.coalesce(F.regexp_extract(col, r"^\s*([+-]?\d{1,18})", 1).try_cast("long"), F.lit(0))
+    """The integer a string starts with, else 0; one out of range reads as the nearest in range."""
+    digits = F.regexp_extract(col, r"^\s*([+-]?\d+)", 1)
+    beyond = F.when(digits.startswith("-"), -(1 << 63)).when(digits != "", (1 << 63) - 1)
+    return F.coalesce(digits.try_cast("long"), beyond, F.lit(0))
 
 
 def parse_list(col: Column) -> Column:
@@ -24,8 +26,9 @@ def parse_list(col: Column) -> Column:
 
 
 def format_price(col: Column) -> Column:
-    """Two decimals, a point, no thousands mark."""
-    return F.round(col, 2).cast("decimal(18,2)").cast("string")
+    """Two decimals, a point, no thousands mark; any size of number."""
+    # Adding 0.0 turns -0.0 into 0.0.
+    return F.call_function("format_number", F.round(col, 2) + 0.0, F.lit("0.00"))
 
 
 def format_bytes(col: Column) -> Column:

@@ -27,9 +27,9 @@ from vitrine.functions.values import format_price
 from vitrine.operators.entities import (
     category_listing,
     category_rows,
+    listed_products,
     page_listing,
     page_rows,
-    product_listing,
     product_rows,
 )
 from vitrine.operators.stores import sibling_stores, store_context, store_summary, with_country
@@ -60,9 +60,10 @@ def _framed(entities: DataFrame, listing: DataFrame, section: int, heading: Colu
     """
     marks = ["store_code", "formats", *(c for c in listing.columns if c == "products_under_optional")]
     some = listing.select(*marks).distinct().withColumn("format", F.explode("formats")).where(F.col("format") != JSONL)
-    top = _blocks(some, section, F.lit(HEADING_POS), F.lit(0), heading_items, heading)
-    end = _blocks(some, section, F.lit(CLOSING_POS), F.lit(0), F.lit(1), F.lit("\n"))
-    return entities.unionByName(top).unionByName(end)
+    top = F.struct(F.lit(HEADING_POS).alias("position"), heading_items.cast("int").alias("items"), heading.alias("text"))
+    end = F.struct(F.lit(CLOSING_POS).alias("position"), F.lit(1).alias("items"), F.lit("\n").alias("text"))
+    marked = some.select("format", "store_code", F.inline(F.array(top, end)))
+    return entities.unionByName(_blocks(marked, section, F.col("position"), F.lit(0), F.col("items"), F.col("text")))
 
 
 def _formatted_stores(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
@@ -221,7 +222,9 @@ def product_heading(optional: Column) -> tuple[Column, Column]:
 def product_section(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
     entries = product_blocks(product_rows(catalog, formats, cleaner))
     heading = product_heading(F.col("products_under_optional"))
-    return _framed(entries, product_listing(catalog, formats), PRODUCTS_ORD, *heading)
+    # A limit keeps at least one product, so the rows before it tell which stores list any.
+    offered = F.array_intersect("formats", F.array(*map(F.lit, formats)))
+    return _framed(entries, listed_products(catalog).withColumn("formats", offered), PRODUCTS_ORD, *heading)
 
 
 # records as columns

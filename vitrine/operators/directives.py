@@ -3,60 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.spark_tools import MAX_BROADCAST_ROWS, bounded
-
 DIRECTIVE = r"(?s)\{\{.*?\}\}"
 
 
-@dataclass(frozen=True)
-class DirectiveValues:
-    """Values (store_id, token, value), and the same per store where the table was checked to be small."""
-
-    values: DataFrame
-    per_store: DataFrame | None
-
-    @classmethod
-    def of(cls, values: DataFrame) -> "DirectiveValues":
-        if values.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
-            return cls(values, None)
-        per_store = _distinct_values(values).groupBy(F.col("store_id").alias("_of")).agg(
-            F.collect_list(F.struct("token", "value")).alias("_values")
-        )
-        return cls(values, bounded(per_store))
-
+def values_per_store(values: DataFrame) -> DataFrame:
+    """(``_of``, ``_values``): the values (store_id, token, value) of each store in one row; of repeated tokens the largest value counts.
 
-def _distinct_values(values: DataFrame) -> DataFrame:
-    return values.groupBy("store_id", "token").agg(F.max("value").alias("value"))
+    A store's values are its settings, few next to its texts; the join with texts needs no aggregate on their side, so
+    the same way serves tables and streams.
+    """
+    distinct = values.groupBy("store_id", "token").agg(F.max("value").alias("value"))
+    return distinct.groupBy(F.col("store_id").alias("_of")).agg(F.map_from_entries(F.collect_list(F.struct("token", "value"))).alias("_values"))
 
 
 def _tokens(column: str) -> Column:
     return F.when(F.col(column).contains("{{"), F.regexp_extract_all(F.col(column), F.lit(DIRECTIVE), 0))
 
 
-def _values_by_row(df: DataFrame, columns: Sequence[str], values: DataFrame, key: str, store: str) -> DataFrame:
-    """Values for the tokens of each row, found by a join on (store, token); only tokens are shuffled."""
-    tokens = F.array_distinct(F.flatten(F.array_compact(F.array(*[_tokens(c) for c in columns]))))
-    wanted = df.where(F.col(store).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(store).alias("store_id"), F.explode(tokens).alias("token")
-    )
-    found = wanted.join(_distinct_values(values), ["store_id", "token"]).groupBy("_key", F.col("store_id").alias("_of")).agg(
-        F.collect_list(F.struct("token", "value")).alias("_values")
-    )
-    same = (df[key] == found["_key"]) & (df[store] == found["_of"])
-    return df.join(found, same, "left").drop("_key", "_of")
-
-
 def _woven(column: str) -> Column:
     """The text split at its directives, with values between; a value is never searched again."""
 
     def value_of(token: Column) -> Column:
-        hits = F.filter("_values", lambda v: v["token"] == token)
-        return F.coalesce(F.try_element_at(hits, F.lit(1))["value"], token)
+        return F.coalesce(F.try_element_at(F.col("_values"), token), token)
 
     pieces = F.split(F.col(column), DIRECTIVE, -1)
     found = F.transform(_tokens(column), value_of)
@@ -64,17 +36,10 @@ def _woven(column: str) -> Column:
     return F.when(F.col("_values").isNotNull() & F.col(column).contains("{{"), text).otherwise(F.col(column))
 
 
-def substitute_directives(
-    df: DataFrame, columns: Sequence[str], values: DirectiveValues, key: str = "entity_id", store: str = "store_id"
-) -> DataFrame:
-    """``df`` with each directive in ``columns`` replaced by its value.
+def substitute_directives(df: DataFrame, columns: Sequence[str], values: DataFrame, store: str = "store_id") -> DataFrame:
+    """``df`` with each directive in ``columns`` replaced by its value from ``values_per_store``.
 
-    A token without a value stays (the HTML stage drops it later), and so do all tokens of a row whose
-    ``store`` is NULL. A small value table joins once per store; a larger one is looked up per token.
-    (``key``, ``store``) names a row of ``df``.
+    A token without a value stays (the HTML stage drops it later), and so do all tokens of a row whose ``store`` is NULL.
     """
-    if values.per_store is not None:
-        joined = df.join(values.per_store, df[store] == values.per_store["_of"], "left").drop("_of")
-    else:
-        joined = _values_by_row(df, columns, values.values, key, store)
+    joined = df.join(values, df[store] == values["_of"], "left").drop("_of")
     return joined.withColumns({c: _woven(c) for c in columns}).drop("_values")

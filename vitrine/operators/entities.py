@@ -26,19 +26,22 @@ from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.markup import MARKER
 from vitrine.functions.text import is_blank, text, trim_text, truncate_words
 from vitrine.functions.urls import absolute_url
-from vitrine.operators.directives import DirectiveValues, substitute_directives
+from vitrine.operators.directives import substitute_directives, values_per_store
 from vitrine.operators.lookups import (
+    apply_tariff,
     breadcrumbs,
     canonical_paths,
     category_counts,
     first_per_store,
-    pick_stock_and_price,
-    product_facts,
+    pick_stock,
+    pick_tariff,
+    product_shelf,
 )
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staged
 
+PAGE_SLOTS = 64
 STORE_COLUMNS = ("store_id", "store_code", "store_name", "formats", "rule", "resolve_directives")
 
 
@@ -57,26 +60,36 @@ def _listing_stores(catalog: Catalog, include: str, formats: Sequence[str]) -> D
     )
 
 
-def listed_products(catalog: Catalog) -> DataFrame:
-    """(store, product) rows that may be emitted, with final price, before the limit and for every format.
+def memo(catalog: Catalog, name: str, make) -> DataFrame:
+    """A narrow listing that several branches of a run read (rows of each format, headings), written once."""
+    if name not in catalog.cache:
+        catalog.cache[name] = staged(make(), name)
+    return catalog.cache[name]
+
+
+def sold_products(catalog: Catalog, products: DataFrame | None = None) -> DataFrame:
+    """(store, product) rows with URL, stock and tariff, before the limit and for every format.
 
-    Narrow, and read by several branches (ranks, headings, rows of each format), so it is written once.
+    ``products`` (entity_id and base price) are those that may be shown; without it any linked one counts, with its
+    price and status still to come.
     """
-    if "listed_products" not in catalog.cache:
-        stores = _listing_stores(catalog, "include_products", FORMATS).select(
-            *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
-            "product_limit", "exclude_out_of_stock",
-        )
-        sold = catalog.product_stores.join(stores, "store_id").join(product_facts(catalog), "entity_id")
-        stocked = pick_stock_and_price(catalog, sold).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
-        rows = stocked.drop("website_id", "customer_group_id", "exclude_out_of_stock").join(
-            canonical_paths(catalog, "product"), ["store_id", "entity_id"]
-        )
-        url = absolute_url(F.col("link_url"), F.col("request_path"))
-        catalog.cache["listed_products"] = staged(
-            rows.withColumn("url", url).drop("request_path", "link_url"), "listed-products"
-        )
-    return catalog.cache["listed_products"]
+    stores = _listing_stores(catalog, "include_products", FORMATS).select(
+        *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
+        "product_limit", "exclude_out_of_stock",
+    )
+    shelf = product_shelf(catalog, products)
+    sold = catalog.product_stores.join(stores, "store_id").join(shelf, "entity_id", "left" if products is None else "inner")
+    stocked = pick_stock(sold).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
+    rows = pick_tariff(catalog, stocked).drop("website_id", "customer_group_id", "exclude_out_of_stock").join(
+        canonical_paths(catalog, "product"), ["store_id", "entity_id"]
+    )
+    url = absolute_url(F.col("link_url"), F.col("request_path"))
+    return rows.withColumn("url", url).drop("request_path", "link_url")
+
+
+def listed_products(catalog: Catalog) -> DataFrame:
+    """(store, product) rows that may be emitted, with final price, before the limit and for every format."""
+    return memo(catalog, "listed-products", lambda: apply_tariff(catalog, sold_products(catalog, catalog.scan_products("price"))))
 
 
 def product_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
@@ -87,6 +100,10 @@ def product_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataF
 
 
 def category_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
+    return memo(catalog, "listed-categories-" + "-".join(formats), lambda: _listed_categories(catalog, formats))
+
+
+def _listed_categories(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
     stores = _listing_stores(catalog, "include_categories", formats).select(
         *STORE_COLUMNS, "link_url", F.col("root_category_id").cast("string").alias("root")
     )
@@ -101,18 +118,23 @@ def category_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> Data
 
 def page_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
     """Pages linked to the store (or to store 0, which means all), minus excluded identifiers."""
+    return memo(catalog, "listed-pages-" + "-".join(formats), lambda: _listed_pages(catalog, formats))
+
+
+def _listed_pages(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
     stores = _listing_stores(catalog, "include_pages", formats).select(
         *STORE_COLUMNS, "link_url", "plain_url", "excluded_pages",
-        F.explode(F.array("store_id", F.lit(0).cast("long"))).alias("link_store"),
-    )
-    links = catalog.page_stores.withColumnRenamed("store_id", "link_store")
-    pages = catalog.scan_pages("identifier")
-    shown = (
-        links.join(stores, "link_store").drop("link_store").join(pages, "page_id")
-        .where(~F.array_contains("excluded_pages", F.coalesce("identifier", F.lit(""))))
-        .dropDuplicates(["page_id", "store_id"])
-        .withColumnRenamed("page_id", "entity_id")
     )
+    # A page of all stores needs no other link; so each (page, store) comes once and no wide row is compared.
+    everywhere = F.bool_or(F.col("store_id") == 0)
+    links = catalog.page_stores.groupBy("page_id").agg(F.collect_set("store_id").alias("links"), everywhere.alias("everywhere"))
+    linked = catalog.scan_pages("identifier").join(links, "page_id").withColumnRenamed("page_id", "entity_id")
+    some = linked.where(~F.col("everywhere")).select("entity_id", "identifier", F.explode("links").alias("store_id")).join(stores, "store_id")
+    # Pages of all stores meet all stores by nature; slots keep that from being one key.
+    slot = F.pmod("entity_id", F.lit(PAGE_SLOTS)).cast("int")
+    slots = stores.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(PAGE_SLOTS - 1))))
+    every = linked.where("everywhere").select("entity_id", "identifier", slot.alias("_slot")).join(slots, "_slot").drop("_slot")
+    shown = some.unionByName(every).where(~F.array_contains("excluded_pages", F.coalesce("identifier", F.lit(""))))
     rewritten = shown.join(
         canonical_paths(catalog, "cms-page"), ["store_id", "entity_id"], "left"
     )
@@ -122,18 +144,31 @@ def page_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFram
     ).drop("request_path", "link_url", "plain_url", "excluded_pages", "identifier")
 
 
+def _grouped(listing: DataFrame) -> DataFrame:
+    """The stores of each entity, grouped by what can make its text differ: cleaning rule and directive switch."""
+    switches = ["rule", "resolve_directives"]
+    per_rule = listing.groupBy("entity_id", *switches).agg(
+        F.collect_list(F.struct(*[c for c in listing.columns if c != "entity_id" and c not in switches])).alias("stores")
+    )
+    return per_rule.groupBy("entity_id").agg(F.collect_list(F.struct(*switches, "stores")).alias("_groups"))
+
+
 def _variants(marked: Column, has_directive: Column) -> Column:
-    """Which cleaned version a listed store uses.
+    """The cleaned versions of a text, each with the stores that use it.
 
-    A text without marked elements reads the same under every rule, and one without directives the same
-    in every store; so most texts have one version, and it is cleaned once.
+    A text without marked elements reads the same under every rule, and one without directives the same in every store; so most
+    texts have one version, and it is cleaned once. A directive's value may bring marked elements, so its version keeps the rule.
     """
+    def version(rule, store_id, stores):
+        return F.struct(F.lit(rule).cast("string").alias("rule") if rule is None else rule.alias("rule"),
+                        F.lit(None).cast("long").alias("store_id") if store_id is None else store_id.alias("store_id"), stores.alias("stores"))
 
-    def of(store: Column) -> Column:
-        own = F.when(has_directive & store["resolve_directives"], store["store_id"])
-        return F.struct(F.when(marked, store["rule"]).alias("rule"), own.alias("store_id"))
+    def of(group: Column) -> Column:
+        own = F.transform(group["stores"], lambda s: version(group["rule"], s["store_id"], F.array(s)))
+        return F.when(has_directive & group["resolve_directives"], own).otherwise(F.array(version(group["rule"], None, group["stores"])))
 
-    return of
+    one = F.array(version(None, None, F.flatten(F.transform("_groups", lambda g: g["stores"]))))
+    return F.when(marked | has_directive, F.flatten(F.transform("_groups", of))).otherwise(one)
 
 
 def spread_clean(
@@ -157,9 +192,7 @@ def spread_clean(
     """
     cleaner = cleaner or Cleaner()
     both = [f for f in formats if f in both_in]
-    per_entity = listing.groupBy("entity_id").agg(
-        F.collect_list(F.struct(*[c for c in listing.columns if c != "entity_id"])).alias("_stores")
-    )
+    per_entity = _grouped(listing)
     rows = entities.join(per_entity, "entity_id").withColumns({
         "_use_fallback": is_blank(F.col(primary)),
         "_primary": text(F.col(primary)),
@@ -175,8 +208,7 @@ def spread_clean(
     rows = rows.withColumns({
         "_marked": either_contains(MARKER), "_has": either_contains("{{") & F.lit(directives is not None)
     })
-    variant_of = _variants(F.col("_marked"), F.col("_has"))
-    rows = rows.withColumn("_variant", F.explode(F.array_distinct(F.transform("_stores", variant_of))))
+    rows = rows.withColumn("_variant", F.explode(_variants(F.col("_marked"), F.col("_has")))).drop("_groups")
     if directives is not None:
         rows = rows.withColumn("_store", F.col("_variant.store_id"))
         rows = substitute_directives(rows, columns, directives, store="_store")
@@ -184,7 +216,7 @@ def spread_clean(
     rows = cleaner.shared(rows, columns, rule)
 
     offered = F.array_intersect(
-        F.flatten(F.transform("_stores", lambda s: s["formats"])), F.array(*map(F.lit, formats))
+        F.flatten(F.transform("_variant.stores", lambda s: s["formats"])), F.array(*map(F.lit, formats))
     )
     rows = rows.withColumn("format", F.explode(offered))
     with_both = F.col("format").isin(*both) if both else F.lit(False)
@@ -199,20 +231,15 @@ def spread_clean(
     if short_cap:
         rows = rows.withColumn("short", truncate_words(F.col("short"), short_cap))
 
-    here = F.filter(
-        "_stores",
-        lambda s: variant_of(s).eqNullSafe(F.col("_variant")) & F.array_contains(s["formats"], F.col("format")),
-    )
+    here = F.filter("_variant.stores", lambda s: F.array_contains(s["formats"], F.col("format")))
     own = [c for c in rows.columns if not c.startswith("_")]
-    return rows.select(*own, F.inline(here)).drop("formats", "rule", "resolve_directives")
+    return rows.select(*own, F.inline(here)).drop("formats")
 
 
-def directive_values(catalog: Catalog) -> DirectiveValues | None:
+def directive_values(catalog: Catalog) -> DataFrame | None:
     if catalog.directives is None:
         return None
-    if "directives" not in catalog.cache:
-        catalog.cache["directives"] = DirectiveValues.of(catalog.directives)
-    return catalog.cache["directives"]
+    return memo(catalog, "directives", lambda: values_per_store(catalog.directives))
 
 
 def product_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,11 +37,18 @@ def canonical_urls(catalog: Catalog) -> DataFrame:
     )
 
 
-def with_stock(catalog: Catalog, listing: DataFrame) -> DataFrame:
-    """Adds ``in_stock`` by (product, website); a product without a stock row counts as in stock."""
-    stock = catalog.scan_stock().withColumnRenamed("product_id", "entity_id")
-    joined = listing.join(stock, ["entity_id", "website_id"], "left")
-    return joined.withColumn("in_stock", F.coalesce(F.col("stock_status") == 1, F.lit(True))).drop("stock_status")
+def _stock_rows(catalog: Catalog) -> DataFrame:
+    """One row per (product, website); of repeated ones the highest status counts."""
+    return catalog.scan_stock().groupBy("product_id", "website_id").agg(F.max("stock_status").alias("stock_status"))
+
+
+def _price_rows(catalog: Catalog) -> DataFrame:
+    """One row per (product, group); of repeated ones the lowest prices count, NULL last."""
+    tariff = ("group_price", "special_price", "special_from", "special_to")
+    order = [F.coalesce(c, F.lit(float("inf"))) for c in tariff[:2]]
+    return catalog.prices.groupBy("product_id", "group_id").agg(
+        F.min_by(F.struct(*tariff), F.struct(*order, F.col("special_from").isNull(), "special_from", F.col("special_to").isNull(), "special_to")).alias("t")
+    ).select("product_id", "group_id", "t.*")
 
 
 def final_price(base: Column, group: Column, special: Column, start: Column, end: Column, as_of) -> Column:
@@ -49,48 +58,45 @@ def final_price(base: Column, group: Column, special: Column, start: Column, end
     return F.least(base, group, F.when(open_now, special))
 
 
-def with_price(catalog: Catalog, listing: DataFrame) -> DataFrame:
-    """Replaces base ``price`` by the final price of the store's customer group."""
-    if catalog.prices is None:
-        return listing
-    prices = catalog.prices.select(
-        F.col("product_id").alias("entity_id"), F.col("group_id").alias("customer_group_id"),
-        "group_price", "special_price", "special_from", "special_to",
-    )
-    price = final_price(*(F.col(c) for c in ("price", "group_price", "special_price", "special_from", "special_to")),
-                        catalog.as_of)
-    return (
-        listing.join(prices, ["entity_id", "customer_group_id"], "left")
-        .withColumn("price", price)
-        .drop("group_price", "special_price", "special_from", "special_to")
-    )
+TARIFF = ("group_price", "special_price", "special_from", "special_to")
 
 
-def product_facts(catalog: Catalog) -> DataFrame:
-    """Shown products with their base price, and stock and price rows as short arrays (one entry per website
-    or customer group). A listing picks its own from them after a single join on the product, where joins on
+def product_shelf(catalog: Catalog, products: DataFrame | None = None) -> DataFrame:
+    """Stock and price rows of each product as short arrays (one entry per website or customer group), with ``products`` (all
+    that have any, if not given). A listing picks its own from them after a single join on the product, where joins on
     (product, website) and (product, group) would shuffle it twice more."""
-    stock = catalog.scan_stock().groupBy(F.col("product_id").alias("entity_id")).agg(
+    stock = _stock_rows(catalog).groupBy(F.col("product_id").alias("entity_id")).agg(
         F.collect_list(F.struct("website_id", "stock_status")).alias("_stock")
     )
-    facts = catalog.scan_products("price").join(stock, "entity_id", "left")
+    shelf = stock if products is None else products.join(stock, "entity_id", "left")
     if catalog.prices is None:
-        return facts.withColumn("_prices", F.lit(None))
-    tariffs = catalog.prices.groupBy(F.col("product_id").alias("entity_id")).agg(
-        F.collect_list(F.struct("group_id", "group_price", "special_price", "special_from", "special_to")).alias("_prices")
+        return shelf.withColumn("_prices", F.lit(None))
+    tariffs = _price_rows(catalog).groupBy(F.col("product_id").alias("entity_id")).agg(
+        F.collect_list(F.struct("group_id", *TARIFF)).alias("_prices")
     )
-    return facts.join(tariffs, "entity_id", "left")
+    return shelf.join(tariffs, "entity_id", "full" if products is None else "left")
 
 
-def pick_stock_and_price(catalog: Catalog, listing: DataFrame) -> DataFrame:
-    """Replaces the arrays of ``product_facts`` by ``in_stock`` and the final ``price`` of the listing's store."""
-    shelf = F.try_element_at(F.filter("_stock", lambda s: s["website_id"] == F.col("website_id")), F.lit(1))
-    picked = listing.withColumn("in_stock", F.coalesce(shelf["stock_status"] == 1, F.lit(True)))
-    if catalog.prices is not None:
-        own = F.try_element_at(F.filter("_prices", lambda p: p["group_id"] == F.col("customer_group_id")), F.lit(1))
-        parts = [F.col(f"_own.{c}") for c in ("group_price", "special_price", "special_from", "special_to")]
-        picked = picked.withColumn("_own", own).withColumn("price", final_price(F.col("price"), *parts, catalog.as_of))
-    return picked.drop("_stock", "_prices", "_own")
+def pick_stock(listing: DataFrame) -> DataFrame:
+    """Adds ``in_stock`` of the listing's website; a product without a stock row counts as in stock."""
+    own = F.try_element_at(F.filter("_stock", lambda s: s["website_id"] == F.col("website_id")), F.lit(1))
+    return listing.withColumn("in_stock", F.coalesce(own["stock_status"] == 1, F.lit(True))).drop("_stock")
+
+
+def pick_tariff(catalog: Catalog, listing: DataFrame) -> DataFrame:
+    """Adds the ``TARIFF`` columns of the listing's customer group, NULL where there is none."""
+    if catalog.prices is None:
+        nothing = dict(zip(TARIFF, ("double", "double", "timestamp", "timestamp")))
+        return listing.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()}).drop("_prices")
+    own = F.try_element_at(F.filter("_prices", lambda p: p["group_id"] == F.col("customer_group_id")), F.lit(1))
+    picked = listing.withColumn("_own", own)
+    return picked.withColumns({c: F.col(f"_own.{c}") for c in TARIFF}).drop("_prices", "_own")
+
+
+def apply_tariff(catalog: Catalog, listing: DataFrame) -> DataFrame:
+    """Replaces base ``price`` by the final price under the ``TARIFF`` columns."""
+    price = final_price(F.col("price"), *[F.col(c) for c in TARIFF], catalog.as_of)
+    return listing.withColumn("price", price).drop(*TARIFF)
 
 
 def category_counts(catalog: Catalog) -> DataFrame:
@@ -122,25 +128,21 @@ def first_per_store(listing: DataFrame, limit: Column) -> DataFrame:
 
     A plain ``row_number`` per store would sort a whole store in one task. Here ids are cut into spans
     of ``2 ** RANK_BITS`` (at most that many rows each, as an entity is listed once per store); row counts
-    per span give the rank at which a span starts, spans past the limit drop out, and rows are ranked
-    inside their span only.
+    per span give the rank at which a span starts, spans past the limit drop out, and only the span that the
+    limit cuts is ranked.
     """
-    spanned = listing.withColumns({
-        "_span": F.shiftright("entity_id", RANK_BITS), "_limit": limit.cast("long")
-    })
+    limited = listing.withColumn("_limit", limit.cast("long"))
+    spanned = limited.where(F.col("_limit") > 0).withColumn("_span", F.shiftright("entity_id", RANK_BITS))
     before = F.coalesce(
         F.sum("_rows").over(W.partitionBy("store_id").orderBy("_span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
     )
     open_spans = (
         spanned.groupBy("store_id", "_span", "_limit").agg(F.count("*").alias("_rows"))
-        .withColumn("_before", before)
-        .where((F.col("_limit") == 0) | (F.col("_before") < F.col("_limit")))
-        .select("store_id", "_span", "_before")
+        .withColumn("_before", before).where(F.col("_before") < F.col("_limit"))
+        .select("store_id", "_span", (F.col("_limit") - F.col("_before")).alias("_left"), "_rows")
     )
+    opened = spanned.join(open_spans, ["store_id", "_span"])
     in_span = F.row_number().over(W.partitionBy("store_id", "_span").orderBy("entity_id"))
-    return (
-        spanned.join(open_spans, ["store_id", "_span"])
-        .withColumn("_rank", F.col("_before") + in_span)
-        .where((F.col("_limit") == 0) | (F.col("_rank") <= F.col("_limit")))
-        .drop("_span", "_limit", "_before", "_rank")
-    )
+    cut = opened.where(F.col("_rows") > F.col("_left")).withColumn("_rank", in_span).where(F.col("_rank") <= F.col("_left"))
+    parts = (limited.where(F.col("_limit") <= 0), opened.where(F.col("_rows") <= F.col("_left")), cut)
+    return functools.reduce(DataFrame.unionByName, [part.select(*listing.columns) for part in parts])

@@ -10,7 +10,7 @@ from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.text import text
 from vitrine.functions.values import format_price
 from vitrine.operators.entities import STORE_COLUMNS, spread_clean
-from vitrine.operators.lookups import with_price
+from vitrine.operators.lookups import apply_tariff, pick_tariff, product_shelf
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staged
@@ -53,7 +53,8 @@ def mirror_render(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame
 
     settings = {"formats": (FULL,), "fallback_in": (), "cleaner": cleaner}
     products = catalog.products.select("entity_id", "sku", "name", "short_description", "description")
-    priced = with_price(catalog, listed("product").join(catalog.products.select("entity_id", "price"), "entity_id"))
+    asked = listed("product").join(product_shelf(catalog, catalog.products.select("entity_id", "price")), "entity_id").drop("_stock")
+    priced = apply_tariff(catalog, pick_tariff(catalog, asked))
     rows = spread_clean(catalog, products, priced.drop("customer_group_id"), "short_description", "description",
                         both_in=(FULL,), **settings)
     short, long = F.col("short"), F.col("body")

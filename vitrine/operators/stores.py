@@ -22,7 +22,7 @@ from vitrine.functions.text import one_line, text, trim_text
 from vitrine.functions.urls import output_name, plain_base_url, store_base_url
 from vitrine.functions.values import bcp47, flag, leading_int, parse_list
 from vitrine.sources.catalog import Catalog
-from vitrine.spark_tools import bounded
+from vitrine.spark_tools import staged
 
 PATHS = (*DEFAULT_SETTINGS, *PLATFORM_SETTINGS)
 
@@ -43,7 +43,7 @@ def resolved_settings(catalog: Catalog, paths=PATHS) -> DataFrame:
     )))
     wanted = catalog.settings.where(F.col("path").isin(*paths))
     return (
-        wanted.join(bounded(scopes), ["scope", "scope_id"])
+        wanted.join(scopes, ["scope", "scope_id"])
         .groupBy("store_id", "path")
         .agg(F.max_by("value", "rank").alias("value"))
     )
@@ -105,8 +105,7 @@ def globally_enabled(catalog: Catalog) -> DataFrame:
 def store_context(catalog: Catalog) -> DataFrame:
     """One row per store: identity, URLs, money, locale, settings and the formats it gets.
 
-    The table is as small as the list of stores; ``bounded`` checks that before marking it for
-    broadcast, and the result is kept for the other jobs of the same catalog.
+    Written once and kept for the other jobs of the same catalog, which broadcast it where its bytes allow.
     """
     if "context" in catalog.cache:
         return catalog.cache["context"]
@@ -126,16 +125,16 @@ def store_context(catalog: Catalog) -> DataFrame:
         "plain_url": plain_base_url(F.col("base_url")),
         "link_url": store_base_url(F.col("base_url"), F.col("store_code"), F.col("append_store_code"), F.col("is_default")),
     })
-    catalog.cache["context"] = bounded(context)
+    catalog.cache["context"] = staged(context, "stores")
     return catalog.cache["context"]
 
 
-def restricted(catalog: Catalog, code: str) -> Catalog:
-    """The same catalog with one store to produce for; the others stay as siblings."""
+def restricted(catalog: Catalog, *codes: str) -> Catalog:
+    """The same catalog with only some stores to produce for; the others stay as siblings."""
     context = store_context(catalog)
-    mine = F.when(F.col("store_code") == code, F.col("formats")).otherwise(F.array().cast("array<string>"))
+    mine = F.when(F.col("store_code").isin(*codes), F.col("formats")).otherwise(F.array().cast("array<string>"))
     other = copy.copy(catalog)
-    other.cache = {"context": bounded(context.withColumn("formats", mine))}
+    other.cache = {"context": context.withColumn("formats", mine)}
     return other
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.constants import CLOSING_POS, HEADING_POS
 
+FILE_BYTES = 128 << 20
 ORDER = ("store_code", "section_ord", "position", "entity_id")
 
 
@@ -33,19 +36,15 @@ def write_documents(blocks: DataFrame, path: str, partitions: int | None = None)
     """One folder per store, whose part files in name order are the document.
 
     The blocks are range-partitioned on the full document order, so a very large store spreads over
-    many tasks. Write one format per call: the partition column must not be a literal, or the writer
-    sorts again and loses the order inside a store. Range partitioning samples its input first, so pass
-    blocks that were staged, not ones still to be rendered.
+    many tasks; unless ``partitions`` is given, their number follows from the bytes. Write one format per call: the
+    partition column must not be a literal, or the writer sorts again and loses the order inside a store. Range partitioning
+    samples its input first, so pass blocks that were staged, not ones still to be rendered.
     """
     keys = [F.col(c) for c in ORDER]
-    ranged = blocks.repartitionByRange(partitions, *keys) if partitions else blocks.repartitionByRange(*keys)
+    if partitions is None:
+        size = F.col("text_bytes") if "text_bytes" in blocks.columns else F.octet_length("text")
+        total = blocks.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0
+        partitions = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / FILE_BYTES))
+    ranged = blocks.repartitionByRange(partitions, *keys)
     lines = ranged.sortWithinPartitions(*keys).select("store_code", _without_last_newline(F.col("text")).alias("value"))
     lines.write.mode("overwrite").partitionBy("store_code").text(path, lineSep="\n")
-
-
-def small_documents(blocks: DataFrame) -> DataFrame:
-    """Whole documents as single strings: for checks and small stores only."""
-    joined = F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("section_ord", "position", "entity_id", "text"))), lambda s: s["text"]
-    ), "")
-    return blocks.groupBy("store_code", "format").agg(joined.alias("document"))

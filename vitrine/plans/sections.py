@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import logging
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from vitrine.constants import (
 )
 from vitrine.functions.cleaning import Cleaner
 from vitrine.operators import blocks as b
-from vitrine.operators.stores import store_context
+from vitrine.operators.stores import restricted, store_context
 from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staging_path
@@ -39,6 +40,15 @@ class Section:
     build: SectionFn
 
 
+@dataclass(frozen=True)
+class Failure:
+    """A document that lacks a section, or could not be written."""
+
+    store_code: str
+    format: str
+    error_message: str
+
+
 DEFAULT_SECTIONS = (
     Section("store", STORE_ORD, FORMATS, b.store_section),
     Section("siblings", SIBLINGS_ORD, TEXT_FORMATS, b.sibling_section),
@@ -67,38 +77,65 @@ class Sections:
 
     def parts(
         self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
-    ) -> Iterator[tuple[str, DataFrame]]:
-        """(name, blocks) of each section in order. A section that cannot be built is logged and left out."""
+    ) -> Iterator[tuple[Section, DataFrame]]:
+        """(section, blocks) of each section in order."""
         for section in self.sections:
             wanted = tuple(f for f in formats if f in section.formats)
-            if not wanted:
-                continue
-            try:
-                part = section.build(catalog, wanted, cleaner).where(F.col("format").isin(*wanted)).select(*BLOCK)
-            except Exception as error:
-                log.warning("section %s skipped: %s", section.name, error)
-                continue
-            yield section.name, part
+            if wanted:
+                yield section, section.build(catalog, wanted, cleaner).where(F.col("format").isin(*wanted)).select(*BLOCK)
 
     def blocks(self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
-        """All blocks of the given formats."""
+        """All blocks of the given formats; a section that cannot be built raises."""
         return functools.reduce(DataFrame.unionByName, (part for _, part in self.parts(catalog, formats, cleaner)))
 
     def staged_blocks(
         self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
     ) -> DataFrame:
-        """All blocks with their sizes, each section written by a job of its own and read back.
+        """All blocks with their sizes, each section written by a job of its own and read back; a failing section raises."""
+        staged, failures = self.isolated_blocks(catalog, formats, cleaner)
+        if failures:
+            raise RuntimeError(failures[0].error_message)
+        return staged
 
-        A section that fails commits nothing, is logged, and the others go on without it. Separate jobs
-        also keep each plan small, where one union of all sections is planned again after every stage.
+    def isolated_blocks(
+        self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
+    ) -> tuple[DataFrame, list[Failure]]:
+        """The same, with what failed: a section that fails is tried again for ever fewer stores, until the failing ones are known.
+
+        Their blocks of that section are missing; everything else is there. Separate jobs also keep each plan small, where one
+        union of all sections is planned again after every stage.
         """
         spark = catalog.spark
         folder = staging_path(spark, "blocks")
-        written = []
-        for name, part in self.parts(catalog, formats, cleaner):
+        written: list[str] = []
+        numbers = itertools.count()
+        failures: list[Failure] = []
+
+        def attempt(section: Section, wanted: tuple[str, ...], part_of: Catalog, codes: list[str] | None) -> None:
+            path = f"{folder}/section={section.name}/part={next(numbers)}"
             try:
-                part.withColumn("text_bytes", F.octet_length("text")).write.parquet(f"{folder}/{name}")
-                written.append(f"{folder}/{name}")
+                part = section.build(part_of, wanted, cleaner).where(F.col("format").isin(*wanted)).select(*BLOCK)
+                part.withColumn("text_bytes", F.octet_length("text")).write.partitionBy("format").parquet(path)
+                written.append(path)
+                return
             except Exception as error:
-                log.warning("section %s failed: %s", name, error)
-        return spark.read.schema(STAGED_BLOCK).parquet(*written) if written else spark.createDataFrame([], STAGED_BLOCK)
+                message = f"section {section.name}: {str(error).splitlines()[0] if str(error) else type(error).__name__}"
+                log.warning("%s", message)
+            if codes is None:
+                codes = [r["store_code"] for r in store_context(catalog).where(F.size("formats") > 0).select("store_code").collect()]
+            if len(codes) <= 1:
+                failures.extend(Failure(code, fmt, message) for code in codes for fmt in wanted)
+                return
+            half = len(codes) // 2
+            for some in (codes[:half], codes[half:]):
+                attempt(section, wanted, restricted(catalog, *some), some)
+
+        for section in self.sections:
+            wanted = tuple(f for f in formats if f in section.formats)
+            if wanted:
+                attempt(section, wanted, catalog, None)
+        if not written:
+            return spark.createDataFrame([], STAGED_BLOCK), failures
+        columns = STAGED_BLOCK.split(", ")
+        reader = spark.read.option("basePath", folder).schema(f"{STAGED_BLOCK}, section string, part int")
+        return reader.parquet(*written).select(*[c.split()[0] for c in columns]), failures

@@ -4,43 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 10_000
-
-
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A checked broadcast: at most ``max_rows + 1`` rows are fetched to learn whether ``df`` is small.
-
-    A small table comes back as local rows marked for broadcast. A larger one comes back unchanged,
-    and its joins stay shuffle joins, which adaptive execution splits where a key is hot.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
     """A DataFrame of a few literal rows, held in the plan (no Python tasks)."""
-    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), columns.values())]
+    values = zip(*rows) if rows else [()] * len(columns)
+    arrays = [pa.array(v, kind) for v, kind in zip(values, columns.values())]
     return spark.createDataFrame(pa.table(arrays, names=list(columns)))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; one is made only where it is unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session may do without, as it is one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="vitrine-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -48,3 +42,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside goes to a folder of its own, removed at the end; results must be written by then."""
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        remove_folder(spark, folder)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())

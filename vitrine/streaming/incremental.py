@@ -1,12 +1,13 @@
 """Records as entity files arrive, in place of a full run.
 
-The same stateless steps as the batch jobs, with the listing as the static side. Ordering and the
+The same stateless steps as the batch jobs, with the listing as the static side: links, URLs, stock and tariffs. Name, texts,
+price, status and visibility come with the row, so a product that no table has yet gets its records. Ordering and the
 per-store limit stay batch matters.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -14,7 +15,8 @@ from vitrine.constants import CATEGORY_CAP, JSONL, PAGE_CAP, PRODUCT_CAP, PRODUC
 from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.text import trim_text
 from vitrine.operators.blocks import category_record, json_line, page_record, product_record
-from vitrine.operators.entities import category_listing, listed_products, page_listing, spread_clean
+from vitrine.operators.entities import memo, category_listing, page_listing, sold_products, spread_clean
+from vitrine.operators.lookups import apply_tariff
 from vitrine.sources.catalog import Catalog
 
 KINDS = ("product", "category", "page")
@@ -25,12 +27,13 @@ def stream_records(catalog: Catalog, kind: str, entities: DataFrame, cleaner: Cl
     settings = {"formats": (JSONL,), "cleaner": cleaner}
     if kind == "product":
         shown = entities.where((F.col("status") == STATUS_ENABLED) & F.col("visibility").isin(*VISIBLE))
-        listing = listed_products(catalog).where(F.array_contains("formats", JSONL))
+        listing = memo(catalog, "sold-products", lambda: sold_products(catalog)).where(F.array_contains("formats", JSONL))
         rows = spread_clean(
-            catalog, shown.select("entity_id", "sku", "name", "short_description", "description"),
+            catalog, shown.select("entity_id", "sku", "name", "price", "short_description", "description"),
             listing.drop("product_limit"), "short_description", "description",
             caps=PRODUCT_CAP, short_cap=PRODUCT_SHORT_CAP, both_in=(JSONL,), **settings,
         )
+        rows = apply_tariff(catalog, rows)
         record = product_record()
     elif kind == "category":
         named = entities.where(F.col("is_active") & (trim_text(F.col("name")) != ""))
@@ -52,9 +55,23 @@ def stream_records(catalog: Catalog, kind: str, entities: DataFrame, cleaner: Cl
 
 
 def write_stream(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append what has arrived since the last call to ``{out}/store_code=…``, then stop."""
+    """Write what has arrived since the last call to ``{out}/version=…/store_code=…``, then stop.
+
+    The version is the batch number: of several records of an entity that of the highest version is current. A batch that is
+    run again after a failure writes its folder anew.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").partitionBy("store_code").text(f"{out.rstrip('/')}/version={number}")
+
     return (
-        records.writeStream.format("text").partitionBy("store_code")
-        .option("path", out).option("checkpointLocation", checkpoint)
+        records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
+
+
+def current_records(spark: SparkSession, out: str) -> DataFrame:
+    """(store_code, value) of the latest version of each entity's record."""
+    lines = spark.read.option("basePath", out).schema("value string, version long, store_code string").text(f"{out.rstrip('/')}/version=*")
+    kind, entity = (F.get_json_object("value", f"$.{k}") for k in ("entity_type", "entity_id"))
+    latest = lines.groupBy("store_code", kind.alias("kind"), entity.alias("entity")).agg(F.max_by("value", "version").alias("value"))
+    return latest.select("store_code", "value")
