@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrine.llm.bitmaps import likely
 from vitrine.llm.components import components
 from vitrine.llm.words import FOLDED_TABLE, SPACED, Texts, Words, longs, map_texts
 from vitrine.spark_tools import staged
@@ -126,8 +127,8 @@ def _packed_texts(docs: DataFrame, text: str, n: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, docs: DataFrame, text: str, n: int, p: int, q: int) -> DataFrame:
     """Links (``a``, ``b`` as set keys, with their short ids) among the pairs of short ids, by comparing the whole sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bodies = _packed_texts(docs, text, n).join(wanted, "id", "left_semi").groupBy("id", "key").agg(F.first(F.struct("bytes", "body")).alias("text"))
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
+    bodies = likely(_packed_texts(docs, text, n), wanted, "id").join(wanted, "id", "left_semi").groupBy("id", "key").agg(F.first(F.struct("bytes", "body")).alias("text"))
     bodies = staged(bodies.select("id", "key", "text.*"), "near-texts")
     left, right = (bodies.select(*[F.col(c).alias(f"{c}_{side}") for c in bodies.columns]) for side in "ab")
     both = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b")).drop("a", "b")
@@ -175,8 +176,14 @@ def linked_sets(docs: DataFrame, sets: DataFrame, text: str, n: int, p: int, q:
     rows = sets.where(F.col("n_shingles") > 0).select(
         F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("_prefix").alias("pos", "shingle")
     )
-    several = rows.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("shingle")
-    shared = rows.join(several, "shingle").distinct()
+    # Shingles that two sets meet at by chance are far the most: of just two rows, both filters are judged here.
+    place = F.shiftleft("n", 32) + F.col("pos")
+    several = rows.groupBy("shingle").agg(
+        F.count("*").alias("rows"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(place).alias("x"), F.max(place).alias("y")).where("lo <> hi")
+    (n_x, pos_x), (n_y, pos_y) = ((F.shiftright(c, 32), F.col(c).bitwiseAND((1 << 32) - 1)) for c in "xy")
+    several = several.where((F.col("rows") > 2) | (bounds.lengths(n_x, n_y) & bounds.positions(n_x, pos_x, n_y, pos_y))).select("shingle")
+    several = staged(several, "near-several")
+    shared = likely(rows, several, "shingle").join(several, "shingle").distinct()
     shared = staged(shared.withColumn("slack", bounds.slack(F.col("n"), F.col("pos"))), "near-shared")
     ranges = staged(sets.where(F.col("n_shingles") > 0).select(F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.col("_ranges").alias("ranges")).distinct(), "near-ranges")
 
