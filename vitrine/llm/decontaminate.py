@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.words import FOLDED_TABLE, LETTERS, Texts, Words, longs, map_texts
+from vitrine.llm.words import FOLDED_TABLE, LETTERS, Texts, Words, longs, small_batches
 from vitrine.spark_tools import staged
 
 WINDOW = 10
@@ -141,6 +141,7 @@ def _scan(docs: DataFrame, text: str, index, clean: bool) -> DataFrame:
                 kept = [batch.column(c).slice(lo, hi - lo) for c in keep]
                 yield pa.RecordBatch.from_arrays(kept + made, names=schema.fieldNames())
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.words import EXACT_TABLE, FOLDED_TABLE, LETTERS, Texts, Words, longs, map_texts
+from vitrine.llm.words import EXACT_TABLE, FOLDED_TABLE, LETTERS, Texts, Words, longs, map_texts, small_batches
 
 UNKNOWN = "und"
 #: Counters of byte trigrams per language: a fixed number, so the model grows with the languages only.
@@ -110,6 +110,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
             some = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), longs(some), longs(held[some])], names=["lang", "bucket", "n"])
 
+    small_batches(rows.sparkSession)
     summed = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from vitrine.llm.bitmaps import likely
 from vitrine.llm.components import components
-from vitrine.llm.words import FOLDED_TABLE, SPACED, Texts, Words, longs, map_texts
+from vitrine.llm.words import FOLDED_TABLE, SPACED, Texts, Words, longs, map_texts, small_batches
 from vitrine.spark_tools import staged
 
 #: Counters of shingle frequency: a fixed number, so what is broadcast never grows.
@@ -54,6 +54,7 @@ def bucket_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
             part = some[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([longs(part), longs(counts[part])], names=["bucket", "n"])
 
+    small_batches(docs.sparkSession)
     summed = docs.select(text).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(BUCKETS, dtype=np.int64)
     counts[summed["bucket"].to_numpy()] = summed["n"].to_numpy()

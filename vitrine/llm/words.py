@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS = 1000
 
 
 def _splitmix(n: int, seed: int) -> np.ndarray:
@@ -184,8 +185,17 @@ def map_texts(
                 made = make(texts, lo, hi)
                 yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo) for c in kept] + made, names=schema.fieldNames())
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold at most `BATCH_ROWS` rows: whole texts are long rows, and the default of 10,000 of them
+    is held several times over between the JVM and Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def longs(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.int64))
