@@ -226,6 +226,28 @@ def test_mixed_blocks_hold_the_words_taken(spark):
     assert abs(sum(per_doc.values()) - total) <= 1 and all(n <= 3 * (i % 30) for i, n in per_doc.items())
 
 
+def test_one_document_per_source_is_cut(spark):
+    rng = random.Random(5)
+    names = [f"s{i:02}" for i in range(20)] + [None]
+    rows = [(i, " \n".join(f"w{j}" for j in range(rng.randrange(1, 40))), "en", names[i % 20]) for i in range(6000)]
+    rows += [(6000 + i, "x  y\nz\tu " * rng.randrange(1, 8), "en", None) for i in range(60)]
+    rows += [(7000 + i, "v " * rng.randrange(1, 30), "en", "s01") for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = mixing.mix(df).collect()
+    cut = collections.Counter(r["source"] for r in found if 0 < r["rest"] < r["size"])
+    assert len(found) == len(rows) and max(cut.values()) == 1 and len({r["shard"] for r in found if r["source"] is None}) > 10
+    sums = collections.defaultdict(lambda: [0, 0])
+    for r in found:
+        sums[r["source"]][0] += r["taken"]
+        sums[r["source"]][1] = r["target"]
+    assert set(sums) == set(names) and all(abs(taken - target) <= 0.5 for taken, target in sums.values())
+    plain = {i: text for i, text, _, _ in rows}
+    blocks = mixing.mixed_blocks(df).collect()
+    assert all(plain[r["doc_id"]].startswith(r["text"]) for r in blocks)
+    cut = collections.Counter(r["source"] for r in blocks if plain[r["doc_id"]] != r["text"])
+    assert max(cut.values()) == 1
+
+
 def test_draws_follow_the_distribution(spark):
     cases = spark.range(4000).withColumns({"n": F.lit(50), "m": F.lit(20), "d": F.lit(15)})
     drawn = [r[0] for r in cases.select(mixing.hypergeometric(F.col("n"), F.col("m"), F.col("d"), "id")).collect()]

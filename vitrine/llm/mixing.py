@@ -11,8 +11,9 @@ from vitrine.spark_tools import staged
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
-#: Documents per leaf of the tree, on average; the tree deepens with the table.
+#: Documents of a source per leaf of its tree, on average; the tree deepens with the source. Leaves per span when leftovers are summed.
 LEAF_DOCS = 256
+LEAF_SPAN = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 20
 #: Above this standard deviation a draw is the rounded normal quantile, below the exact inverse of the distribution.
@@ -90,14 +91,20 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, *key: Column |
     return F.element_at(F.transform(F.transform(F.array(args), spread), pick), 1)
 
 
+def depth_of(docs: Column) -> Column:
+    """Levels of a tree with about `LEAF_DOCS` documents per leaf."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(docs / LEAF_DOCS))).cast("int")
+
+
 def split_quotas(leaves: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """Quota of each leaf: (``source_no``, ``leaf``, ``quota``) from leaf sizes (``source_no``, ``leaf``, ``words``).
+    """Quota of each leaf: (``source_no``, ``leaf``, ``quota``) from leaf sizes (``source_no``, ``depth``, ``leaf``, ``words``).
 
-    ``roots`` has the whole (``source_no``, ``words``, ``quota``). Each level halves the leaves and draws the left half's share.
+    ``roots`` has the whole (``source_no``, ``depth``, ``words``, ``quota``), with the depth of each source's own tree, at most ``depth``.
+    Each level halves the leaves of the trees that reach it and draws the left half's share.
     """
-    nodes = roots.where(F.col("quota") > 0).select("source_no", F.lit(0).cast("long").alias("node"), "words", "quota")
+    nodes = roots.where(F.col("quota") > 0).select("source_no", "depth", F.lit(0).cast("long").alias("node"), "words", "quota")
     for level in range(1, depth + 1):
-        halves = leaves.withColumn("half", F.shiftright("leaf", depth - level))
+        halves = leaves.where(F.col("depth") >= level).withColumn("half", F.expr(f"shiftright(leaf, depth - {level})"))
         left = halves.where(F.col("half") % 2 == 0).groupBy("source_no", F.shiftright("half", 1).alias("node")).agg(F.sum("words").alias("left"))
         drawn = nodes.join(left, ["source_no", "node"], "left").fillna(0, ["left"])
         drawn = drawn.withColumn("mine", hypergeometric(F.col("words"), F.col("left"), F.col("quota"), F.lit(level), "source_no", "node"))
@@ -105,39 +112,78 @@ def split_quotas(leaves: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
             F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("words"), F.col("mine").alias("quota")),
             F.struct((F.col("node") * 2 + 1).alias("node"), (F.col("words") - F.col("left")).alias("words"), (F.col("quota") - F.col("mine")).alias("quota")),
         )
-        nodes = drawn.select("source_no", F.inline(children)).where(F.col("quota") > 0)
+        whole = F.array(F.struct("node", "words", "quota"))
+        split = F.when(F.col("depth") >= level, children).otherwise(whole)
+        nodes = drawn.select("source_no", "depth", F.inline(split)).where(F.col("quota") > 0)
         if level % 4 == 0:
             nodes = staged(nodes, "quotas")
     return nodes.select("source_no", F.col("node").alias("leaf"), "quota")
 
 
+def fill_leaves(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``part``: words of each document within its leaf's ``quota``, in order of ``place``. One per leaf may be partial."""
+    turn = Window.partitionBy("source_no", "leaf").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.coalesce("quota", F.lit(0)) - F.coalesce(F.sum("size").over(turn), F.lit(0))
+    return placed.withColumn("part", F.greatest(F.lit(0), F.least("size", left)))
+
+
+def round_leaves(filled: DataFrame) -> DataFrame:
+    """(``source_no``, ``leaf``, ``rounded``): words to take of the one partial document of each leaf that `fill_leaves` left with one.
+
+    The parts of a source sum to the same words as before, but go to whole documents in order of the leaves, so that at most one
+    document per source stays partial. Sums run over spans of `LEAF_SPAN` leaves first: no source is ordered in one task.
+    """
+    last = filled.where((F.col("part") > 0) & (F.col("part") < F.col("size"))).select(
+        "source_no", "leaf", "size", "part", F.shiftright("leaf", LEAF_SPAN.bit_length() - 1).alias("span"))
+    last = staged(last, "mix-last")
+    by_span = Window.partitionBy("source_no").orderBy("span")
+    spans = last.groupBy("source_no", "span").agg(F.sum("size").alias("span_size"), F.sum("part").alias("span_part"))
+    spans = spans.select(
+        "source_no", "span", F.sum("span_part").over(Window.partitionBy("source_no")).alias("goal"),
+        F.coalesce(F.sum("span_size").over(by_span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    )
+    turn = Window.partitionBy("source_no", "span").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.col("before") + F.coalesce(F.sum("size").over(turn), F.lit(0))
+    summed = last.join(spans, ["source_no", "span"])
+    return summed.select("source_no", "leaf", F.greatest(F.lit(0), F.least("size", F.col("goal") - earlier)).alias("rounded"))
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, keep_text: bool = False) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``taken``, ``passes`` (full copies), ``rest`` (words of a last, partial one),
     and ``shard`` and ``place`` to write the mix by.
 
-    The text is dropped unless asked for. Each source's taken words sum to its rounded target exactly. NULL and empty texts have
+    The text is dropped unless asked for. Each source's taken words sum to its rounded target exactly; all documents but one of each
+    source are taken whole or not at all in the last pass. NULL and empty texts have
     size 0 and are never taken; NULL sources are one source, ordered last; equal rows are told apart by nothing, so which of
     them has the larger share is open, but not how many do. Columns named like a result column are replaced. Reruns agree.
     """
-    made = ("size", "source_size", "target", "taken", "passes", "rest", "shard", "place", "source_no", "quota")
+    made = ("size", "source_size", "target", "taken", "passes", "rest", "shard", "place", "source_no", "quota", "depth", "leaf", "part", "rounded")
     kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
     sized = docs.select(
         *kept, F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.col(source).alias("_source"),
         F.xxhash64(F.lit(SEED), *[F.col(c) for c in dict.fromkeys([*kept, text]) if docs.schema[c].dataType.typeName() != "map"]).alias("place"),
     )
     sized = staged(sized, "mix-sizes")
-    sources = staged(source_targets(sized.select(F.col("_source").alias("source"), "size"), weights), "mix-sources")
-    depth = max(0, math.ceil(math.log2(max(1, sized.count()) / LEAF_DOCS)))
-    named = sources.withColumnRenamed("source", "_named")
-    placed = sized.join(named, F.col("_source").eqNullSafe(F.col("_named")))
-    placed = placed.withColumn("shard", F.pmod("place", F.lit(1 << depth)).cast("long"))
-    leaves = staged(placed.groupBy("source_no", F.col("shard").alias("leaf")).agg(F.sum("size").alias("words")), "mix-leaves")
-    roots = sources.select("source_no", F.col("source_size").alias("words"), F.col("rest").alias("quota"))
-    quotas = staged(split_quotas(leaves, roots, depth), "mix-quotas").withColumnRenamed("leaf", "shard")
-    drawn = placed.drop("rest").join(quotas, ["source_no", "shard"], "left")
-    turn = Window.partitionBy("source_no", "shard").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rest = F.greatest(F.lit(0), F.least("size", F.coalesce("quota", F.lit(0)) - F.coalesce(F.sum("size").over(turn), F.lit(0))))
-    drawn = drawn.withColumn("rest", rest).withColumn("taken", F.col("passes") * F.col("size") + F.col("rest"))
+    by_source = sized.select(F.col("_source").alias("source"), "size")
+    counts = by_source.groupBy(F.col("source").alias("_named")).agg(F.count("*").alias("docs"))
+    sources = source_targets(by_source, weights).join(counts, F.col("source").eqNullSafe(F.col("_named")))
+    sources = staged(sources.withColumn("depth", depth_of(F.col("docs"))), "mix-sources")
+    docs_in_all, deepest = sources.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.max("depth"), F.lit(0))).first()
+    shards = 1 << max(0, math.ceil(math.log2(max(1, docs_in_all) / LEAF_DOCS)))
+    placed = sized.join(sources.drop("source", "docs"), F.col("_source").eqNullSafe(F.col("_named")))
+    placed = placed.withColumns({
+        "shard": F.pmod("place", F.lit(shards)).cast("long"), "leaf": F.expr("pmod(place, shiftleft(1L, depth))"),
+    })
+    leaves = staged(placed.groupBy("source_no", "depth", "leaf").agg(F.sum("size").alias("words")), "mix-leaves")
+    roots = sources.select("source_no", "depth", F.col("source_size").alias("words"), F.col("rest").alias("quota"))
+    quotas = staged(split_quotas(leaves, roots, deepest), "mix-quotas")
+    narrow = placed.select("source_no", "leaf", "place", "size").join(quotas, ["source_no", "leaf"])
+    rounded = staged(round_leaves(fill_leaves(narrow)), "mix-rounded")
+    leaf_rows = quotas.join(rounded, ["source_no", "leaf"], "left")
+    drawn = fill_leaves(placed.drop("rest").join(leaf_rows, ["source_no", "leaf"], "left"))
+    cut = (F.col("part") > 0) & (F.col("part") < F.col("size"))
+    drawn = drawn.withColumn("rest", F.when(cut, F.col("rounded")).otherwise(F.col("part")))
+    drawn = drawn.withColumn("taken", F.col("passes") * F.col("size") + F.col("rest"))
     return drawn.select(*kept, "size", "source_size", "target", "taken", "passes", "rest", "shard", "place")
 
 
@@ -145,20 +191,23 @@ def mixed_blocks(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: one row per copy of a document or of its first words, with the columns of ``docs``, ``taken`` words,
     ``shard``, and the random ``place`` by which rows of a shard are ordered.
 
-    Columns of ``docs`` with these names are replaced; the cut words are joined by single spaces.
+    Columns of ``docs`` with these names are replaced. One document per source may be cut; what is left of it keeps its line ends and spaces.
     """
     docs = docs.drop("taken", "shard", "place")
     held = [f"_c{i}" for i in range(len(docs.columns))]
     names = dict(zip(docs.columns, held))
     drawn = mix(docs.toDF(*held), names[text], names[options.pop("source", "source")], keep_text=True, **options)
     body = F.col(names[text])
-    cut = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), 1, F.col("rest").cast("int")), " ")
+    first = F.col("rest").cast("int")
+    pieces = F.arrays_zip(
+        F.slice(F.split(body, WORD, -1), 1, first).alias("gap"), F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), 1, first).alias("word"))
+    cut = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], p["word"])), "")
     copies = F.when(F.col("passes") > 0, F.sequence(F.lit(1).cast("long"), "passes")).otherwise(F.array().cast("array<bigint>"))
     copies = F.when(F.col("rest") > 0, F.array_append(copies, F.lit(0).cast("long"))).otherwise(copies)
     rows = drawn.where(F.col("taken") > 0).withColumn("_copy", F.explode(copies))
     words = F.when(F.col("_copy") == 0, F.col("rest")).otherwise(F.col("size"))
     place = F.xxhash64("place", "_copy")
     return rows.select(
-        *[F.when(F.col("_copy") == 0, cut).otherwise(body).alias(t) if t == names[text] else F.col(t) for t in held],
+        *[F.when((F.col("_copy") == 0) & (F.col("rest") < F.col("size")), cut).otherwise(body).alias(t) if t == names[text] else F.col(t) for t in held],
         words.alias("taken"), "shard", place.alias("place"),
     ).toDF(*docs.columns, "taken", "shard", "place")
