@@ -238,3 +238,20 @@ def test_labels_are_the_best_path():
 
         best = max(map(value, itertools.product(range(3), repeat=len(scores))))
         assert value(languages.label_words(scores)) == pytest.approx(best)
+
+
+def test_texts_of_no_learned_language_are_not_kept(spark):
+    import random
+
+    rng = random.Random(2)
+    words = {"en": "the cat and dog with bird house garden morning water".split(), "de": "der hund und die katze mit dem vogel haus morgen".split()}
+    rows = [(i, " ".join(rng.choices(words[lang], k=40)), lang, "s") for i, lang in enumerate(["en", "de"] * 60)]
+    polish = "wszystkie dzieci szybko przyszly zeby zobaczyc nowego czlowieka gdzies daleko "
+    odd = ["漢字仮名交文章" * 40 + " cat", "Это текст на русском языке " * 20 + "the", "Ελληνικό κείμενο " * 30 + "dog", polish * 4]
+    own = ["the cat and the dog with the bird " * 4 + "漢字", "der hund — und die katze — mit dem vogel " * 4]
+    more = [(1000 + i, t, None, "s") for i, t in enumerate(odd + own)]
+    kept = {r["doc_id"] for r in languages.keep_identified(spark.createDataFrame(rows + more, SCHEMA)).collect()}
+    assert kept == {r[0] for r in rows} | {1004, 1005}
+    model = languages.train(spark.createDataFrame(rows, SCHEMA))
+    scores = {r["doc_id"]: r["score"] for r in languages.identify(spark.createDataFrame(more, SCHEMA), model).collect()}
+    assert scores[1000] < 0.01 and scores[1004] == pytest.approx(104 / 110) and scores[1005] == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -22,6 +23,11 @@ SMOOTHING = 0.5
 MIN_SCRIPT_SHARE = 0.01
 #: Share of its letters that a text's language must have for `keep_identified`.
 MIN_SHARE = 0.3
+#: A text fits its language if its mean log-probability per trigram is at most this many standard deviations below the mean of the
+#: labelled texts of its size (in powers of two) in that language; classes of fewer rows take the language's own mean. Floor of a deviation.
+MAX_DEVIATION = 6.0
+MIN_CLASS_ROWS = 30
+MIN_DEVIATION = 0.1
 #: Most that one word can count against a language, and the price of changing the language between two words.
 WORD_CAP = 6.0
 SWITCH = 15.0
@@ -78,12 +84,21 @@ class Features:
         # A word's stretch runs to the next word's start; what lies between is no letter.
         self.scripts = np.maximum.reduceat(scripts, self.starts).astype(np.int64) if len(words) else np.zeros(0, dtype=np.int64)
         self.sizes = self.ends - self.starts
+        # Bytes of letters: words of no listed script may be dashes or quotes.
+        self.letters = self.sizes.copy()
+        for k in np.flatnonzero(self.scripts == 0).tolist():
+            self.letters[k] = letter_bytes(part[self.starts[k] : self.ends[k]].tobytes().decode(errors="ignore"))
 
     def per_word(self, values: np.ndarray) -> np.ndarray:
         sums = np.concatenate(([0.0], np.cumsum(values)))
         return sums[self.ends] - sums[self.starts]
 
 
+def letter_bytes(word: str) -> int:
+    """Bytes of the letters and their marks."""
+    return sum(len(c.encode()) for c in word if c.isalpha() or unicodedata.category(c)[0] == "M")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Model from all rows with a text and a language: languages, log-probabilities of trigrams, allowed scripts, row counts."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -127,15 +142,16 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     return {"langs": langs, "chance": chance, "allowed": allowed.T, "rows": counts[:, -1]}
 
 
-def word_scores(found: Features, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(score of each word in each language, at most 0 and at least -`WORD_CAP`; words that have a candidate at all)."""
+def word_scores(found: Features, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score of each word in each language, at most 0 and at least -`WORD_CAP`; words that have a candidate at all; log-probabilities)."""
     scores = np.stack([found.per_word(chance[found.codes]) for chance in model["chance"]], axis=1)
     allowed = model["allowed"][found.scripts]
-    judged = allowed.any(axis=1)
+    judged = allowed.any(axis=1) & (found.letters > 0)
+    logs = scores.copy()
     scores[~allowed] = -np.inf
     scores[~judged] = 0.0
     scores -= scores.max(axis=1, keepdims=True)
-    return np.maximum(scores, -WORD_CAP), judged
+    return np.maximum(scores, -WORD_CAP), judged, logs
 
 
 def label_words(scores: np.ndarray) -> np.ndarray:
@@ -162,8 +178,8 @@ def label_words(scores: np.ndarray) -> np.ndarray:
 
 
 def identify(docs: DataFrame, model: dict, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (share of the judged letters' bytes in that language) and ``lang_spans`` (language, first
-    word, end), the text itself only if asked.
+    """``docs`` with ``lang_pred``, ``score`` (share of the bytes of all letters in that language), ``lang_spans`` (language, first word,
+    end), and ``fit`` (mean log-probability per trigram of its words in that language) over ``n_fit`` trigrams, the text only if asked.
 
     Words are runs of letters. NULL texts and texts without a letter give ``und`` and 0, as do all with a model that learned nothing;
     texts without a word in a script of any learned language get the language with the most rows, and 0. Ties go to the first language
@@ -175,28 +191,35 @@ def identify(docs: DataFrame, model: dict, text: str = "text", keep_text: bool =
     def make(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
         model = held.value
         langs = model["langs"]
-        names, shares, spans = [], [], []
+        names, shares, spans, fits, grams = [], [], [], [], []
         found = Features(texts, lo, hi)
-        scores, judged = word_scores(found, model) if langs else (None, None)
+        scores, judged, logs = word_scores(found, model) if langs else (None, None, None)
         for row in range(hi - lo):
             a, b = int(found.words.first[row]), int(found.words.first[row + 1])
             if not langs or a == b or not _has_letter(texts, lo + row, found.scripts[a:b]):
-                names.append(UNKNOWN), shares.append(0.0), spans.append([])
+                names.append(UNKNOWN), shares.append(0.0), spans.append([]), fits.append(None), grams.append(0)
                 continue
-            sizes = found.sizes[a:b] * judged[a:b]
+            sizes = found.letters[a:b] * judged[a:b]
             if not sizes.any():
-                names.append(langs[int(model["rows"].argmax())]), shares.append(0.0), spans.append([])
+                names.append(langs[int(model["rows"].argmax())]), shares.append(0.0), spans.append([]), fits.append(None), grams.append(0)
                 continue
             labels = label_words(scores[a:b])
             total = np.bincount(labels, weights=sizes, minlength=len(langs))
-            names.append(langs[int(total.argmax())])
-            shares.append(float(total.max() / total.sum()))
+            lang = int(total.argmax())
+            names.append(langs[lang])
+            shares.append(float(total.max() / found.letters[a:b].sum()))
+            own = judged[a:b] & (labels == lang)
+            grams.append(int(found.sizes[a:b][own].sum()))
+            fits.append(float(logs[a:b, lang][own].sum() / max(grams[-1], 1)))
             cuts = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), b - a]
             spans.append([{"lang": langs[labels[x]], "start": x, "end": y} for x, y in zip(cuts, cuts[1:])])
         kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        return [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, kind)]
+        return [
+            pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, kind), pa.array(fits, pa.float64()), longs(grams),
+        ]
 
     out = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", T.ArrayType(span))]
+    out += [T.StructField("fit", T.DoubleType()), T.StructField("n_fit", T.LongType())]
     return map_texts(docs.drop(*[f.name for f in out]), text, out, make, keep_text)
 
 
@@ -210,9 +233,37 @@ def fold(doc_id: Column) -> Column:
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SHARE, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without those that no learned language fits: no letters, or less than ``min_score`` of the text in its language."""
+    """``docs`` without those that no learned language fits: no letters, less than ``min_score`` of all letters in its language, or a
+    mean log-probability far below that of the labelled texts of this language and size; see `MAX_DEVIATION`.
+
+    Languages without a rightly predicted labelled text judge no fit.
+    """
     held = [f"_c{i}" for i in range(len(docs.columns))]
     names = dict(zip(docs.columns, held))
     rows = docs.toDF(*held)
-    found = identify(rows, train(rows, names[text], names[lang]), names[text], keep_text=True)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*held).toDF(*docs.columns)
+    model = train(rows, names[text], names[lang])
+    own = identify(rows.select(names[lang], names[text]), model, names[text]).where(F.col(names[lang]) == F.col("lang_pred"))
+    found = identify(rows, model, names[text], keep_text=True).withColumn("_class", _size_class())
+    # At most 64 rows per language.
+    found = found.join(F.broadcast(fit_limits(own)), ["lang_pred", "_class"], "left")
+    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (F.col("lowest").isNull() | (F.col("fit") >= F.col("lowest")))
+    return found.where(kept).select(*held).toDF(*docs.columns)
+
+
+def _size_class() -> Column:
+    return F.floor(F.log2(F.greatest(F.col("n_fit"), F.lit(1)))).cast("int")
+
+
+def fit_limits(own: DataFrame) -> DataFrame:
+    """Lowest ``fit`` by (``lang_pred``, ``_class`` of size) from identified texts that are labelled in their language."""
+    def lowest(mean, spread):
+        return F.col(mean) - MAX_DEVIATION * F.greatest(F.coalesce(spread, F.lit(0.0)), F.lit(MIN_DEVIATION))
+
+    by_class = own.groupBy("lang_pred", _size_class().alias("_class")).agg(
+        F.count("fit").alias("n"), F.avg("fit").alias("mean"), F.stddev("fit").alias("spread"))
+    whole = own.groupBy("lang_pred").agg(F.avg("fit").alias("mean_all"), F.stddev("fit").alias("spread_all"))
+    every = whole.withColumn("_class", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    return every.join(by_class, ["lang_pred", "_class"], "left").select(
+        "lang_pred", "_class",
+        F.when(F.col("n") >= MIN_CLASS_ROWS, lowest("mean", F.col("spread"))).otherwise(lowest("mean_all", F.col("spread_all"))).alias("lowest"),
+    )
