@@ -255,3 +255,25 @@ def test_texts_of_no_learned_language_are_not_kept(spark):
     model = languages.train(spark.createDataFrame(rows, SCHEMA))
     scores = {r["doc_id"]: r["score"] for r in languages.identify(spark.createDataFrame(more, SCHEMA), model).collect()}
     assert scores[1000] < 0.01 and scores[1004] == pytest.approx(104 / 110) and scores[1005] == 1
+
+
+def test_two_languages_beat_a_third_close_to_both():
+    import numpy as np
+
+    def viterbi(scores):
+        now = scores[0]
+        for row in scores[1:]:
+            now = np.maximum(now, now.max() - languages.SWITCH) + row
+        return now.max()
+
+    def value(scores, path):
+        return scores[np.arange(len(path)), path].sum() - languages.SWITCH * (np.diff(path) != 0).sum()
+
+    split = np.array([[0.0, -6, -2]] * 5 + [[-6.0, 0, -2]] * 5)
+    assert languages.label_words(split).tolist() == [0] * 5 + [1] * 5
+    rng = np.random.default_rng(4)
+    for n in range(400):
+        k = 3 + n % 4
+        pull = np.repeat(rng.uniform(0, 6, size=(4, k)), rng.integers(1, 9, size=4), axis=0)
+        scores = -np.minimum(pull * rng.uniform(0.3, 1.2, size=pull.shape), languages.WORD_CAP)
+        assert value(scores, languages.label_words(scores)) == pytest.approx(viterbi(scores))

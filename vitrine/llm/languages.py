@@ -159,8 +159,9 @@ def label_words(scores: np.ndarray) -> np.ndarray:
     best = int(scores.sum(axis=0).argmax())
     gains = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     lowest = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gains[:-1]]), axis=0)
-    # No stretch gains more in any one other language than a single change costs: one language is the best path.
-    if (gains - lowest).max() <= SWITCH:
+    # If k >= 2 stretches in other languages each gain at most half the price, they gain no more than their k - 1 changes cost; a
+    # single one that is the whole text gains nothing, and any other pays for a change: one language is the best path.
+    if (gains - lowest).max() <= SWITCH / 2:
         return np.full(len(scores), best)
     states = range(scores.shape[1])
     now, back = scores[0].tolist(), []
