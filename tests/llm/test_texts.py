@@ -277,3 +277,12 @@ def test_two_languages_beat_a_third_close_to_both():
         pull = np.repeat(rng.uniform(0, 6, size=(4, k)), rng.integers(1, 9, size=4), axis=0)
         scores = -np.minimum(pull * rng.uniform(0.3, 1.2, size=pull.shape), languages.WORD_CAP)
         assert value(scores, languages.label_words(scores)) == pytest.approx(viterbi(scores))
+
+
+@pytest.mark.parametrize("body", ["ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ ᎠᏂᏴᏫᏯ", "ગુજરાતી ભાષા છે", "ꯃꯩꯇꯩ ꯂꯣꯟ ꯑꯁꯤ", "𞤆𞤵𞤤𞤢𞤪 𞤢𞤣𞤤𞤢𞤥", "မြန်မာ စာ", "ಕನ್ನಡ ಭಾಷೆ"])
+def test_languages_of_any_script_are_learned(spark, body):
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate([("the cat and — the dog with the bird", "en"), (body, "own")] * 20 + [("the dog", "en")])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = languages.identify(df, languages.train(df)).collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] == 1 for r in found)
+    assert languages.keep_identified(df).count() == len(rows)

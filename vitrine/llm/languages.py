@@ -32,11 +32,15 @@ MIN_DEVIATION = 0.1
 WORD_CAP = 6.0
 SWITCH = 15.0
 
-#: Ranges of code points and their script, in blocks of 64; ASCII letters are Latin.
+#: Ranges of code points and their script, in blocks of 64 (beyond U+FFFF of 4,096); ASCII letters are Latin, all letters outside the
+#: ranges are one more script.
 SCRIPT_RANGES = (
     (0x00C0, 0x024F, "latin"), (0x1E00, 0x1EFF, "latin"), (0x0370, 0x03FF, "greek"), (0x1F00, 0x1FFF, "greek"), (0x0400, 0x052F, "cyrillic"),
     (0x0540, 0x057F, "armenian"), (0x05C0, 0x05FF, "hebrew"), (0x0600, 0x077F, "arabic"), (0x0900, 0x097F, "devanagari"),
-    (0x0980, 0x09FF, "bengali"), (0x0B80, 0x0BFF, "tamil"), (0x0C00, 0x0C7F, "telugu"), (0x0E00, 0x0E7F, "thai"), (0x10C0, 0x10FF, "georgian"),
+    (0x0980, 0x09FF, "bengali"), (0x0A00, 0x0A7F, "gurmukhi"), (0x0A80, 0x0AFF, "gujarati"), (0x0B00, 0x0B7F, "odia"), (0x0B80, 0x0BFF, "tamil"), (0x0C00, 0x0C7F, "telugu"), (0x0C80, 0x0CFF, "kannada"), (0x0D00, 0x0D7F, "malayalam"),
+    (0x0D80, 0x0DFF, "sinhala"), (0x0E00, 0x0E7F, "thai"), (0x0E80, 0x0EFF, "lao"), (0x0F00, 0x0FFF, "tibetan"), (0x1000, 0x107F, "myanmar"),
+    (0x0700, 0x073F, "syriac"), (0x0780, 0x07BF, "thaana"), (0x07C0, 0x07FF, "nko"), (0x1400, 0x167F, "syllabics"), (0x1800, 0x18BF, "mongolian"),
+    (0x2D40, 0x2D7F, "tifinagh"), (0xA000, 0xA4BF, "yi"), (0xA980, 0xA9FF, "javanese"), (0x20000, 0x3FFFF, "han"), (0x10C0, 0x10FF, "georgian"),
     (0x1200, 0x137F, "ethiopic"), (0x1780, 0x17FF, "khmer"), (0x3040, 0x30FF, "kana"), (0x3400, 0x9FFF, "han"), (0xAC00, 0xD7BF, "hangul"),
 )
 SCRIPTS = ("", "latin", *dict.fromkeys(name for _, _, name in SCRIPT_RANGES if name != "latin"))
@@ -119,7 +123,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
                     held = counts[name]
                     held[:BUCKETS] += np.bincount(found.codes[inside[own[byte_rows]]], minlength=BUCKETS)
                     mine = own[found.words.rows]
-                    held[BUCKETS:-1] += np.bincount(found.scripts[mine], weights=found.sizes[mine], minlength=len(SCRIPTS)).astype(np.int64)
+                    held[BUCKETS:-1] += np.bincount(found.scripts[mine], weights=found.letters[mine], minlength=len(SCRIPTS)).astype(np.int64)
                     held[-1] += int(own.sum())
         for name, held in counts.items():
             some = np.flatnonzero(held)
@@ -138,7 +142,6 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     grams, scripts = counts[:, :BUCKETS], counts[:, BUCKETS:-1]
     chance = np.log((grams + SMOOTHING) / (grams.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)).astype(np.float32)
     allowed = scripts >= MIN_SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
-    allowed[:, 0] = False
     return {"langs": langs, "chance": chance, "allowed": allowed.T, "rows": counts[:, -1]}
 
 
