@@ -143,6 +143,19 @@ def test_common_lines_deplete_documents(spark):
     assert all(found[i]["kept"] and found[i]["n_boilerplate"] == 0 for i in range(14, 34))
 
 
+def test_common_lines_are_removed_on_request(spark):
+    line = "Share  this\tPage"
+    own = [f"head {i}\r\n\n{line.upper() if i % 2 else line}\n" + " ".join(f"é{i}z{j}" for j in range(12)) for i in range(14)]
+    df = docs(spark, *own, None, "", line).withColumn("_lost", F.lit(1))
+    found = {r["doc_id"]: r for r in quality.judge_quality(df, clean_text=True).collect()}
+    for i in range(14):
+        assert found[i]["text"] == f"head {i}\r\n\n" + " ".join(f"é{i}z{j}" for j in range(12)) and found[i]["kept"]
+        assert found[i]["n_words"] - found[i]["n_boilerplate"] == len(SPACED.findall(found[i]["text"]))
+    assert (found[14]["text"], found[15]["text"], found[16]["text"]) == (None, "", "")
+    other = quality.judge_quality(df.withColumn("source", F.col("doc_id").cast("string")), clean_text=True).collect()
+    assert all(r["text"] == dict(enumerate([*own, None, "", line]))[r["doc_id"]] for r in other)
+
+
 # decontamination
 
 

@@ -32,6 +32,26 @@ def _line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little", signed=True)
 
 
+def _line_key(spoken: list[bytes]) -> int:
+    return _line_hash(b" ".join(spoken).lower())
+
+
+def _without_lines(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the lines whose key is in ``_lost`` taken out of the text; all others stay as they are."""
+
+    def strip(body: bytes, lost: set[int]) -> bytes:
+        return b"\n".join(x for x in body.split(b"\n") if not (spoken := x.split()) or _line_key(spoken) not in lost)
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            bodies, lost = batch.column(at).cast(pa.large_binary()).to_pylist(), batch.column("_lost").to_pylist()
+            made = pa.array([strip(b, set(k)) if b and k else b for b, k in zip(bodies, lost)], pa.large_binary())
+            yield batch.set_column(at, batch.schema.field(at), made.cast(pa.large_string()).cast(batch.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _measure(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
     words = Words(texts, lo, hi, SPACED, EXACT_TABLE)
     origin, bounds = texts.bounds[lo], texts.bounds[lo : hi + 1] - texts.bounds[lo]
@@ -59,7 +79,7 @@ def _measure(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
                 continue
             dup += line in seen
             seen.add(line)
-            key = _line_hash(b" ".join(spoken).lower())
+            key = _line_key(spoken)
             held[key] = held.get(key, 0) + len(spoken)
         dups.append(dup)
         lines.append([{"line": k, "words": n} for k, n in held.items()])
@@ -72,9 +92,9 @@ def _measure(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
 
 def judge_quality(
     docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = LINE_MIN_DOCS, max_share: float = LINE_MAX_SHARE,
-    min_left: float = MIN_LEFT_SHARE,
+    min_left: float = MIN_LEFT_SHARE, clean_text: bool = False,
 ) -> DataFrame:
-    """``docs`` without its text, with the measures, ``base_failed``, ``n_boilerplate`` (words in common lines) and ``kept``.
+    """``docs`` without its text, or on request (``clean_text``) with it less its common lines; with the measures, ``base_failed``, ``n_boilerplate`` (words in common lines) and ``kept``.
 
     Lines are compared lower-cased (A-Z) with runs of whitespace as one space. A line counts once per distinct text, so copies of a
     document do not make its lines common. NULL hosts form one host; NULL and empty texts have no words and fail;
@@ -82,17 +102,20 @@ def judge_quality(
     """
     out = [T.StructField(m, T.LongType()) for m in MEASURES]
     out += [T.StructField("_key", T.BinaryType()), T.StructField("_lines", T.ArrayType(_LINE))]
-    docs = docs.drop(*MEASURES, "_key", "_lines", "_host", "base_failed", "n_boilerplate", "kept")
+    docs = docs.drop(*MEASURES, "_key", "_lines", "_lost", "_host", "base_failed", "n_boilerplate", "kept")
     docs = docs.withColumn("_host", F.xxhash64(F.col(host).isNull(), F.coalesce(F.col(host).cast("string"), F.lit(""))))
-    measured = staged(map_texts(docs, text, out, _measure), "quality")
+    measured = staged(map_texts(docs, text, out, _measure, keep_text=clean_text), "quality")
     lines = measured.select("_host", "_key", F.inline("_lines")).distinct()
     sizes = measured.select("_host", "_key").distinct().groupBy("_host").agg(F.count("*").alias("host_docs"))
     common = (
         lines.groupBy("_host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
         .join(sizes, "_host").where(F.col("docs") > F.col("host_docs") * max_share).select("_host", "line")
     )
-    lost = lines.join(common, ["_host", "line"], "left_semi").groupBy("_host", "_key").agg(F.sum("words").alias("n_boilerplate"))
+    sums = [F.sum("words").alias("n_boilerplate"), *[F.collect_list("line").alias("_lost")] * clean_text]
+    lost = lines.join(common, ["_host", "line"], "left_semi").groupBy("_host", "_key").agg(*sums)
     judged = measured.drop("_lines").join(lost, ["_host", "_key"], "left").fillna(0, ["n_boilerplate"])
+    if clean_text:
+        judged = _without_lines(judged, text).drop("_lost")
     left = F.col("n_words") - F.col("n_boilerplate")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     return judged.withColumns({
