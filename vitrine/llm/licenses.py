@@ -14,14 +14,12 @@ from vitrine.llm.words import FOLDED_TABLE, LETTERS, Texts, Words, longs, map_te
 
 #: Phrases and labels of the contract.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Words that one replaceable region may stand for, at most.
-MAX_REPLACED = 24
 
-#: (label, template). ``<<beginOptional>>…<<endOptional>>`` may be left out, ``<<var>>`` stands for 0 to `MAX_REPLACED` words.
+#: (label, template). ``<<beginOptional>>…<<endOptional>>`` may be left out, ``<<var>>`` stands for any words, ``<<var n>>`` for n at most.
 TEMPLATES = (
-    ("cc-by-nc-4.0", "<<beginOptional>>This <<var>> is <<endOptional>>licensed under <<beginOptional>>a <<endOptional>>"
+    ("cc-by-nc-4.0", "<<beginOptional>>This <<var 24>> is <<endOptional>>licensed under <<beginOptional>>a <<endOptional>>"
                      "<<beginOptional>>Creative Commons <<endOptional>>CC BY NC 4.0<<beginOptional>> International<<endOptional>>"),
-    ("gpl-3.0", "<<beginOptional>>This <<var>> is <<endOptional>>licensed under the <<beginOptional>>terms of the <<endOptional>>"
+    ("gpl-3.0", "<<beginOptional>>This <<var 24>> is <<endOptional>>licensed under the <<beginOptional>>terms of the <<endOptional>>"
                 "GNU General Public License<<beginOptional>> GPL<<endOptional>> version 3<<beginOptional>> or any later version<<endOptional>>"),
     ("apache-2.0", "Licensed under the Apache License Version 2.0<<beginOptional>> the License <<beginOptional>>you may not use this file "
                    "except in compliance with the License<<endOptional>><<endOptional>>"),
@@ -33,7 +31,7 @@ TEMPLATES = (
             "provided that the following conditions are met<<endOptional>>"),
     ("copyright", "Copyright <<var>> All rights reserved"),
 )
-_MARK = re.compile(r"<<(beginOptional|endOptional|var)[^>]*>>")
+_MARK = re.compile(r"<<(beginOptional|endOptional|var)\s*(\d*)>>")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _ANY = None
 
@@ -43,25 +41,31 @@ def fold(text: str) -> str:
 
 
 class Automaton:
-    """States 0..n with word moves and free moves; state n accepts."""
+    """States 0..n with word moves and free moves; state n accepts. States of an unbounded region loop on any word."""
 
     def __init__(self, template: str) -> None:
         self.moves: list[list[tuple[str | None, int]]] = [[]]
         self.free: list[list[int]] = [[]]
+        self.loops: set[int] = set()
         opened: list[int] = []
-        at = 0
         for piece in re.split(r"(<<[^>]*>>)", template):
             mark = _MARK.fullmatch(piece)
             if mark and mark[1] == "beginOptional":
                 opened.append(self._last)
             elif mark and mark[1] == "endOptional":
                 self.free[opened.pop()].append(self._last)
-            elif mark:
+            elif mark and mark[2]:
                 at = self._last
-                for _ in range(MAX_REPLACED):
+                for _ in range(int(mark[2])):
                     self._add(_ANY)
                 for state in range(at, self._last):
                     self.free[state].append(self._last)
+            elif mark:
+                # A state of its own, so that an optional region that begins here can still be skipped as a whole.
+                self.free[-1].append(len(self.moves))
+                self.moves.append([(_ANY, len(self.moves))])
+                self.free.append([])
+                self.loops.add(self._last)
             else:
                 for word in _WORD.findall(fold(piece)):
                     self._add(word)
@@ -92,16 +96,35 @@ class Automaton:
             raise ValueError("a template needs a fixed first word")
         return words
 
-    def longest(self, word_at, start: int, end: int) -> int:
-        """End of the longest match of words start..end, or -1."""
-        states, best = self.closure({0}), -1
-        for k in range(start, end):
+    def match(self, word_at, start: int, end: int, seen: dict) -> int:
+        """End of the match of words start..end, or -1: the first end, moved on by fixed words of optional regions that follow it.
+
+        ``seen`` keeps, per row, what a run that only waited in its unbounded regions came to: later starts that wait in the same
+        ones reach the same end, so that each stretch of a row is read once per template however often its first word occurs.
+        """
+        states, best, k = self.closure({0}), -1, start
+        waits: list[tuple[frozenset, int, int]] = []
+        while k < end and states:
+            waiting = states & self.loops
+            if best < 0 and waiting and states == self.closure(waiting):
+                key = frozenset(waiting)
+                known = seen.get(key)
+                if known and known[0] <= k <= known[1]:
+                    best = known[2]
+                    break
+                if waits and waits[-1][0] == key:
+                    waits[-1] = (key, waits[-1][1], k)
+                else:
+                    waits.append((key, k, k))
             word = word_at(k)
-            states = self.closure({to for s in states for want, to in self.moves[s] if want is _ANY or want == word})
-            if not states:
-                break
+            states = self.closure({
+                to for s in states for want, to in self.moves[s] if want == word or (want is _ANY and best < 0)
+            })
+            k += 1
             if self._last in states:
-                best = k + 1
+                best = k
+        for key, first, last in waits:
+            seen[key] = (first, last if best >= 0 else end, best)
         return best
 
 
@@ -116,9 +139,10 @@ def scan_licenses(
 ) -> DataFrame:
     """``docs`` without its text, with ``n_words`` and ``license_spans``: (label, start, end, base) in words, end exclusive.
 
-    Phrases give a span at every place; templates the longest match from every start at which one exists. Optional regions may be
-    absent, replaceable ones hold any words, all other words must match. NULL and empty texts have no words and no spans;
-    repeated rows each get their result; other columns pass through (those named like a result column are replaced).
+    Phrases give a span at every place. A template matches from a start to the first place where its wording is complete, and on over
+    optional wording that follows; of matches with one label and end, the first start counts. Optional regions may be absent,
+    replaceable ones hold any words (or as many as their markup says), all other words must match. NULL and empty texts have no words
+    and no spans; repeated rows each get their result; other columns pass through (those named like a result column are replaced).
     """
     span = T.StructType([T.StructField("label", T.StringType()), T.StructField("start", T.IntegerType()),
                          T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType())])
@@ -133,6 +157,8 @@ def scan_licenses(
     def make(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
         words = Words(texts, lo, hi, LETTERS, FOLDED_TABLE)
         spans: list[list[dict]] = [[] for _ in range(hi - lo)]
+        seen: dict[tuple[int, int], dict] = {}
+        closed: set[tuple[int, str, int]] = set()
 
         def word_at(k: int) -> str:
             return texts.data[words.starts[k] : words.ends[k]].tobytes().lower().decode()
@@ -140,8 +166,10 @@ def scan_licenses(
         for k in np.flatnonzero(np.isin(words.hash, keys)).tolist():
             row = int(words.rows[k])
             for label, automaton, is_base in openers.get(word_at(k), ()):
-                end = automaton.longest(word_at, k, int(words.first[row + 1]))
-                if end > 0:
+                end = automaton.match(word_at, k, int(words.first[row + 1]), seen.setdefault((row, id(automaton)), {}))
+                if end > 0 and (is_base or (row, label, end) not in closed):
+                    if not is_base:
+                        closed.add((row, label, end))
                     at = int(words.first[row])
                     spans[row].append({"label": label, "start": k - at, "end": end - at, "base": is_base})
         kind = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
