@@ -252,9 +252,9 @@ def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dealt(part: str) -> dict:
     """Queries or SQL of the training-data operators and their pipeline, where these are there."""
-    found = {}
-    if importlib.util.find_spec("vitrine.llm") is not None:
-        found |= getattr(importlib.import_module(f"vitrine.llm.{part}"), part.upper())
+    if importlib.util.find_spec("vitrine.llm") is None:
+        return {}
+    found = dict(getattr(importlib.import_module(f"vitrine.llm.{part}"), part.upper()))
     if importlib.util.find_spec("corpus_pipeline") is not None:
         pipeline = importlib.import_module("corpus_pipeline")
         found |= {"pipeline": pipeline.run} if part == "queries" else {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
