@@ -136,10 +136,15 @@ URLS = [
 ]
 
 
+def clashing(df):
+    """With columns named like those the operator works with, and one of a result's name."""
+    return df.withColumns({"mined": F.lit(1), "tokens": F.lit(2), "ruled": F.lit(3), "reps": F.lit(4), "_c0": F.lit(5), "host": F.lit("own")})
+
+
 def test_rules_match_brute_force(spark):
     df = spark.createDataFrame([(i, u, "own") for i, u in enumerate(URLS)], "page_id long, url string, verdict string")
-    found = {r["page_id"]: r for r in urls.judge_urls(df.drop("verdict").withColumn("extra", F.lit(1))).collect()}
-    assert len(found) == len(URLS)
+    found = {r["page_id"]: r for r in urls.judge_urls(clashing(df)).collect()}
+    assert len(found) == len(URLS) and all((r["mined"], r["tokens"], r["ruled"], r["reps"]) == (1, 2, 3, 4) for r in found.values())
     for i, url in enumerate(URLS):
         host, path = split_url(url)
         rule, verdict = ruled(host, path)
@@ -148,6 +153,24 @@ def test_rules_match_brute_force(spark):
     assert urls.judge_urls(df.where("false")).count() == 0
 
 
+def test_words_of_one_template_make_one_class(spark):
+    words = "/".join(f"w{chr(97 + i // 5)}{chr(97 + i % 5)}" for i in range(25))
+    rows = [f"http://a.net/fr/{words}/{i}" for i in range(40)] + [f"http://b.com/{chr(97 + i % 7) * 3}" for i in range(300)]
+    asked = [f"http://c.org/{w}" for w in words.split("/")] + [f"http://c.org/{words}", "http://c.org/ccc", "http://c.org/" + "x/" * 50_000]
+    df = spark.createDataFrame(list(enumerate(rows + asked)), "page_id long, url string")
+    found = [r["verdict"] for r in urls.judge_urls(df).orderBy("page_id").collect()]
+    assert found == ["block"] * 40 + ["allow"] * 300 + ["block"] * 26 + ["allow"] * 2
+
+
+def test_token_classes_match_brute_force(spark):
+    rng = random.Random(8)
+    sets = [sorted({t for t in "abcdefg" if rng.random() < 0.5} | ({"x", "y"} if rng.random() < 0.5 else set())) for _ in range(12)]
+    rows = sets + sets[:5]
+    found = {r["token"]: r["rep"] for r in urls.token_classes(spark.createDataFrame([(s,) for s in rows], "tokens array<string>")).collect()}
+    where = {t: tuple(t in s for s in rows) for s in rows for t in s}
+    assert found == {t: min(o for o in where if where[o] == where[t]) for t in where}
+
+
 def test_mined_rules_match_brute_force(spark):
     rng = random.Random(4)
     names = ["h:a", "h:b", "p:x", "p:y", "p:z"]
@@ -197,7 +220,7 @@ def test_mixing_takes_exact_quotas(spark):
     rng = random.Random(8)
     rows = [(i, "w " * rng.randrange(0, 60), "en", rng.choice(["big"] * 6 + ["a", "é", "z", None, "tiny"][: 1 + i % 5])) for i in range(1500)]
     rows += [(1500, None, "en", "a"), (1501, "", "en", "none"), (7, rows[7][1], "en", rows[7][3])]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("rest", F.lit("own"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({"rest": F.lit("own"), "_source": F.lit(1), "_named": F.lit(2)})
     first, again = (mixing.mix(df).collect() for _ in range(2))
     key = lambda r: (r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"])
     assert sorted(map(key, first)) == sorted(map(key, again)) and len(first) == len(rows)

@@ -130,19 +130,20 @@ def fill_leaves(placed: DataFrame) -> DataFrame:
 def round_leaves(filled: DataFrame) -> DataFrame:
     """(``source_no``, ``leaf``, ``rounded``): words to take of the one partial document of each leaf that `fill_leaves` left with one.
 
-    The parts of a source sum to the same words as before, but go to whole documents in order of the leaves, so that at most one
-    document per source stays partial. Sums run over spans of `LEAF_SPAN` leaves first: no source is ordered in one task.
+    The parts of a source sum to the same words as before, but go to whole documents in a random order of the leaves, so that at most
+    one document per source stays partial and no leaf is favoured. Sums run over spans of `LEAF_SPAN` leaves first: no source is ordered in one task.
     """
     last = filled.where((F.col("part") > 0) & (F.col("part") < F.col("size"))).select(
         "source_no", "leaf", "size", "part", F.shiftright("leaf", LEAF_SPAN.bit_length() - 1).alias("span"))
     last = staged(last, "mix-last")
-    by_span = Window.partitionBy("source_no").orderBy("span")
+    by_span = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(SEED), "source_no", "span"), "span")
     spans = last.groupBy("source_no", "span").agg(F.sum("size").alias("span_size"), F.sum("part").alias("span_part"))
     spans = spans.select(
         "source_no", "span", F.sum("span_part").over(Window.partitionBy("source_no")).alias("goal"),
         F.coalesce(F.sum("span_size").over(by_span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
     )
-    turn = Window.partitionBy("source_no", "span").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
+    by_leaf = Window.partitionBy("source_no", "span").orderBy(F.xxhash64(F.lit(SEED), "source_no", "leaf"), "leaf")
+    turn = by_leaf.rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.col("before") + F.coalesce(F.sum("size").over(turn), F.lit(0))
     summed = last.join(spans, ["source_no", "span"])
     return summed.select("source_no", "leaf", F.greatest(F.lit(0), F.least("size", F.col("goal") - earlier)).alias("rounded"))
@@ -155,12 +156,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
     The text is dropped unless asked for. Each source's taken words sum to its rounded target exactly; all documents but one of each
     source are taken whole or not at all in the last pass. NULL and empty texts have
     size 0 and are never taken; NULL sources are one source, ordered last; equal rows are told apart by nothing, so which of
-    them has the larger share is open, but not how many do. Columns named like a result column are replaced. Reruns agree.
+    them has the larger share is open, but not how many do. Columns named like a result column are replaced, all others kept as they are. Reruns agree.
     """
     made = ("size", "source_size", "target", "taken", "passes", "rest", "shard", "place", "source_no", "quota", "depth", "leaf", "part", "rounded")
     kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
+    held = [f"_c{i}" for i in range(len(kept))]
     sized = docs.select(
-        *kept, F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.col(source).alias("_source"),
+        *[F.col(c).alias(h) for c, h in zip(kept, held)], F.col(source).alias("_source"),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.lit(SEED), *[F.col(c) for c in dict.fromkeys([*kept, text]) if docs.schema[c].dataType.typeName() != "map"]).alias("place"),
     )
     sized = staged(sized, "mix-sizes")
@@ -184,7 +187,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
     cut = (F.col("part") > 0) & (F.col("part") < F.col("size"))
     drawn = drawn.withColumn("rest", F.when(cut, F.col("rounded")).otherwise(F.col("part")))
     drawn = drawn.withColumn("taken", F.col("passes") * F.col("size") + F.col("rest"))
-    return drawn.select(*kept, "size", "source_size", "target", "taken", "passes", "rest", "shard", "place")
+    return drawn.select(*[F.col(h).alias(c) for c, h in zip(kept, held)], "size", "source_size", "target", "taken", "passes", "rest", "shard", "place")
 
 
 def mixed_blocks(docs: DataFrame, text: str = "text", **options) -> DataFrame:

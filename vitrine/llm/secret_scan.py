@@ -20,11 +20,12 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 HEX_ONLY = r"^[0-9A-Fa-f]+$"
 #: Bits per character of a window from which a string of the class counts as random.
 HEX_BITS, MIXED_BITS = 3.0, 3.7
-#: Suppressed: no digit, no letter, UUIDs, dashed or slashed plain words, and strings that name themselves samples.
+#: Suppressed: no digit, no letter, UUIDs, dashed or slashed plain words.
 ALLOW = (
     r"^[^0-9]*$", r"^[^A-Za-z]*$", r"(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"^[a-z]+(?:[-_/][a-z]+)*(?:[-_/=][0-9]+)?$",
-    r"(?i)(?:example|sample|placeholder|dummy|xxxx|0123456789|abcdefgh)",
 )
+#: Pieces between slashes that name themselves samples aren't random, whatever their characters.
+SAMPLE = r"(?i)(?:example|sample|placeholder|dummy|xxxx|0123456789|abcdefgh)"
 _SCALE = 1 << 20
 #: c * log2(c) as whole numbers, so that the running sum of a window has no rounding drift.
 _WEIGHTS = [round(c * math.log2(c) * _SCALE) if c else 0 for c in range(WINDOW + 2)]
@@ -85,7 +86,9 @@ def _random_part(body: Column) -> Column:
                            lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
     # One-element transform: the characters are split once, not at each use.
-    return F.element_at(F.transform(F.array(F.filter(F.split(body, ""), lambda c: c != "")), lambda chars: run(chars, most)), 1)
+    plain = F.array_join(F.transform(F.split(body, "/"), lambda p: F.when(p.rlike(SAMPLE), F.repeat(F.lit("a"), F.length(p))).otherwise(p)), "/")
+    rated = F.when(body.rlike(SAMPLE), plain).otherwise(body)
+    return F.element_at(F.transform(F.array(F.filter(F.split(rated, ""), lambda c: c != "")), lambda chars: run(chars, most)), 1)
 
 
 def _entropy(text: Column, base: Column) -> Column:
@@ -100,29 +103,32 @@ def _entropy(text: Column, base: Column) -> Column:
         (s["start"] + s["part"]["first"]).alias("start"), F.lit(3).alias("kind"), (s["start"] + s["part"]["last"]).alias("end"),
         F.lit("").alias("body"),
     ))
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
+    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
 
 
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``secret_spans``: (start, kind, end) by start, kind an index of `KINDS`, code points, end exclusive.
 
-    NULL and empty texts have none; repeated rows each get theirs; a column of the result's name is replaced. Strings inside
-    a pattern's span get no entropy span.
+    NULL and empty texts have none; repeated rows each get theirs; a column of the result's name is replaced, no other
+    one is touched. A random stretch that lies wholly inside a pattern's span gets no span of its own; one that goes beyond it does.
     """
+    held = "_base"
+    while held in docs.columns:
+        held += "_"
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(
         F.filter(_where(body.rlike(ASSIGN_HINT), _located(body, ASSIGN, 0, 2)), lambda s: F.char_length(s["body"]) >= MIN_ASSIGN),
         _where(body.contains("AKIA"), _located(body, ACCESS, 1)),
         _where(body.rlike(HEX), _located(body, HEX, 2)),
     )
-    marked = docs.drop("secret_spans").withColumn("_base", F.array_sort(F.transform(base, lambda s: F.struct(s["start"], s["kind"], s["end"]))))
-    named = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    marked = marked.withColumn("_base", named)
+    marked = docs.drop("secret_spans").withColumn(held, F.array_sort(F.transform(base, lambda s: F.struct(s["start"], s["kind"], s["end"]))))
+    named = F.transform(held, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    marked = marked.withColumn(held, named)
     extra = F.transform(
-        _where(body.rlike(CANDIDATE), _entropy(body, F.col("_base"))),
+        _where(body.rlike(CANDIDATE), _entropy(body, F.col(held))),
         lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
     )
-    return marked.withColumn("secret_spans", F.array_sort(F.concat("_base", extra))).drop("_base")
+    return marked.withColumn("secret_spans", F.array_sort(F.concat(held, extra))).drop(held)
 
 
 def spans_text(spans: Column) -> Column:

@@ -66,17 +66,46 @@ def match_rules(addresses: DataFrame, rules: DataFrame, labelled: DataFrame) ->
     return hits.groupBy("tokens").agg(F.min(rank)["v"].alias("mined"))
 
 
+def token_classes(labelled: DataFrame) -> DataFrame:
+    """(``token``, ``rep``): tokens that occur in exactly the same rows of ``labelled`` (``tokens``) share their first as ``rep``.
+
+    The words of a URL template always come together; mined one by one they would give a rule for each of their subsets.
+    """
+    sets = labelled.select("tokens").distinct()
+    rows = sets.select(F.explode("tokens").alias("token"), *(F.xxhash64(F.lit(i), "tokens").alias(f"h{i}") for i in (1, 2)))
+    marks = rows.groupBy("token").agg(F.count("*").alias("n"), *(F.bit_xor(f"h{i}").alias(f"x{i}") for i in (1, 2)))
+    alike = marks.groupBy("n", "x1", "x2").agg(F.min("token").alias("rep"))
+    return marks.join(alike, ["n", "x1", "x2"]).select("token", "rep")
+
+
+def _as_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(``tokens``, ``reps``) of each distinct ``tokens`` of ``rows``; tokens without a class occur in no labelled row and drop out."""
+    parts = rows.select("tokens").distinct().withColumn("token", F.explode("tokens")).join(classes, "token")
+    return parts.groupBy("tokens").agg(F.array_sort(F.collect_set("rep")).alias("reps"))
+
+
 def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``pages`` without the URL, with ``host``, ``path``, ``rule`` and ``verdict``.
 
     A URL that no rule fits is judged by mined rules, and allowed where none matches. NULL URLs and such without ``://`` have an
-    empty host and path and no tokens. Repeated rows each get their row; an empty table gives no rows.
+    empty host and path and no tokens. Repeated rows each get their row; an empty table gives no rows. Columns named like a
+    result column are replaced; no other column is touched.
     """
-    judged = staged(with_rule(pages, url, rules).drop(url).withColumn("tokens", url_tokens(F.col("host"), F.col("path"))), "urls")
-    labelled = judged.where(F.col("ruled").isNotNull()).select("tokens", "ruled")
+    made = ("host", "path", "rule", "verdict")
+    kept = [c for c in pages.columns if c not in made and c != url]
+    held = [f"_c{i}" for i in range(len(kept))]
+    asked = pages.select(*[F.col(c).alias(h) for c, h in zip(kept, held)], F.col(url).alias("url"))
+    judged = staged(with_rule(asked, "url", rules).drop("url").withColumn("tokens", url_tokens(F.col("host"), F.col("path"))), "urls")
+    ruled = judged.where(F.col("ruled").isNotNull()).select("tokens", "ruled")
+    classes = staged(token_classes(ruled), "url-classes")
+    reps = staged(_as_classes(judged.where(F.size("tokens") > 0), classes), "url-reps")
+    labelled = ruled.join(reps, "tokens").select(F.col("reps").alias("tokens"), "ruled")
+    labelled = staged(labelled.unionByName(ruled.where(F.size("tokens") == 0).select("tokens", "ruled")), "url-labelled")
     mined = mine_rules(labelled, min_support, min_confidence)
-    addresses = judged.where(F.col("ruled").isNull()).select("tokens").distinct()
-    verdicts = match_rules(addresses, mined, labelled)
-    return judged.join(verdicts, "tokens", "left").select(
-        *[c for c in judged.columns if c not in ("tokens", "ruled")], F.coalesce("ruled", "mined", F.lit(DEFAULT)).alias("verdict")
+    verdicts = match_rules(reps.select(F.col("reps").alias("tokens")).distinct(), mined, labelled).withColumnRenamed("tokens", "reps")
+    verdicts = staged(reps.join(verdicts, "reps").select("tokens", "mined"), "url-verdicts")
+    bare = judged.where(F.col("ruled").isNotNull() | (F.size("tokens") == 0)).withColumn("mined", F.lit(None).cast("string"))
+    open_rows = judged.where(F.col("ruled").isNull() & (F.size("tokens") > 0)).join(verdicts, "tokens", "left")
+    return bare.unionByName(open_rows).select(
+        *[F.col(h).alias(c) for c, h in zip(kept, held)], "host", "path", "rule", F.coalesce("ruled", "mined", F.lit(DEFAULT)).alias("verdict")
     )
