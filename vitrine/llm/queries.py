@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import chats, decontaminate, languages, licenses, mixing, near_dups, quality, secret_scan, substrings, urls
+from vitrine.llm import chats, decontaminate, earlier_text, hard_negatives, languages, licenses, mixing, near_dups, prefix_trie, quality
+from vitrine.llm import secret_scan, substrings, urls
+from vitrine.spark_tools import staged
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -62,6 +64,21 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    rows = staged(prefix_trie.turn_rows(table(spark, sf, "conversations")), "trie-rows")
+    return prefix_trie.prefix_trie(*prefix_trie.crossed(rows))
+
+
+def op12_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return earlier_text.remove_earlier(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine_hard_negatives(table(spark, sf, "embeddings"), label=label)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
@@ -73,4 +90,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
