@@ -18,9 +18,11 @@ from vitrine.operators import blocks, entities, lookups, mirror, stores
 from vitrine.operators.directives import substitute_directives
 from vitrine.plans import document, report
 from vitrine.plans.sections import Sections
+from vitrine.schemas import RECORD
 from vitrine.sources import derived, outputs
 from vitrine.spark_tools import staging_path
-from vitrine.streaming.incremental import current_records, stream_records, write_stream
+from vitrine.streaming.changelog import compact, current_changes, write_changes
+from vitrine.streaming.incremental import current_records, write_stream
 
 SF = "/root/testdata/sf0.001"
 PRODUCT_FIELDS = (
@@ -146,7 +148,7 @@ def _directives(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.load(spark, sf)
     texts = catalog.products.select("entity_id", "description")
     rows = texts.join(catalog.product_stores, "entity_id")
-    return substitute_directives(rows, ["description"], entities.directive_values(catalog))
+    return substitute_directives(rows, ["description"], catalog.directives)
 
 
 def _routes(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,12 +246,40 @@ def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
         catalog.cache["product_files"] = path
     source = spark.readStream.schema(catalog.products.schema).parquet(catalog.cache["product_files"])
     out = staging_path(spark, "stream")
-    write_stream(stream_records(catalog, "product", source), out, staging_path(spark, "stream-state")).awaitTermination()
-    from vitrine.schemas import RECORD
-
+    write_stream(catalog, "product", source, out, staging_path(spark, "stream-state")).awaitTermination()
     return current_records(spark, out).select(F.from_json("value", RECORD).alias("r")).select(*[f"r.{c}" for c in PRODUCT_FIELDS])
 
 
+def _changed_products(catalog) -> list[DataFrame]:
+    """Three deliveries of product changes: all as they are; disabled ones and two new names at once; back again, stale and removed ones."""
+    rows, key = catalog.products.withColumns({"version": F.lit(1).cast("long"), "deleted": F.lit(False)}), F.col("entity_id")
+    off = F.when(key % 5 == 0, 2).otherwise(F.col("status"))
+
+    def version(n: int, rows: DataFrame, **changed) -> DataFrame:
+        return rows.withColumns({"version": F.lit(n).cast("long"), **changed})
+
+    first = version(2, rows.where((key % 5 == 0) | (key % 7 == 0)), name=F.lit("First"), status=off)
+    second = version(3, rows.where(key % 7 == 0), name=F.concat(F.lit("Second "), F.coalesce("name", F.lit("item"))), status=off)
+    back = version(4, rows.where(key % 10 == 0), status=F.lit(1))
+    gone = version(5, rows.where(key % 9 == 0), deleted=F.lit(True))
+    stale = version(0, rows.where(key % 6 == 0), name=F.lit("Stale"))
+    return [rows, second.unionByName(first), stale.unionByName(gone).unionByName(back)]
+
+
+def _stream_with_removals(spark: SparkSession, sf: str) -> DataFrame:
+    """Product changes logged as they arrive, compacted on the way, and what is current then."""
+    catalog = derived.load(spark, sf)
+    feed, out, state = (staging_path(spark, name) for name in ("changes", "changelog", "changelog-state"))
+    for number, delivery in enumerate(_changed_products(catalog)):
+        delivery.write.mode("append").parquet(feed)
+        source = spark.readStream.schema(delivery.schema).parquet(feed)
+        write_changes(catalog, "product", source, out, state).awaitTermination()
+        if number == 1:
+            compact(spark, out)
+    records = current_changes(spark, out).select(F.from_json("value", RECORD).alias("r"))
+    return records.select(*[f"r.{c}" for c in PRODUCT_FIELDS])
+
+
 def _dealt(part: str) -> dict:
     """Queries or SQL of the training-data operators and their pipeline, where these are there."""
     if importlib.util.find_spec("vitrine.llm") is None:
@@ -282,6 +312,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "document_sizes": lambda spark, sf: document.document_sizes(_text_blocks(spark, sf)),
         "section_counts": _section_counts,
         "visible_products": on_catalog(lambda c: c.scan_products("sku", "name", "price")),
+        "store_products": on_catalog(lambda c: c.scan_store_products("sku", "name", "price", "short_description", "description")),
+        "store_categories": on_catalog(lambda c: c.scan_store_categories("name", "description", "meta_description").drop("path")),
         "subtree_categories": on_catalog(lambda c: entities.category_listing(c).select("store_id", "entity_id", "url")),
         "listed_pages": on_catalog(lambda c: entities.page_listing(c).select("store_id", "entity_id", "url")),
         "current_rewrites": on_catalog(lambda c: c.scan_rewrites().select("url_rewrite_id", "store_id", "entity_type", "request_path")),
@@ -317,6 +349,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lint_report": _lint_report,
         "contract_check": _contract,
         "stream_product_records": _stream_products,
+        "stream_with_removals": _stream_with_removals,
     }
 
 

@@ -147,6 +147,29 @@ CTES: dict[str, str] = {
                coalesce(lang, 'es') AS lang
         FROM part FULL JOIN documents ON p_partkey = doc_id""",
     "item_store": "SELECT entity_id, store_id FROM item JOIN store USING (lang)",
+    # items and shelves as a store sees them
+    "item_seen": """
+        SELECT entity_id, store_id, sku, p_size,
+               CASE WHEN entity_id % 11 = 0 AND (entity_id + store_id) % 4 = 0 THEN 'Local ' || coalesce(name, 'item') ELSE name END AS name,
+               CASE WHEN entity_id % 19 = 0 AND store_id % 2 = 0 THEN CAST(entity_id % 100 + 1 AS DOUBLE) ELSE price END AS price,
+               CASE WHEN entity_id % 17 = 0 AND store_id % 5 = 2 THEN NULL ELSE short_description END AS short_description,
+               CASE WHEN entity_id % 13 = 0 AND store_id % 3 = 1 THEN '<p>Only here {{store url="' || lang || '"}}</p>'
+                    ELSE description END AS description,
+               CASE WHEN coalesce(p_size = 13, false) THEN store_id % 3 = 0 ELSE NOT (entity_id % 23 = 0 AND store_id % 6 = 0) END
+               AND CASE WHEN entity_id % 29 = 0 AND store_id % 4 = 1 THEN false
+                        WHEN coalesce(p_size BETWEEN 40 AND 43, false) THEN store_id % 5 = 0 ELSE true END AS shown
+        FROM item JOIN item_store USING (entity_id)""",
+    "shelf_seen": """
+        SELECT entity_id, store_id, root, parent, position,
+               CASE WHEN entity_id % 3 = 0 AND store_id % 4 = 0 THEN ' Local ' || name ELSE name END AS name,
+               CASE WHEN entity_id % 5 = 0 AND store_id % 2 = 0 THEN '<p>Only here &amp; now</p>' ELSE description END AS description,
+               CASE WHEN entity_id % 5 = 1 AND store_id % 3 = 2 THEN 'Own <b>meta</b>' ELSE shelf.meta_description END AS meta_description,
+               CASE WHEN large AND store_id % 5 = 0 THEN true WHEN entity_id % 7 = 0 AND store_id % 3 = 0 THEN false ELSE shelf.is_active END AS is_active
+        FROM shelf JOIN store USING (root)""",
+    "crumb_seen": """
+        SELECT s.store_id, s.entity_id, coalesce(CASE WHEN p.is_active THEN trim(p.name) ELSE CAST(s.parent AS VARCHAR) END || ' > ', '')
+               || trim(s.name) AS breadcrumb
+        FROM shelf_seen s LEFT JOIN shelf_seen p ON p.store_id = s.store_id AND p.entity_id = s.parent""",
     "shelf_id": """
         SELECT p_type, p_brand, b.id AS brand_id, t.id AS type_id, b.n, low, high, t.n AS type_n
         FROM (SELECT p_type, p_brand, min(p_partkey) * 2 + 11 AS id, count(*) AS n, min(p_size) AS low, max(p_size) AS high
@@ -156,14 +179,14 @@ CTES: dict[str, str] = {
         SELECT DISTINCT type_id AS entity_id, p_type AS name, CAST(NULL AS VARCHAR) AS description,
                'All ' || lower(p_type) || ' parts &copy; shop' AS meta_description,
                CASE WHEN p_type IN ('PROMO', 'STANDARD') THEN '3' ELSE '2' END AS root, CAST(NULL AS BIGINT) AS parent,
-               p_type <> 'LARGE' AS is_active, type_n AS position, 'c/' || lower(p_type) || '.html' AS slug
+               p_type <> 'LARGE' AS is_active, p_type = 'LARGE' AS large, type_n AS position, 'c/' || lower(p_type) || '.html' AS slug
         FROM shelf_id
         UNION ALL
         SELECT brand_id, CASE WHEN p_brand = 'Brand#7' THEN '  ' ELSE p_brand END,
                CASE WHEN p_brand = 'Brand#20' THEN '0' ELSE '<p>' || p_brand || ' ' || lower(p_type) || ': ' || n
                     || ' parts,<br>sizes ' || low || ' to ' || high || '</p>' END,
                p_brand || ' &amp; friends', CASE WHEN p_type IN ('PROMO', 'STANDARD') THEN '3' ELSE '2' END, type_id,
-               p_brand <> 'Brand#13', n,
+               p_brand <> 'Brand#13', p_type = 'LARGE', n,
                CASE WHEN p_brand <> 'Brand#19' THEN 'c/' || lower(p_type) || '/' || lower(replace(p_brand, '#', '-')) || '.html' END
         FROM shelf_id""",
     "shelf_count": """
@@ -216,7 +239,7 @@ CTES: dict[str, str] = {
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
     "stocked": """
         SELECT ctx.*, item.entity_id, sku, name, price, short_description, description, url, coalesce(stocked, true) AS in_stock
-        FROM item JOIN item_store USING (entity_id) JOIN ctx USING (store_id)
+        FROM item_seen item JOIN ctx USING (store_id)
         JOIN link ON link.store_id = ctx.store_id AND link.entity_id = item.entity_id AND entity_type = 'product'
         LEFT JOIN stock ON stock.entity_id = item.entity_id AND stock.website_id = ctx.website_id
         WHERE shown AND eligible AND include_products AND (compact_enabled OR full_enabled OR jsonl_enabled)
@@ -242,10 +265,11 @@ CTES: dict[str, str] = {
     "sale_body": f"""
         SELECT *, CASE WHEN {blank("short_description")} THEN long_h ELSE short_h END AS body_h FROM sale_text""",
     "shelf_list": """
-        SELECT ctx.* EXCLUDE (meta_description), s.* EXCLUDE (root, is_active), url, breadcrumb, coalesce(product_count, 0) AS product_count
-        FROM shelf s JOIN ctx USING (root)
+        SELECT ctx.* EXCLUDE (meta_description), s.* EXCLUDE (root, is_active, store_id), url, breadcrumb, coalesce(product_count, 0) AS product_count
+        FROM shelf_seen s JOIN ctx ON ctx.store_id = s.store_id
         JOIN link ON link.store_id = ctx.store_id AND link.entity_id = s.entity_id AND entity_type = 'category'
-        LEFT JOIN crumb ON crumb.entity_id = s.entity_id LEFT JOIN shelf_count ON category_id = s.entity_id
+        LEFT JOIN crumb_seen crumb ON crumb.entity_id = s.entity_id AND crumb.store_id = s.store_id
+        LEFT JOIN shelf_count ON category_id = s.entity_id
         WHERE s.is_active AND trim(s.name) <> '' AND eligible AND include_categories
           AND (compact_enabled OR full_enabled OR jsonl_enabled)""",
     "page_list": """
@@ -484,6 +508,22 @@ MADE = {
         SELECT 'doc-' || doc_id, generate_subscripts(parts, 1), unnest(parts)
         FROM (SELECT doc_id, string_split('> ' || source || chr(10) || text, chr(10)) AS parts FROM documents)""",
 }
+# Products after all changes: entities with a new name, a new status, back again; removed ones are gone.
+MADE["changed_seen"] = """
+    SELECT s.* EXCLUDE (name, shown),
+           CASE WHEN entity_id % 11 = 0 AND (entity_id + store_id) % 4 = 0 THEN s.name WHEN entity_id % 10 = 0 THEN i.name
+                WHEN entity_id % 7 = 0 THEN 'Second ' || coalesce(i.name, 'item') WHEN entity_id % 5 = 0 THEN 'First' ELSE i.name END AS name,
+           CASE WHEN coalesce(s.p_size = 13, false) AND store_id % 3 = 0 THEN true
+                WHEN coalesce(s.p_size <> 13, true) AND entity_id % 23 = 0 AND store_id % 6 = 0 THEN false
+                WHEN s.p_size = 13 AND entity_id % 23 = 0 AND store_id % 6 = 0 THEN false
+                WHEN entity_id % 10 = 0 THEN true WHEN entity_id % 5 = 0 THEN false ELSE coalesce(s.p_size <> 13, true) END
+           AND CASE WHEN entity_id % 29 = 0 AND store_id % 4 = 1 THEN false
+                    WHEN coalesce(s.p_size BETWEEN 40 AND 43, false) THEN store_id % 5 = 0 ELSE true END AS shown
+    FROM item_seen s JOIN item i USING (entity_id) WHERE entity_id % 9 <> 0"""
+MADE["changed_stocked"] = CTES["stocked"].replace("FROM item_seen item", "FROM changed_seen item")
+MADE["changed_ranked"] = CTES["ranked"].replace("FROM stocked", "FROM changed_stocked")
+MADE["changed_sale"] = MADE["unlimited"].replace("FROM ranked", "FROM changed_ranked")
+MADE["changed_text"] = CTES["sale_text"].replace("FROM sale)", "FROM changed_sale)")
 MADE["unlimited_text"] = CTES["sale_text"].replace("FROM sale)", "FROM unlimited)")
 
 
@@ -493,6 +533,7 @@ def statements() -> dict[str, str]:
     bodies: dict[str, str] = {
         "product_records": _product_records("sale_text"),
         "stream_product_records": _product_records("unlimited_text"),
+        "stream_with_removals": _product_records("changed_text"),
         "category_records": f"""
             SELECT *, left(trim(name || chr(10) || description, {SPACES}), 8000) AS embedding_text
             FROM (SELECT 'category' AS entity_type, entity_id, store_code, store_name, name, url, {cut("f", 4000)} AS description
@@ -523,6 +564,8 @@ def statements() -> dict[str, str]:
             SELECT store_code, format, section_ord, count(*) AS entities FROM block
             WHERE position NOT IN ({HEADING}, {CLOSING}) GROUP BY ALL""",
         "visible_products": "SELECT entity_id, sku, name, price FROM item WHERE shown",
+        "store_products": "SELECT store_id, entity_id, sku, name, price, short_description, description FROM item_seen WHERE shown",
+        "store_categories": "SELECT store_id, entity_id, name, description, meta_description FROM shelf_seen WHERE is_active",
         "subtree_categories": "SELECT store_id, entity_id, url FROM shelf_list",
         "listed_pages": "SELECT store_id, entity_id, url FROM page_list",
         "current_rewrites": """
@@ -594,7 +637,7 @@ def statements() -> dict[str, str]:
             UNION ALL
             SELECT store_code, path, '# ' || name || chr(10) || chr(10) || CASE WHEN b <> '' THEN b || chr(10) ELSE '' END
             FROM (SELECT store_code, path, name, {full(html("coalesce(description, '')"))} AS b
-                  FROM target JOIN store USING (store_id) JOIN shelf USING (entity_id) WHERE entity_type = 'category')
+                  FROM target JOIN store USING (store_id) JOIN shelf_seen USING (entity_id, store_id) WHERE entity_type = 'category')
             UNION ALL
             SELECT store_code, path, '# ' || title || chr(10) || chr(10) || CASE WHEN b <> '' THEN b || chr(10) ELSE '' END
             FROM (SELECT store_code, path, title, {full("content_h")} AS b
@@ -638,8 +681,8 @@ def statements() -> dict[str, str]:
         "contract_check": _contract(),
     }
     extra = {**MADE, "mirror_sale": """
-        SELECT i.* EXCLUDE (lang), ctx.*, path, least(price, group_price, special) AS final
-        FROM target t JOIN item i USING (entity_id) JOIN ctx ON ctx.store_id = t.store_id
+        SELECT i.* EXCLUDE (store_id), ctx.*, path, least(price, group_price, special) AS final
+        FROM target t JOIN item_seen i USING (entity_id, store_id) JOIN ctx ON ctx.store_id = t.store_id
         LEFT JOIN tariff r ON r.entity_id = i.entity_id AND r.customer_group_id = ctx.customer_group_id
         WHERE t.entity_type = 'product'"""}
     extra["mirror_text"] = CTES["sale_text"].replace(

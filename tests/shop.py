@@ -30,6 +30,8 @@ ROWS = {
         (16, "A-7", None, 5.0, None, "See {{store url=\"x\"}} and {{var y}} [note] end", 1, 4),
     ],
     "product_stores": [(p, s) for p in range(10, 17) for s in (1, 2, 3)],
+    "product_values": [],
+    "category_values": [],
     "categories": [
         (2, "Root", None, None, "1/2", True, 0),
         (5, "Shoes", "<p>All shoes</p>", "meta", "1/2/5", True, 2),
@@ -50,15 +52,15 @@ ROWS = {
     ],
     "page_stores": [(1, 0), (1, 1), (2, 1), (3, 0), (4, 0), (5, 0)],
     "rewrites": [
-        (1, 1, "product", 10, "p1.html", 0),
-        (2, 1, "product", 10, "duplicate.html", 0),
+        (1, 1, "product", 10, "red-one.html", 0),
+        (2, 1, "product", 10, "red-two.html", 0),
         (3, 1, "product", 11, "/blue.html", 0),
         (4, 1, "product", 14, "free.html", 0),
         (5, 1, "product", 16, "nameless.html", 0),
         (6, 1, "product", 15, "gone.html", 301),
-        (7, 2, "product", 10, "p1-de.html", 0),
-        (8, 1, "category", 5, "shoes.html", 0),
-        (9, 1, "category", 6, "shoes/kids.html", 0),
+        (7, 2, "product", 10, "rot.html", 0),
+        (8, 1, "category", 5, "footwear.html", 0),
+        (9, 1, "category", 6, "footwear/kids.html", 0),
         (10, 1, "category", 8, "lost.html", 0),
         (11, 1, "category", 20, "blank.html", 0),
         (12, 1, "cms-page", 1, "about", 0),
@@ -76,8 +78,8 @@ ROWS = {
     "directives": [(1, '{{store url="x"}}', "<b>here</b>")],
     "run_log": [],
     "requests": [
-        (1, "p1.md"), (1, "/about.md"), (1, "p1.html.md"), (1, "moved.md"), (1, "custom.md"), (1, "none.md"),
-        (1, "p1"), (1, "shoes.md"), (1, "p1.md"), (4, "else.md"),
+        (1, "red-one.md"), (1, "/about.md"), (1, "red-one.html.md"), (1, "moved.md"), (1, "custom.md"), (1, "none.md"),
+        (1, "red-one"), (1, "footwear.md"), (1, "red-one.md"), (4, "else.md"),
     ],
 }
 

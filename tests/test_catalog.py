@@ -1,4 +1,5 @@
 import dataclasses
+import json
 import random
 from collections import Counter
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.shop import small_documents, small_shop
 from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators import blocks, entities, lookups, mirror, stores
-from vitrine.operators.directives import substitute_directives, values_per_store
+from vitrine.operators.directives import substitute_directives
 from vitrine.plans.document import document_sizes, section_counts
 from vitrine.plans.sections import Sections
 
@@ -44,7 +45,7 @@ COMPACT_DOCUMENT = """# LLMs.txt - Shop - Main
 
 ### Kids
 Path: Shoes > Kids
-URL: https://shop.test/shoes/kids.html
+URL: https://shop.test/footwear/kids.html
 Product Count: 1
 Description: For kids
 
@@ -56,7 +57,7 @@ Description: x
 
 ### Shoes
 Path: Shoes
-URL: https://shop.test/shoes.html
+URL: https://shop.test/footwear.html
 Product Count: 2
 Description: All shoes
 
@@ -78,7 +79,7 @@ Content: About Us
 
 ### Red shoe
 SKU: A-1
-URL: https://shop.test/p1.html
+URL: https://shop.test/red-one.html
 Price: 9.00 USD
 In Stock: Yes
 Description: Long & bold
@@ -120,7 +121,7 @@ def test_second_store(documents):
     assert "- [Shop - Main](https://shop.test/llms.txt)" in text
     # A page without a rewrite falls back to the base URL without the store code.
     assert "### About\nURL: https://shop.test/about\n" in text
-    assert "URL: https://shop.test/de/p1-de.html\n" in text
+    assert "URL: https://shop.test/de/rot.html\n" in text
     assert "## Categories" not in text
 
 
@@ -190,7 +191,7 @@ def test_out_of_stock_can_be_left_out(spark):
 def test_one_url_per_entity(shop):
     urls = lookups.canonical_urls(shop)
     found = {(k, i): u for s, k, i, u in rows(urls, "store_id", "entity_type", "entity_id", "url") if s == 1}
-    assert found["product", 10] == "https://shop.test/p1.html"
+    assert found["product", 10] == "https://shop.test/red-one.html"
     assert ("product", 15) not in found and ("custom", 10) not in found
     assert urls.count() == urls.select("store_id", "entity_type", "entity_id").distinct().count()
 
@@ -207,13 +208,13 @@ def test_mirror(shop):
     found = rows(mirror.mirror_lookup(shop), "store_id", "path", "entity_type", "entity_id")
     # 'moved' redirects, so its '.html' spelling is not tried; store 4 has no mirror
     assert found == [
-        (1, "/about.md", "cms-page", 1), (1, "custom.md", "custom", 10), (1, "p1.html.md", "product", 10),
-        (1, "p1.md", "product", 10), (1, "shoes.md", "category", 5)]
+        (1, "/about.md", "cms-page", 1), (1, "custom.md", "custom", 10), (1, "footwear.md", "category", 5),
+        (1, "red-one.html.md", "product", 10), (1, "red-one.md", "product", 10)]
     pages = dict(rows(mirror.mirror_render(shop), "path", "markdown"))
     assert pages == {
-        "/about.md": "# About \n\nAbout Us\n", "shoes.md": "# Shoes\n\nAll shoes\n",
-        "p1.md": "#  Red shoe \n\n> SKU: A-1 · Price: 9.00 USD\n\nLong & bold\n",
-        "p1.html.md": "#  Red shoe \n\n> SKU: A-1 · Price: 9.00 USD\n\nLong & bold\n"}
+        "/about.md": "# About \n\nAbout Us\n", "footwear.md": "# Shoes\n\nAll shoes\n",
+        "red-one.md": "#  Red shoe \n\n> SKU: A-1 · Price: 9.00 USD\n\nLong & bold\n",
+        "red-one.html.md": "#  Red shoe \n\n> SKU: A-1 · Price: 9.00 USD\n\nLong & bold\n"}
 
 
 @pytest.mark.parametrize("limits", [{1: 7, 2: 0, 3: 100_000}, {1: 1, 2: 250, 3: 3}])
@@ -238,12 +239,21 @@ def test_directives(spark):
     ]
     values = [(1, "{{x}}", "{{y}}!"), (1, "{{x}}", "{{a}}"), (1, "{{y}}", "Y"), (2, "{{x}}", "2")]
     df = spark.createDataFrame(texts, "entity_id long, store_id long, a string, b string")
-    table = values_per_store(spark.createDataFrame(values, "store_id long, token string, value string"))
+    table = spark.createDataFrame(values, "store_id long, token string, value string")
     done = substitute_directives(df, ["a", "b"], table).collect()
     assert {(r[0], r[1], r[2], r[3]) for r in map(lambda r: (r["entity_id"], r["store_id"], r["a"], r["b"]), done)} == {
         (1, 1, "a {{y}}! b Y c {{y}}!", "{{y}}!"), (1, 2, "a 2", "plain"), (2, None, "{{x}}", "{{y}}"), (3, 1, "none", None)}
 
 
+def test_a_store_may_have_very_many_directives(spark, shop):
+    values = spark.range(1_000_000).select(F.lit(1).cast("long").alias("store_id"), F.format_string("{{v %d}}", "id").alias("token"),
+                                           F.format_string("<%d> value %d", "id", "id").alias("value"))
+    texts = F.concat(F.lit("a {{v "), (F.col("entity_id") * 7).cast("string"), F.lit("}} b {{v 999999}} {{v none}}"))
+    many = dataclasses.replace(shop, cache={}, directives=values, products=shop.products.withColumns({"description": texts, "short_description": F.lit(None).cast("string")}))
+    bodies = {r["entity_id"]: r["body"] for r in entities.product_rows(many, (COMPACT,)).where("store_id = 1").collect()}
+    assert bodies and bodies == {i: f"a value {i * 7} b value 999999" for i in bodies}
+
+
 def test_markup_that_a_directive_brings_is_pruned(spark, shop):
     value = '<div data-content-type="products">CAROUSEL</div> KEEP'
     shop = dataclasses.replace(
@@ -278,3 +288,59 @@ def test_registered_and_failing_sections(shop):
 def test_blocks_are_unique_in_order(made):
     keys = Counter((b["format"], b["store_code"], b["section_ord"], b["position"], b["entity_id"]) for b in made.collect())
     assert max(keys.values()) == 1
+
+
+# values that a store sets itself
+
+
+PRODUCT_VALUES = [
+    (10, 1, "name", "Own shoe"), (10, 1, "price", "7.5"), (10, 2, "short_description", "<b>Kurz</b>"), (10, 1, "short_description", "<b>Kurz</b>"),
+    (11, 1, "short_description", None), (11, 1, "description", "Own long"), (12, 1, "visibility", "4"), (13, 1, "status", "1"),
+    (14, 1, "status", "2"), (14, 1, "status", "1"), (16, 1, "status", "2"), (10, 7, "name", "Nowhere"), (99, 1, "name", "Nothing"),
+    (10, 1, "unknown", "x"), (16, 1, "name", "Off"),
+]
+REWRITES = [(20, 1, "product", 12, "hidden.html", 0), (21, 1, "product", 13, "disabled.html", 0), (22, 1, "category", 7, "old.html", 0)]
+CATEGORY_VALUES = [
+    (5, 1, "name", " Boots "), (6, 1, "description", "For <i>kids</i>"), (7, 1, "is_active", "1"), (8, 2, "name", "Other store"), (6, 1, "name", None),
+]
+
+
+@pytest.fixture
+def own_shop(spark, shop):
+    def table(values):
+        return spark.createDataFrame(values, "entity_id long, store_id long, attribute string, value string")
+
+    more = spark.createDataFrame(REWRITES, shop.rewrites.schema)
+    return dataclasses.replace(shop, cache={}, product_values=table(PRODUCT_VALUES), category_values=table(CATEGORY_VALUES),
+                               rewrites=shop.rewrites.unionByName(more))
+
+
+def test_products_as_a_store_sees_them(own_shop):
+    found = {(r["store_id"], r["entity_id"]): (r["name"], r["price"], r["body"]) for r in entities.product_rows(own_shop, (COMPACT,)).collect()}
+    assert found == {
+        (1, 10): ("Own shoe", 7.5, "Kurz"), (1, 11): ("Blue shoe", 15.25, "Own long"), (1, 12): ("Hidden", 1.0, "x"), (1, 13): ("Disabled", 1.0, "x"),
+        (2, 10): (" Red shoe ", 9.0, "Kurz"),
+    }
+    seen = {(r["store_id"], r["entity_id"]): r["name"] for r in own_shop.scan_store_products("name").collect()}
+    assert seen[1, 10] == "Own shoe" and seen[2, 10] == " Red shoe " and (1, 16) not in seen and (2, 16) in seen and (1, 12) in seen and (2, 12) not in seen
+
+
+def test_equal_own_texts_are_cleaned_once(own_shop):
+    from vitrine.operators.overrides import PRODUCT_TEXTS, text_versions
+    versions = text_versions(own_shop.product_values, PRODUCT_TEXTS)
+    assert {(r["entity_id"], r["n"]) for r in versions.groupBy("entity_id").agg(F.count("*").alias("n")).collect()} == {(10, 1), (11, 1)}
+
+
+def test_categories_as_a_store_sees_them(own_shop):
+    found = {r["entity_id"]: (r["name"], r["breadcrumb"], r["body"]) for r in entities.category_rows(own_shop, (COMPACT,)).where("store_id = 1").collect()}
+    assert found[5] == (" Boots ", "Boots", "All shoes") and found[7] == ("Old", "Old", "x") and found[8] == ("Lost", "Old > Lost", "x")
+    assert 6 not in found
+
+
+def test_own_values_reach_the_mirror_and_the_feed(own_shop):
+    from vitrine.streaming.incremental import records_of
+    pages = {r["path"]: r["markdown"] for r in mirror.mirror_render(own_shop).collect()}
+    assert pages["red-one.md"] == "# Own shoe\n\n> SKU: A-1 · Price: 7.50 USD\n\nKurz\n\nLong & bold\n"
+    assert pages["footwear.md"] == "#  Boots \n\nAll shoes\n"
+    records = [json.loads(r["value"]) for r in records_of(own_shop, "product", own_shop.products).where("store_code = 'default'").collect()]
+    assert {(r["entity_id"], r["name"], r["price"]) for r in records} >= {(10, "Own shoe", 7.5), (13, "Disabled", 1.0)} and 16 not in {r["entity_id"] for r in records}

@@ -14,7 +14,8 @@ from vitrine.plans.sections import Sections
 from vitrine.sources.outputs import read_jsonl, read_lines, read_status
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import shared_dir, subfolders
-from vitrine.streaming.incremental import current_records, stream_records, write_stream
+from vitrine.streaming.changelog import change_rows, compact, current_changes, write_changes
+from vitrine.streaming.incremental import current_records, write_stream
 
 
 def document(folder, fmt, store):
@@ -122,35 +123,72 @@ def test_published_follows_skips_and_failures(spark, shop, tmp_path):
 def test_stream_takes_only_new_files(spark, shop, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     shop.products.where("entity_id <= 11").write.parquet(source)
-    stream = lambda: stream_records(shop, "product", spark.readStream.schema(shop.products.schema).parquet(source))
+    stream = lambda: write_stream(shop, "product", spark.readStream.schema(shop.products.schema).parquet(source), out, state)
 
     def ids():
         return sorted((r["store_code"], json.loads(r["value"])["entity_id"]) for r in current_records(spark, out).collect())
 
-    write_stream(stream(), out, state).awaitTermination()
+    stream().awaitTermination()
     assert ids() == [("de", 10), ("default", 10), ("default", 11)]
     shop.products.where("entity_id > 11").write.mode("append").parquet(source)
-    write_stream(stream(), out, state).awaitTermination()
+    stream().awaitTermination()
     assert ids() == [("de", 10), ("default", 10), ("default", 11), ("default", 14), ("default", 16)]
 
 
 def test_stream_takes_new_and_changed_products(spark, shop, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     empty = dataclasses.replace(shop, products=shop.products.where("false"), cache={})
-    stream = lambda: stream_records(empty, "product", spark.readStream.schema(shop.products.schema).parquet(source))
+    stream = lambda: write_stream(empty, "product", spark.readStream.schema(shop.products.schema).parquet(source), out, state)
     shop.products.where("entity_id = 10").write.parquet(source)
-    write_stream(stream(), out, state).awaitTermination()
+    stream().awaitTermination()
     shop.products.where("entity_id = 10").withColumns({"name": F.lit("Renamed"), "price": F.lit(3.0)}).write.mode("append").parquet(source)
-    write_stream(stream(), out, state).awaitTermination()
+    stream().awaitTermination()
     found = {r["store_code"]: json.loads(r["value"]) for r in current_records(spark, out).collect()}
     assert {s: (r["name"], r["price"]) for s, r in found.items()} == {"de": ("Renamed", 3.0), "default": ("Renamed", 3.0)}
 
 
+def test_changes_follow_versions_in_any_order(spark, shop, tmp_path):
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    base = shop.products.where("entity_id in (10, 11, 14)").withColumn("deleted", F.lit(False))
+
+    def deliver(*parts):
+        for only, version, changed in parts:
+            rows = base.where(F.col("entity_id").isin(*only)).withColumns({"version": F.lit(version).cast("long"), **changed})
+            rows.write.mode("append").parquet(source)
+        schema = rows.schema
+        write_changes(shop, "product", spark.readStream.schema(schema).parquet(source), out, state).awaitTermination()
+
+    def names():
+        found = sorted((r["store_code"], json.loads(r["value"])["entity_id"], json.loads(r["value"])["name"]) for r in current_changes(spark, out).collect())
+        return [(i, n) for s, i, n in found if s == "default"]
+
+    assert current_changes(spark, out).count() == 0 and compact(spark, out) == -1
+    deliver(([10, 11, 14], 1, {}))
+    assert names() == [(10, "Red shoe"), (11, "Blue shoe"), (14, "No price")]
+    deliver(([10], 3, {"name": F.lit("Third")}), ([10], 2, {"name": F.lit("Second")}), ([11], 2, {"status": F.lit(2)}))
+    assert names() == [(10, "Third"), (14, "No price")]
+    assert compact(spark, out) == 1 and subfolders(spark, out + "/changes") == []
+    assert names() == [(10, "Third"), (14, "No price")]
+    deliver(([11], 1, {"name": F.lit("Late")}), ([14], 5, {"deleted": F.lit(True)}), ([14], 5, {}), ([10], None, {"name": F.lit("Undated")}))
+    assert names() == [(10, "Third")]
+    deliver(([11], 3, {"status": F.lit(1)}), ([14], 4, {}))
+    assert names() == [(10, "Third"), (11, "Blue shoe")]
+    (tmp_path / "out" / "changes" / "batch=9").mkdir()
+    assert names() == [(10, "Third"), (11, "Blue shoe")] and compact(spark, out) == 3 and names() == [(10, "Third"), (11, "Blue shoe")]
+
+
+def test_changes_of_pages_and_categories(spark, shop):
+    for kind, table, key, wanted in (("page", shop.pages, "page_id", {1, 2}), ("category", shop.categories, "entity_id", {5, 6, 8, 30})):
+        rows = change_rows(shop, kind, table.withColumn("version", F.lit(1).cast("long"))).collect()
+        assert {r["entity_id"] for r in rows if r["store_code"] is None} == {r[key] for r in table.collect()}
+        assert {json.loads(r["value"])["entity_id"] for r in rows if r["store_code"]} == wanted
+
+
 def test_stream_of_pages_and_categories(spark, shop, tmp_path):
     for kind, table, expected in (("page", shop.pages, 4), ("category", shop.categories, 4)):
         source, out, state = (str(tmp_path / kind / d) for d in ("in", "out", "state"))
         table.write.parquet(source)
-        write_stream(stream_records(shop, kind, spark.readStream.schema(table.schema).parquet(source)), out, state).awaitTermination()
+        write_stream(shop, kind, spark.readStream.schema(table.schema).parquet(source), out, state).awaitTermination()
         assert current_records(spark, out).count() == expected
 
 

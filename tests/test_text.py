@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from html.entities import html5
 
 import pytest
@@ -194,3 +196,54 @@ def test_stages_run_in_order_and_failures_pass_through(spark):
         .register_stage("broken", broken, 2).register_stage("b", lambda c: F.concat(c, F.lit("B")), 3)
     )
     assert clean_text(spark.createDataFrame([("X",)], "t string"), "t", cleaner=cleaner).first()["t"] == "XAB"
+
+
+# tags that hold tags
+
+
+def outside_tags(value):
+    """What lies outside tags, comments and processing instructions, character by character."""
+    out, i, depth, quote = [], 0, 0, ""
+    while i < len(value):
+        rest = value[i:]
+        if depth == 0:
+            special = ("<!--", "-->", 2) if rest.startswith("<!--") else ("<?", "?>", 2) if rest.startswith("<?") else None
+            if special:
+                end = value.find(special[1], i + 2)
+                i = len(value) if end < 0 else end + len(special[1])
+                continue
+        c = value[i]
+        opens = c == "<" and (i + 1 == len(value) or value[i + 1] not in " \t\n\x0b\f\r")
+        if quote:
+            quote = "" if c == quote else quote
+        elif opens:
+            depth += 1
+        elif depth == 0:
+            out.append(c)
+        elif c == ">":
+            depth -= 1
+        elif c in "\"'":
+            quote = c
+        i += 1
+    return "".join(out)
+
+
+def test_nested_tags_match_brute_force(spark):
+    from vitrine.functions.cleaning import _strip_tags
+    rng = random.Random(3)
+    pieces = ["<", "<a", ">", "</b>", " ", "x", '"', "'", "<!--", "-->", "<?", "?>", "< ", "é", "=\"<i>\"", "-", "\n"]
+    values = ["".join(rng.choices(pieces, k=rng.randrange(0, 25))) for _ in range(1500)]
+    values += ["<a" * n + "in" + ">" * m + "out" for n, m in ((24, 24), (25, 25), (26, 26), (60, 60), (60, 59), (3, 90))] + ["x<a" * 40, "<" * 30 + ">" * 29 + "y"]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r["s"] for r in df.select(_strip_tags(F.col("t")).alias("s")).collect()]
+    for value, found in zip(values, got):
+        assert found == outside_tags(value), value
+
+
+def test_long_nested_markup_is_read_once(spark):
+    text = "<p>some text &amp; more <a href='x'<b>>in</a> plain words here &eacute; </p>" * 13_000
+    df = spark.createDataFrame([(text,)], "t string")
+    clean_text(df, "t").first()
+    begun = time.time()
+    assert clean_text(df, "t").first()["t"].startswith("some text & more in plain words here é")
+    assert time.time() - begun < 10

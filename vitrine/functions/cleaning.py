@@ -37,15 +37,29 @@ _PARAGRAPH_END = r"(?i)</(?:p|div|li|h[1-6]|blockquote|section|article|tr)\s*>|<
 
 # A tag is '<' and no space, up to '>' outside quotes; the end of text closes all.
 _INSIDE = r"""[^<>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|<(?=[ \t\n\x0B\f\r])"""
-_STRIP = rf"(?s)<!(?=--).*?(?:-->|\z)|<\?.*?(?:\?>|\z)|<(?![ \t\n\x0B\f\r])(?:{_INSIDE})*+(?:>|\z)"
-# A '<' inside a tag, or what may be one: such texts are read token by token, to any depth.
-_NESTED = r"<(?![ \t\n\x0B\f\r])[^<>]*+<(?![ \t\n\x0B\f\r])"
+_OPEN = r"<(?![ \t\n\x0B\f\r])"
+
+
+def _tag(levels: int) -> str:
+    """A tag that may hold further ones, ``levels`` deep; possessive throughout, so it is read once."""
+    inside = _INSIDE if levels == 0 else f"{_INSIDE}|{_tag(levels - 1)}"
+    return rf"{_OPEN}(?:{inside})*+(?:>|\z)"
+
+
+# Deeper nesting is read token by token.
+_LEVELS = 24
+_STRIP = rf"(?s)<!(?=--).*?(?:-->|\z)|<\?.*?(?:\?>|\z)|{_tag(_LEVELS)}"
+_CHUNK = 256
 _MARKS = r"""(?s)<!-->|<!--|-->|<\?|\?>|<[ \t\n\x0B\f\r]|[<>"']|[^<>"'?-]+|."""
 
 
 def _strip_nested(col: Column) -> Column:
-    """What lies outside tags, comments and processing instructions; tags may nest."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit("").alias("until"), F.array().cast("array<string>").alias("out"))
+    """What lies outside tags, comments and processing instructions; tags may nest.
+
+    One pass over the tokens. What is kept goes to a short chunk, and full chunks to a list, so that no step copies all of it.
+    """
+    none = F.array().cast("array<string>")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit("").alias("until"), none.alias("chunk"), none.alias("chunks"))
 
     def read(acc: Column, t: Column) -> Column:
         depth, quote, until = acc["depth"], acc["quote"], acc["until"]
@@ -56,15 +70,21 @@ def _strip_nested(col: Column) -> Column:
         quoted = F.when((until != "") | top, "").when(quote != "", F.when(t == quote, "").otherwise(quote)).when(t.isin('"', "'"), t).otherwise("")
         ends = F.when(until != "", F.when(t == until, "").otherwise(until)).when(whole, F.when(t == "<?", "?>").otherwise("-->")).otherwise("")
         shown = plain & top & ~opens & (t != "<!-->")
-        return F.struct(deeper.alias("depth"), quoted.alias("quote"), ends.alias("until"),
-                        F.when(shown, F.array_append(acc["out"], t)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(F.regexp_extract_all(col, F.lit(_MARKS), F.lit(0)), start, read, lambda acc: F.array_join(acc["out"], ""))
+        full = F.size(acc["chunk"]) >= _CHUNK
+        chunk = F.when(~shown, acc["chunk"]).when(full, F.array(t)).otherwise(F.array_append(acc["chunk"], t))
+        chunks = F.when(shown & full, F.array_append(acc["chunks"], F.array_join(acc["chunk"], ""))).otherwise(acc["chunks"])
+        return F.struct(deeper.alias("depth"), quoted.alias("quote"), ends.alias("until"), chunk.alias("chunk"), chunks.alias("chunks"))
+
+    return F.aggregate(
+        F.regexp_extract_all(col, F.lit(_MARKS), F.lit(0)), start, read,
+        lambda acc: F.concat(F.array_join(acc["chunks"], ""), F.array_join(acc["chunk"], "")),
+    )
 
 
 def _strip_tags(col: Column) -> Column:
-    plain = F.when(col.contains("<"), F.regexp_replace(col, _STRIP, "")).otherwise(col)
-    return F.when(col.contains("<") & col.rlike(_NESTED), _strip_nested(col)).otherwise(plain)
+    """Text outside tags. A tag too deep for the pattern leaves its '<' there, and only then the text is read token by token."""
+    read = F.transform(F.array(F.regexp_replace(col, _STRIP, "")), lambda out: F.when(out.rlike(_OPEN), _strip_nested(col)).otherwise(out))
+    return F.when(col.contains("<"), F.element_at(read, 1)).otherwise(col)
 
 
 def _if_contains(needles: Sequence[str], *patterns: tuple[str, str]) -> Step:
@@ -84,8 +104,13 @@ def _if_contains(needles: Sequence[str], *patterns: tuple[str, str]) -> Step:
 
 # The names of the HTML standard, as Python's library has them.
 _ENTITY = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
-# One string, so that a plan holds one constant and not thousands.
-_NAMED = json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
+# One string, so that a plan holds one constant and not thousands; names by their first letter, as a map is searched entry by entry.
+_NAMED = json.dumps({
+    letter: {f"&{name}": char for name, char in html5.items() if name.endswith(";") and name[0] == letter}
+    for letter in sorted({name[0] for name in html5})
+})
+# Tried first.
+_FREQUENT = ("amp", "nbsp", "lt", "gt", "quot", "copy", "middot", "trade", "ndash", "mdash", "rsquo", "hellip")
 
 
 def _allowed_point(code: Column) -> Column:
@@ -101,8 +126,11 @@ def _entity(token: Column) -> Column:
     decimal = F.regexp_extract(token, "^&#0*([0-9]{1,8});$", 1)
     code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("long")
     char = F.when(_allowed_point(code), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-    named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), token)
-    return F.coalesce(F.when(token.startswith("&#"), char).otherwise(named), token)
+    letter = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,map<string,string>>"), F.substring(token, 2, 1))
+    named = F.when(token.startswith("&#"), char)
+    for name in _FREQUENT:
+        named = named.when(token == f"&{name};", html5[f"{name};"])
+    return F.coalesce(named.otherwise(F.try_element_at(letter, token)), token)
 
 
 def _decode(col: Column) -> Column:

@@ -1,4 +1,8 @@
-"""Substitution of ``{{…}}`` directives by values looked up per store."""
+"""Substitution of ``{{…}}`` directives by values looked up per store.
+
+Values are joined to the distinct (store, token) pairs that texts ask for, as rows; what a text needs of them then comes back to it and is
+woven in by position. A store may have any number of values: none of its rows holds more than a text's own tokens.
+"""
 
 from __future__ import annotations
 
@@ -10,36 +14,54 @@ from pyspark.sql import functions as F
 DIRECTIVE = r"(?s)\{\{.*?\}\}"
 
 
-def values_per_store(values: DataFrame) -> DataFrame:
-    """(``_of``, ``_values``): the values (store_id, token, value) of each store in one row; of repeated tokens the largest value counts.
+def distinct_values(values: DataFrame) -> DataFrame:
+    """One row per (store_id, token); of repeated ones the largest value counts."""
+    return values.groupBy("store_id", "token").agg(F.max("value").alias("value"))
 
-    A store's values are its settings, few next to its texts; the join with texts needs no aggregate on their side, so
-    the same way serves tables and streams.
-    """
-    distinct = values.groupBy("store_id", "token").agg(F.max("value").alias("value"))
-    return distinct.groupBy(F.col("store_id").alias("_of")).agg(F.map_from_entries(F.collect_list(F.struct("token", "value"))).alias("_values"))
+
+def tokens_of(*texts: Column) -> Column:
+    """The distinct directives in some texts."""
+    found = [F.when(t.contains("{{"), F.regexp_extract_all(t, F.lit(DIRECTIVE), 0)) for t in texts]
+    return F.array_distinct(F.flatten(F.array(*(F.coalesce(f, F.array().cast("array<string>")) for f in found))))
+
+
+def found_values(asked: DataFrame, values: DataFrame) -> DataFrame:
+    """(``entity_id``, ``_found``): the values of the (``entity_id``, ``store_id``, ``token``) rows that have one, gathered per entity."""
+    hits = asked.distinct().join(values, ["store_id", "token"])
+    return hits.groupBy("entity_id").agg(F.collect_list(F.struct("store_id", "token", "value")).alias("_found"))
 
 
-def _tokens(column: str) -> Column:
-    return F.when(F.col(column).contains("{{"), F.regexp_extract_all(F.col(column), F.lit(DIRECTIVE), 0))
+def values_in(store: Column) -> Column:
+    """Of ``_found``, the token map of one store."""
+    own = F.filter("_found", lambda v: v["store_id"] == store)
+    return F.map_from_entries(F.transform(own, lambda v: F.struct(v["token"], v["value"])))
 
 
-def _woven(column: str) -> Column:
-    """The text split at its directives, with values between; a value is never searched again."""
+def woven(column: str, values: Column) -> Column:
+    """The text split at its directives, with values between; a value is never searched again. Without ``values`` it stays."""
 
     def value_of(token: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.col("_values"), token), token)
+        return F.coalesce(F.try_element_at(values, token), token)
 
-    pieces = F.split(F.col(column), DIRECTIVE, -1)
-    found = F.transform(_tokens(column), value_of)
-    text = F.concat_ws("", F.zip_with(pieces, found, lambda piece, hit: F.concat(piece, F.coalesce(hit, F.lit("")))))
-    return F.when(F.col("_values").isNotNull() & F.col(column).contains("{{"), text).otherwise(F.col(column))
+    text = F.col(column)
+    pieces = F.split(text, DIRECTIVE, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(DIRECTIVE), 0), value_of)
+    joined = F.concat_ws("", F.zip_with(pieces, found, lambda piece, hit: F.concat(piece, F.coalesce(hit, F.lit("")))))
+    return F.when(values.isNotNull() & text.contains("{{"), joined).otherwise(text)
 
 
-def substitute_directives(df: DataFrame, columns: Sequence[str], values: DataFrame, store: str = "store_id") -> DataFrame:
-    """``df`` with each directive in ``columns`` replaced by its value from ``values_per_store``.
+def substitute_directives(
+    df: DataFrame, columns: Sequence[str], values: DataFrame, store: str = "store_id", key: str = "entity_id"
+) -> DataFrame:
+    """``df`` with each directive in ``columns`` replaced by its value from a table (store_id, token, value).
 
-    A token without a value stays (the HTML stage drops it later), and so do all tokens of a row whose ``store`` is NULL.
+    ``key`` names the text; a key that several rows share only brings them each other's values. A token without a value stays (the
+    HTML stage drops it later), and so do all tokens of a row whose ``store`` or ``key`` is NULL.
     """
-    joined = df.join(values, df[store] == values["_of"], "left").drop("_of")
-    return joined.withColumns({c: _woven(c) for c in columns}).drop("_values")
+    asked = df.where(F.col(store).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(store).alias("_of"), F.explode(tokens_of(*map(F.col, columns))).alias("_token"))
+    pairs = distinct_values(values).select(F.col("store_id").alias("_of"), F.col("token").alias("_token"), F.col("value").alias("_value"))
+    hits = asked.distinct().join(pairs, ["_of", "_token"]).groupBy("_key", "_of").agg(
+        F.map_from_entries(F.collect_list(F.struct("_token", "_value"))).alias("_values"))
+    joined = df.join(hits, (df[key] == hits["_key"]) & (df[store] == hits["_of"]), "left").drop("_key", "_of")
+    return joined.withColumns({c: woven(c, F.col("_values")) for c in columns}).drop("_values")

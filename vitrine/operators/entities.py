@@ -26,7 +26,7 @@ from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.markup import MARKER
 from vitrine.functions.text import is_blank, text, trim_text, truncate_words
 from vitrine.functions.urls import absolute_url
-from vitrine.operators.directives import substitute_directives, values_per_store
+from vitrine.operators.directives import distinct_values, found_values, tokens_of, values_in, woven
 from vitrine.operators.lookups import (
     apply_tariff,
     breadcrumbs,
@@ -36,9 +36,20 @@ from vitrine.operators.lookups import (
     pick_stock,
     pick_tariff,
     product_shelf,
+    store_breadcrumbs,
+)
+from vitrine.operators.overrides import (
+    CATEGORY_FACTS,
+    CATEGORY_TEXTS,
+    PRODUCT_FACTS,
+    PRODUCT_TEXTS,
+    own_facts,
+    own_or,
+    pick_own,
+    text_versions,
 )
 from vitrine.operators.stores import store_context
-from vitrine.sources.catalog import Catalog
+from vitrine.sources.catalog import Catalog, shown_product
 from vitrine.spark_tools import staged
 
 PAGE_SLOTS = 64
@@ -70,8 +81,8 @@ def memo(catalog: Catalog, name: str, make) -> DataFrame:
 def sold_products(catalog: Catalog, products: DataFrame | None = None) -> DataFrame:
     """(store, product) rows with URL, stock and tariff, before the limit and for every format.
 
-    ``products`` (entity_id and base price) are those that may be shown; without it any linked one counts, with its
-    price and status still to come.
+    ``products`` (entity_id and base price, with status and visibility where stores may set them) are those that may be shown;
+    without it any linked one counts, with its price and status still to come. What a store sets itself is in ``own_…`` columns.
     """
     stores = _listing_stores(catalog, "include_products", FORMATS).select(
         *STORE_COLUMNS, "website_id", "link_url", "currency", "customer_group_id", "products_under_optional",
@@ -79,6 +90,11 @@ def sold_products(catalog: Catalog, products: DataFrame | None = None) -> DataFr
     )
     shelf = product_shelf(catalog, products)
     sold = catalog.product_stores.join(stores, "store_id").join(shelf, "entity_id", "left" if products is None else "inner")
+    if catalog.product_values is not None:
+        sold = pick_own(sold, product_facts(catalog), PRODUCT_FACTS)
+        if products is not None:
+            sold = sold.withColumns({c: own_or(c) for c in ("price", "status", "visibility")}).where(shown_product())
+            sold = sold.drop("status", "visibility", *(f"own_{c}" for c in ("price", "status", "visibility")))
     stocked = pick_stock(sold).where(~F.col("exclude_out_of_stock") | F.col("in_stock"))
     rows = pick_tariff(catalog, stocked).drop("website_id", "customer_group_id", "exclude_out_of_stock").join(
         canonical_paths(catalog, "product"), ["store_id", "entity_id"]
@@ -89,7 +105,31 @@ def sold_products(catalog: Catalog, products: DataFrame | None = None) -> DataFr
 
 def listed_products(catalog: Catalog) -> DataFrame:
     """(store, product) rows that may be emitted, with final price, before the limit and for every format."""
-    return memo(catalog, "listed-products", lambda: apply_tariff(catalog, sold_products(catalog, catalog.scan_products("price"))))
+    return memo(catalog, "listed-products", lambda: apply_tariff(catalog, sold_products(catalog, _offered(catalog))))
+
+
+def _offered(catalog: Catalog) -> DataFrame:
+    return catalog.scan_offered("price", *(() if catalog.product_values is None else ("status", "visibility")))
+
+
+def product_facts(catalog: Catalog) -> DataFrame:
+    return memo(catalog, "own-products", lambda: own_facts(catalog.product_values, PRODUCT_FACTS, PRODUCT_TEXTS))
+
+
+def category_facts(catalog: Catalog) -> DataFrame:
+    return memo(catalog, "own-categories", lambda: own_facts(catalog.category_values, CATEGORY_FACTS, CATEGORY_TEXTS))
+
+
+def product_versions(catalog: Catalog) -> DataFrame | None:
+    return None if catalog.product_values is None else text_versions(catalog.product_values, PRODUCT_TEXTS)
+
+
+def category_versions(catalog: Catalog) -> DataFrame | None:
+    return None if catalog.category_values is None else text_versions(catalog.category_values, CATEGORY_TEXTS)
+
+
+def with_own_name(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("name", own_or("name")).drop("own_name") if "own_name" in rows.columns else rows
 
 
 def product_listing(catalog: Catalog, formats: Sequence[str] = FORMATS) -> DataFrame:
@@ -107,9 +147,16 @@ def _listed_categories(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
     stores = _listing_stores(catalog, "include_categories", formats).select(
         *STORE_COLUMNS, "link_url", F.col("root_category_id").cast("string").alias("root")
     )
-    named = catalog.scan_categories("name").where(trim_text(text(F.col("name"))) != "")
+    named = trim_text(text(F.col("name"))) != ""
+    if catalog.category_values is None:
+        shown = catalog.scan_categories("name").where(named).select("entity_id", "root").join(stores, "root")
+    else:
+        placed = catalog.scan_placed("name", "is_active").drop("path", "position").join(stores, "root")
+        shown = pick_own(placed, category_facts(catalog), CATEGORY_FACTS)
+        shown = shown.withColumns({"name": own_or("name"), "is_active": own_or("is_active")}).where(F.col("is_active") & named)
+        shown = shown.drop("name", "is_active").join(store_breadcrumbs(catalog), ["store_id", "entity_id"], "left")
     return (
-        named.select("entity_id", "root").join(stores, "root")
+        shown
         .join(canonical_paths(catalog, "category"), ["store_id", "entity_id"])
         .withColumn("url", absolute_url(F.col("link_url"), F.col("request_path")))
         .drop("request_path", "link_url", "root")
@@ -144,13 +191,21 @@ def _listed_pages(catalog: Catalog, formats: Sequence[str]) -> DataFrame:
     ).drop("request_path", "link_url", "plain_url", "excluded_pages", "identifier")
 
 
-def _grouped(listing: DataFrame) -> DataFrame:
+def _grouped(listing: DataFrame, *keys: str) -> DataFrame:
     """The stores of each entity, grouped by what can make its text differ: cleaning rule and directive switch."""
     switches = ["rule", "resolve_directives"]
-    per_rule = listing.groupBy("entity_id", *switches).agg(
-        F.collect_list(F.struct(*[c for c in listing.columns if c != "entity_id" and c not in switches])).alias("stores")
+    per_rule = listing.groupBy(*keys, *switches).agg(
+        F.collect_list(F.struct(*[c for c in listing.columns if c not in keys and c not in switches])).alias("stores")
     )
-    return per_rule.groupBy("entity_id").agg(F.collect_list(F.struct(*switches, "stores")).alias("_groups"))
+    return per_rule.groupBy(*keys).agg(F.collect_list(F.struct(*switches, "stores")).alias("_groups"))
+
+
+def _versioned(listing: DataFrame, versions: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """The same for each version of an entity's texts, and all its versions in one row, so that its default texts meet them in one join."""
+    held = [F.col(t) if t in versions.columns else F.lit(None).cast("struct<value:string>").alias(t) for t in texts]
+    named = versions.select("entity_id", "version", F.struct(*held).alias("_set"))
+    rows = _grouped(listing, "entity_id", "version").join(named, ["entity_id", "version"], "left")
+    return rows.groupBy("entity_id").agg(F.collect_list(F.struct("_set", "_groups")).alias("_versions"))
 
 
 def _variants(marked: Column, has_directive: Column) -> Column:
@@ -183,35 +238,43 @@ def spread_clean(
     fallback_in: Sequence[str] = TEXT_FORMATS,
     both_in: Sequence[str] = (),
     cleaner: Cleaner | None = None,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Rows per (format, store, entity) with ``body`` and ``short``.
 
     ``body`` is the cleaned ``primary``; in formats of ``fallback_in`` it is ``fallback`` where the primary
     is blank. In formats of ``both_in``, ``body`` is ``fallback`` and ``short`` the primary.
-    ``entities`` may be a stream; everything aggregated here is on the listing side.
+    ``versions`` are texts that stores set in place of the default ones; the listing then tells the ``version`` of each row.
     """
     cleaner = cleaner or Cleaner()
     both = [f for f in formats if f in both_in]
-    per_entity = _grouped(listing)
-    rows = entities.join(per_entity, "entity_id").withColumns({
+    per_entity = _grouped(listing, "entity_id") if versions is None else _versioned(listing, versions, (primary, fallback))
+    directives = directive_values(catalog)
+    if directives is not None:
+        per_entity = per_entity.join(_found_values(entities, listing, directives, (primary, fallback), versions), "entity_id", "left")
+    rows = entities.join(per_entity, "entity_id")
+    if versions is not None:
+        rows = rows.withColumn("_version", F.explode("_versions"))
+        own = {t: F.when(F.col(f"_version._set.{t}").isNotNull(), F.col(f"_version._set.{t}.value")).otherwise(F.col(t)) for t in (primary, fallback)}
+        rows = rows.withColumns({**own, "_groups": F.col("_version._groups")}).drop("_versions", "_version")
+    rows = rows.withColumns({
         "_use_fallback": is_blank(F.col(primary)),
         "_primary": text(F.col(primary)),
         "_fallback": text(F.col(fallback)) if both else F.when(is_blank(F.col(primary)), text(F.col(fallback))),
     }).drop(primary, fallback)
     columns = ["_primary", "_fallback"]
 
-    directives = directive_values(catalog)
-
     def either_contains(needle: str) -> Column:
         return F.col("_primary").contains(needle) | F.coalesce(F.col("_fallback").contains(needle), F.lit(False))
 
-    rows = rows.withColumns({
-        "_marked": either_contains(MARKER), "_has": either_contains("{{") & F.lit(directives is not None)
-    })
+    # Without a value for any of its directives, a text reads the same in every store.
+    known = F.lit(False) if directives is None else F.col("_found").isNotNull()
+    rows = rows.withColumns({"_marked": either_contains(MARKER), "_has": known & either_contains("{{")})
     rows = rows.withColumn("_variant", F.explode(_variants(F.col("_marked"), F.col("_has")))).drop("_groups")
     if directives is not None:
-        rows = rows.withColumn("_store", F.col("_variant.store_id"))
-        rows = substitute_directives(rows, columns, directives, store="_store")
+        own = F.when(F.col("_variant.store_id").isNotNull(), values_in(F.col("_variant.store_id")))
+        rows = rows.withColumn("_values", own).drop("_found")
+        rows = rows.withColumns({c: woven(c, F.col("_values")) for c in columns}).drop("_values")
     rule = F.coalesce("_variant.rule", F.lit("preserve|"))
     rows = cleaner.shared(rows, columns, rule)
 
@@ -239,19 +302,32 @@ def spread_clean(
 def directive_values(catalog: Catalog) -> DataFrame | None:
     if catalog.directives is None:
         return None
-    return memo(catalog, "directives", lambda: values_per_store(catalog.directives))
+    return memo(catalog, "directives", lambda: distinct_values(catalog.directives))
+
+
+def _found_values(
+    entities: DataFrame, listing: DataFrame, values: DataFrame, texts: Sequence[str], versions: DataFrame | None
+) -> DataFrame:
+    """Values of the directives in each entity's texts, for the stores that list it and resolve directives."""
+    asked = entities.select("entity_id", F.explode(tokens_of(*map(F.col, texts))).alias("token"))
+    if versions is not None:
+        own = [F.col(f"{t}.value") for t in texts if t in versions.columns]
+        asked = asked.unionByName(versions.select("entity_id", F.explode(tokens_of(*own)).alias("token")))
+    stores = listing.where("resolve_directives").select("entity_id", "store_id")
+    return found_values(asked.distinct().join(stores, "entity_id"), values)
 
 
 def product_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
-    entities = catalog.scan_products("sku", "name", "short_description", "description")
-    return spread_clean(
+    entities = catalog.scan_offered("sku", "name", "short_description", "description")
+    return with_own_name(spread_clean(
         catalog, entities, product_listing(catalog, formats), "short_description", "description", formats,
-        PRODUCT_CAP, PRODUCT_SHORT_CAP, both_in=(JSONL,), cleaner=cleaner,
-    )
+        PRODUCT_CAP, PRODUCT_SHORT_CAP, both_in=(JSONL,), cleaner=cleaner, versions=product_versions(catalog),
+    ))
 
 
 def category_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:
-    entities = catalog.scan_categories("name", "description", "meta_description").drop("path", "root")
+    scan = catalog.scan_categories if catalog.category_values is None else catalog.scan_placed
+    entities = scan("name", "description", "meta_description").drop("path", "root")
     if tuple(formats) != (JSONL,):
         counts = category_counts(catalog).withColumnRenamed("category_id", "entity_id")
         entities = (
@@ -262,10 +338,13 @@ def category_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: C
         entities = entities.withColumns({
             "breadcrumb": F.lit(None).cast("string"), "product_count": F.lit(None).cast("long")
         })
-    return spread_clean(
+    rows = with_own_name(spread_clean(
         catalog, entities, category_listing(catalog, formats), "description", "meta_description",
-        formats, CATEGORY_CAP, cleaner=cleaner,
-    ).drop("short")
+        formats, CATEGORY_CAP, cleaner=cleaner, versions=category_versions(catalog),
+    ).drop("short"))
+    if catalog.category_values is None:
+        return rows
+    return rows.withColumn("breadcrumb", F.coalesce("own_breadcrumb", "breadcrumb")).drop("own_breadcrumb")
 
 
 def page_rows(catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import trim_text
 from vitrine.functions.urls import absolute_url
+from vitrine.operators.overrides import own_or, own_values
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
 
@@ -123,6 +124,24 @@ def breadcrumbs(catalog: Catalog) -> DataFrame:
     )
 
 
+def store_breadcrumbs(catalog: Catalog) -> DataFrame:
+    """(store_id, entity_id, own_breadcrumb) where a store sets the name or the switch of a category or one above it."""
+    own = own_values(catalog.category_values, ("name", "is_active")).select(
+        "store_id", F.col("entity_id").alias("ancestor"), F.col("name").alias("own_name"), F.col("is_active").alias("own_is_active"))
+    own = own.where(F.col("own_name").isNotNull() | F.col("own_is_active").isNotNull())
+    placed = catalog.scan_placed("name", "is_active")
+    names = placed.select("root", F.col("entity_id").alias("ancestor"), "name", "is_active")
+    steps = placed.select("entity_id", "root", F.posexplode(F.split("path", "/")).alias("pos", "step")).select(
+        "entity_id", "root", "pos", F.coalesce(F.col("step").try_cast("long"), F.lit(0)).alias("ancestor"))
+    steps = steps.where((F.col("ancestor") > 1) & (F.col("ancestor") != F.col("root").try_cast("long")))
+    touched = steps.join(own.select("store_id", "ancestor"), "ancestor").select("entity_id", "store_id").distinct()
+    seen = touched.join(steps, "entity_id").join(names, ["root", "ancestor"], "left").join(own, ["store_id", "ancestor"], "left")
+    label = F.when(own_or("is_active"), trim_text(F.coalesce(own_or("name"), F.lit(""))))
+    label = F.coalesce(label, F.col("ancestor").cast("string"))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", label.alias("label"))))
+    return seen.groupBy("store_id", "entity_id").agg(F.array_join(F.transform(ordered, lambda s: s["label"]), " > ").alias("own_breadcrumb"))
+
+
 def first_per_store(listing: DataFrame, limit: Column) -> DataFrame:
     """The first ``limit`` rows of each store by ``entity_id``; a limit of 0 keeps all.
 

@@ -9,8 +9,17 @@ from vitrine.constants import FULL
 from vitrine.functions.cleaning import Cleaner
 from vitrine.functions.text import text
 from vitrine.functions.values import format_price
-from vitrine.operators.entities import STORE_COLUMNS, spread_clean
+from vitrine.operators.entities import (
+    STORE_COLUMNS,
+    category_facts,
+    category_versions,
+    product_facts,
+    product_versions,
+    spread_clean,
+    with_own_name,
+)
 from vitrine.operators.lookups import apply_tariff, pick_tariff, product_shelf
+from vitrine.operators.overrides import CATEGORY_FACTS, PRODUCT_FACTS, own_or, pick_own
 from vitrine.operators.stores import store_context
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staged
@@ -54,9 +63,13 @@ def mirror_render(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame
     settings = {"formats": (FULL,), "fallback_in": (), "cleaner": cleaner}
     products = catalog.products.select("entity_id", "sku", "name", "short_description", "description")
     asked = listed("product").join(product_shelf(catalog, catalog.products.select("entity_id", "price")), "entity_id").drop("_stock")
+    if catalog.product_values is not None:
+        asked = pick_own(asked, product_facts(catalog), PRODUCT_FACTS).withColumn("price", own_or("price"))
+        asked = asked.drop("own_price", "own_status", "own_visibility")
     priced = apply_tariff(catalog, pick_tariff(catalog, asked))
     rows = spread_clean(catalog, products, priced.drop("customer_group_id"), "short_description", "description",
-                        both_in=(FULL,), **settings)
+                        both_in=(FULL,), versions=product_versions(catalog), **settings)
+    rows = with_own_name(rows)
     short, long = F.col("short"), F.col("body")
     product = rows.select("store_code", "path", F.concat(
         F.lit("# "), text(F.col("name")), F.lit("\n\n> SKU: "), text(F.col("sku")), F.lit(" · Price: "),
@@ -67,6 +80,10 @@ def mirror_render(catalog: Catalog, cleaner: Cleaner | None = None) -> DataFrame
 
     shelves = catalog.categories.select("entity_id", "name", "description", F.lit(None).cast("string").alias("_none"))
     pages = catalog.pages.select(F.col("page_id").alias("entity_id"), "title", "content", F.lit(None).cast("string").alias("_none"))
-    category = body(spread_clean(catalog, shelves, listed("category"), "description", "_none", **settings), "name")
+    asked = listed("category")
+    if catalog.category_values is not None:
+        asked = pick_own(asked, category_facts(catalog), CATEGORY_FACTS).drop("own_is_active")
+    rows = spread_clean(catalog, shelves, asked, "description", "_none", versions=category_versions(catalog), **settings)
+    category = body(with_own_name(rows), "name")
     page = body(spread_clean(catalog, pages, listed("cms-page"), "content", "_none", **settings), "title")
     return product.unionByName(category).unionByName(page)

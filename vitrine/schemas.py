@@ -8,8 +8,10 @@ TABLES = {
     "products": "entity_id long, sku string, name string, price double, short_description string, "
                 "description string, status int, visibility int",
     "product_stores": "entity_id long, store_id long",
+    "product_values": "entity_id long, store_id long, attribute string, value string",
     "categories": "entity_id long, name string, description string, meta_description string, path string, "
                   "is_active boolean, position long",
+    "category_values": "entity_id long, store_id long, attribute string, value string",
     "category_products": "category_id long, product_id long",
     "pages": "page_id long, title string, identifier string, content string, meta_description string, "
              "is_active boolean, sort_order long",
@@ -26,7 +28,7 @@ TABLES = {
     "requests": "store_id long, path string",
 }
 
-# One nullable superset of the four record kinds, in output order; NULL fields are left out of the JSON.
+# fixed values: the record contract. One nullable superset of the four record kinds, in output order; NULL fields are left out of the JSON.
 RECORD = (
     "entity_type string, entity_id long, store_code string, store_name string, sku string, name string, "
     "title string, identifier string, url string, price double, currency string, locale string, "

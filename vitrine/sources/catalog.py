@@ -6,14 +6,19 @@ import datetime as dt
 from dataclasses import dataclass, field, fields
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.constants import REWRITE_TYPES, STATUS_ENABLED, VISIBLE
 from vitrine.functions.text import trim_text
+from vitrine.operators.overrides import CATEGORY_FACTS, CATEGORY_TEXTS, PRODUCT_FACTS, PRODUCT_TEXTS, resolve
 from vitrine.schemas import TABLES
 
-OPTIONAL_TABLES = ("prices", "countries", "directives", "run_log", "requests")
+OPTIONAL_TABLES = ("product_values", "category_values", "prices", "countries", "directives", "run_log", "requests")
+
+
+def shown_product() -> Column:
+    return (F.col("status") == STATUS_ENABLED) & F.col("visibility").isin(*VISIBLE)
 
 
 @dataclass
@@ -28,6 +33,8 @@ class Catalog:
     page_stores: DataFrame
     rewrites: DataFrame
     stock: DataFrame
+    product_values: DataFrame | None = None
+    category_values: DataFrame | None = None
     prices: DataFrame | None = None
     countries: DataFrame | None = None
     directives: DataFrame | None = None
@@ -67,18 +74,49 @@ class Catalog:
         return self.stores if code is None else self.stores.where(F.col("store_code") == code)
 
     def scan_products(self, *columns: str) -> DataFrame:
-        """Enabled and visible products; only the columns asked for."""
-        shown = (F.col("status") == STATUS_ENABLED) & F.col("visibility").isin(*VISIBLE)
-        return self.products.where(shown).select("entity_id", *columns)
+        """Products enabled and visible by default; only the columns asked for."""
+        return self.products.where(shown_product()).select("entity_id", *columns)
+
+    def scan_offered(self, *columns: str) -> DataFrame:
+        """Products that may be shown in some store: by default, or where a store sets their status or visibility."""
+        if self.product_values is None:
+            return self.scan_products(*columns)
+        set_here = self.product_values.where(F.col("attribute").isin("status", "visibility")).select("entity_id").distinct()
+        hidden = self.products.where(~F.coalesce(shown_product(), F.lit(False))).select("entity_id", *columns)
+        return self.scan_products(*columns).unionByName(hidden.join(set_here, "entity_id", "left_semi"))
+
+    def scan_store_products(self, *columns: str) -> DataFrame:
+        """(``store_id``, ``entity_id``, columns) of the products enabled and visible in a store they are linked to, as the store sees them."""
+        asked = dict.fromkeys((*columns, "status", "visibility"))
+        rows = self.product_stores.join(self.scan_offered(*asked), "entity_id")
+        if self.product_values is not None:
+            own = [c for c in asked if c in (*PRODUCT_FACTS, *PRODUCT_TEXTS)]
+            rows = resolve(rows, self.product_values, own)
+        return rows.where(shown_product()).select("store_id", "entity_id", *columns)
 
     def scan_categories(self, *columns: str) -> DataFrame:
-        """Active categories below a root: path ``1/{root}/…``."""
+        """Categories below a root, active by default: path ``1/{root}/…``."""
+        return self.scan_placed("is_active", *(c for c in columns if c != "is_active")).where("is_active").select(
+            "entity_id", "path", "position", "root", *columns)
+
+    def scan_placed(self, *columns: str) -> DataFrame:
+        """Categories below a root, active or not."""
         steps = F.split("path", "/")
         return (
-            self.categories.where(F.col("is_active") & F.col("path").startswith("1/") & (F.size(steps) > 2))
+            self.categories.where(F.col("path").startswith("1/") & (F.size(steps) > 2))
             .select("entity_id", "path", "position", F.try_element_at(steps, F.lit(2)).alias("root"), *columns)
         )
 
+    def scan_store_categories(self, *columns: str) -> DataFrame:
+        """(``store_id``, ``entity_id``, ``path``, columns) of the categories below a store's root that are active in it, as the store sees them."""
+        roots = self.stores.select("store_id", F.col("root_category_id").cast("string").alias("root"))
+        asked = dict.fromkeys((*columns, "is_active"))
+        rows = self.scan_placed(*asked).join(roots, "root")
+        if self.category_values is not None:
+            own = [c for c in asked if c in (*CATEGORY_FACTS, *CATEGORY_TEXTS)]
+            rows = resolve(rows, self.category_values, own)
+        return rows.where("is_active").select("store_id", "entity_id", "path", *columns)
+
     def scan_pages(self, *columns: str) -> DataFrame:
         """Active pages that have a title."""
         return self.pages.where(F.col("is_active") & (trim_text(F.col("title")) != "")).select("page_id", *columns)

@@ -88,7 +88,7 @@ class DerivedCatalog(Catalog):
     """Tables are built when first used. Narrow ones that take a join or an aggregate to derive are
     written to the shared folder then, as several jobs read each of them; texts stay lazy."""
 
-    WRITTEN = ("categories", "category_products", "product_stores", "page_stores", "rewrites", "stock", "prices", "run_log")
+    WRITTEN = ("categories", "category_products", "category_values", "product_stores", "product_values", "page_stores", "rewrites", "stock", "prices", "run_log")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir, self._tables = spark, sf_dir, {}
@@ -123,6 +123,12 @@ class DerivedCatalog(Catalog):
                 return self._items().drop("p_size", "lang")
             case "product_stores":
                 return self._items().select("entity_id", "lang").join(self._languages(), "lang").select("entity_id", "store_id")
+            case "product_values":
+                return _product_values(self._items().select("entity_id", "name", "p_size", "lang").join(self._languages(), "lang"))
+            case "category_values":
+                roots = self.stores.select("store_id", F.col("root_category_id").cast("string").alias("root"))
+                placed = _categories(_category_ids(part)).withColumn("root", _root(F.col("p_type")))
+                return _category_values(placed.select("entity_id", "name", "p_type", "root").join(roots, "root"))
             case "categories":
                 return _categories(_category_ids(part)).drop("p_type", "p_brand")
             case "category_products":
@@ -213,6 +219,47 @@ def _items(part: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def _set_values(rows: DataFrame, **values: F.Column) -> DataFrame:
+    """One row per attribute that a store sets; each value is a struct, or NULL where the default counts."""
+    rules = [F.struct(F.lit(a).alias("attribute"), v.alias("own")) for a, v in values.items()]
+    each = rows.select("entity_id", "store_id", F.inline(F.array(*rules)))
+    return each.where(F.col("own").isNotNull()).select("entity_id", "store_id", "attribute", "own.value")
+
+
+def _product_values(sold: DataFrame) -> DataFrame:
+    entity, store, size = F.col("entity_id"), F.col("store_id"), F.col("p_size")
+
+    def when(condition, value):
+        return F.when(condition, F.struct(F.lit(value).cast("string").alias("value")) if not isinstance(value, F.Column) else F.struct(value.alias("value")))
+
+    here = F.concat(F.lit('<p>Only here {{store url="'), "lang", F.lit('"}}</p>'))
+    status = F.when((size == 13) & (store % 3 == 0), "1").when((entity % 23 == 0) & (store % 6 == 0), "2")
+    visible = F.when((entity % 29 == 0) & (store % 4 == 1), "1").when(size.between(40, 43) & (store % 5 == 0), "4")
+    return _set_values(
+        sold,
+        name=when((entity % 11 == 0) & ((entity + store) % 4 == 0), F.concat(F.lit("Local "), F.coalesce("name", F.lit("item")))),
+        price=when((entity % 19 == 0) & (store % 2 == 0), (entity % 100 + 1).cast("string")),
+        short_description=when((entity % 17 == 0) & (store % 5 == 2), None),
+        description=when((entity % 13 == 0) & (store % 3 == 1), here),
+        status=when(status.isNotNull(), status), visibility=when(visible.isNotNull(), visible),
+    )
+
+
+def _category_values(placed: DataFrame) -> DataFrame:
+    entity, store = F.col("entity_id"), F.col("store_id")
+
+    def when(condition, value):
+        return F.when(condition, F.struct(value.cast("string").alias("value")))
+
+    switch = F.when((F.col("p_type") == "LARGE") & (store % 5 == 0), "1").when((entity % 7 == 0) & (store % 3 == 0), "0")
+    return _set_values(
+        placed,
+        name=when((entity % 3 == 0) & (store % 4 == 0), F.concat(F.lit(" Local "), "name")), is_active=when(switch.isNotNull(), switch),
+        description=when((entity % 5 == 0) & (store % 2 == 0), F.lit("<p>Only here &amp; now</p>")),
+        meta_description=when((entity % 5 == 1) & (store % 3 == 2), F.lit("Own <b>meta</b>")),
+    )
+
+
 def _category_ids(part: DataFrame) -> DataFrame:
     """Brand categories with the type category above them; ids come from the lowest part key in each."""
     brands = part.groupBy("p_type", "p_brand").agg(

@@ -66,6 +66,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder whose job ended."""
+    return [name for name in subfolders(spark, path) if file_exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    file, fs = _folder(spark, path)
+    return fs.exists(file)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none if it does not exist."""
     folder, fs = _folder(spark, path)
