@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import importlib.util
 from collections.abc import Callable
@@ -17,10 +18,11 @@ from vitrine.functions.cleaning import Cleaner, clean_text, prune_step
 from vitrine.operators import blocks, entities, lookups, mirror, stores
 from vitrine.operators.directives import substitute_directives
 from vitrine.plans import document, report
-from vitrine.plans.sections import Sections
+from vitrine.plans.export import compact_log, published, run_export
+from vitrine.plans.sections import DEFAULT_SECTIONS, Sections
 from vitrine.schemas import RECORD
 from vitrine.sources import derived, outputs
-from vitrine.spark_tools import staging_path
+from vitrine.spark_tools import staged, staging_path
 from vitrine.streaming.changelog import compact, current_changes, write_changes
 from vitrine.streaming.incremental import current_records, write_stream
 
@@ -114,6 +116,23 @@ def _registered_section(spark: SparkSession, sf: str) -> DataFrame:
     return own.blocks(derived.load(spark, sf))
 
 
+def _hashed_digits(text: F.Column) -> F.Column:
+    """A stage that cannot read the texts of a few products."""
+    bad = text.rlike("Brand#10™, size (31|50)$")
+    return F.when(bad, F.raise_error(F.lit("unreadable")).cast("string")).otherwise(F.regexp_replace(text, "[0-9]", "#"))
+
+
+def _quarantined_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Product records where a registered stage fails on some products: these keep their text as it was before that stage."""
+    cleaner = Cleaner().register_stage("hashed", _hashed_digits, order=35)
+    products = Sections([s for s in DEFAULT_SECTIONS if s.name == "products"])
+    rendered, failures = products.isolated_blocks(derived.load(spark, sf), (JSONL,), cleaner)
+    if failures:
+        raise RuntimeError(failures[0].error_message)
+    records = rendered.select(F.from_json("text", RECORD).alias("r"))
+    return records.select(*[f"r.{c}" for c in PRODUCT_FIELDS])
+
+
 def _truncate(spark: SparkSession, sf: str) -> DataFrame:
     texts = _raw(spark, sf, "documents").select("doc_id", "text")
     return texts.select("doc_id", *[tx.truncate_words(F.col("text"), n).alias(f"cut_{n}") for n in (20, 500, 5000)])
@@ -166,13 +185,59 @@ def _output_names(spark: SparkSession, sf: str) -> DataFrame:
     return stores.eligibility_plan(derived.load(spark, sf)).select("store_code", "format", "file_name")
 
 
+def _all_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_blocks(spark, sf).unionByName(_record_blocks(spark, sf))
+
+
 def _section_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return document.section_counts(_text_blocks(spark, sf))
+    return document.section_counts(_all_blocks(spark, sf))
 
 
 def _run_report(spark: SparkSession, sf: str) -> DataFrame:
-    plan = stores.eligibility_plan(derived.load(spark, sf), TEXT_FORMATS)
-    return report.run_report(plan, document.document_sizes(_text_blocks(spark, sf))).drop("error_message")
+    """All formats; the record documents of some stores count as failed."""
+    catalog = derived.load(spark, sf)
+    failed = catalog.stores.where(F.col("store_id") % 4 == 1).select("store_code", F.lit(JSONL).alias("format"), F.lit("broken").alias("error_message"))
+    return report.run_report(stores.eligibility_plan(catalog), document.document_sizes(_all_blocks(spark, sf)), failed)
+
+
+def _status_read_back(spark: SparkSession, sf: str) -> DataFrame:
+    """A run log whose older files lack some fields."""
+    runs, out = derived.load(spark, sf).run_log, staging_path(spark, "old-log")
+    runs.where("run_id % 3 = 0").drop("status", "format").write.parquet(f"{out}/run=0")
+    runs.where("run_id % 3 > 0").write.parquet(f"{out}/run=1")
+    return outputs.read_status(spark, out).select("run_id", "store_code", "format", "status", "byte_size")
+
+
+def _status_from_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The state from snapshots of two parts of the log and the rows of a third."""
+    parts = [derived.load(spark, sf).run_log.where(F.col("run_id") % 3 == n) for n in range(3)]
+    return report.latest_status(report.log_snapshot(parts[0]).unionByName(report.log_snapshot(parts[1])).unionByName(parts[2]))
+
+
+def _published_after_crashes(spark: SparkSession, sf: str) -> DataFrame:
+    """What is published when a run stops after each of its steps, and after it was started again."""
+    catalog, out = derived.load(spark, sf), staging_path(spark, "crashes")
+    stores_only = Sections([s for s in DEFAULT_SECTIONS if s.name == "store"])
+    seen = []
+
+    def run(number: int, stop: str | None = None) -> None:
+        def after(step: str) -> None:
+            if step == stop:
+                raise InterruptedError(step)
+
+        try:
+            run_export(catalog, out, sections=stores_only, run_id=number, after=after)
+        except InterruptedError:
+            pass
+
+    run(1)
+    for number, step in enumerate(("documents", "manifest", "log"), 2):
+        for state, stop in (("stopped", step), ("again", None)):
+            run(number, stop)
+            seen.append(staged(published(spark, out).select(F.lit(step).alias("step"), F.lit(state).alias("state"), "store_code", "format", "run_id"), "seen"))
+    compact_log(spark, out)
+    seen.append(published(spark, out).select(F.lit("compacted").alias("step"), F.lit("").alias("state"), "store_code", "format", "run_id"))
+    return functools.reduce(DataFrame.unionByName, seen)
 
 
 def _status_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,7 +374,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "document_blocks": lambda spark, sf: _text_blocks(spark, sf).drop("text_bytes"),
         "written_documents": _written_documents,
         "written_records": _written_records,
-        "document_sizes": lambda spark, sf: document.document_sizes(_text_blocks(spark, sf)),
+        "document_sizes": lambda spark, sf: document.document_sizes(_all_blocks(spark, sf)),
         "section_counts": _section_counts,
         "visible_products": on_catalog(lambda c: c.scan_products("sku", "name", "price")),
         "store_products": on_catalog(lambda c: c.scan_store_products("sku", "name", "price", "short_description", "description")),
@@ -330,6 +395,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_documents": _clean_documents,
         "registered_stage": _registered_stage,
         "registered_section": _registered_section,
+        "quarantined_rows": _quarantined_rows,
         "normalize_whitespace": _normalize,
         "truncate_words": _truncate,
         "escape_markdown": _escape,
@@ -340,6 +406,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mirror_lookup": on_catalog(mirror.mirror_lookup),
         "mirror_render": on_catalog(mirror.mirror_render),
         "latest_status": on_catalog(lambda c: report.latest_status(c.run_log)),
+        "status_read_back": _status_read_back,
+        "status_from_snapshot": _status_from_snapshot,
+        "published_after_crashes": _published_after_crashes,
+        "one_store": on_catalog(lambda c: c.scan_stores("nation_7").select("store_id", "store_code", "store_name", "website_name")),
         "status_history": on_catalog(lambda c: report.status_history(c.run_log)),
         "status_report": _status_report,
         "run_report": _run_report,

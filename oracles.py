@@ -488,13 +488,23 @@ MADE = {
         UNION ALL SELECT doc.store_code, 'category', entity_id FROM shelf_list JOIN doc USING (store_id) WHERE doc.format = 'jsonl'
         UNION ALL SELECT doc.store_code, 'cms_page', entity_id FROM page_list JOIN doc USING (store_id) WHERE doc.format = 'jsonl'
         UNION ALL SELECT store_code, 'store', store_id FROM doc WHERE format = 'jsonl'""",
-    "sized": "SELECT store_code, format, CAST(sum(strlen(text)) AS BIGINT) AS byte_size, CAST(sum(items) AS BIGINT) AS item_count FROM block GROUP BY ALL",
+    "sized": """
+        SELECT store_code, format, CAST(sum(n) AS BIGINT) AS byte_size, CAST(sum(items) AS BIGINT) AS item_count FROM (
+            SELECT store_code, format, strlen(text) AS n, items FROM block
+            UNION ALL SELECT store_code, 'jsonl', strlen(to_json(r)) + 1, 1 FROM product_record r
+            UNION ALL SELECT store_code, 'jsonl', strlen(to_json(r)) + 1, 1 FROM shelf_record r
+            UNION ALL SELECT store_code, 'jsonl', strlen(to_json(r)) + 1, 1 FROM page_record r
+            UNION ALL SELECT store_code, 'jsonl', strlen(to_json(r)) + 1, 1 FROM store_record r)
+        GROUP BY ALL""",
     "outcome": """
-        SELECT store_code, format, CASE format WHEN 'llms_txt' THEN 'llms_' ELSE 'llms-full_' END || store_code || '.txt' AS file_name,
-               CASE WHEN doc.store_id IS NULL THEN 'skipped' ELSE 'generated' END AS outcome,
-               CASE WHEN doc.store_id IS NOT NULL THEN coalesce(byte_size, 0) END AS byte_size,
-               CASE WHEN doc.store_id IS NOT NULL THEN coalesce(item_count, 0) END AS item_count
-        FROM store CROSS JOIN (VALUES ('llms_txt'), ('llms_full_txt')) f(format)
+        SELECT store_code, format, CASE format WHEN 'llms_full_txt' THEN 'llms-full_' ELSE 'llms_' END || store_code
+               || CASE format WHEN 'jsonl' THEN '.jsonl' ELSE '.txt' END AS file_name,
+               CASE WHEN doc.store_id IS NULL THEN 'skipped' WHEN lost THEN 'failed' ELSE 'generated' END AS outcome,
+               CASE WHEN doc.store_id IS NOT NULL AND NOT lost THEN coalesce(byte_size, 0) END AS byte_size,
+               CASE WHEN doc.store_id IS NOT NULL AND NOT lost THEN coalesce(item_count, 0) END AS item_count,
+               CASE WHEN doc.store_id IS NOT NULL AND lost THEN 'broken' END AS error_message
+        FROM (SELECT store_code, format, store_id % 4 = 1 AND format = 'jsonl' AS lost
+              FROM store CROSS JOIN (VALUES ('llms_txt'), ('llms_full_txt'), ('jsonl')) f(format)) s
         LEFT JOIN (SELECT store_id, store_code, format FROM doc) doc USING (store_code, format) LEFT JOIN sized USING (store_code, format)""",
     "unlimited": """
         SELECT r.* EXCLUDE (price), least(price, group_price, special) AS price
@@ -524,6 +534,27 @@ MADE["changed_stocked"] = CTES["stocked"].replace("FROM item_seen item", "FROM c
 MADE["changed_ranked"] = CTES["ranked"].replace("FROM stocked", "FROM changed_stocked")
 MADE["changed_sale"] = MADE["unlimited"].replace("FROM ranked", "FROM changed_ranked")
 MADE["changed_text"] = CTES["sale_text"].replace("FROM sale)", "FROM changed_sale)")
+MADE["product_record"] = _product_records("sale_text")
+MADE["shelf_record"] = f"""
+    SELECT *, left(trim(name || chr(10) || description, {SPACES}), 8000) AS embedding_text
+    FROM (SELECT 'category' AS entity_type, entity_id, store_code, store_name, name, url, {cut("f", 4000)} AS description
+          FROM (SELECT entity_id, s.store_code, s.store_name, trim(name) AS name, url, {full(html("coalesce(description, '')"))} AS f
+                FROM shelf_list s {JSON_DOC.format("s")}))"""
+MADE["page_record"] = f"""
+    SELECT *, left(trim(title || chr(10) || content, {SPACES}), 8000) AS embedding_text
+    FROM (SELECT 'cms_page' AS entity_type, entity_id, store_code, store_name, title, identifier, url, {cut("f", 16000)} AS content
+          FROM (SELECT s.entity_id, s.store_code, s.store_name, trim(title) AS title, identifier, url, {full("content_h")} AS f
+                FROM page_list s JOIN page_text USING (entity_id) {JSON_DOC.format("s")}))"""
+MADE["store_record"] = """
+    SELECT 'store' AS entity_type, store_id AS entity_id, store_code, store_name, plain_url AS url, currency, locale,
+           store_name || ' ' || plain_url AS embedding_text FROM doc WHERE format = 'jsonl'"""
+MADE["unreadable"] = """
+    SELECT DISTINCT s.entity_id FROM sale_text s JOIN doc ON doc.store_id = s.store_id AND doc.format = 'jsonl'
+    WHERE regexp_matches(short_h, 'Brand#10™, size (31|50)$') OR regexp_matches(long_h, 'Brand#10™, size (31|50)$')"""
+MADE["hashed_text"] = """
+    SELECT s.* REPLACE (CASE WHEN u.entity_id IS NULL THEN regexp_replace(short_h, '[0-9]', '#', 'g') ELSE short_h END AS short_h,
+                        CASE WHEN u.entity_id IS NULL THEN regexp_replace(long_h, '[0-9]', '#', 'g') ELSE long_h END AS long_h)
+    FROM sale_text s LEFT JOIN unreadable u ON u.entity_id = s.entity_id"""
 MADE["unlimited_text"] = CTES["sale_text"].replace("FROM sale)", "FROM unlimited)")
 
 
@@ -534,19 +565,21 @@ def statements() -> dict[str, str]:
         "product_records": _product_records("sale_text"),
         "stream_product_records": _product_records("unlimited_text"),
         "stream_with_removals": _product_records("changed_text"),
-        "category_records": f"""
-            SELECT *, left(trim(name || chr(10) || description, {SPACES}), 8000) AS embedding_text
-            FROM (SELECT 'category' AS entity_type, entity_id, store_code, store_name, name, url, {cut("f", 4000)} AS description
-                  FROM (SELECT entity_id, s.store_code, s.store_name, trim(name) AS name, url, {full(html("coalesce(description, '')"))} AS f
-                        FROM shelf_list s {JSON_DOC.format("s")}))""",
-        "page_records": f"""
-            SELECT *, left(trim(title || chr(10) || content, {SPACES}), 8000) AS embedding_text
-            FROM (SELECT 'cms_page' AS entity_type, entity_id, store_code, store_name, title, identifier, url, {cut("f", 16000)} AS content
-                  FROM (SELECT s.entity_id, s.store_code, s.store_name, trim(title) AS title, identifier, url, {full("content_h")} AS f
-                        FROM page_list s JOIN page_text USING (entity_id) {JSON_DOC.format("s")}))""",
-        "store_records": """
-            SELECT 'store' AS entity_type, store_id AS entity_id, store_code, store_name, plain_url AS url, currency, locale,
-                   store_name || ' ' || plain_url AS embedding_text FROM doc WHERE format = 'jsonl'""",
+        "quarantined_rows": _product_records("hashed_text"),
+        "category_records": "SELECT * FROM shelf_record",
+        "page_records": "SELECT * FROM page_record",
+        "store_records": "SELECT * FROM store_record",
+        "status_read_back": """
+            SELECT run_id, store_code, CASE WHEN run_id % 3 = 0 THEN '' ELSE format END AS format,
+                   CASE WHEN run_id % 3 = 0 THEN 'pending' ELSE status END AS status, byte_size FROM run""",
+        "status_from_snapshot": """
+            SELECT store_code, format, status, attempted_at AS last_attempt_at, last_success_at, byte_size, item_count,
+                   duration_seconds, error_message FROM history WHERE back = 1""",
+        "published_after_crashes": """
+            SELECT step, state, store_code, format, run_id FROM doc CROSS JOIN (VALUES
+                ('documents', 'stopped', 1), ('documents', 'again', 2), ('manifest', 'stopped', 2), ('manifest', 'again', 3),
+                ('log', 'stopped', 4), ('log', 'again', 4), ('compacted', '', 4)) s(step, state, run_id)""",
+        "one_store": "SELECT store_id, store_code, store_name, website_name FROM store WHERE store_code = 'nation_7'",
         "store_header": f"SELECT {block} FROM store_block",
         "sibling_stores": f"SELECT {block} FROM sibling_block",
         "category_section": f"SELECT {block} FROM shelf_block",
@@ -561,8 +594,11 @@ def statements() -> dict[str, str]:
             SELECT store_code, entity_type, count(*) AS records, CAST(sum(entity_id) AS BIGINT) AS id_sum FROM made GROUP BY ALL""",
         "document_sizes": "SELECT * FROM sized",
         "section_counts": f"""
-            SELECT store_code, format, section_ord, count(*) AS entities FROM block
-            WHERE position NOT IN ({HEADING}, {CLOSING}) GROUP BY ALL""",
+            SELECT store_code, format, section_ord, count(*) AS entities FROM (
+                SELECT store_code, format, section_ord FROM block WHERE position NOT IN ({HEADING}, {CLOSING})
+                UNION ALL
+                SELECT store_code, 'jsonl', CASE entity_type WHEN 'store' THEN 10 WHEN 'category' THEN 30 WHEN 'cms_page' THEN 40 ELSE 50 END FROM made)
+            GROUP BY ALL""",
         "visible_products": "SELECT entity_id, sku, name, price FROM item WHERE shown",
         "store_products": "SELECT store_id, entity_id, sku, name, price, short_description, description FROM item_seen WHERE shown",
         "store_categories": "SELECT store_id, entity_id, name, description, meta_description FROM shelf_seen WHERE is_active",

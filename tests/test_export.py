@@ -1,6 +1,7 @@
 import dataclasses
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.shop import small_documents, small_shop
@@ -8,7 +9,8 @@ from tests.test_catalog import COMPACT_DOCUMENT
 from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators.blocks import store_section
 from vitrine.plans.document import ORDER, write_documents
-from vitrine.plans.export import manifest, published, retire, run_export, run_history
+from vitrine.functions.cleaning import Cleaner
+from vitrine.plans.export import manifest, published, quarantined, retire, run_export, run_history
 from vitrine.plans.report import contract_check, lint_jsonl, lint_markdown, lint_report, run_totals
 from vitrine.plans.sections import Sections
 from vitrine.sources.outputs import read_jsonl, read_lines, read_status
@@ -83,6 +85,54 @@ def test_a_failing_section_fails_its_documents(spark, shop, tmp_path):
     assert document(tmp_path / "documents" / "run=1", COMPACT, "de") and not document(tmp_path / "documents" / "run=1", COMPACT, "default")
 
 
+@pytest.mark.parametrize("bad", [{10}, {10, 16}, {11, 14, 16}])
+def test_a_stage_that_fails_on_some_rows_fails_no_document(spark, shop, tmp_path, bad):
+    rows = shop.products.where("status = 1").withColumns({
+        "description": F.concat(F.lit("text "), F.col("entity_id").cast("string")), "short_description": F.lit(None).cast("string")})
+    many = spark.range(1000, 3000).select(F.col("id").alias("entity_id"), F.lit("S").alias("sku"), F.lit("n").alias("name"), F.lit(1.0).alias("price"),
+                                          F.lit(None).cast("string").alias("short_description"), F.lit("x").alias("description"), F.lit(1).alias("status"), F.lit(4).alias("visibility"))
+    shop = dataclasses.replace(shop, cache={}, products=rows.unionByName(many))
+
+    def fails(c):
+        return F.when(c.isin(*[f"text {i}" for i in bad]), F.raise_error(F.lit("no")).cast("string")).otherwise(F.upper(c))
+
+    cleaner = Cleaner().register_stage("fragile", fails, order=35)
+    report = run_export(shop, str(tmp_path), formats=(COMPACT,), cleaner=cleaner, run_id=1).collect()
+    assert {r["outcome"] for r in report if r["store_code"] != "off"} == {"generated"}
+    text = document(tmp_path / "documents" / "run=1", COMPACT, "default")
+    for i in (10, 11, 14, 16):
+        assert (f"Description: text {i}\n" if i in bad else f"Description: TEXT {i}\n") in text
+    told = quarantined(spark, str(tmp_path), 1).collect()
+    assert {(r["section"], r["stage"], r["low"], r["high"]) for r in told} == {("products", "fragile", i, i) for i in bad}
+
+
+def test_probes_stay_few(monkeypatch):
+    import math
+    from vitrine.plans import quarantine as q
+
+    class Fake(q._Ranges):
+        def __init__(self, ids, bad):
+            self.ids, self.bad, self.probes = ids, bad, 0
+
+        def error(self, low, high, cleaner):
+            self.probes += 1
+            return "bad" if any(low <= i <= high for i in self.bad) else None
+
+        def cuts(self, low, high):
+            inside = [i for i in self.ids if low <= i <= high]
+            step = max(1, len(inside) // 16)
+            return sorted({*inside[step - 1 :: step], *inside[-1:]})
+
+    ids = [7 * i for i in range(-500, 5000)]
+    for bad in ([ids[0]], [ids[-1]], [ids[77], ids[78]], []):
+        fake = Fake(ids, bad)
+        assert [(low, high) for low, high, _ in q.failing_ranges(fake, None)] == [(i, i) for i in bad]
+        assert fake.probes <= (len(bad) + 1) * (math.log2(len(ids)) + 8)
+    fake = Fake(ids, ids[::2])
+    ranges = q.failing_ranges(fake, None)
+    assert all(any(low <= i <= high for low, high, _ in ranges) for i in ids[::2]) and fake.probes < 500
+
+
 def test_a_price_of_any_size_loses_no_section(spark, shop, tmp_path):
     dear = dataclasses.replace(shop, products=shop.products.withColumn("price", F.lit(1e16)), cache={})
     report = {(r["store_code"], r["format"]): r for r in run_export(dear, str(tmp_path), formats=(COMPACT,), run_id=1).collect()}

@@ -10,9 +10,10 @@ per output format (see ``shared_stages`` / ``format_stages``).
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from html.entities import html5
 
@@ -193,15 +194,29 @@ DEFAULT_STAGES = (
 )
 
 
+@dataclass(frozen=True)
+class Skip:
+    """Entities, by id, whose texts a stage passes on as they are."""
+
+    stage: str
+    low: int
+    high: int
+
+
 class Cleaner:
     """Default stages plus registered ones, kept in order."""
 
-    def __init__(self, stages: Sequence[Stage] = DEFAULT_STAGES):
+    def __init__(self, stages: Sequence[Stage] = DEFAULT_STAGES, skips: Sequence[Skip] = ()):
         self.stages = sorted(stages, key=lambda s: s.order)
+        self.skips = tuple(skips)
+
+    def skipping(self, skips: Iterable[Skip]) -> "Cleaner":
+        """A new cleaner that also skips stages for some entities; its rows then need an ``entity_id``."""
+        return Cleaner(self.stages, [*self.skips, *skips])
 
     def register_stage(self, name: str, fn: Step, order: int, per_format: bool = False) -> "Cleaner":
         """A new cleaner with ``fn`` as one more stage. A stage whose building fails is logged and skipped."""
-        return Cleaner([*self.stages, Stage(order, name, lambda rule, verbosity: [fn], per_format)])
+        return Cleaner([*self.stages, Stage(order, name, lambda rule, verbosity: [fn], per_format)], self.skips)
 
     def _split(self) -> int:
         return next((i for i, s in enumerate(self.stages) if s.per_format), len(self.stages))
@@ -220,13 +235,19 @@ class Cleaner:
     def per_format(self, df: DataFrame, columns: Sequence[str], rule: Column, verbosity: Column) -> DataFrame:
         return self._apply(df, columns, self.format_stages, rule, verbosity)
 
-    @staticmethod
-    def _apply(df, columns, stages, rule, verbosity) -> DataFrame:
+    def _skipped(self, stage: Stage) -> Column | None:
+        ranges = [F.col("entity_id").between(s.low, s.high) for s in self.skips if s.stage == stage.name]
+        return functools.reduce(Column.__or__, ranges) if ranges else None
+
+    def _apply(self, df, columns, stages, rule, verbosity) -> DataFrame:
         for stage in stages:
             try:
-                staged = df
+                staged, skipped = df, self._skipped(stage)
                 for step in stage.build(rule, verbosity):
-                    staged = staged.withColumns({c: step(F.col(c)) for c in columns})
+                    done = {c: step(F.col(c)) for c in columns}
+                    if skipped is not None:
+                        done = {c: F.when(skipped, F.col(c)).otherwise(v) for c, v in done.items()}
+                    staged = staged.withColumns(done)
                 df = staged
             except Exception as error:
                 log.warning("cleaning stage %s skipped: %s", stage.name, error)

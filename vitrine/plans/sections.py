@@ -20,9 +20,10 @@ from vitrine.constants import (
     STORE_ORD,
     TEXT_FORMATS,
 )
-from vitrine.functions.cleaning import Cleaner
+from vitrine.functions.cleaning import Cleaner, Skip
 from vitrine.operators import blocks as b
 from vitrine.operators.stores import restricted, store_context
+from vitrine.plans.quarantine import Passed, cleaned_texts, quarantine
 from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staging_path
@@ -38,6 +39,8 @@ class Section:
     order: int
     formats: tuple[str, ...]
     build: SectionFn
+    # The table whose rows it cleans, its id and its texts.
+    table: tuple[str, str, tuple[str, ...]] | None = None
 
 
 @dataclass(frozen=True)
@@ -52,9 +55,9 @@ class Failure:
 DEFAULT_SECTIONS = (
     Section("store", STORE_ORD, FORMATS, b.store_section),
     Section("siblings", SIBLINGS_ORD, TEXT_FORMATS, b.sibling_section),
-    Section("categories", CATEGORIES_ORD, FORMATS, b.category_section),
-    Section("pages", PAGES_ORD, FORMATS, b.page_section),
-    Section("products", PRODUCTS_ORD, FORMATS, b.product_section),
+    Section("categories", CATEGORIES_ORD, FORMATS, b.category_section, ("categories", "entity_id", ("description", "meta_description"))),
+    Section("pages", PAGES_ORD, FORMATS, b.page_section, ("pages", "page_id", ("content", "meta_description"))),
+    Section("products", PRODUCTS_ORD, FORMATS, b.product_section, ("products", "entity_id", ("short_description", "description"))),
 )
 
 
@@ -98,11 +101,12 @@ class Sections:
         return staged
 
     def isolated_blocks(
-        self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None
+        self, catalog: Catalog, formats: Sequence[str] = FORMATS, cleaner: Cleaner | None = None, passed: list[Passed] | None = None
     ) -> tuple[DataFrame, list[Failure]]:
-        """The same, with what failed: a section that fails is tried again for ever fewer stores, until the failing ones are known.
+        """The same, with what failed. Where a cleaning stage fails on some entities, these texts skip it, as told in ``passed``.
 
-        Their blocks of that section are missing; everything else is there. Separate jobs also keep each plan small, where one
+        A section that fails for another reason is tried again for ever fewer stores, until the failing ones are known. Their blocks
+        of that section are missing; everything else is there. Separate jobs also keep each plan small, where one
         union of all sections is planned again after every stage.
         """
         spark = catalog.spark
@@ -111,16 +115,29 @@ class Sections:
         numbers = itertools.count()
         failures: list[Failure] = []
 
-        def attempt(section: Section, wanted: tuple[str, ...], part_of: Catalog, codes: list[str] | None) -> None:
+        def attempt(section: Section, wanted: tuple[str, ...], part_of: Catalog, codes: list[str] | None, own: Cleaner | None = None, tried: int = 0) -> None:
             path = f"{folder}/section={section.name}/part={next(numbers)}"
+
+            def build(some: Catalog, by: Cleaner | None) -> DataFrame:
+                return section.build(some, wanted, by).where(F.col("format").isin(*wanted)).select(*BLOCK)
+
             try:
-                part = section.build(part_of, wanted, cleaner).where(F.col("format").isin(*wanted)).select(*BLOCK)
+                part = build(part_of, own or cleaner)
                 part.withColumn("text_bytes", F.octet_length("text")).write.partitionBy("format").parquet(path)
                 written.append(path)
                 return
             except Exception as error:
                 message = f"section {section.name}: {str(error).splitlines()[0] if str(error) else type(error).__name__}"
                 log.warning("%s", message)
+            if codes is None and section.table is not None:
+                own = own or cleaner or Cleaner()
+                for kind, probe in enumerate((cleaned_texts(*section.table), build)[tried:], tried + 1):
+                    found = quarantine(section.name, probe, part_of, *section.table[:2], own)
+                    if found:
+                        if passed is not None:
+                            passed.extend(found)
+                        attempt(section, wanted, part_of, None, own.skipping(Skip(p.stage, p.low, p.high) for p in found), kind)
+                        return
             if codes is None:
                 codes = [r["store_code"] for r in store_context(catalog).where(F.size("formats") > 0).select("store_code").collect()]
             if len(codes) <= 1:
@@ -128,7 +145,7 @@ class Sections:
                 return
             half = len(codes) // 2
             for some in (codes[:half], codes[half:]):
-                attempt(section, wanted, restricted(catalog, *some), some)
+                attempt(section, wanted, restricted(catalog, *some), some, own)
 
         for section in self.sections:
             wanted = tuple(f for f in formats if f in section.formats)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 from dataclasses import dataclass, field, fields
 
@@ -68,6 +69,18 @@ class Catalog:
         named = ((f.name, getattr(self, f.name)) for f in fields(self) if f.name in TABLES)
         return {name: df for name, df in named if df is not None}
 
+    def fresh(self) -> "Catalog":
+        """The same tables without listings made before."""
+        other = copy.copy(self)
+        other.cache = {}
+        return other
+
+    def with_table(self, name: str, rows: DataFrame) -> "Catalog":
+        """The same catalog with other rows of one table; listings made already are shared."""
+        other = copy.copy(self)
+        setattr(other, name, rows)
+        return other
+
     # scans: filters and columns reach the Parquet reader
 
     def scan_stores(self, code: str | None = None) -> DataFrame:

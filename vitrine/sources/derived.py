@@ -6,6 +6,7 @@ and brands form the category trees; web pages are content pages. Stock and price
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 
 import pyarrow as pa
@@ -151,6 +152,16 @@ class DerivedCatalog(Catalog):
             case "requests":
                 return _requests(self.rewrites, self._web(), self._languages())
 
+    def fresh(self) -> "DerivedCatalog":
+        other = copy.copy(self)
+        other.cache, other._tables = {}, dict(self._tables)
+        return other
+
+    def with_table(self, name: str, rows: DataFrame) -> "DerivedCatalog":
+        other = copy.copy(self)
+        other._tables = {**self._tables, name: rows}
+        return other
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = self._build(name)

@@ -66,6 +66,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def remove_files(spark: SparkSession, path: str, prefix: str) -> None:
+    """Remove the files of a folder whose names start with ``prefix``."""
+    folder, fs = _folder(spark, path)
+    for status in fs.listStatus(folder):
+        if status.isFile() and status.getPath().getName().startswith(prefix):
+            fs.delete(status.getPath(), False)
+
+
 def finished_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder whose job ended."""
     return [name for name in subfolders(spark, path) if file_exists(spark, f"{path}/{name}/_SUCCESS")]
