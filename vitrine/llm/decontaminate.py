@@ -15,36 +15,44 @@ from vitrine.llm.words import FOLDED_TABLE, LETTERS, Texts, Words, longs, small_
 from vitrine.spark_tools import staged
 
 WINDOW = 10
-#: Benchmark text that one broadcast may hold; a larger benchmark is scanned in blocks of this size.
+#: Benchmark text that one broadcast may hold, about 50 MB with its index; a larger benchmark is scanned in blocks of this size.
 BLOCK_CHARS = 8 << 20
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FILTER_BITS = 20
 
 
 class WindowIndex:
-    """Windows of a bounded set of items: hashes to find them by, and their words to verify a hit.
+    """Windows of a bounded set of items as sorted hashes, each with its item and first word; a hit is verified against the item's text.
 
-    ``plain()`` is its content as built-in and NumPy values, for a broadcast.
+    About 20 bytes per window besides the text. ``plain()`` is its content as built-in and NumPy values, for a broadcast.
     """
 
     def __init__(self, items: list[tuple[object, str | None]], n: int) -> None:
         self.items = [None if i is None else str(i) for i, _ in items]
-        self.windows: dict[int, dict[int, dict[bytes, set[int]]]] = {}
-        column = pa.array([t for _, t in items], pa.string())
-        texts = Texts(column)
+        texts = Texts(pa.array([t for _, t in items], pa.large_string()))
+        self.data = texts.data
+        starts, ends, parts, held = [], [], {}, 0
         for lo, hi in texts.blocks():
             words = Words(texts, lo, hi, LETTERS, FOLDED_TABLE)
-            for size in sorted({int(min(n, c)) for c in words.counts if c}):
+            starts.append(words.starts)
+            ends.append(words.ends)
+            for size in sorted({int(min(n, c)) for c in np.unique(words.counts) if c}):
                 hashes, at = words.grams(size)
                 fits = (words.counts[words.rows[at]] >= n) if size == n else (words.counts[words.rows[at]] == size)
-                held = self.windows.setdefault(size, {})
-                for h, k in zip(hashes[fits].tolist(), at[fits].tolist()):
-                    held.setdefault(h, {}).setdefault(spoken(texts, words, k, size), set()).add(lo + int(words.rows[k]))
-        self.keys = {size: np.sort(np.fromiter(held, dtype=np.uint64, count=len(held))) for size, held in self.windows.items()}
+                rows = (lo + words.rows[at[fits]]).astype(np.int32)
+                parts.setdefault(size, []).append((hashes[fits], rows, (held + at[fits]).astype(np.int32)))
+            held += len(words)
+        kind = np.int32 if len(self.data) < 1 << 31 else np.int64
+        self.starts, self.ends = (np.concatenate(x).astype(kind) if x else np.zeros(0, dtype=kind) for x in (starts, ends))
+        #: Per window size: hashes in order, and the item and first word of each.
+        self.windows = {}
         self.filters = {}
-        for size, keys in self.keys.items():
+        for size, found in parts.items():
+            hashes, rows, at = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((rows, hashes))
+            self.windows[size] = (hashes[order], rows[order], at[order])
             bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            bits[keys >> np.uint64(64 - _FILTER_BITS)] = True
+            bits[hashes >> np.uint64(64 - _FILTER_BITS)] = True
             self.filters[size] = bits
 
     def plain(self) -> dict:
@@ -56,22 +64,31 @@ class WindowIndex:
         vars(index).update(plain)
         return index
 
+    def _words(self, k: int, n: int) -> bytes:
+        return _joined(self.data[self.starts[k] : self.ends[k + n - 1]])
+
     def hits(self, texts: Texts, words: Words):
         """(first word, number of words, items) of every verified occurrence."""
-        for size, keys in self.keys.items():
+        for size, (keys, items, places) in self.windows.items():
             hashes, at = words.grams(size)
-            likely = np.flatnonzero(self.filters[size][hashes >> np.uint64(64 - _FILTER_BITS)])
-            likely = likely[np.isin(hashes[likely], keys)]
-            for h, k in zip(hashes[likely].tolist(), at[likely].tolist()):
-                items = self.windows[size][h].get(spoken(texts, words, k, size))
-                if items:
-                    yield k, size, items
+            some = np.flatnonzero(self.filters[size][hashes >> np.uint64(64 - _FILTER_BITS)])
+            low, high = (np.searchsorted(keys, hashes[some], side=side) for side in ("left", "right"))
+            real = np.flatnonzero(high > low)
+            for i, a, b in zip(some[real].tolist(), low[real].tolist(), high[real].tolist()):
+                k = int(at[i])
+                said = spoken(texts, words, k, size)
+                found = {int(items[j]) for j in range(a, b) if self._words(int(places[j]), size) == said}
+                if found:
+                    yield k, size, found
+
+
+def _joined(part: np.ndarray) -> bytes:
+    return b" ".join(_WORD.findall(part.tobytes().lower()))
 
 
 def spoken(texts: Texts, words: Words, k: int, n: int) -> bytes:
     """The n words from word k on, lower-cased and joined by spaces."""
-    part = texts.data[words.starts[k] : words.ends[k + n - 1]].tobytes().lower()
-    return b" ".join(_WORD.findall(part))
+    return _joined(texts.data[words.starts[k] : words.ends[k + n - 1]])
 
 
 def scan_benchmark(
