@@ -1,6 +1,9 @@
 """Every registered query against its reference SQL, over the smallest test tables."""
 
 import re
+import shutil
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -44,3 +47,13 @@ def test_query(spark, duck, name):
     expected = Counter(tuple(_plain(row[i]) for i in pick) for row in found.fetchall())
     got = Counter(tuple(_plain(v) for v in row) for row in df.select(*columns).collect())
     assert got == expected
+
+
+@pytest.mark.parametrize("gone", [("vitrine/llm",), ("vitrine/llm", "corpus_pipeline.py")])
+def test_the_entry_point_works_without_the_training_data_folders(tmp_path, gone):
+    root = Path(driver.__file__).resolve().parent
+    skipped = [root / g for g in (*gone, "tests", ".git")]
+    shutil.copytree(root, tmp_path / "copy", ignore=lambda folder, names: [n for n in names if Path(folder) / n in skipped or n == "__pycache__"])
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES))] * 2

@@ -167,8 +167,15 @@ def html_steps(mode: str = "code") -> list[Step]:
     return [_decode, tags, _strip_tags, brackets, lines]
 
 
-def prune_step(rule: Column) -> Step:
-    """Drop marked elements; only texts that carry the marker under a dropping rule reach Python."""
+def prune_step(rule: Column | str) -> Step:
+    """Drop marked elements; only texts that carry the marker under a dropping rule reach Python.
+
+    A rule known to keep all is no step: the optimizer copies whatever a Python function reads into the call.
+    """
+    if isinstance(rule, str):
+        if rule.partition("|")[0] in ("preserve", ""):
+            return lambda col: col
+        rule = F.lit(rule)
 
     def step(col: Column) -> Column:
         needed = col.contains(markup.MARKER) & ~F.substring_index(rule, "|", 1).isin("preserve", "")
@@ -183,7 +190,7 @@ class Stage:
 
     order: int
     name: str
-    build: Callable[[Column, Column], Sequence[Step]]
+    build: Callable[[Column | str, Column], Sequence[Step]]
     per_format: bool = False
 
 
@@ -229,10 +236,10 @@ class Cleaner:
     def format_stages(self) -> list[Stage]:
         return self.stages[self._split():]
 
-    def shared(self, df: DataFrame, columns: Sequence[str], rule: Column) -> DataFrame:
+    def shared(self, df: DataFrame, columns: Sequence[str], rule: Column | str) -> DataFrame:
         return self._apply(df, columns, self.shared_stages, rule, F.lit("full"))
 
-    def per_format(self, df: DataFrame, columns: Sequence[str], rule: Column, verbosity: Column) -> DataFrame:
+    def per_format(self, df: DataFrame, columns: Sequence[str], rule: Column | str, verbosity: Column) -> DataFrame:
         return self._apply(df, columns, self.format_stages, rule, verbosity)
 
     def _skipped(self, stage: Stage) -> Column | None:
@@ -264,7 +271,6 @@ def clean_text(
 ) -> DataFrame:
     """``df`` with ``column`` cleaned by every stage, then cut to ``max_len`` code points."""
     cleaner = cleaner or Cleaner()
-    rule = F.lit(rule) if isinstance(rule, str) else rule
     df = df.withColumn(column, text(F.col(column)))
     df = cleaner.shared(df, [column], rule)
     df = cleaner.per_format(df, [column], rule, F.lit(verbosity))

@@ -99,9 +99,9 @@ def cleaned_texts(table: str, key: str, texts: Sequence[str]) -> Callable[[Catal
 
     def build(catalog: Catalog, cleaner: Cleaner) -> DataFrame:
         rows = getattr(catalog, table).select(F.col(key).alias("entity_id"), *(text(F.col(t)).alias(t) for t in texts))
-        rows = cleaner.shared(rows, texts, F.lit("preserve|"))
+        rows = cleaner.shared(rows, texts, "preserve|")
         rows = rows.withColumn("verbosity", F.explode(F.array(*map(F.lit, sorted(set(VERBOSITY.values()))))))
-        return cleaner.per_format(rows, texts, F.lit("preserve|"), F.col("verbosity"))
+        return cleaner.per_format(rows, texts, "preserve|", F.col("verbosity"))
 
     return build
 
