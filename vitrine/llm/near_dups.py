@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -17,8 +18,8 @@ from vitrine.spark_tools import staged
 
 #: Counters of shingle frequency: a fixed number, so what is broadcast never grows.
 BUCKETS = 1 << 18
-#: Ranges of the shingle space whose sizes bound the difference of two sets.
-RANGES = 8
+#: Ranges of the shingle space whose sizes bound the difference of two sets: few that travel with each row, more for the pairs left.
+RANGES, FINE = 8, 64
 
 
 def shingle_sets(texts: Texts, lo: int, hi: int, n: int):
@@ -70,25 +71,30 @@ def _short_id(key: bytes) -> int:
 
 
 def with_prefixes(docs: DataFrame, text: str, n: int, p: int, q: int, counts: np.ndarray) -> DataFrame:
-    """``docs`` without text, with set size, set key, a 64-bit short id, range sizes, and the prefix: rarest shingles first."""
+    """``docs`` without text, with set size, set key, a 64-bit short id, the sizes of its ranges, and the prefix: rarest shingles first.
+
+    The sizes of `RANGES` are kept modulo 256, a byte each in one long, those of `FINE` as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def make(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
         weight = shared.value
-        sizes, keys, ids, ranges, prefixes = [], [], [], [], []
+        sizes, keys, ids, ranges, fine, prefixes = [], [], [], [], [], []
         for found in shingle_sets(texts, lo, hi, n):
             size = len(found)
             sizes.append(size)
             keys.append(_set_key(found))
             ids.append(_short_id(keys[-1]))
-            edges = np.searchsorted(found, np.arange(1, RANGES, dtype=np.uint64) << np.uint64(61))
-            ranges.append(np.diff(np.concatenate(([0], edges, [size]))).astype(np.int32))
+            edges = np.searchsorted(found, np.arange(1, FINE, dtype=np.uint64) * np.uint64((1 << 64) // FINE))
+            fine.append(np.diff(np.concatenate(([0], edges, [size]))).astype(np.int32))
+            ranges.append(fine[-1].reshape(RANGES, -1).sum(axis=1).astype(np.uint8).view(np.int64)[0])
             order = np.argsort(weight[(found % np.uint64(BUCKETS)).astype(np.int64)], kind="stable")
             prefixes.append(found[order[: size - -(-p * size // q) + 1]].view(np.int64) if size else found.view(np.int64))
-        return [longs(sizes), pa.array(keys, pa.binary()), longs(ids), pa.array(ranges, pa.list_(pa.int32())), pa.array(prefixes, pa.list_(pa.int64()))]
+        return [longs(sizes), pa.array(keys, pa.binary()), longs(ids), longs(ranges), pa.array(fine, pa.list_(pa.int32())),
+                pa.array(prefixes, pa.list_(pa.int64()))]
 
     out = [T.StructField("n_shingles", T.LongType()), T.StructField("_key", T.BinaryType()), T.StructField("_id", T.LongType()),
-           T.StructField("_ranges", T.ArrayType(T.IntegerType())), T.StructField("_prefix", T.ArrayType(T.LongType()))]
+           T.StructField("_ranges", T.LongType()), T.StructField("_fine", T.ArrayType(T.IntegerType())), T.StructField("_prefix", T.ArrayType(T.LongType()))]
     return map_texts(docs, text, out, make)
 
 
@@ -109,10 +115,24 @@ class Bounds:
         return F.least(a - pos_a, b - pos_b) * (self.p + self.q) >= (a + b) * self.p
 
     def suffixes(self, a: Column, ranges_a: Column, b: Column, ranges_b: Column) -> Column:
-        """Sets differ by at least the differences of their sizes within each range of shingles."""
-        apart = F.aggregate(F.zip_with(ranges_a, ranges_b, lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
+        """Sets differ by at least the differences of their sizes within each range of shingles, or of these sizes modulo 256."""
+        def size(packed: Column, i: int) -> Column:
+            return F.shiftright(packed, 8 * i).bitwiseAND(F.lit(255).cast("long"))
+
+        away = [F.abs(size(ranges_a, i) - size(ranges_b, i)) for i in range(RANGES)]
+        apart = functools.reduce(Column.__add__, [F.least(d, 256 - d) for d in away])
+        return apart * (self.p + self.q) <= (a + b) * (self.q - self.p)
+
+    def finely(self, a: Column, fine_a: Column, b: Column, fine_b: Column) -> Column:
+        """The same by the whole sizes of many ranges."""
+        apart = F.aggregate(F.zip_with(fine_a, fine_b, lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
         return apart * (self.p + self.q) <= (a + b) * (self.q - self.p)
 
+    def fits(self, x: str, y: str) -> Column:
+        """All filters on two rows whose columns have the suffixes ``x`` and ``y``."""
+        (n_a, pos_a, r_a), (n_b, pos_b, r_b) = ([F.col(f"{c}{side}") for c in ("n", "pos", "ranges")] for side in (x, y))
+        return self.lengths(n_a, n_b) & self.positions(n_a, pos_a, n_b, pos_b) & self.suffixes(n_a, r_a, n_b, r_b)
+
 
 def _packed_texts(docs: DataFrame, text: str, n: int) -> DataFrame:
     def make(texts: Texts, lo: int, hi: int) -> list[pa.Array]:
@@ -156,13 +176,12 @@ def _verify(pairs: DataFrame, docs: DataFrame, text: str, n: int, p: int, q: int
     return staged(both.mapInArrow(run, "id_a long, key_a binary, id_b long, key_b binary"), "near-links")
 
 
-def _pairs(rows: DataFrame, ranges: DataFrame, bounds: Bounds) -> DataFrame:
-    """Distinct pairs of short ids that pass the suffix filter."""
+def _pairs(rows: DataFrame, fine: DataFrame, bounds: Bounds) -> DataFrame:
+    """Distinct pairs of short ids that the finer ranges leave."""
     pairs = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     for side in "ab":
-        pairs = pairs.join(ranges.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("ranges").alias(f"r_{side}")), side)
-    fits = bounds.suffixes(F.col("n_a"), F.col("r_a"), F.col("n_b"), F.col("r_b"))
-    return pairs.where(fits).select("a", "b").distinct()
+        pairs = pairs.join(fine.select(*[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "fine")]), F.col(side) == F.col(f"id_{side}"))
+    return pairs.where(bounds.finely(F.col("n_a"), F.col("fine_a"), F.col("n_b"), F.col("fine_b"))).select("a", "b").distinct()
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, text: str, n: int, p: int, q: int) -> DataFrame:
@@ -175,30 +194,32 @@ def linked_sets(docs: DataFrame, sets: DataFrame, text: str, n: int, p: int, q:
     """
     bounds = Bounds(p, q)
     rows = sets.where(F.col("n_shingles") > 0).select(
-        F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("_prefix").alias("pos", "shingle")
+        F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.col("_ranges").alias("ranges"), F.posexplode("_prefix").alias("pos", "shingle")
     )
-    # Shingles that two sets meet at by chance are far the most: of just two rows, both filters are judged here.
+    # Shingles that two sets meet at by chance are far the most: of just two rows, all filters are judged here.
     place = F.shiftleft("n", 32) + F.col("pos")
     several = rows.groupBy("shingle").agg(
-        F.count("*").alias("rows"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(place).alias("x"), F.max(place).alias("y")).where("lo <> hi")
+        F.count("*").alias("rows"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(place).alias("x"), F.max(place).alias("y"),
+        F.min("ranges").alias("r_x"), F.max("ranges").alias("r_y")).where("lo <> hi")
     (n_x, pos_x), (n_y, pos_y) = ((F.shiftright(c, 32), F.col(c).bitwiseAND((1 << 32) - 1)) for c in "xy")
-    several = several.where((F.col("rows") > 2) | (bounds.lengths(n_x, n_y) & bounds.positions(n_x, pos_x, n_y, pos_y))).select("shingle")
+    several = several.where((F.col("rows") > 2) | (
+        bounds.lengths(n_x, n_y) & bounds.positions(n_x, pos_x, n_y, pos_y) & bounds.suffixes(n_x, F.col("r_x"), n_y, F.col("r_y")))).select("shingle")
     several = staged(several, "near-several")
     shared = likely(rows, several, "shingle").join(several, "shingle").distinct()
     shared = staged(shared.withColumn("slack", bounds.slack(F.col("n"), F.col("pos"))), "near-shared")
-    ranges = staged(sets.where(F.col("n_shingles") > 0).select(F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.col("_ranges").alias("ranges")).distinct(), "near-ranges")
-
-    leaders = shared.groupBy("shingle").agg(F.max(F.struct("slack", "id", "n", "pos")).alias("lead"))
-    leaders = staged(leaders.select("shingle", *[F.col(f"lead.{c}").alias(f"l_{c}") for c in ("slack", "id", "n", "pos")]), "near-leaders")
-    stars = shared.join(leaders, "shingle").where(
-        (F.col("id") != F.col("l_id")) & bounds.lengths(F.col("n"), F.col("l_n"))
-        & bounds.positions(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"))
-    )
-    pairs = staged(_pairs(stars.select(F.col("id").alias("x"), F.col("l_id").alias("y")), ranges, bounds), "near-pairs")
+    some = staged(shared.select("id").distinct(), "near-ids")
+    fine = sets.where(F.col("n_shingles") > 0).select(F.col("_id").alias("id"), F.col("n_shingles").alias("n"), F.col("_fine").alias("fine"))
+    fine = staged(fine.join(some, "id", "left_semi").distinct(), "near-fine")
+
+    lead = ("slack", "id", "n", "pos", "ranges")
+    leaders = shared.groupBy("shingle").agg(F.max(F.struct(*lead)).alias("lead"))
+    leaders = staged(leaders.select("shingle", *[F.col(f"lead.{c}").alias(f"{c}_l") for c in lead]), "near-leaders")
+    stars = shared.join(leaders, "shingle").where((F.col("id") != F.col("id_l")) & bounds.fits("", "_l"))
+    pairs = staged(_pairs(stars.select(F.col("id").alias("x"), F.col("id_l").alias("y")), fine, bounds), "near-pairs")
     links = _verify(pairs, docs, text, n, p, q)
     found = components(links.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
 
-    rest = staged(_pairs(_between(shared, links, found, bounds), ranges, bounds).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    rest = staged(_pairs(_between(shared, links, found, bounds), fine, bounds).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if rest.isEmpty():
         return found
     more = _verify(rest, docs, text, n, p, q)
@@ -220,11 +241,9 @@ def _between(shared: DataFrame, links: DataFrame, found: DataFrame, bounds: Boun
     tops = staged(first.join(second, "shingle"), "near-tops")
     other = F.when(F.col("comp") == F.col("top_comp"), F.col("next_slack")).otherwise(F.col("top_slack"))
     live = staged(placed.join(tops, "shingle").where(F.col("slack") + other >= 0).select(*placed.columns), "near-live")
-    a, b = (live.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "pos", "comp", "slack")]) for s in "ab")
+    a, b = (live.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "pos", "ranges", "comp", "slack")]) for s in "ab")
     return a.join(b, "shingle").where(
-        (F.col("comp_a") < F.col("comp_b")) & (F.col("slack_a") + F.col("slack_b") >= 0)
-        & bounds.lengths(F.col("n_a"), F.col("n_b"))
-        & bounds.positions(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
+        (F.col("comp_a") < F.col("comp_b")) & (F.col("slack_a") + F.col("slack_b") >= 0) & bounds.fits("_a", "_b")
     ).select(F.col("id_a").alias("x"), F.col("id_b").alias("y"))
 
 
