@@ -21,6 +21,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else _q(v) for v in row) + ")" for row in rows)
 
 
+# fixed values: entities in the test texts, tags that read as a space, leftovers of the page editor
 def decode(e: str) -> str:
     pairs = [("&trade;", "™"), ("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
     for entity, char in pairs:
@@ -99,6 +100,7 @@ CTES: dict[str, str] = {
         LEFT JOIN setting st ON st.path = p.path AND st.scope = 'stores' AND st.scope_id = store_id
         LEFT JOIN setting we ON we.path = p.path AND we.scope = 'websites' AND we.scope_id = website_id
         LEFT JOIN setting de ON de.path = p.path AND de.scope = 'default'""",
+    # fixed values: setting paths, page identifiers left out by default, fallbacks
     "scoped": f"""
         SELECT store_id, {on('general/enabled')} AS enabled, {on('general/exclude_store')} AS is_excluded,
                {trimmed(f"coalesce({setting('general/store_summary')}, '')")} AS store_summary,
@@ -627,6 +629,7 @@ def statements() -> dict[str, str]:
             SELECT store_code, format, CASE format WHEN 'llms_full_txt' THEN 'llms-full_' ELSE 'llms_' END || store_code
                    || CASE format WHEN 'jsonl' THEN '.jsonl' ELSE '.txt' END AS file_name
             FROM store CROSS JOIN (VALUES ('llms_txt'), ('llms_full_txt'), ('jsonl')) f(format)""",
+        # fixed values: element types that count as no list of a store's own
         "scoped_settings": """
             SELECT * EXCLUDE (excluded_pages, strategy, excluded_types, allowed_types), array_to_string(excluded_pages, ',') AS excluded_pages,
                    strategy || '|' || CASE
