@@ -18,7 +18,8 @@ from vitrine.functions.cleaning import Cleaner, clean_text, prune_step
 from vitrine.operators import blocks, entities, lookups, mirror, stores
 from vitrine.operators.directives import substitute_directives
 from vitrine.plans import document, report
-from vitrine.plans.export import compact_log, published, run_export
+from vitrine.plans.export import compact_log, published, published_documents, run_export
+from vitrine.plans.files import file_digests, publish_files
 from vitrine.plans.sections import DEFAULT_SECTIONS, Sections
 from vitrine.schemas import RECORD
 from vitrine.sources import derived, outputs
@@ -240,6 +241,41 @@ def _published_after_crashes(spark: SparkSession, sf: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, seen)
 
 
+def _named_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All published documents as files under their own names, read back byte by byte. The digest of records depends on key order and is left out."""
+    out = staging_path(spark, "named")
+    run_export(derived.load(spark, sf), out, run_id=1)
+    publish_files(spark, out)
+    digest = F.when(F.col("file_name").endswith(".txt"), F.col("sha256"))
+    return file_digests(spark, out).select("file_name", "byte_size", digest.alias("sha256"))
+
+
+def _changed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second run writes, and what becomes of the named files, when some stores have other names and some are switched off."""
+    catalog, out = derived.load(spark, sf), staging_path(spark, "changed")
+    stores_only = Sections([s for s in DEFAULT_SECTIONS if s.name == "store"])
+    key = F.col("store_id")
+    renamed = F.when(key % 3 == 0, F.concat(F.lit("New "), "store_name")).otherwise(F.col("store_name"))
+    later = catalog.stores.withColumns({"store_name": renamed, "is_active": F.col("is_active") & (key % 7 != 0)})
+    run_export(catalog, out, sections=stores_only, run_id=1)
+    publish_files(spark, out)
+    run_export(catalog.with_table("stores", later), out, sections=stores_only, run_id=2, only_changed=True)
+    files = publish_files(spark, out).select("file_name", "action")
+    held = F.regexp_extract(F.get("parts", F.lit(0)), "/run=([0-9]+)/", 1).cast("int")
+    return files.join(published_documents(spark, out).select("file_name", "run_id", held.alias("written_by")), "file_name", "left")
+
+
+def _lines_of_many_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lint of compact documents whose parts hold few lines each, with the order of lines taken from the files."""
+    out, held = staging_path(spark, "small-files"), spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        document.write_documents(_compact_blocks(spark, sf), out)
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", held)
+    return report.lint_markdown(outputs.read_lines(spark, out))
+
+
 def _status_report(spark: SparkSession, sf: str) -> DataFrame:
     # The event times have no zone: read them as UTC.
     at = F.from_utc_timestamp(F.col("attempted_at").cast("timestamp"), F.current_timezone())
@@ -371,7 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_section": on_catalog(lambda c: blocks.category_section(c, TEXT_FORMATS)),
         "page_section": on_catalog(lambda c: blocks.page_section(c, TEXT_FORMATS)),
         "product_section": on_catalog(lambda c: blocks.product_section(c, TEXT_FORMATS)),
-        "document_blocks": lambda spark, sf: _text_blocks(spark, sf).drop("text_bytes"),
+        "document_blocks": lambda spark, sf: _text_blocks(spark, sf).drop("text_bytes", "text_print"),
         "written_documents": _written_documents,
         "written_records": _written_records,
         "document_sizes": lambda spark, sf: document.document_sizes(_all_blocks(spark, sf)),
@@ -409,6 +445,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "status_read_back": _status_read_back,
         "status_from_snapshot": _status_from_snapshot,
         "published_after_crashes": _published_after_crashes,
+        "named_files": _named_files,
+        "changed_documents": _changed_documents,
+        "lines_of_many_files": _lines_of_many_files,
         "one_store": on_catalog(lambda c: c.scan_stores("nation_7").select("store_id", "store_code", "store_name", "website_name")),
         "status_history": on_catalog(lambda c: report.status_history(c.run_log)),
         "status_report": _status_report,

@@ -560,9 +560,20 @@ MADE["hashed_text"] = """
 MADE["unlimited_text"] = CTES["sale_text"].replace("FROM sale)", "FROM unlimited)")
 
 
+FILE_NAME = "CASE format WHEN 'llms_full_txt' THEN 'llms-full_' ELSE 'llms_' END || store_code || CASE format WHEN 'jsonl' THEN '.jsonl' ELSE '.txt' END"
+
+
 def statements() -> dict[str, str]:
     block = "format, store_code, section_ord, position, entity_id, items, text"
     pages_clean = f"SELECT page_id, {html('html')} AS h FROM pages"
+    lint = """
+        SELECT store_code, starts_with(first_line, '# ') AS h1_present, n AS blockquotes,
+           CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'single' ELSE 'multiple' END AS summary_check,
+           CASE WHEN starts_with(first_line, '# ') THEN 0 ELSE 1 END AS errors
+        FROM (SELECT store_code, min_by(line, pos) FILTER (trim(line) <> '') AS first_line,
+                 count(*) FILTER (starts_with(line, '> ') AND NOT coalesce(after_h2, false)) AS n
+              FROM (SELECT *, bool_or(starts_with(line, '## ')) OVER (PARTITION BY store_code ORDER BY pos) AS after_h2 FROM lint_line)
+              GROUP BY store_code)"""
     bodies: dict[str, str] = {
         "product_records": _product_records("sale_text"),
         "stream_product_records": _product_records("unlimited_text"),
@@ -581,6 +592,15 @@ def statements() -> dict[str, str]:
             SELECT step, state, store_code, format, run_id FROM doc CROSS JOIN (VALUES
                 ('documents', 'stopped', 1), ('documents', 'again', 2), ('manifest', 'stopped', 2), ('manifest', 'again', 3),
                 ('log', 'stopped', 4), ('log', 'again', 4), ('compacted', '', 4)) s(step, state, run_id)""",
+        "named_files": f"""
+            SELECT {FILE_NAME} AS file_name, byte_size, sha256 FROM sized LEFT JOIN (
+                SELECT store_code, format, sha256(string_agg(text, '' ORDER BY section_ord, position, entity_id)) AS sha256
+                FROM block GROUP BY store_code, format) USING (store_code, format)""",
+        "changed_documents": f"""
+            SELECT {FILE_NAME} AS file_name, CASE WHEN store_id % 7 = 0 THEN 'removed' WHEN store_id % 3 = 0 THEN 'written' ELSE 'kept' END AS action,
+                   CASE WHEN store_id % 7 <> 0 THEN 2 END AS run_id,
+                   CASE WHEN store_id % 7 = 0 THEN NULL WHEN store_id % 3 = 0 THEN 2 ELSE 1 END AS written_by FROM doc""",
+        "lines_of_many_files": f"{lint} WHERE NOT starts_with(store_code, 'doc-')",
         "one_store": "SELECT store_id, store_code, store_name, website_name FROM store WHERE store_code = 'nation_7'",
         "store_header": f"SELECT {block} FROM store_block",
         "sibling_stores": f"SELECT {block} FROM sibling_block",
@@ -699,14 +719,7 @@ def statements() -> dict[str, str]:
                    count(*) FILTER (outcome = 'generated') AS generated, count(*) FILTER (outcome = 'failed') AS failed,
                    count(*) FILTER (outcome = 'skipped') AS skipped, bool_or(outcome = 'failed') AS has_failures
             FROM outcome GROUP BY format""",
-        "lint_markdown": """
-            SELECT store_code, starts_with(first_line, '# ') AS h1_present, n AS blockquotes,
-                   CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'single' ELSE 'multiple' END AS summary_check,
-                   CASE WHEN starts_with(first_line, '# ') THEN 0 ELSE 1 END AS errors
-            FROM (SELECT store_code, min_by(line, pos) FILTER (trim(line) <> '') AS first_line,
-                         count(*) FILTER (starts_with(line, '> ') AND NOT coalesce(after_h2, false)) AS n
-                  FROM (SELECT *, bool_or(starts_with(line, '## ')) OVER (PARTITION BY store_code ORDER BY pos) AS after_h2 FROM lint_line)
-                  GROUP BY store_code)""",
+        "lint_markdown": lint,
         "lint_jsonl": """
             SELECT store_code, count(*) AS total, count(*) FILTER (NOT ok) AS invalid, CASE WHEN bool_or(NOT ok) THEN 1 ELSE 0 END AS errors
             FROM (SELECT store_code, true AS ok FROM made

@@ -1,4 +1,5 @@
 import dataclasses
+import hashlib
 import json
 
 import pytest
@@ -10,6 +11,8 @@ from vitrine.constants import COMPACT, FULL, JSONL
 from vitrine.operators.blocks import store_section
 from vitrine.plans.document import ORDER, write_documents
 from vitrine.functions.cleaning import Cleaner
+from vitrine.plans import files
+from vitrine.plans.files import file_digests, publish_files
 from vitrine.plans.export import manifest, published, quarantined, retire, run_export, run_history
 from vitrine.plans.report import contract_check, lint_jsonl, lint_markdown, lint_report, run_totals
 from vitrine.plans.sections import Sections
@@ -52,6 +55,86 @@ def test_files_hold_the_documents(spark, shop, tmp_path):
     assert totals[JSONL]["total_items"] == records.count()
 
 
+def named(folder):
+    return {p.name: p.read_text(encoding="utf8") for p in (folder / "files").iterdir()}
+
+
+@pytest.mark.parametrize("in_place", [True, False])
+def test_named_files_are_the_documents(spark, shop, tmp_path, in_place):
+    out = str(tmp_path)
+    assert publish_files(spark, out, in_place).count() == 0 and file_digests(spark, out).count() == 0
+    run_export(shop, out, formats=(COMPACT, JSONL), run_id=1)
+    assert {r["action"] for r in publish_files(spark, out, in_place).collect()} == {"written"}
+    run = tmp_path / "documents" / "run=1"
+    wanted = {f"llms_{s}.{e}": document(run, f, s) for f, e in ((COMPACT, "txt"), (JSONL, "jsonl")) for s in ("default", "de", "solo")}
+    assert named(tmp_path) == wanted
+    told = {r["file_name"]: (r["byte_size"], r["sha256"]) for r in file_digests(spark, out).collect()}
+    assert told == {n: (len(t.encode()), hashlib.sha256(t.encode()).hexdigest()) for n, t in wanted.items()}
+
+    # A file that was lost or cut comes back, others stay as they are; a store that is switched off loses its files.
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "files").iterdir()}
+    (tmp_path / "files" / "llms_de.txt").unlink()
+    (tmp_path / "files" / "llms_solo.txt").write_text("cut")
+    assert {r["file_name"] for r in publish_files(spark, out, in_place).where("action = 'written'").collect()} == {"llms_de.txt", "llms_solo.txt"}
+    assert named(tmp_path) == wanted
+    run_export(small_shop(spark, [("general/exclude_store", "stores", 2, "1")]), out, formats=(COMPACT, JSONL), run_id=2, only_changed=True)
+    actions = {r["file_name"]: r["action"] for r in publish_files(spark, out, in_place).collect()}
+    assert actions["llms_de.txt"] == actions["llms_de.jsonl"] == "removed" and actions["llms_default.jsonl"] == "kept"
+    assert set(named(tmp_path)) == {n for n in wanted if "_de." not in n}
+    assert (tmp_path / "files" / "llms_default.jsonl").stat().st_mtime_ns == before["llms_default.jsonl"]
+
+
+def test_unchanged_documents_are_not_written_again(spark, shop, tmp_path):
+    out = str(tmp_path)
+    run_export(shop, out, formats=(COMPACT, JSONL), run_id=1)
+    first = {(r["store_code"], r["format"]): r for r in manifest(spark, out, 1).collect()}
+    run_export(shop, out, formats=(COMPACT, JSONL), run_id=2, only_changed=True)
+    again = {(r["store_code"], r["format"]): r for r in manifest(spark, out, 2).collect()}
+    assert again == first and not list((tmp_path / "documents" / "run=2").rglob("part-*"))
+    assert {r["run_id"] for r in published(spark, out).collect()} == {2}
+    retire(spark, out)
+    assert document(tmp_path / "documents" / "run=1", COMPACT, "default") == COMPACT_DOCUMENT
+
+    dearer = dataclasses.replace(shop, cache={}, products=shop.products.withColumn("price", F.when(F.col("entity_id") == 11, 7.5).otherwise(F.col("price"))))
+    run_export(dearer, out, formats=(COMPACT, JSONL), run_id=3, only_changed=True)
+    written = {tuple(n.partition("=")[2] for n in p.parts[-3:-1]) for p in (tmp_path / "documents" / "run=3").rglob("part-*") if p.stat().st_size}
+    assert written == {(COMPACT, "default"), (JSONL, "default")}
+    gone = retire(spark, out)
+    assert gone == [f"run=1/format={f}/store_code=default" for f in (JSONL, COMPACT)]
+    assert "7.50" in document(tmp_path / "documents" / "run=3", COMPACT, "default") and document(tmp_path / "documents" / "run=1", COMPACT, "solo")
+
+
+def test_a_publish_that_stops_is_done_again(spark, shop, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    one_format = dict(formats=(COMPACT,))
+    run_export(shop, out, run_id=1, **one_format)
+    publish_files(spark, out)
+    wanted = named(tmp_path)
+    other = dataclasses.replace(shop, cache={}, products=shop.products.withColumn("name", F.concat(F.col("name"), F.lit("!"))))
+    run_export(other, out, run_id=2, **one_format)
+    real = files._rename
+
+    def broken(hidden, root):
+        step = real(hidden, root)
+
+        def some(rows):
+            for row in rows:
+                yield from step(iter([row]))
+                raise InterruptedError("stopped")
+
+        return some
+
+    monkeypatch.setattr(files, "_rename", broken)
+    with pytest.raises(Exception, match="stopped"):
+        publish_files(spark, out)
+    monkeypatch.undo()
+    # The names are the old ones again, though some files are of the run between.
+    run_export(shop, out, run_id=3, **one_format)
+    publish_files(spark, out)
+    assert {n: t for n, t in named(tmp_path).items() if not n.startswith("_")} == wanted
+    assert not (tmp_path / "files" / "_publish=3").exists()
+
+
 def test_order_survives_many_parts(spark, tmp_path):
     rng = spark.range(20_000).withColumns({
         "format": F.lit("llms_txt"), "store_code": F.when(F.col("id") % 10 < 7, "big").otherwise("small"),

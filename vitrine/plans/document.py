@@ -22,6 +22,19 @@ def document_sizes(blocks: DataFrame) -> DataFrame:
     )
 
 
+def block_print() -> Column:
+    """Hash of a block's text and of its place in the document."""
+    return F.xxhash64("section_ord", "position", "entity_id", "text")
+
+
+def document_prints(blocks: DataFrame) -> DataFrame:
+    """(store_code, format, fingerprint, byte_size) of staged blocks: equal for equal documents, in whatever order their blocks are stored."""
+    total = F.sum(F.col("text_print").cast("decimal(20,0)")).cast("string")
+    return blocks.where(F.col("text_bytes") > 0).groupBy("store_code", "format").agg(
+        total.alias("fingerprint"), F.sum("text_bytes").alias("byte_size")
+    )
+
+
 def section_counts(blocks: DataFrame) -> DataFrame:
     """Entities per document and section; headings and closing lines do not count."""
     entity = ~F.col("position").isin(HEADING_POS, CLOSING_POS)

@@ -23,6 +23,7 @@ from vitrine.constants import (
 from vitrine.functions.cleaning import Cleaner, Skip
 from vitrine.operators import blocks as b
 from vitrine.operators.stores import restricted, store_context
+from vitrine.plans.document import block_print
 from vitrine.plans.quarantine import Passed, cleaned_texts, quarantine
 from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
@@ -123,7 +124,7 @@ class Sections:
 
             try:
                 part = build(part_of, own or cleaner)
-                part.withColumn("text_bytes", F.octet_length("text")).write.partitionBy("format").parquet(path)
+                part.withColumns({"text_bytes": F.octet_length("text"), "text_print": block_print()}).write.partitionBy("format").parquet(path)
                 written.append(path)
                 return
             except Exception as error:

@@ -41,8 +41,13 @@ RECORD_TYPES = ("store", "category", "product", "cms_page")
 
 # One piece of a document. Rows sort by (section_ord, position, entity_id); items counts its chunks.
 BLOCK = ("format", "store_code", "section_ord", "position", "entity_id", "items", "text")
-# The same as written by ``Sections.staged_blocks``, with the size of the text.
+# The same as written by ``Sections.staged_blocks``, with the size of the text and a hash of the block and its place.
 STAGED_BLOCK = (
     "format string, store_code string, section_ord int, position long, entity_id long, items int, text string, "
-    "text_bytes int"
+    "text_bytes int, text_print long"
+)
+# One planned document of a run. Runs of older versions lack the last columns.
+MANIFEST = (
+    "store_code string, format string, file_name string, outcome string, byte_size long, item_count long, error_message string, "
+    "parts array<string>, part_sizes array<bigint>, fingerprint string"
 )

@@ -61,6 +61,12 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the file system it lies in."""
+    folder, fs = _folder(spark, path)
+    return fs.makeQualified(folder).toString()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder, fs = _folder(spark, path)
     fs.delete(folder, True)
