@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -284,6 +285,16 @@ def test_draws_follow_the_distribution(spark):
     assert all(abs(r["x"] - 4 * 10 ** 10) < 6 * 1.5e5 for r in big) and len({r["x"] for r in big}) > 150
 
 
+@pytest.mark.parametrize("n, m, d", [(20_000, 4000, 5000), (3000, 300, 700), (4000, 2000, 2000)])
+def test_draws_by_rejection_have_the_exact_probabilities(spark, monkeypatch, n, m, d):
+    monkeypatch.setattr(mixing, "INVERTED_SD", 5.0)
+    drawn = collections.Counter(r[0] for r in spark.range(10_000).select(mixing.hypergeometric(F.lit(n), F.lit(m), F.lit(d), "id")).collect())
+    whole = math.comb(n, d)
+    wanted = {k: 10_000 * (math.comb(m, k) * math.comb(n - m, d - k) / whole) for k in range(min(drawn) - 5, max(drawn) + 5)}
+    terms = [(drawn[k] - e) ** 2 / e for k, e in wanted.items() if e >= 8]
+    assert sum(terms) < len(terms) + 4 * math.sqrt(2 * len(terms)) and sum(wanted.values()) > 9990
+
+
 # chats
 
 

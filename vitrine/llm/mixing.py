@@ -16,8 +16,10 @@ LEAF_DOCS = 256
 LEAF_SPAN = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 20
-#: Above this standard deviation a draw is the rounded normal quantile, below the exact inverse of the distribution.
-EXACT_SD = 2048.0
+#: Above this standard deviation a draw is found by rejection, below by inverting the distribution; both draw from it exactly.
+INVERTED_SD = 2048.0
+#: Proposals of one rejection draw. One in four is taken, so all of them fail with a probability below 1e-31; then the mode is drawn.
+PROPOSALS = 256
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -48,17 +50,30 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
 
 
 def hypergeometric(total: Column, marked: Column, drawn: Column, *key: Column | str) -> Column:
-    """How many of ``drawn`` out of ``total`` words fall on the ``marked`` ones, at random by ``key``."""
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *key), 11) + 0.5) / float(1 << 53)
-    other = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 1), *key), 11) + 0.5) / float(1 << 53)
-    args = F.struct(total.cast("double").alias("n"), marked.cast("double").alias("m"), drawn.cast("double").alias("d"), uniform.alias("u"), other.alias("v"))
+    """How many of ``drawn`` out of ``total`` words fall on the ``marked`` ones, at random by ``key``.
+
+    Narrow distributions are inverted. Wide ones are drawn by rejection at constant cost: a log-concave distribution with p at its
+    mode lies below p * min(1, exp(1 - p * distance from the mode)), and ratios to the mode follow from Stirling's series, whose
+    error is far below that of a double at the sizes in question.
+    """
+    def fraction(hashed):
+        return (F.shiftrightunsigned(hashed, 11) + 0.5) / float(1 << 53)
+
+    def let(value, body):
+        return F.element_at(F.transform(F.array(value), body), 1)
+
+    uniform = fraction(F.xxhash64(F.lit(SEED), *key))
+    args = F.struct(
+        total.cast("double").alias("n"), marked.cast("double").alias("m"), drawn.cast("double").alias("d"), uniform.alias("u"),
+        F.xxhash64(F.lit(SEED + 1), *key).alias("h"),
+    )
 
     def spread(a):
         mean = a["d"] * a["m"] / a["n"]
         sd = F.sqrt(mean * (a["n"] - a["m"]) / a["n"] * (a["n"] - a["d"]) / F.greatest(a["n"] - 1, F.lit(1.0)))
         least, most = F.greatest(F.lit(0.0), a["d"] - (a["n"] - a["m"])), F.least(a["d"], a["m"])
         return F.struct(
-            *[a[c].alias(c) for c in "nmduv"], mean.alias("mean"), sd.alias("sd"), least.alias("least"), most.alias("most"),
+            *[a[c].alias(c) for c in "nmduh"], mean.alias("mean"), sd.alias("sd"), least.alias("least"), most.alias("most"),
             F.greatest(least, F.floor(mean - 9 * sd) - 1).cast("long").alias("lo"), F.least(most, F.ceil(mean + 9 * sd) + 1).cast("long").alias("hi"),
         )
 
@@ -72,23 +87,60 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, *key: Column |
             lambda acc, k: F.struct((acc["w"] * ratio(k)).alias("w"), (acc["sum"] + acc["w"] * ratio(k)).alias("sum")),
             lambda acc: acc["sum"],
         )
-        return F.element_at(F.transform(F.array(whole * s["u"]), lambda goal: F.aggregate(
+        return let(whole * s["u"], lambda goal: F.aggregate(
             steps, F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"), s["lo"].alias("pick")),
             lambda acc, k: F.struct(
                 (acc["w"] * ratio(k)).alias("w"), (acc["sum"] + acc["w"] * ratio(k)).alias("sum"),
                 (acc["pick"] + F.when(acc["sum"] < goal, 1).otherwise(0)).alias("pick"),
             ),
             lambda acc: acc["pick"],
-        )), 1)
-
-    def normal(s):
-        z = F.sqrt(-2 * F.log(s["u"])) * F.cos(2 * math.pi * s["v"])
-        return F.greatest(s["least"], F.least(s["most"], F.round(s["mean"] + z * s["sd"]))).cast("long")
+        ))
+
+    def grown(a, e):
+        """log((a + e)! / a!) without its term e * log(a)."""
+        x = e / a
+        return a * ((1 + x) * F.log1p(x) - x) + F.log1p(x) / 2 + (1 / (a + e) - 1 / a) / 12
+
+    def log_ratio(c, e):
+        """log of the probability of mode + e over that of the mode."""
+        slope = F.log(c["mode"] * c["neither"] / (c["unmarked"] * c["undrawn"]))
+        return -(e * slope + grown(c["mode"], e) + grown(c["neither"], e) + grown(c["unmarked"], -e) + grown(c["undrawn"], -e))
+
+    def proposal(c, i):
+        def number(j):
+            return fraction(F.xxhash64(c["h"], i, F.lit(j)))
+
+        # 0.39 / sd is below p, so the bound holds. It is flat up to ``edge``.
+        p, w = F.lit(0.39) / c["sd"], 1 + F.lit(0.195) / c["sd"]
+        edge = w / p
+        far = F.when(number(0) * (1 + w) <= w, number(1) * edge).otherwise(edge - F.log(number(1)) / p)
+
+        def step(y):
+            return F.when(number(2) < 0.5, -1.0).otherwise(1.0) * F.floor(y + 0.5).cast("double")
+
+        def judged(q):
+            inside = (c["mode"] + q["e"] > 0) & (c["neither"] + q["e"] > 0) & (c["unmarked"] > q["e"]) & (c["undrawn"] > q["e"])
+            # A mode that rounding put beside the true one is covered by a bound a millionth higher.
+            bound = F.log(number(3) * 1.000001) + F.least(F.lit(0.0), w - p * q["y"])
+            return F.when(inside, F.when(bound <= log_ratio(c, q["e"]), q["e"]))
+
+        return let(let(far, lambda y: F.struct(y.alias("y"), step(y).alias("e"))), judged)
+
+    def rejection(s):
+        mode = F.floor((s["d"] + 1) * ((s["m"] + 1) / (s["n"] + 2))).cast("double")
+        cells = let(mode, lambda k: F.struct(
+            s["h"].alias("h"), s["sd"].alias("sd"), k.alias("mode"), (s["d"] - k).alias("unmarked"), (s["m"] - k).alias("undrawn"),
+            (s["n"] - s["m"] - s["d"] + k).alias("neither"),
+        ))
+        tries = F.sequence(F.lit(1), F.lit(PROPOSALS))
+        return let(cells, lambda c: (c["mode"] + F.coalesce(F.aggregate(
+            tries, F.lit(None).cast("double"), lambda taken, i: F.when(taken.isNotNull(), taken).otherwise(proposal(c, i)),
+        ), F.lit(0.0))).cast("long"))
 
     def pick(s):
-        return F.when(s["hi"] <= s["lo"], s["lo"]).when(s["sd"] > EXACT_SD, normal(s)).otherwise(exact(s))
+        return F.when(s["hi"] <= s["lo"], s["lo"]).when(s["sd"] > INVERTED_SD, rejection(s)).otherwise(exact(s))
 
-    return F.element_at(F.transform(F.transform(F.array(args), spread), pick), 1)
+    return let(let(args, spread), pick)
 
 
 def depth_of(docs: Column) -> Column:
