@@ -150,6 +150,16 @@ def test_order_survives_many_parts(spark, tmp_path):
     assert len(list((tmp_path / "out" / "store_code=big").glob("part-*"))) > 1
 
 
+def test_small_part_files_concern_the_documents_alone(spark, tmp_path):
+    rows = spark.range(9).select(F.lit("a").alias("store_code"), F.lit(1).alias("section_ord"), F.col("id").alias("position"),
+                                 F.col("id").alias("entity_id"), F.concat(F.col("id").cast("string"), F.lit("\n")).alias("text"))
+    held = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    write_documents(rows, str(tmp_path / "out"), partitions=1, file_rows=2)
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == held
+    assert len(list((tmp_path / "out" / "store_code=a").glob("part-*"))) == 5
+    assert [r["line"] for r in read_lines(spark, str(tmp_path / "out")).orderBy("pos").collect()] == [str(i) for i in range(9)]
+
+
 def test_a_failing_section_fails_its_documents(spark, shop, tmp_path):
     def broken(catalog, formats, cleaner):
         rows = store_section(catalog, formats)
