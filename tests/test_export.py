@@ -199,6 +199,26 @@ def test_a_stage_that_fails_on_some_rows_fails_no_document(spark, shop, tmp_path
     assert {(r["section"], r["stage"], r["low"], r["high"]) for r in told} == {("products", "fragile", i, i) for i in bad}
 
 
+def test_one_pass_names_all_failing_rows(spark, shop, monkeypatch):
+    from vitrine.plans import quarantine as q
+
+    rows = spark.range(1000, 1300).select(
+        F.col("id").alias("entity_id"), F.lit("S").alias("sku"), F.lit("n").alias("name"), F.lit(1.0).alias("price"), F.lit(None).cast("string").alias("short_description"),
+        F.concat(F.lit("<p>text "), F.col("id").cast("string"), F.lit("</p>")).alias("description"), F.lit(1).alias("status"), F.lit(4).alias("visibility"))
+    catalog = dataclasses.replace(shop, cache={}, products=rows)
+
+    def fails(digit):
+        return lambda c: F.when(c.rlike(f"{digit}$"), F.raise_error(F.lit("no")).cast("string")).otherwise(c)
+
+    cleaner = Cleaner().register_stage("sevens", fails(7), order=35).register_stage("fours", fails("[47]"), order=45, per_format=True)
+    probes, probe = [], q._Ranges.error
+    monkeypatch.setattr(q._Ranges, "error", lambda self, *a: probes.append(a) or probe(self, *a))
+    found = q.failing_entities("products", catalog, "products", "entity_id", ("short_description", "description"), cleaner)
+    assert sorted((p.stage, p.low, p.high) for p in found) == sorted(
+        [("sevens", i, i) for i in range(1007, 1300, 10)] + [("fours", i, i) for i in range(1000, 1300) if i % 10 in (4, 7)])
+    assert len(probes) == 2
+
+
 def test_probes_stay_few(monkeypatch):
     import math
     from vitrine.plans import quarantine as q

@@ -24,7 +24,7 @@ from vitrine.functions.cleaning import Cleaner, Skip
 from vitrine.operators import blocks as b
 from vitrine.operators.stores import restricted, store_context
 from vitrine.plans.document import block_print
-from vitrine.plans.quarantine import Passed, cleaned_texts, quarantine
+from vitrine.plans.quarantine import Passed, cleaned_texts, failing_entities, quarantine
 from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import staging_path
@@ -124,7 +124,8 @@ class Sections:
 
             try:
                 part = build(part_of, own or cleaner)
-                part.withColumns({"text_bytes": F.octet_length("text"), "text_print": block_print()}).write.partitionBy("format").parquet(path)
+                sized = part.withColumns({"text_bytes": F.octet_length("text"), "text_print": block_print()})
+                sized.write.partitionBy("format").parquet(path)
                 written.append(path)
                 return
             except Exception as error:
@@ -133,7 +134,8 @@ class Sections:
             if codes is None and section.table is not None:
                 own = own or cleaner or Cleaner()
                 for kind, probe in enumerate((cleaned_texts(*section.table), build)[tried:], tried + 1):
-                    found = quarantine(section.name, probe, part_of, *section.table[:2], own)
+                    found = failing_entities(section.name, part_of, *section.table, own) if kind == 1 else []
+                    found = found or quarantine(section.name, probe, part_of, *section.table[:2], own)
                     if found:
                         if passed is not None:
                             passed.extend(found)
