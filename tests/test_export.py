@@ -283,6 +283,22 @@ def test_published_follows_skips_and_failures(spark, shop, tmp_path):
     assert run_history(spark, out).where("status = 'skipped'").count() == 0
 
 
+def test_partitioned_writes_are_not_sorted(spark, shop, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    for kind in ("parquet", "text"):
+        write = getattr(DataFrameWriter, kind)
+        monkeypatch.setattr(DataFrameWriter, kind, lambda self, path, *a, _write=write, **k: seen.append((path, self._spark.conf.get(name))) or _write(self, path, *a, **k))
+    held = spark.conf.get(name)
+    Sections().staged_blocks(dataclasses.replace(shop, cache={}), (COMPACT, JSONL))
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    shop.products.write.parquet(source)
+    write_stream(shop, "product", spark.readStream.schema(shop.products.schema).parquet(source), out, state).awaitTermination()
+    wide = [int(n) for path, n in seen if "/section=" in path or "/version=" in path]
+    assert len(wide) == 6 and min(wide) > 2 and spark.conf.get(name) == held
+
+
 def test_stream_takes_only_new_files(spark, shop, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     shop.products.where("entity_id <= 11").write.parquet(source)

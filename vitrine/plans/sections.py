@@ -27,7 +27,7 @@ from vitrine.plans.document import block_print
 from vitrine.plans.quarantine import Passed, cleaned_texts, failing_entities, quarantine
 from vitrine.schemas import BLOCK, STAGED_BLOCK
 from vitrine.sources.catalog import Catalog
-from vitrine.spark_tools import staging_path
+from vitrine.spark_tools import staging_path, unsorted_writes
 
 log = logging.getLogger(__name__)
 
@@ -125,7 +125,8 @@ class Sections:
             try:
                 part = build(part_of, own or cleaner)
                 sized = part.withColumns({"text_bytes": F.octet_length("text"), "text_print": block_print()})
-                sized.write.partitionBy("format").parquet(path)
+                with unsorted_writes(spark):
+                    sized.write.partitionBy("format").parquet(path)
                 written.append(path)
                 return
             except Exception as error:

@@ -7,9 +7,10 @@ per-store limit stay matters of a full run. Removals and versions: see ``changel
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -30,6 +31,7 @@ from vitrine.operators.entities import (
 from vitrine.operators.lookups import apply_tariff
 from vitrine.operators.overrides import own_or
 from vitrine.sources.catalog import Catalog, shown_product
+from vitrine.spark_tools import staged, unsorted_writes
 
 KINDS = ("product", "category", "page")
 
@@ -87,10 +89,12 @@ def write_stream(
     """Write the records of the entity rows that have arrived on a stream since the last call to ``{out}/version=…/store_code=…``, then stop.
 
     The version is the batch number: of several records of an entity that of the highest version is current. A batch that is
-    run again after a failure writes its folder anew.
+    run again after a failure writes its folder anew. The files are gzipped lines, as every store repeats the texts.
     """
     def write(batch: DataFrame, number: int) -> None:
-        records_of(catalog, kind, batch, cleaner).write.mode("overwrite").partitionBy("store_code").text(f"{out.rstrip('/')}/version={number}")
+        records = records_of(catalog, kind, batch, cleaner)
+        with unsorted_writes(records.sparkSession):
+            records.write.mode("overwrite").option("compression", "gzip").partitionBy("store_code").text(f"{out.rstrip('/')}/version={number}")
 
     return (
         entities.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -101,6 +105,10 @@ def write_stream(
 def current_records(spark: SparkSession, out: str) -> DataFrame:
     """(store_code, value) of the latest version of each entity's record."""
     lines = spark.read.option("basePath", out).schema("value string, version long, store_code string").text(f"{out.rstrip('/')}/version=*")
-    kind, entity = (F.get_json_object("value", f"$.{k}") for k in ("entity_type", "entity_id"))
-    latest = lines.groupBy("store_code", kind.alias("kind"), entity.alias("entity")).agg(F.max_by("value", "version").alias("value"))
-    return latest.select("store_code", "value")
+    keys = ("store_code", "kind", "entity")
+    rows = lines.withColumns({"kind": F.get_json_object("value", "$.entity_type"), "entity": F.get_json_object("value", "$.entity_id")})
+    # Only records of entities that came again are compared; the text of the others is not moved.
+    again = staged(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*(F.col(k).alias(f"_{k}") for k in keys)), "again")
+    came_again = functools.reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    latest = rows.join(again, came_again, "left_semi").groupBy(*keys).agg(F.max_by("value", "version").alias("value"))
+    return rows.join(again, came_again, "left_anti").select("store_code", "value").unionByName(latest.select("store_code", "value"))
