@@ -334,22 +334,27 @@ def _written_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
-    """Records made by the incremental job from product files, read back as columns."""
-    catalog = derived.load(spark, sf)
+def _product_files(spark: SparkSession, catalog) -> str:
+    """The products as files, joined and written once per catalog."""
     if "product_files" not in catalog.cache:
         path = staging_path(spark, "product-files")
         catalog.products.write.parquet(path)
         catalog.cache["product_files"] = path
-    source = spark.readStream.schema(catalog.products.schema).parquet(catalog.cache["product_files"])
+    return catalog.cache["product_files"]
+
+
+def _stream_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Records made by the incremental job from product files, read back as columns."""
+    catalog = derived.load(spark, sf)
+    source = spark.readStream.schema(catalog.products.schema).parquet(_product_files(spark, catalog))
     out = staging_path(spark, "stream")
     write_stream(catalog, "product", source, out, staging_path(spark, "stream-state")).awaitTermination()
     return current_records(spark, out).select(F.from_json("value", RECORD).alias("r")).select(*[f"r.{c}" for c in PRODUCT_FIELDS])
 
 
-def _changed_products(catalog) -> list[DataFrame]:
+def _changed_products(products: DataFrame) -> list[DataFrame]:
     """Three deliveries of product changes: all as they are; disabled ones and two new names at once; back again, stale and removed ones."""
-    rows, key = catalog.products.withColumns({"version": F.lit(1).cast("long"), "deleted": F.lit(False)}), F.col("entity_id")
+    rows, key = products.withColumns({"version": F.lit(1).cast("long"), "deleted": F.lit(False)}), F.col("entity_id")
     off = F.when(key % 5 == 0, 2).otherwise(F.col("status"))
 
     def version(n: int, rows: DataFrame, **changed) -> DataFrame:
@@ -367,7 +372,8 @@ def _stream_with_removals(spark: SparkSession, sf: str) -> DataFrame:
     """Product changes logged as they arrive, compacted on the way, and what is current then."""
     catalog = derived.load(spark, sf)
     feed, out, state = (staging_path(spark, name) for name in ("changes", "changelog", "changelog-state"))
-    for number, delivery in enumerate(_changed_products(catalog)):
+    products = spark.read.schema(catalog.products.schema).parquet(_product_files(spark, catalog))
+    for number, delivery in enumerate(_changed_products(products)):
         delivery.write.mode("append").parquet(feed)
         source = spark.readStream.schema(delivery.schema).parquet(feed)
         write_changes(catalog, "product", source, out, state).awaitTermination()

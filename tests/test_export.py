@@ -299,6 +299,15 @@ def test_partitioned_writes_are_not_sorted(spark, shop, tmp_path, monkeypatch):
     assert len(wide) == 6 and min(wide) > 2 and spark.conf.get(name) == held
 
 
+def test_current_records_move_only_what_came_again(spark, tmp_path):
+    for number, ids in enumerate(((1, 2, 3), (2,))):
+        rows = spark.createDataFrame([("s", json.dumps({"entity_type": "product", "entity_id": i, "name": f"v{number}"})) for i in ids], "store_code string, value string")
+        rows.write.partitionBy("store_code").text(f"{tmp_path}/version={number}")
+    found = current_records(spark, str(tmp_path))
+    assert sorted((json.loads(r["value"])["entity_id"], json.loads(r["value"])["name"]) for r in found.collect()) == [(1, "v0"), (2, "v1"), (3, "v0")]
+    assert "left_anti" in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")
+
+
 def test_stream_takes_only_new_files(spark, shop, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     shop.products.where("entity_id <= 11").write.parquet(source)

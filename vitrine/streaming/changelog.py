@@ -13,7 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from vitrine.functions.cleaning import Cleaner
 from vitrine.sources.catalog import Catalog
-from vitrine.spark_tools import finished_folders, remove_folder
+from vitrine.spark_tools import finished_folders, remove_folder, staged
 from vitrine.streaming.incremental import entity_key, records_of
 
 #: Rows of the log; a head has no store.
@@ -33,8 +33,11 @@ def change_rows(catalog: Catalog, kind: str, changes: DataFrame, cleaner: Cleane
     last = dated.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct("version", "deleted")).alias("last")).select("_key", "last.*")
     heads = last.select(F.lit(kind).alias("kind"), F.col("_key").alias("entity_id"), "version", "deleted",
                         F.lit(None).cast("string").alias("store_code"), F.lit(None).cast("string").alias("value"))
-    live = last.where(~F.col("deleted")).select("_key", F.col("version").alias("change"))
-    rows = dated.join(live, (F.col(key) == F.col("_key")) & (F.col("version") == F.col("change"))).drop("_key", "version", "deleted")
+    # Only entities that come several times need their last version looked up: the few of them meet the texts, not every entity.
+    several = dated.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct("version", "deleted")).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
+    met = dated.join(staged(several.select("_key", "_last"), "several"), F.col(key) == F.col("_key"), "left")
+    live = F.coalesce(F.col("version") == F.col("_last.version"), F.lit(True)) & ~F.coalesce("_last.deleted", "deleted")
+    rows = met.where(live).withColumn("change", F.col("version")).drop("_key", "_last", "version", "deleted")
     records = records_of(catalog, kind, rows, cleaner, keep=("entity_id", "change"))
     return heads.unionByName(records.select(
         F.lit(kind).alias("kind"), "entity_id", F.col("change").alias("version"), F.lit(False).alias("deleted"), "store_code", "value"))
@@ -73,9 +76,16 @@ def _heads(rows: DataFrame) -> DataFrame:
 
 def _current(rows: DataFrame) -> DataFrame:
     """Record rows of each entity's last version; of equal versions the largest record counts."""
+    keys = ["kind", "entity_id", "version", "store_code"]
+    records = rows.where(F.col("store_code").isNotNull()).drop("deleted")
+    made = records.groupBy(*keys).agg(F.count("*").alias("n"))
     heads = _heads(rows).where(~F.col("deleted")).drop("deleted")
-    records = rows.where(F.col("store_code").isNotNull()).drop("deleted").join(heads, ["kind", "entity_id", "version"])
-    return records.groupBy("kind", "entity_id", "version", "store_code").agg(F.max("value").alias("value"))
+    # Void versions and records that come twice in a version are told from the keys, so that the text of the others is not moved.
+    void = staged(made.select(*keys[:3]).distinct().join(heads, keys[:3], "left_anti"), "void")
+    again = staged(made.where("n > 1").select(*keys), "again")
+    live = records.join(void, keys[:3], "left_anti")
+    compared = live.join(again, keys, "left_semi").groupBy(*keys).agg(F.max("value").alias("value"))
+    return live.join(again, keys, "left_anti").select(*keys, "value").unionByName(compared)
 
 
 def current_changes(spark: SparkSession, out: str) -> DataFrame:
