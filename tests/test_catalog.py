@@ -245,6 +245,16 @@ def test_directives(spark):
         (1, 1, "a {{y}}! b Y c {{y}}!", "{{y}}!"), (1, 2, "a 2", "plain"), (2, None, "{{x}}", "{{y}}"), (3, 1, "none", None)}
 
 
+def test_texts_without_directives_take_no_join(spark, tmp_path):
+    texts = [(1, 1, "a {{x}}"), (1, 2, "b"), (2, None, "{{x}}"), (None, 1, "{{x}}"), (3, 1, None), (3, 1, None)]
+    spark.createDataFrame(texts, "entity_id long, store_id long, a string").write.parquet(str(tmp_path / "texts"))
+    df = spark.read.parquet(str(tmp_path / "texts"))
+    done = substitute_directives(df, ["a"], spark.createDataFrame([(1, "{{x}}", "X")], "store_id long, token string, value string"))
+    assert sorted(map(str, map(tuple, done.collect()))) == sorted(map(str, [(1, 1, "a X"), (1, 2, "b"), (2, None, "{{x}}"), (None, 1, "{{x}}"), (3, 1, None), (3, 1, None)]))
+    # Texts without a token are a branch of their own, beside the join.
+    assert done._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
 def test_a_store_may_have_very_many_directives(spark, shop):
     values = spark.range(1_000_000).select(F.lit(1).cast("long").alias("store_id"), F.format_string("{{v %d}}", "id").alias("token"),
                                            F.format_string("<%d> value %d", "id", "id").alias("value"))

@@ -6,6 +6,7 @@ woven in by position. A store may have any number of values: none of its rows ho
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -56,12 +57,14 @@ def substitute_directives(
     """``df`` with each directive in ``columns`` replaced by its value from a table (store_id, token, value).
 
     ``key`` names the text; a key that several rows share only brings them each other's values. A token without a value stays (the
-    HTML stage drops it later), and so do all tokens of a row whose ``store`` or ``key`` is NULL.
+    HTML stage drops it later), and so do all tokens of a row whose ``store`` or ``key`` is NULL. Rows without a token are not moved.
     """
-    asked = df.where(F.col(store).isNotNull()).select(
+    has = functools.reduce(Column.__or__, (F.coalesce(F.col(c).contains("{{"), F.lit(False)) for c in columns)) & F.col(store).isNotNull()
+    with_token = df.where(has)
+    asked = with_token.select(
         F.col(key).alias("_key"), F.col(store).alias("_of"), F.explode(tokens_of(*map(F.col, columns))).alias("_token"))
     pairs = distinct_values(values).select(F.col("store_id").alias("_of"), F.col("token").alias("_token"), F.col("value").alias("_value"))
     hits = asked.distinct().join(pairs, ["_of", "_token"]).groupBy("_key", "_of").agg(
         F.map_from_entries(F.collect_list(F.struct("_token", "_value"))).alias("_values"))
-    joined = df.join(hits, (df[key] == hits["_key"]) & (df[store] == hits["_of"]), "left").drop("_key", "_of")
-    return joined.withColumns({c: woven(c, F.col("_values")) for c in columns}).drop("_values")
+    joined = with_token.join(hits, (with_token[key] == hits["_key"]) & (with_token[store] == hits["_of"]), "left").drop("_key", "_of")
+    return joined.withColumns({c: woven(c, F.col("_values")) for c in columns}).drop("_values").unionByName(df.where(~has))
