@@ -5,13 +5,13 @@ from __future__ import annotations
 import functools
 import importlib
 import importlib.util
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from vitrine.constants import COMPACT, JSONL, TEXT_FORMATS
+from vitrine.constants import COMPACT, FORMATS, JSONL, TEXT_FORMATS
 from vitrine.functions import text as tx
 from vitrine.functions import urls, values
 from vitrine.functions.cleaning import Cleaner, clean_text, prune_step
@@ -49,19 +49,23 @@ def _raw(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _text_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Blocks of the text documents, rendered once per catalog as several queries read them."""
+def _staged_blocks(spark: SparkSession, sf: str, formats: Sequence[str]) -> DataFrame:
+    """Blocks of documents in the formats, rendered once per catalog as several queries read them. More formats together are cleaned once."""
     catalog = derived.load(spark, sf)
-    if "text_blocks" not in catalog.cache:
-        catalog.cache["text_blocks"] = Sections().staged_blocks(catalog, TEXT_FORMATS)
-    return catalog.cache["text_blocks"]
+    made = catalog.cache.setdefault("blocks", {})
+    missing = tuple(f for f in formats if f not in made)
+    if missing:
+        made |= dict.fromkeys(missing, Sections().staged_blocks(catalog, missing))
+    parts = {id(made[f]): made[f] for f in formats}.values()
+    return functools.reduce(DataFrame.unionByName, parts).where(F.col("format").isin(*formats))
+
+
+def _text_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_blocks(spark, sf, TEXT_FORMATS)
 
 
 def _record_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    catalog = derived.load(spark, sf)
-    if "record_blocks" not in catalog.cache:
-        catalog.cache["record_blocks"] = Sections().staged_blocks(catalog, (JSONL,))
-    return catalog.cache["record_blocks"]
+    return _staged_blocks(spark, sf, (JSONL,))
 
 
 def _compact_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +191,7 @@ def _output_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_blocks(spark, sf).unionByName(_record_blocks(spark, sf))
+    return _staged_blocks(spark, sf, FORMATS)
 
 
 def _section_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,10 +301,10 @@ def _lint_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lint_report(spark: SparkSession, sf: str) -> DataFrame:
-    catalog = derived.load(spark, sf)
-    records = _record_blocks(spark, sf).select("store_code", F.rtrim("text", F.lit("\n")).alias("line"))
+    catalog, blocks = derived.load(spark, sf), _all_blocks(spark, sf)
+    records = blocks.where(F.col("format") == JSONL).select("store_code", F.rtrim("text", F.lit("\n")).alias("line"))
     active = catalog.scan_stores().where("is_active")
-    markdown = report.lint_markdown(outputs.block_lines(_compact_blocks(spark, sf)))
+    markdown = report.lint_markdown(outputs.block_lines(blocks.where(F.col("format") == COMPACT)))
     return report.lint_report(active, markdown, report.lint_jsonl(records))
 
 
