@@ -1,13 +1,14 @@
 import dataclasses
 import hashlib
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.shop import small_documents, small_shop
 from tests.test_catalog import COMPACT_DOCUMENT
-from vitrine.constants import COMPACT, FULL, JSONL
+from vitrine.constants import COMPACT, FORMATS, FULL, JSONL, TEXT_FORMATS
 from vitrine.operators.blocks import store_section
 from vitrine.plans.document import ORDER, write_documents
 from vitrine.functions.cleaning import Cleaner
@@ -391,3 +392,36 @@ def test_catalog_from_files_without_optional_tables(spark, shop, tmp_path):
     assert "> Country: US\n" in text
     assert "Price: 10.00 USD" in text and "Price: 20.50 USD" in text
     assert "Description: See and end\n" in text
+
+
+def test_compressed_documents_read_back_in_order(spark, tmp_path):
+    rows = [("s", 10, n, n, "jsonl", f"{n:05d} " + "same words " * 30 + "\n") for n in range(40)]
+    blocks = spark.createDataFrame(rows, "store_code string, section_ord int, position long, entity_id long, format string, text string")
+    size = {}
+    for kind in ("none", "gzip"):
+        path = str(tmp_path / kind)
+        write_documents(blocks, path, partitions=1, file_rows=3, compression=kind)
+        lines = [r["line"] for r in read_lines(spark, path).orderBy("pos").collect()]
+        assert lines == [r[5].rstrip("\n") for r in rows]
+        size[kind] = sum(f.stat().st_size for f in (tmp_path / kind).rglob("part-*"))
+    assert size["gzip"] < size["none"] / 2
+    folder = tmp_path / "named" / "store_code=s"
+    folder.mkdir(parents=True)
+    for n in range(12):
+        (folder / f"part-00000-00c12.c{n:03d}.txt").write_text(f"{n}\n" * (n + 1))
+    held = [r["line"] for r in read_lines(spark, str(folder.parent)).orderBy("pos").collect()]
+    assert held == [str(n) for n in range(12) for _ in range(n + 1)]
+
+
+def test_all_formats_are_rendered_in_one_go(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    def asked_by(*parts):
+        catalog, asked = SimpleNamespace(cache={}), []
+        monkeypatch.setattr(entry.derived, "load", lambda spark, sf: catalog)
+        monkeypatch.setattr(Sections, "staged_blocks", lambda self, c, formats: asked.append(formats) or spark.createDataFrame([(f,) for f in formats], "format string"))
+        return asked, [sorted(r["format"] for r in part(spark, "").collect()) for part in parts]
+
+    text, every = sorted(TEXT_FORMATS), sorted(FORMATS)
+    assert asked_by(entry._all_blocks, entry._text_blocks, entry._record_blocks) == ([FORMATS], [every, text, [JSONL]])
+    assert asked_by(entry._text_blocks, entry._all_blocks) == ([TEXT_FORMATS, (JSONL,)], [text, every])
