@@ -12,6 +12,7 @@ from vitrine.operators import blocks, entities, lookups, mirror, stores
 from vitrine.operators.directives import substitute_directives
 from vitrine.plans.document import document_sizes, section_counts
 from vitrine.plans.sections import Sections
+from vitrine.schemas import RECORD_FIELDS
 
 
 def rows(df, *columns):
@@ -354,3 +355,23 @@ def test_own_values_reach_the_mirror_and_the_feed(own_shop):
     assert pages["footwear.md"] == "#  Boots \n\nAll shoes\n"
     records = [json.loads(r["value"]) for r in records_of(own_shop, "product", own_shop.products).where("store_code = 'default'").collect()]
     assert {(r["entity_id"], r["name"], r["price"]) for r in records} >= {(10, "Own shoe", 7.5), (13, "Disabled", 1.0)} and 16 not in {r["entity_id"] for r in records}
+
+
+def test_texts_of_records_become_json_once_per_entity(own_shop):
+    for section, rows_of, record in ((blocks.product_section, entities.product_rows, blocks.product_record()),
+                                     (blocks.page_section, entities.page_rows, blocks.page_record())):
+        made = section(own_shop, (JSONL,)).where(F.col("format") == JSONL)
+        # Below the step that spreads an entity over its stores.
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS wide_json" in plan[plan.index("inline(filter("):]
+        lines = {(r["store_code"], r["entity_id"]): r["text"] for r in made.collect()}
+        whole = rows_of(own_shop, (JSONL,)).select("store_code", "entity_id", blocks.json_line(record).alias("line")).collect()
+        assert lines == {(r["store_code"], r["entity_id"]): r["line"] + "\n" for r in whole} and lines
+
+
+def test_json_without_texts(spark):
+    rows = spark.createDataFrame([(1, None), (2, 'a"é')], "entity_id long, body string").withColumn("format", F.lit(JSONL))
+    rows = blocks._wide_json({"content": F.col("body")})(rows).withColumn("wide_json", F.when(F.col("entity_id") > 0, F.col("wide_json")))
+    record = [F.lit("x").alias("entity_type"), F.col("entity_id"), *(F.lit(None).cast("string").alias(n) for n in RECORD_FIELDS[2:-4])]
+    lines = {r["entity_id"]: r["line"] for r in rows.select("entity_id", blocks._either(rows, record, F.lit("")).alias("line")).collect()}
+    assert lines == {1: '{"entity_type":"x","entity_id":1}\n', 2: '{"entity_type":"x","entity_id":2,"content":"a\\"é"}\n'}

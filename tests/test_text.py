@@ -247,3 +247,22 @@ def test_long_nested_markup_is_read_once(spark):
     begun = time.time()
     assert clean_text(df, "t").first()["t"].startswith("some text & more in plain words here é")
     assert time.time() - begun < 10
+
+
+def test_blanks_are_cut_as_by_plain_patterns(spark):
+    rng = random.Random(7)
+    values = ["", " ", "  ", "\n", "\0", " \0 ", "é\n", "é\n\n", *("".join(rng.choices(" \t\n\r\0\x0b\x0c\u00a0\u2003 aé.", k=rng.randint(1, 12))) for _ in range(400))]
+    c = F.col("t")
+    steps = {"ascii": tx.collapse_ascii(c), "any": tx.collapse_any(c), "lines": tx.collapse_lines(c), "trim": tx.trim_column(c),
+             "cut": tx.cut_spaces(c), "line": tx.without_last_newline(c)}
+    some = spark.createDataFrame([(v,) for v in [*values, None]], "t string").select("t", *(v.alias(k) for k, v in steps.items()))
+    for row in some.collect():
+        t = row["t"]
+        if t is None:
+            assert set(row) == {None}
+            continue
+        cut = t[1:] if t.startswith(" ") else t
+        assert row.asDict() == {
+            "t": t, "ascii": re.sub("[ \t\n\x0b\f\r]+", " ", t), "any": re.sub("[ \t\n\x0b\f\r\u00a0\u2003]+", " ", t),
+            "lines": re.sub("\n{3,}", "\n\n", re.sub("[ \t]+", " ", t)), "trim": t.strip(tx.TRIM_CHARS),
+            "cut": cut[:-1] if cut.endswith(" ") else cut, "line": t.removesuffix("\n")}
