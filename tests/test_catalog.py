@@ -375,3 +375,16 @@ def test_json_without_texts(spark):
     record = [F.lit("x").alias("entity_type"), F.col("entity_id"), *(F.lit(None).cast("string").alias(n) for n in RECORD_FIELDS[2:-4])]
     lines = {r["entity_id"]: r["line"] for r in rows.select("entity_id", blocks._either(rows, record, F.lit("")).alias("line")).collect()}
     assert lines == {1: '{"entity_type":"x","entity_id":1}\n', 2: '{"entity_type":"x","entity_id":2,"content":"a\\"é"}\n'}
+
+
+def test_mirror_lookup_aggregates_rewrites_once(spark, shop):
+    paths = [(1, "two.md"), (1, "both.md"), (1, "none.md"), (1, "none-first.md")]
+    requests = spark.createDataFrame([*paths, *paths], "store_id long, path string")
+    rewrites = spark.createDataFrame([
+        (9, 1, "product", 1, "two", 0), (8, 1, "product", 2, "two", 0), (None, 1, "product", 3, "two", 0), (1, 1, "product", 4, "two.html", 0),
+        (5, 1, "category", 5, "both.html", 0), (6, 1, "product", 6, "both", 0), (6, 1, "product", 6, "both", 0),
+        (None, 1, "product", 7, "none", 0), (None, 1, "product", 8, "none-first", 0), (3, 1, "product", 9, "none-first.html", 0),
+    ], "url_rewrite_id long, store_id long, entity_type string, entity_id long, request_path string, redirect_type int")
+    found = mirror.mirror_lookup(dataclasses.replace(shop, cache={}, requests=requests, rewrites=rewrites))
+    assert rows(found, "path", "entity_type", "entity_id") == [("both.md", "product", 6), ("two.md", "product", 2)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("min_by(") == 1

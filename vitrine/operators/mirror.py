@@ -35,11 +35,13 @@ def mirror_lookup(catalog: Catalog) -> DataFrame:
     asked = catalog.requests.where(F.col("path").endswith(".md")).distinct().join(stores.select("store_id"), "store_id")
     bare = F.ltrim(F.expr("left(path, length(path) - 3)"), F.lit("/"))
     spelled = asked.select("store_id", "path", F.posexplode(F.array(bare, F.concat(bare, F.lit(".html")))).alias("rank", "request_path"))
-    known = catalog.rewrites.groupBy("store_id", "request_path").agg(
-        F.min_by(F.struct("entity_type", "entity_id", "redirect_type"), "url_rewrite_id").alias("target")
-    )
-    found = spelled.join(known, ["store_id", "request_path"]).groupBy("store_id", "path").agg(
-        F.min_by("target", "rank").alias("target")
+    number = F.col("url_rewrite_id")
+    known = catalog.rewrites.select("store_id", "request_path", number.isNull().alias("unnumbered"), number, F.when(
+        number.isNotNull(), F.struct("entity_type", "entity_id", "redirect_type")).alias("target"))
+    # The lowest rewrite of the first spelling that is known, by one aggregate; without any number it leads nowhere.
+    # Few rows share a path, so they are dealt by it first and sorted once.
+    found = spelled.join(known, ["store_id", "request_path"]).repartition("store_id", "path").groupBy("store_id", "path").agg(
+        F.min_by("target", F.struct("rank", "unnumbered", "url_rewrite_id")).alias("target")
     )
     return found.where(F.col("target.redirect_type") == 0).select("store_id", "path", "target.entity_type", "target.entity_id")
 
