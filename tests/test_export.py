@@ -16,7 +16,7 @@ from vitrine.plans import files
 from vitrine.plans.files import file_digests, publish_files
 from vitrine.plans.export import manifest, published, quarantined, retire, run_export, run_history
 from vitrine.plans.report import contract_check, lint_jsonl, lint_markdown, lint_report, run_totals
-from vitrine.plans.sections import Sections
+from vitrine.plans.sections import DEFAULT_SECTIONS, Sections
 from vitrine.sources.outputs import read_jsonl, read_lines, read_status
 from vitrine.sources.catalog import Catalog
 from vitrine.spark_tools import shared_dir, subfolders
@@ -161,6 +161,21 @@ def test_small_part_files_concern_the_documents_alone(spark, tmp_path):
     assert [r["line"] for r in read_lines(spark, str(tmp_path / "out")).orderBy("pos").collect()] == [str(i) for i in range(9)]
 
 
+def test_many_small_files_are_read_in_few_tasks_and_once(spark, tmp_path, monkeypatch):
+    from vitrine.plans import report
+
+    rows = spark.range(60).select(F.lit("a").alias("store_code"), F.lit(1).alias("section_ord"), F.col("id").alias("position"), F.col("id").alias("entity_id"),
+                                  F.when(F.col("id") == 0, "# a\n").when(F.col("id").isin(3, 50), "> b\n").when(F.col("id") == 40, "## c\n").otherwise("x\n").alias("text"))
+    write_documents(rows, str(tmp_path / "out"), partitions=1, file_rows=1)
+    files = list((tmp_path / "out" / "store_code=a").iterdir())
+    assert len(files) == 60 and all(f.name.startswith("part-") for f in files)
+    tasks, write = [], report.staged
+    monkeypatch.setattr(report, "staged", lambda df, name: tasks.append(df.rdd.getNumPartitions()) or write(df, name))
+    found = lint_markdown(read_lines(spark, str(tmp_path / "out"))).collect()
+    assert [tuple(r) for r in found] == [("a", True, 1, "single", 0)]
+    assert len(tasks) == 1 and tasks[0] <= 8
+
+
 def test_a_failing_section_fails_its_documents(spark, shop, tmp_path):
     def broken(catalog, formats, cleaner):
         rows = store_section(catalog, formats)
@@ -220,6 +235,46 @@ def test_one_pass_names_all_failing_rows(spark, shop, monkeypatch):
     assert len(probes) == 2
 
 
+def test_however_many_rows_fail_only_they_skip_the_stage(spark, monkeypatch):
+    from vitrine.plans import quarantine as q
+
+    monkeypatch.setattr(q, "MOST_ENTITIES", 3, raising=False)
+    ids = range(100, 260)
+    # The default text of 100 fails, but its one store sets another.
+    catalog = small_shop(
+        spark, products=[(i, "S", "n", 1.0, None, f"text {i}", 1, 4) for i in ids], product_stores=[(i, 1) for i in ids],
+        product_values=[(100, 1, "description", "own 101")], rewrites=[(i, 1, "product", i, f"p{i}.html", 0) for i in ids], stock=[], prices=[])
+
+    def fails(c):
+        return F.when(c.rlike("[02468]$"), F.raise_error(F.lit("no")).cast("string")).otherwise(F.upper(c))
+
+    cleaner, passed = Cleaner().register_stage("fragile", fails, order=35), []
+    products = Sections([s for s in DEFAULT_SECTIONS if s.name == "products"])
+    blocks, failures = products.isolated_blocks(catalog, (JSONL,), cleaner, passed)
+    texts = {r["entity_id"]: json.loads(r["text"])["description"] for r in blocks.collect()}
+    assert not failures and texts == {100: "OWN 101"} | {i: f"text {i}" if i % 2 == 0 else f"TEXT {i}" for i in ids[1:]}
+    assert sorted((p.stage, p.low, p.high) for found in passed for p in found) == [("fragile", i, i) for i in ids[2::2]]
+
+
+def test_ranges_left_whole_are_split_in_turn():
+    from vitrine.plans import quarantine as q
+
+    class Fake(q._Ranges):
+        def __init__(self, ids, bad):
+            self.ids, self.bad = ids, bad
+
+        def error(self, low, high, cleaner):
+            return "bad" if any(low <= i <= high for i in self.bad) else None
+
+        def cuts(self, low, high):
+            inside = [i for i in self.ids if low <= i <= high]
+            step = max(1, len(inside) // 16)
+            return sorted({*inside[step - 1 :: step], *inside[-1:]})
+
+    ids = [3 * i for i in range(-300, 500)]
+    assert sorted(q.failing_ids(Fake(ids, ids[::2]), None)) == [(i, i, "bad") for i in ids[::2]]
+
+
 def test_probes_stay_few(monkeypatch):
     import math
     from vitrine.plans import quarantine as q
