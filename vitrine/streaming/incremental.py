@@ -31,7 +31,7 @@ from vitrine.operators.entities import (
 from vitrine.operators.lookups import apply_tariff
 from vitrine.operators.overrides import own_or
 from vitrine.sources.catalog import Catalog, shown_product
-from vitrine.spark_tools import staged, unsorted_writes
+from vitrine.spark_tools import freed_shuffles, staged, unsorted_writes
 
 KINDS = ("product", "category", "page")
 
@@ -93,7 +93,7 @@ def write_stream(
     """
     def write(batch: DataFrame, number: int) -> None:
         records = records_of(catalog, kind, batch, cleaner)
-        with unsorted_writes(records.sparkSession):
+        with freed_shuffles(records.sparkSession), unsorted_writes(records.sparkSession):
             records.write.mode("overwrite").option("compression", "gzip").partitionBy("store_code").text(f"{out.rstrip('/')}/version={number}")
 
     return (
